@@ -1 +1,8 @@
 """Lakehouse refinement, publishing and audit jobs as plain PySpark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to executors travel by value, so that workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -28,18 +28,20 @@ def daily(bars: DataFrame) -> DataFrame:
 
 
 def edge_bars(bars: DataFrame) -> DataFrame:
-    """The first and the last bar of each ticker and day, one row each, tagged by ``edge``."""
-    row = F.struct("timestamp", "open", "high", "low", "close", "volume")
-    return (
-        bars.groupBy("ticker", F.to_date("timestamp").alias("day"))
-        .agg(
-            F.min_by(row, "timestamp").alias("first"),
-            F.max_by(row, "timestamp").alias("last"),
-        )
-        .select(
-            "ticker",
-            F.date_format("day", "yyyy-MM-dd").alias("day"),
-            F.expr("stack(2, 'first', first, 'last', last) as (edge, bar)"),
-        )
-        .select("ticker", "day", "edge", "bar.*")
+    """The first and the last bar of each ticker and day, one row each, tagged by ``edge``.
+
+    Column by column, since fixed-width state aggregates by hash where a struct would be sorted.
+    """
+    columns = ["timestamp", "open", "high", "low", "close", "volume"]
+    edges = bars.groupBy("ticker", F.to_date("timestamp").alias("day")).agg(
+        *[F.min_by(c, "timestamp").alias(f"first_{c}") for c in columns],
+        *[F.max_by(c, "timestamp").alias(f"last_{c}") for c in columns],
+    )
+    bar = lambda edge: F.struct(
+        F.lit(edge).alias("edge"), *[F.col(f"{edge}_{c}").alias(c) for c in columns]
     )
+    return edges.select(
+        "ticker",
+        F.date_format("day", "yyyy-MM-dd").alias("day"),
+        F.explode(F.array(bar("first"), bar("last"))).alias("bar"),
+    ).select("ticker", "day", "bar.*")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.shared import materialize
+from tidemark.shared import materialize_by
 
 
 def dimension_pairs(df: DataFrame, dims: dict[str, str]) -> DataFrame:
@@ -39,16 +39,17 @@ def star_join(
 ) -> DataFrame:
     """Inner-join a pre-aggregated fact to each dimension by id; NULL ids drop out.
 
-    The dimensions are written once, partitioned by kind, so that the planner sees the size of
-    each and broadcasts only those under its threshold; a larger one is shuffled, and adaptive
-    execution splits its hot ids. With ``dedupe`` off, an id with two names doubles its fact rows.
+    The dimensions are written once, a folder each, so that the planner sees their sizes and
+    broadcasts only those under its threshold; a larger one is shuffled, and adaptive execution
+    splits its hot ids. With ``dedupe`` off, an id with two names doubles its fact rows.
     """
-    named = materialize(one_name_per_id(pairs) if dedupe else pairs, "dims", "dim")
+    named = materialize_by(one_name_per_id(pairs) if dedupe else pairs, "dims", "dim")
     joined = fact
     for id_col, name_col in dims.items():
-        lookup = named.where(F.col("dim") == id_col).select(
-            F.col("id").alias(id_col), F.col("name").alias(name_col)
-        )
+        if id_col not in named:  # no event at all
+            joined = joined.withColumn(name_col, F.lit(None).cast("string")).where(F.lit(False))
+            continue
+        lookup = named[id_col].select(F.col("id").alias(id_col), F.col("name").alias(name_col))
         joined = joined.join(lookup, id_col)
     return joined
 

@@ -31,20 +31,10 @@ def in_partitions(cols: Sequence[str], rows: Sequence) -> Column:
     """Rows of the given partitions, as a filter over partition columns only."""
     if not rows:
         return F.lit(False)
-    if len(cols) == 1:
-        values = [r[0] for r in rows if r[0] is not None]
-        test = F.col(cols[0]).isin(*values) if values else F.lit(False)
-        return test | F.col(cols[0]).isNull() if len(values) < len(rows) else test
-    spelled = F.concat_ws("\u0001", *[_spell(F.col(c)) for c in cols])
-    return spelled.isin(*["\u0001".join(_spelled(v) for v in row) for row in rows])
-
-
-def _spell(value: Column) -> Column:
-    return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit(""))
-
-
-def _spelled(value) -> str:
-    return "" if value is None else f"={value}"
+    text = lambda c: F.coalesce(F.concat(F.lit("="), F.nullif(F.col(c).cast("string"), F.lit(""))), F.lit(""))
+    known = lambda v: "" if tables.spelled(v) is None else f"={tables.spelled(v)}"
+    apart = "\u0001"
+    return F.concat_ws(apart, *[text(c) for c in cols]).isin(*[apart.join(map(known, r)) for r in rows])
 
 
 def merge_upsert(
@@ -52,12 +42,13 @@ def merge_upsert(
     path: str,
     keys: Sequence[str],
     partitions_follow_keys: bool = False,
+    unique: bool = False,
 ) -> None:
     """Update the target rows whose keys match, insert the rest.
 
-    NULL keys match nothing and are inserted. Two source rows for one key are an error. Set
-    ``partitions_follow_keys`` when equal keys always mean equal partition, which saves looking
-    for rows that change partition.
+    NULL keys match nothing and are inserted. Two source rows for one key are an error; ``unique``
+    says that the caller has made sure of it. Set ``partitions_follow_keys`` when equal keys always
+    mean equal partition, which saves looking for rows that change partition.
     """
     spark = source.sparkSession
     schema = tables.schema_of(spark, path)
@@ -67,8 +58,7 @@ def merge_upsert(
     parts = tables.partition_cols_of(spark, path)
     source = materialize(align(source, schema), "upsert")
     keyed = source.where(~any_null(keys))
-    repeated = keyed.groupBy(*keys).count().where("count > 1").limit(1).count()
-    if repeated:
+    if not unique and keyed.groupBy(*keys).count().where("count > 1").limit(1).count():
         raise ValueError(f"two source rows share one key {list(keys)}; dedup first")
 
     target = tables.read_table(spark, path)
@@ -77,14 +67,16 @@ def merge_upsert(
         if not partitions_follow_keys:
             moved = target.join(keyed.select(*keys), list(keys), "left_semi").select(*parts)
             touched = touched.union(moved).distinct()
-        target = target.where(in_partitions(parts, touched.collect()))
+        touched = touched.collect()  # one row per partition to rewrite
+        target = target.where(in_partitions(parts, touched))
+        emptied = [tables.folder_of(parts, row) for row in touched]
     kept = target.join(keyed.select(*keys), list(keys), "left_anti")
     tables.publish(
         kept.select(*schema.names).unionByName(source),
         path,
         parts,
         replace="partitions" if parts else "table",
-        also_retire=tables.folders_read(target, path) if parts else (),
+        also_retire=emptied if parts else (),
     )
 
 
@@ -112,7 +104,7 @@ def upsert_batches(
         keyless = typed.where(any_null(keys))
         latest = one_per_key(typed.where(~any_null(keys)), keys, *latest_by)
         out = latest.unionByName(keyless).observe(sent, F.count(F.lit(1)).alias("rows"))
-        merge_upsert(out, path, keys, partitions_follow_keys)
+        merge_upsert(out, path, keys, partitions_follow_keys, unique=True)
         if report:
             report(batch_id, seen.get["rows"], sent.get["rows"])
 

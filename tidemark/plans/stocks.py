@@ -13,6 +13,7 @@ from tidemark.operators.dedup import one_per_key
 from tidemark.operators.lag import change, percent_change, with_previous
 from tidemark.operators.order_statistics import quantiles
 from tidemark.operators.rollup import daily
+from tidemark.shared import materialize
 
 # Hour shifts of the capture stamp and of the marts.
 CAPTURE_SHIFT_HOURS = -5
@@ -77,6 +78,28 @@ def silver(bars: DataFrame, fill: str = "coalesce", unit: str | None = None) ->
     )
 
 
+def refreshed_changes(bars: DataFrame, changed: DataFrame, fill: str = "coalesce") -> DataFrame:
+    """N1, N2 after late or corrected bars: only the rows whose change may differ.
+
+    ``changed`` has the ticker and timestamp of every bar that was inserted or updated in ``bars``.
+    Each of those tickers is recomputed from its first changed bar on, with the bar before it
+    carried in, since a corrected bar also alters the one after it.
+    """
+    start = materialize(
+        changed.groupBy("ticker").agg(F.min("timestamp").alias("_from")), "changed-from"
+    )
+    rows = bars.join(start, "ticker")
+    tail = rows.where(F.col("timestamp") >= F.col("_from")).withColumn("_before", F.lit(False))
+    before = (
+        rows.where(F.col("timestamp") < F.col("_from"))
+        .groupBy("ticker")
+        .agg(F.max_by("close", "timestamp").alias("close"), F.max("timestamp").alias("timestamp"))
+        .withColumn("_before", F.lit(True))
+    )
+    seeded = materialize(tail.unionByName(before, allowMissingColumns=True), "changed-bars")
+    return with_changes(seeded, fill).where(~F.col("_before")).drop("_before", "_from")
+
+
 def latest_bars(bronze: DataFrame, *latest_by: Column | str) -> DataFrame:
     """One bar per ticker and instant, the one captured last; run before any lag or sum."""
     return one_per_key(bronze, ["ticker", "timestamp"], *latest_by)

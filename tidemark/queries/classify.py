@@ -73,7 +73,7 @@ def pair_bins(spark, sf_dir):
     f"with {FEATURES} "
     + " union all ".join(
         f"select '{x}' as x, '{y}' as y, "
-        + ("cast(1 as double)" if x == y else f"round(corr({x}, {y}), 6)")
+        + ("max(cast(1 as double))" if x == y else f"round(corr({x}, {y}), 6)")
         + " as corr from features"
         for x in NAMES
         for y in NAMES

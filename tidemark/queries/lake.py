@@ -11,7 +11,7 @@ from tidemark import adapters
 from tidemark.functions.decode import encode_bars
 from tidemark.operators import dedup
 from tidemark.operators.upsert import merge_upsert
-from tidemark.plans import maintenance
+from tidemark.plans import maintenance, stocks
 from tidemark.queries.registry import BARS, EVENTO, query
 from tidemark.shared import scratch_path
 from tidemark.sources import tables, topics
@@ -153,6 +153,29 @@ def upsert_by_id(spark, sf_dir):
     return tables.read_table(spark, path)
 
 
+@query(
+    "refresh_after_correction",
+    f"""with {BARS}, corrected as (
+      select * replace (case when ticker = 'purchase' and "timestamp" >= timestamp '{CUTOFF}' then close + 1
+                        else close end as close) from bars), lagged as (
+      select *, lag(close) over (partition by ticker order by "timestamp") as prev from corrected)
+    select ticker, cast(year("timestamp") as int) as ano, "timestamp", close, coalesce(close - prev, 0) as osc,
+      coalesce(coalesce(close - prev, 0) * 100.0 / nullif(prev, 0), 0) as osc_per from lagged""",
+)
+def refresh_after_correction(spark, sf_dir):
+    """Gold built once, then only what a correction of late ``purchase`` bars alters."""
+    keys, columns = ["ticker", "timestamp"], ["ticker", "ano", "timestamp", "close"]
+    bars = adapters.bars(spark, sf_dir).withColumn("ano", F.year("timestamp")).select(*columns)
+    first = stocks.with_changes(bars)
+    path = scratch_path(spark, "refresh")
+    tables.publish(first, path, ["ticker", "ano"])
+    late = (F.col("ticker") == "purchase") & (F.col("timestamp") >= _stamp(CUTOFF))
+    corrected = bars.withColumn("close", F.when(late, F.col("close") + 1).otherwise(F.col("close")))
+    changes = stocks.refreshed_changes(corrected, bars.where(late).select(*keys))
+    merge_upsert(changes, path, keys, partitions_follow_keys=True)
+    return tables.read_table(spark, path)
+
+
 # ---- streams ------------------------------------------------------------------------------------
 
 
@@ -190,7 +213,7 @@ def stream_bronze_append(spark, sf_dir):
     for again in (False, True):
         _deliver(spark, sf_dir, topic, again)
         path = _bronze(spark, topic, lake)
-    return _plain(spark.read.parquet(path))
+    return _plain(tables.read_table(spark, path))
 
 
 @query("stream_bronze_partitioned", STREAMED)
@@ -201,7 +224,7 @@ def stream_bronze_partitioned(spark, sf_dir):
     for again in (False, True):
         _deliver(spark, sf_dir, topic, again)
         path = _bronze(spark, topic, lake, partition_by=["ticker"])
-    return _plain(spark.read.parquet(path))
+    return _plain(tables.read_table(spark, path))
 
 
 @query("stream_dup_append", STREAMED)
@@ -218,7 +241,7 @@ def stream_dup_append(spark, sf_dir):
         path,
         lake.checkpoint("silver", "stocks_intraday_dup", reader="bronze"),
     ).awaitTermination()
-    return _plain(spark.read.parquet(path))
+    return _plain(tables.read_table(spark, path))
 
 
 @query(

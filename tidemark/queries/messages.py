@@ -65,7 +65,7 @@ def framed_payload(spark, sf_dir):
     "cdc_unwrap",
     f"""with {BARS} select _id, ticker, description, date_trunc('millisecond', "timestamp") as "timestamp",
       open, high, low, close, volume, case when ticker = 'purchase' then 'u' else 'c' end as __op,
-      'stocks' as __collection, epoch_ms("timestamp") as __ts_ms
+      'stocks' as __collection, epoch_us("timestamp") // 1000 as __ts_ms
     from bars where ticker <> 'error'""",
 )
 def cdc_unwrap(spark, sf_dir):

@@ -12,6 +12,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.storage import Storage
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -33,11 +35,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, *partition_cols: str) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return it as a table read."""
     path = scratch_path(df.sparkSession, name)
-    writer = df.write
-    if partition_cols:
-        writer = writer.partitionBy(*partition_cols)
-    writer.parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_by(df: DataFrame, name: str, column: str) -> dict[str, DataFrame]:
+    """Write ``df`` once, split by a column of few values, and return one read per value.
+
+    Each part is a folder of its own, so that the planner knows the size of each.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.partitionBy(column).parquet(path)
+    rest = df.drop(column).schema
+    folders = [f for f in Storage(spark, path).folders(path) if "=" in f]
+    return {f.split("=")[1]: spark.read.schema(rest).parquet(f"{path}/{f}") for f in folders}

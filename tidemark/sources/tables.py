@@ -13,7 +13,6 @@ import json
 import time
 import uuid
 from collections.abc import Iterable, Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -34,6 +33,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     )
 
 
+def stream_written(spark: SparkSession, path: str) -> bool:
+    """Does a stream's own log list the files of this table? Then nobody else may move them."""
+    return Storage(spark, path).exists(f"{path}/_spark_metadata")
+
+
 def schema_of(spark: SparkSession, path: str) -> T.StructType | None:
     storage = Storage(spark, path)
     file = f"{path}/{SCHEMA_FILE}"
@@ -109,12 +113,23 @@ def leaf_folders(storage: Storage, path: str, depth: int) -> list[str]:
     return found
 
 
-def folders_read(df: DataFrame, path: str) -> list[str]:
-    """Partition directories a filtered table read would touch, relative to the table."""
-    root = Storage(df.sparkSession, path).qualified(path)
-    strip = lambda uri: unquote(uri).split(":", 1)[-1].lstrip("/")
-    base = strip(root)
-    return sorted({strip(f).rsplit("/", 1)[0][len(base) + 1 :] for f in df.inputFiles()})
+# Characters that partition folder names escape as %XX, and the folder of NULL.
+ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(1, 32)}
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def spelled(value) -> str | None:
+    """A partition value as text."""
+    if value is None or value == "":
+        return None
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
+def folder_of(cols: Sequence[str], row: Sequence) -> str:
+    """The relative folder of one combination of partition values."""
+    escape = lambda text: "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in text)
+    names = [NULL_FOLDER if spelled(v) is None else escape(spelled(v)) for v in row]
+    return "/".join(f"{c}={n}" for c, n in zip(cols, names))
 
 
 def publish(
@@ -156,7 +171,7 @@ def replace_files(
     """Write ``df`` as it is partitioned into staging, then swap it in."""
     spark = df.sparkSession
     storage = Storage(spark, path)
-    if storage.exists(f"{path}/_spark_metadata"):
+    if stream_written(spark, path):
         raise ValueError(f"{path} is written by a stream; its file list may not be changed")
     complete(spark, path)
     staged = f"{path}/{STAGING}/{int(time.time() * 1000)}-{uuid.uuid4().hex}"
@@ -204,17 +219,22 @@ def _swap(spark, storage: Storage, path: str, name: str) -> None:
     _write_schema(spark, path, T.StructType.fromJson(order["schema"]), order["partitions"])
 
 
-def append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
-    """Add rows, widening the table's schema by new columns. Not safe to repeat; use
-    ``publish(replace="partitions")`` where a run may happen twice."""
-    spark = df.sparkSession
+def widen_schema(spark, path: str, added: T.StructType, partition_cols: Sequence[str] = ()) -> list[str]:
+    """Add the columns a table lacks to its schema file; returns its partition columns."""
     known = schema_of(spark, path)
     if known is None and exists(spark, path):
         known = read_table(spark, path).schema
     parts = list(partition_cols) or partition_cols_of(spark, path)
-    writer = df.write.mode("append")
-    (writer.partitionBy(*parts) if parts else writer).parquet(path)
     fields = {f.name: f for f in (known or T.StructType())}
-    for field in df.schema:
+    for field in added:
         fields.setdefault(field.name, T.StructField(field.name, field.dataType, True))
     _write_schema(spark, path, T.StructType(list(fields.values())), parts)
+    return parts
+
+
+def append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
+    """Add rows, widening the table's schema by new columns. Not safe to repeat; use
+    ``publish(replace="partitions")`` where a run may happen twice."""
+    parts = widen_schema(df.sparkSession, path, df.schema, partition_cols)
+    writer = df.write.mode("append")
+    (writer.partitionBy(*parts) if parts else writer).parquet(path)

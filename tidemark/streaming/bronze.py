@@ -16,6 +16,7 @@ from tidemark.functions.decode import (
     unframe,
 )
 from tidemark.sources.files import stream_bar_csvs
+from tidemark.sources.tables import widen_schema
 from tidemark.sources.topics import as_messages
 
 
@@ -46,11 +47,13 @@ def append_stream(
     interval: str = "1 minute",
     fmt: str = "parquet",
 ) -> StreamingQuery:
-    """Append a stream to a table, exactly once.
+    """Append a stream to a table, exactly once; new columns widen its schema.
 
     ``drain`` takes all there is and stops; otherwise the query runs on. The checkpoint lies
     outside the table.
     """
+    if fmt == "parquet":
+        widen_schema(rows.sparkSession, path, rows.schema, partition_by)
     writer: DataStreamWriter = (
         rows.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     )
