@@ -1,0 +1,107 @@
+import json
+import struct
+
+from pyspark.sql import functions as F
+
+from tidemark.functions import decode
+
+
+def _messages(spark, values):
+    rows = [(None if v is None else bytearray(v),) for v in values]
+    return spark.createDataFrame(rows, "value binary")
+
+
+def _change(op, after="keep", extra=None):
+    document = {
+        "_id": {"$oid": "65ca85aa80e42ff40b155c07"},
+        "ticker": "AAPL",
+        "description": "Apple Inc.",
+        "timestamp": {"$date": 1707771180000},
+        "open": 187.41000366210938,
+        "high": 187.4199981689453,
+        "low": 187.3699951171875,
+        "close": 187.4199981689453,
+        "volume": 3156,
+    }
+    message = {
+        "before": None,
+        "after": {"string": json.dumps(document)} if after else None,
+        "updateDescription": None,
+        "source": {"db": "StockData", "collection": "stocks", "snapshot": {"string": "true"}},
+        "op": {"string": op},
+        "ts_ms": {"long": 1707780186183},
+    }
+    return json.dumps(message, indent=4).encode()
+
+
+def test_change_message(spark):
+    got = decode.unwrap_cdc(_messages(spark, [_change("r")])).withColumn(
+        "timestamp", F.col("timestamp").cast("string")
+    )
+    assert tuple(got.first()) == (
+        "65ca85aa80e42ff40b155c07", "AAPL", "Apple Inc.", "2024-02-12 20:53:00",
+        187.41000366210938, 187.4199981689453, 187.3699951171875, 187.4199981689453, 3156,
+        "r", "stocks", 1707780186183,
+    )
+
+
+def test_deletes_tombstones_and_empty_changes_are_dropped(spark):
+    messages = _messages(spark, [_change("d"), None, _change("u", after=None), _change("c")])
+    assert [r["__op"] for r in decode.unwrap_cdc(messages).collect()] == ["c"]
+
+
+AVRO_BAR = (
+    bytes([8]) + b"AAPL" + bytes([40]) + b"2024-02-12T20:53:00Z"
+    + struct.pack("<4d", 1.5, 2.0, 1.0, 1.75) + bytes([0xA8, 0x31])
+)
+
+
+def test_avro_bytes(spark):
+    got = decode.decode_avro_bars(_messages(spark, [AVRO_BAR, None]))
+    assert [tuple(r) for r in got.collect()] == [
+        ("AAPL", "2024-02-12T20:53:00Z", 1.5, 2.0, 1.0, 1.75, 3156)
+    ]
+
+
+def test_avro_varints():
+    for number in (0, -1, 1, 63, 64, -64, -65, 2**31, -(2**63), 2**63 - 1):
+        data = decode._zigzag(number)
+        assert decode._varint(data, 0) == (number, len(data))
+
+
+def test_framed_avro(spark):
+    framed = _messages(spark, [AVRO_BAR]).withColumn("value", decode.frame(F.col("value"), 70_000))
+    raw = bytes(framed.first()["value"])
+    assert raw[:5] == b"\x00" + (70_000).to_bytes(4, "big")
+    read = decode.unframe(framed)
+    assert read.first()["schema_id"] == 70_000
+    assert decode.decode_avro_bars(read).first()["volume"] == 3156
+
+
+def test_replay_message_fields(spark):
+    bars = spark.sql(
+        "select 'AAPL' as ticker, '' as description, timestamp'2024-01-01 10:00:00' as timestamp, 1D as open, "
+        "2D as high, 0.5D as low, 1.5D as close, 7L as volume, 'AAPL' as topic"
+    )
+    row = decode.encode_replay(bars).first()
+    assert row["key"] is None and row["topic"] == "AAPL"
+    assert json.loads(row["value"].decode()) == {
+        "ticker": "AAPL", "datetime": "2024-01-01T10:00:00.000000Z", "openv": 1.0, "highv": 2.0,
+        "lowv": 0.5, "closev": 1.5, "volume": 7,
+    }
+
+
+def test_message_key(spark):
+    bars = spark.sql(
+        "select 'T' as ticker, timestamp'2024-01-01 10:00:00' as timestamp, 1D as open, 1D as high, 1D as low, "
+        "1D as close, 7L as volume"
+    )
+    assert decode.encode_bars(bars).first()["key"].decode() == "T 2024-01-01T10:00:00.000000Z"
+    assert decode.encode_avro_bars(bars).first()["key"].decode() == "T 2024-01-01T10:00:00.000000Z"
+
+
+def test_api_page_prices_are_widened(spark):
+    body = '{"data":[{"t":1707771180,"o":187.41,"h":187.42,"l":187.37,"c":187.42,"v":3156}]}'
+    row = decode.bars_from_pages(spark.createDataFrame([("AAPL", body)], "ticker string, body string")).first()
+    assert (row["open"], row["high"], row["low"]) == (187.41000366210938, 187.4199981689453, 187.3699951171875)
+    assert row["volume"] == 3156

@@ -1,0 +1,188 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.plans import maintenance
+from tidemark.sources import tables
+from tidemark.sources.layout import Lake, TableName, split_topic, storage_kind
+from tidemark.sources.storage import Storage
+
+ODD = ["plain", "a b", "x=y/z", "50%", "ação", "#?[]{}^'\":*\\", "\x01"]
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_names_and_paths():
+    assert TableName.parse("bronze", "StockData_stocks_intraday") == ("bronze", "StockData", "stocks_intraday")
+    assert TableName.parse("silver", "vendas").view == "silver_vendas"
+    lake = Lake.at("s3a", "bucket")
+    assert lake.path("gold", "stocks", "StockData") == "s3a://bucket/lakehouse/gold/StockData_stocks"
+    assert not lake.checkpoint("gold", "stocks").startswith(lake.path("gold", "stocks"))
+    assert split_topic("stocks.StockData.stocks") == ("stocks.StockData", "StockData", "stocks")
+    assert [storage_kind(u) for u in ("abfss://c@a/x", "s3a://b", "s3://b", "/tmp")] == ["blob", "s3", "s3", None]
+
+
+def test_empty_table_is_a_table(spark, path):
+    schema = spark.createDataFrame([], "k string, day int").schema
+    assert not tables.exists(spark, path)
+    assert tables.ensure_table(spark, path, schema, ["day"])
+    assert not tables.ensure_table(spark, path, schema, ["day"])
+    assert tables.exists(spark, path)
+    assert tables.read_table(spark, path).dtypes == [("k", "string"), ("day", "int")]
+    assert tables.read_table(spark, path).count() == 0
+
+
+def test_a_folder_with_other_things_is_no_table(spark, path):
+    Storage(spark, path).write_text(f"{path}/notes.txt", "x")
+    assert not tables.exists(spark, path)
+
+
+def test_load_registers_a_view_only_for_what_exists(spark, path):
+    lake = Lake(path)
+    assert tables.load_table(lake, spark, TableName("gold", None, "nothing")) is None
+    tables.publish(spark.range(3), lake.path("gold", "some", "db"))
+    assert tables.load_table(lake, spark, TableName("gold", "db", "some")).count() == 3
+    assert spark.table("gold_some").count() == 3
+
+
+def test_overwrite_replaces_everything(spark, path):
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(ODD + [None])], "p string, v int")
+    tables.publish(df, path, ["p"])
+    assert _rows(tables.read_table(spark, path)) == _rows(df)
+    tables.publish(df.where("v < 3"), path, ["p"])
+    assert _rows(tables.read_table(spark, path)) == _rows(df.where("v < 3"))
+    tables.publish(df.where("v > 3"), path)
+    assert _rows(tables.read_table(spark, path)) == _rows(df.where("v > 3"))
+
+
+def test_partition_replace_leaves_the_rest(spark, path):
+    df = spark.createDataFrame([(p, i % 2, i) for i, p in enumerate(ODD * 2)], "p string, q int, v int")
+    tables.publish(df, path, ["p", "q"])
+    new = df.where("q = 1").withColumn("v", F.col("v") + 100)
+    for _ in range(2):
+        tables.publish(new, path, ["p", "q"], replace="partitions")
+    assert _rows(tables.read_table(spark, path)) == _rows(df.where("q = 0").unionByName(new))
+
+
+def test_folder_names_are_those_spark_writes(spark, path):
+    values = [*ODD, "", None]
+    spark.createDataFrame([(v, 1) for v in values], "p string, v int").write.partitionBy("p").parquet(path)
+    assert {tables.folder_of(["p"], [v]) for v in values} == set(Storage(spark, path).folders(path))
+
+
+@pytest.mark.parametrize("replace", ["table", "partitions"])
+@pytest.mark.parametrize("stop_after", [0, 1, 2, 3])
+def test_interrupted_publish_is_completed(spark, path, monkeypatch, replace, stop_after):
+    old = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "p string, v int")
+    new = spark.createDataFrame([("a", 10), ("b", 20)], "p string, v int")
+    tables.publish(old, path, ["p"])
+
+    moves = []
+    real = Storage.move
+
+    def failing(self, source, target):
+        if len(moves) >= stop_after:
+            raise OSError("stopped")
+        moves.append(source)
+        real(self, source, target)
+
+    monkeypatch.setattr(Storage, "move", failing)
+    monkeypatch.setattr(Storage, "move_all", lambda self, pairs: [self.move(*p) for p in pairs])
+    with pytest.raises(OSError):
+        tables.publish(new, path, ["p"], replace=replace)
+    monkeypatch.undo()
+    assert tables.complete(spark, path) == 1
+    kept = [] if replace == "table" else [("c", 3)]
+    assert _rows(tables.read_table(spark, path)) == sorted([("a", 10), ("b", 20), *kept])
+
+
+def test_unfinished_write_is_ignored(spark, path):
+    tables.publish(spark.range(3), path)
+    spark.range(9).write.parquet(f"{path}/{tables.STAGING}/123-abc")
+    assert tables.complete(spark, path) == 0
+    assert tables.read_table(spark, path).count() == 3
+
+
+def test_schema_evolution(spark, path):
+    tables.append(spark.createDataFrame([(1, "a")], "k int, p string"), path, ["p"])
+    tables.append(spark.createDataFrame([(2, "b", 5.0)], "k int, p string, extra double"), path)
+    got = tables.read_table(spark, path)
+    assert got.columns == ["k", "p", "extra"]
+    assert _rows(got) == [(1, "a", None), (2, "b", 5.0)]
+
+
+def test_compaction_keeps_content_and_spares_compact_partitions(spark, path):
+    df = spark.range(3000).select(F.col("id").alias("v"), (F.col("id") % 3).cast("string").alias("p"))
+    for piece in (df.where("p < '2'"), df.where("p < '2'"), df.where("p = '2'").coalesce(1)):
+        tables.append(piece, path, ["p"])
+    before, files = _rows(tables.read_table(spark, path)), maintenance.files(spark, path)
+    untouched = {r["path"] for r in files.where("folder like '%p=2'").collect()}
+    assert len(untouched) == 1
+    result = maintenance.compact(spark, path)
+    assert result["partitions"] == 2 and result["files_after"] == 3 < result["files_before"]
+    assert _rows(tables.read_table(spark, path)) == before
+    assert untouched < {r["path"] for r in maintenance.files(spark, path).collect()}
+    assert maintenance.compact(spark, path)["partitions"] == 0
+
+
+def test_compaction_cuts_a_large_partition_into_several_files(spark, path):
+    df = spark.range(20_000).select(F.xxhash64("id").alias("v"), F.lit("hot").alias("p"))
+    tables.append(df.repartition(40), path, ["p"])
+    size = maintenance.files(spark, path).agg(F.sum("length")).first()[0]
+    maintenance.compact(spark, path, target_bytes=size // 5)
+    after = maintenance.files(spark, path).collect()
+    assert 4 <= len(after) <= 6 and max(f["length"] for f in after) < size / 2
+    assert _rows(tables.read_table(spark, path)) == _rows(df)
+
+
+def test_vacuum(spark, path):
+    for n in (3, 4, 5):
+        tables.publish(spark.range(n), path)
+    with pytest.raises(ValueError):
+        maintenance.vacuum(spark, path, 0)
+    assert maintenance.vacuum(spark, path, 4) == 0
+    later = __import__("time").time() + 5 * 3600
+    assert maintenance.vacuum(spark, path, 4, now=later) == 2
+    assert tables.read_table(spark, path).count() == 5
+    tables.publish(spark.range(6), path)
+    assert maintenance.vacuum(spark, path, 0, force=True) == 1
+    assert tables.read_table(spark, path).count() == 6
+
+
+def test_discover_skips_checkpoints(spark, path):
+    lake = Lake(path)
+    for tier, db, table in (("bronze", "a", "b_c"), ("silver", None, "plain")):
+        tables.publish(spark.range(1), lake.path(tier, table, db))
+    spark.range(1).write.parquet(f"{path}/bronze/checkpoint_x")
+    spark.range(1).write.parquet(lake.checkpoint("bronze", "b_c", "a"))
+    got = {(r["tier"], r["db"], r["table"]) for r in maintenance.discover(spark, lake).collect()}
+    assert got == {("bronze", "a", "b_c"), ("silver", None, "plain")}
+
+
+def test_storage_report(spark, path):
+    df = spark.range(10).select("id", (F.col("id") % 2).alias("p"))
+    df.coalesce(1).write.partitionBy("p").parquet(path)
+    got = maintenance.storage_report(spark.read.parquet(path), ["p"]).orderBy("p").collect()
+    assert [(r["p"], r["files"], r["rows"]) for r in got] == [(0, 1, 5), (1, 1, 5)]
+    assert all(r["bytes"] > 0 for r in got)
+    both = maintenance.compare_sizes(spark.read.parquet(path), spark.read.parquet(path)).collect()
+    assert {r["layer"]: r["rows"] for r in both} == {"landing": 10, "table": 10}
+
+
+def test_catalog(spark, path):
+    tables.publish(spark.range(6).withColumn("p", F.col("id") % 2), f"{path}/t", ["p"])
+    maintenance.register(spark, "tide_test", "t", f"{path}/t", location=f"{path}/db")
+    assert [tuple(r) for r in maintenance.list_tables(spark, "tide_test").collect()] == [("tide_test", "t")]
+    described = {r["col_name"]: r["data_type"] for r in maintenance.describe(spark, "tide_test", "t").collect()}
+    assert described["Type"] == "EXTERNAL" and described["id"] == "bigint"
+    assert maintenance.count_rows(spark, "tide_test", ["t"]).first()["rows"] == 6
+    spark.sql("drop database tide_test cascade")
+
+
+def test_marker_is_plain_json(spark, path):
+    tables.publish(spark.range(1), path)
+    content = json.loads(Storage(spark, path).read_text(f"{path}/{tables.SCHEMA_FILE}"))
+    assert content["partitions"] == []
