@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.order_statistics import quantiles
+from tidemark.operators.order_statistics import quantiles, quantiles_of_few
 
 PROBS = {"low": 0.0, "q1": 0.25, "q2": 0.5, "p99": 0.99, "high": 1.0}
 
@@ -30,3 +30,13 @@ def test_without_groups(spark):
     df = spark.range(1001).select(F.col("id").cast("double").alias("v"))
     row = quantiles(df, [], "v", {"q": 0.5}, 100).first()
     assert (row["n"], row["q"]) == (1001, 500.0)
+
+
+def test_few_levels(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice("ab"), rng.choice([None, 1, 2, 3, 50])) for _ in range(500)] + [("c", 4)]
+    df = spark.createDataFrame(rows, "g string, v int")
+    for row in quantiles_of_few(df, ["g"], "v", PROBS).collect():
+        values = [v for g, v in rows if g == row["g"] and v is not None]
+        assert row["n"] == len(values)
+        assert [row[name] for name in PROBS] == pytest.approx([np.quantile(values, p) for p in PROBS.values()])

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.shared import materialize
+
 
 def is_business_day(day: Column) -> Column:
     return F.weekday(day) < 5
@@ -38,10 +40,12 @@ def download_days(history: DataFrame, end: Column) -> DataFrame:
 def concat(history: DataFrame, later: DataFrame) -> DataFrame:
     """The history, then each ticker's later bars from weekdays after its last history day.
 
-    A ticker without history takes all its later weekday bars. The dates are one aggregated row
-    per ticker.
+    A ticker without history takes all its later weekday bars. The dates, one row per ticker, are
+    written first, so that the planner knows their size and need not shuffle the bars.
     """
-    last = history.groupBy("ticker").agg(F.to_date(F.max("timestamp")).alias("_last"))
+    last = materialize(
+        history.groupBy("ticker").agg(F.to_date(F.max("timestamp")).alias("_last")), "history-end"
+    )
     day = F.to_date("timestamp")
     added = (
         later.join(last, "ticker", "left")

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.shared import materialize
 from tidemark.sources import tables
 from tidemark.sources.layout import Lake, TableName
 from tidemark.sources.storage import Storage
@@ -58,7 +59,7 @@ def compact(
     tables.complete(spark, path)
     parts = tables.partition_cols_of(spark, path)
     schema = tables.schema_of(spark, path)
-    before = files(spark, path)
+    before = materialize(files(spark, path), "file-list")
     wanted = F.ceil(F.sum("length") / F.lit(float(target_bytes))).cast("int")
     crowded = (
         before.groupBy("folder")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidemark.functions.scalar import day_key, from_epoch_millis, seconds_between, shift_hours
 from tidemark.operators.dedup import one_per_key
 from tidemark.operators.lag import change, percent_change, with_previous
-from tidemark.operators.order_statistics import quantiles
+from tidemark.operators.order_statistics import quantiles_of_few
 from tidemark.operators.rollup import daily
 from tidemark.shared import materialize
 
@@ -143,7 +143,7 @@ def latency_summary(rows: DataFrame) -> DataFrame:
     """M9: per ticker and hop, the median and the tail of the seconds taken."""
     hops = [f"_delta_{a}_{b}" for a, b in zip(LAYERS, LAYERS[1:])]
     long = latency(rows).unpivot(["ticker"], hops, "hop", "seconds")
-    return quantiles(long, ["ticker", "hop"], "seconds", {"p50": 0.5, "p90": 0.9, "p99": 0.99})
+    return quantiles_of_few(long, ["ticker", "hop"], "seconds", {"p50": 0.5, "p90": 0.9, "p99": 0.99})
 
 
 def trailing(

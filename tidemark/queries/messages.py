@@ -11,6 +11,7 @@ from tidemark.functions.scalar import parse_timestamp
 from tidemark.queries.registry import BARS, query
 from tidemark.shared import scratch_path
 from tidemark.sources import files, topics
+from tidemark.streaming import bronze
 
 BAR_COLUMNS = "ticker, \"timestamp\", open, high, low, close, volume"
 IDENTITY = f"with {BARS} select {BAR_COLUMNS} from bars"
@@ -105,3 +106,21 @@ def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv")
     files.write_bar_csvs(adapters.bars(spark, sf_dir), path)
     return _plain(files.read_bar_csvs(spark, path))
+
+
+@query(
+    "replay_stream",
+    f"""with {BARS} select ticker, date_trunc('second', "timestamp") as "timestamp",
+      cast(printf('%f', open) as double) as open, cast(printf('%f', high) as double) as high,
+      cast(printf('%f', low) as double) as low, cast(printf('%f', close) as double) as close, volume
+    from bars""",
+)
+def replay_stream(spark, sf_dir):
+    """Bars as CSV files, the files replayed into a topic per file, the topics read."""
+    path = scratch_path(spark, "replay")
+    files.write_bar_csvs(adapters.bars(spark, sf_dir), f"{path}/files")
+    bronze.replay(
+        spark, f"{path}/files", f"{path}/_checkpoint", path=f"{path}/topics", files_per_batch=1000
+    ).awaitTermination()
+    sent = spark.read.schema(topics.TOPIC_SCHEMA).parquet(f"{path}/topics")
+    return _plain(decode.decode_replay(sent))
