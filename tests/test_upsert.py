@@ -62,14 +62,59 @@ def test_unpartitioned(spark, path):
     assert _rows(tables.read_table(spark, path)) == [(1, "a", 1), (2, "z", 9)]
 
 
-def test_untouched_partitions_keep_their_files(spark, path):
+def _files(spark, path):
+    return {
+        f"{folder}/{name}"
+        for folder in tables.leaf_folders(Storage(spark, path), path, 1)
+        for name in Storage(spark, path).children(f"{path}/{folder}")
+        if name.endswith(".parquet")
+    }
+
+
+def test_only_files_with_matched_rows_are_rewritten(spark, path):
     _table(spark, path)
-    _put(spark, path, [(1, "a", 1), (2, "b", 2)], partitions_follow_keys=True)
-    files = Storage(spark, path).children(f"{path}/p=b")
-    _put(spark, path, [(1, "a", 5)], partitions_follow_keys=True)
-    assert Storage(spark, path).children(f"{path}/p=b") == files
-    _put(spark, path, [(3, "a", 5)])
-    assert Storage(spark, path).children(f"{path}/p=b") == files
+    _put(spark, path, [(1, "a", 1), (2, "b", 2)])
+    first = _files(spark, path)
+    # Inserts alone leave all files as they are, also within a touched partition.
+    _put(spark, path, [(3, "a", 3)], partitions_follow_keys=True)
+    assert first < _files(spark, path)
+    second = _files(spark, path)
+    _put(spark, path, [(3, "a", 30), (9, "c", 9)])
+    assert first < _files(spark, path) and len(second - _files(spark, path)) == 1
+    assert _rows(tables.read_table(spark, path)) == [(1, "a", 1), (2, "b", 2), (3, "a", 30), (9, "c", 9)]
+
+
+def test_odd_partition_names(spark, path):
+    odd = ["a b", "x=y/z", "50%", "%20", "ação", "#?[]{}^'\":*\\+", "\x01", None]
+    _table(spark, path)
+    _put(spark, path, [(i, p, i) for i, p in enumerate(odd)])
+    _put(spark, path, [(i, p, i + 100) for i, p in enumerate(odd)], partitions_follow_keys=True)
+    assert _rows(tables.read_table(spark, path)) == _rows(
+        spark.createDataFrame([(i, p, i + 100) for i, p in enumerate(odd)], SCHEMA)
+    )
+
+
+def test_interrupted_upsert_is_completed(spark, path, monkeypatch):
+    for stop_after in range(4):
+        target = f"{path}/{stop_after}"
+        _table(spark, target)
+        _put(spark, target, [(1, "a", 1), (2, "b", 2), (3, "c", 3)])
+        moves = []
+        real = Storage.move
+
+        def failing(self, source, goal):
+            if len(moves) >= stop_after:
+                raise OSError("stopped")
+            moves.append(source)
+            real(self, source, goal)
+
+        monkeypatch.setattr(Storage, "move", failing)
+        monkeypatch.setattr(Storage, "move_all", lambda self, pairs: [self.move(*p) for p in pairs])
+        with pytest.raises(OSError):
+            _put(spark, target, [(1, "a", 10), (2, "d", 20)])
+        monkeypatch.undo()
+        tables.complete(spark, target)
+        assert _rows(tables.read_table(spark, target)) == [(1, "a", 10), (2, "d", 20), (3, "c", 3)]
 
 
 @pytest.mark.parametrize("seed", [1, 2])

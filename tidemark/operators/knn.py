@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -24,7 +24,7 @@ from tidemark.shared import materialize
 
 BLOCK_ROWS = 4096
 CHUNK_ROWS = 1024
-MAX_PIVOTS = 256
+MAX_PIVOTS = 2048
 
 
 def squared_distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -88,14 +88,15 @@ def neighbors(
         row["cell"]: row["count"] for row in visits.groupBy("cell").count().collect()
     }  # at most max_pivots rows
 
-    blocks = _per_cell({c: math.ceil(n / block_rows) for c, (n, _) in reach.items()})
-    chunks = _per_cell({c: math.ceil(n / chunk_rows) for c, n in visitors.items()})
+    cell_count = len(pivots)
+    blocks = _per_cell({c: math.ceil(n / block_rows) for c, (n, _) in reach.items()}, cell_count)
+    chunks = _per_cell({c: math.ceil(n / chunk_rows) for c, n in visitors.items()}, cell_count)
     spread = lambda count: F.pmod(F.xxhash64("id"), count)
     every = lambda count: F.explode(F.sequence(F.lit(0), count - 1))
     test_side = visits.withColumn("chunk", spread(chunks)).withColumn("block", every(blocks))
     train_side = (
         cells.drop("distance")
-        .where(F.col("cell").isin(*visitors))
+        .where(chunks > 0)
         .withColumn("block", spread(blocks))
         .withColumn("chunk", every(chunks))
     )
@@ -119,17 +120,26 @@ def vote(found: DataFrame) -> DataFrame:
     return found.groupBy("id").agg(F.mode("train_label", True).alias("pred"))
 
 
-def _per_cell(counts: dict[int, int]):
-    entries = [F.lit(x) for cell, n in sorted(counts.items()) for x in (cell, n)]
-    return F.element_at(F.create_map(*entries), F.col("cell")) if entries else F.lit(1)
+def _per_cell(counts: dict[int, int], cells: int) -> Column:
+    """A number per cell, looked up by position in a constant array."""
+    return F.lit([counts.get(cell, 0) for cell in range(cells)])[F.col("cell")]
+
+
+def _in_slices(columns: Sequence[pd.Series]):
+    """A batch's rows as arrays small enough to hold their distances to every pivot."""
+    points = np.column_stack(columns)
+    for start in range(0, len(points), CHUNK_ROWS):
+        yield points[start : start + CHUNK_ROWS]
 
 
 def _home_cell(pivots: np.ndarray):
     @F.pandas_udf("cell int, distance double")
     def home(*columns: pd.Series) -> pd.DataFrame:
-        d2 = squared_distances(np.column_stack(columns), pivots)
-        cell = d2.argmin(axis=1)
-        return pd.DataFrame({"cell": cell, "distance": np.sqrt(d2.min(axis=1))})
+        found = []
+        for points in _in_slices(columns):
+            d2 = squared_distances(points, pivots)
+            found.append(pd.DataFrame({"cell": d2.argmin(axis=1), "distance": np.sqrt(d2.min(axis=1))}))
+        return pd.concat(found, ignore_index=True)
 
     return home
 
@@ -141,14 +151,17 @@ def _cells_in_reach(pivots: np.ndarray, reach: dict[int, tuple], k: int):
 
     @F.pandas_udf("array<int>")
     def in_reach(*columns: pd.Series) -> pd.Series:
-        distance = np.sqrt(squared_distances(np.column_stack(columns), pivots))
-        if len(pivots) < k:
-            bound = np.full(len(distance), np.inf)
-        else:
-            bound = np.partition(distance, k - 1, axis=1)[:, k - 1]
-        slack = 1e-9 * (1.0 + distance)
-        touched = (distance - radius <= bound[:, None] + slack) & (radius >= 0)
-        return pd.Series([np.flatnonzero(row).astype("int32") for row in touched])
+        found = []
+        for points in _in_slices(columns):
+            distance = np.sqrt(squared_distances(points, pivots))
+            if len(pivots) < k:
+                bound = np.full(len(distance), np.inf)
+            else:
+                bound = np.partition(distance, k - 1, axis=1)[:, k - 1]
+            slack = 1e-9 * (1.0 + distance)
+            touched = (distance - radius <= bound[:, None] + slack) & (radius >= 0)
+            found.extend(np.flatnonzero(row).astype("int32") for row in touched)
+        return pd.Series(found)
 
     return in_reach
 

@@ -1,4 +1,4 @@
-"""Keyed upsert that reads and rewrites only the partitions it touches."""
+"""Keyed upsert that rewrites only the files it touches."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.dedup import one_per_key
 from tidemark.shared import materialize
@@ -20,6 +21,19 @@ def align(source: DataFrame, target_schema) -> DataFrame:
     return source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target_schema])
 
 
+def key_range(keyed: DataFrame, keys: Sequence[str]) -> Column:
+    """The range of the source's keys, as a filter that lets the scan skip row groups."""
+    ends = [f(k).alias(f"{n}_{k}") for k in keys for n, f in (("lo", F.min), ("hi", F.max))]
+    row = keyed.agg(*ends).first()
+    test = F.lit(True)
+    for key in keys:
+        low, high = row[f"lo_{key}"], row[f"hi_{key}"]
+        kind = keyed.schema[key].dataType
+        if low is not None and isinstance(kind, (T.NumericType, T.StringType, T.DatetimeType)):
+            test = test & F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+    return test
+
+
 def any_null(keys: Sequence[str]) -> Column:
     test = F.lit(False)
     for key in keys:
@@ -47,8 +61,10 @@ def merge_upsert(
     """Update the target rows whose keys match, insert the rest.
 
     NULL keys match nothing and are inserted. Two source rows for one key are an error; ``unique``
-    says that the caller has made sure of it. Set ``partitions_follow_keys`` when equal keys always
-    mean equal partition, which saves looking for rows that change partition.
+    says that the caller has made sure of it. A scan of the key columns finds the files that hold
+    matched rows, within the range of the source's keys and, when equal keys always mean equal
+    partition (``partitions_follow_keys``), within its partitions. Only those files are rewritten;
+    new rows become new files, which compaction gathers.
     """
     spark = source.sparkSession
     schema = tables.schema_of(spark, path)
@@ -57,27 +73,30 @@ def merge_upsert(
     tables.complete(spark, path)
     parts = tables.partition_cols_of(spark, path)
     source = materialize(align(source, schema), "upsert")
-    keyed = source.where(~any_null(keys))
+    keyed = source.where(~any_null(keys)).select(*keys)
     if not unique and keyed.groupBy(*keys).count().where("count > 1").limit(1).count():
         raise ValueError(f"two source rows share one key {list(keys)}; dedup first")
 
-    target = tables.read_table(spark, path)
-    if parts:
-        touched = source.select(*parts).distinct()
-        if not partitions_follow_keys:
-            moved = target.join(keyed.select(*keys), list(keys), "left_semi").select(*parts)
-            touched = touched.union(moved).distinct()
-        touched = touched.collect()  # one row per partition to rewrite
-        target = target.where(in_partitions(parts, touched))
-        emptied = [tables.folder_of(parts, row) for row in touched]
-    kept = target.join(keyed.select(*keys), list(keys), "left_anti")
-    tables.publish(
-        kept.select(*schema.names).unionByName(source),
-        path,
-        parts,
-        replace="partitions" if parts else "table",
-        also_retire=emptied if parts else (),
-    )
+    reader = spark.read.schema(schema).option("basePath", path)
+    root = tables.Storage(spark, path).qualified(path)
+    candidates = reader.parquet(path).where(key_range(keyed, keys))
+    if parts and partitions_follow_keys:
+        touched = source.select(*parts).distinct().collect()  # one row per partition to change
+        candidates = candidates.where(in_partitions(parts, touched))
+    matched = [
+        tables.file_of(row["file"], root)
+        for row in candidates.select(*keys, F.col("_metadata.file_path").alias("file"))
+        .join(keyed, list(keys), "left_semi")
+        .select("file")
+        .distinct()
+        .collect()  # one row per file to rewrite
+    ]
+    result = source
+    if matched:
+        rewritten = reader.parquet(*[f"{path}/{file}" for file in matched])
+        kept = rewritten.join(keyed, list(keys), "left_anti")
+        result = kept.select(*schema.names).unionByName(source)
+    tables.publish(result, path, parts, replace="files", retire=matched)
 
 
 def upsert_batches(

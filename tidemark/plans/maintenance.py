@@ -34,13 +34,17 @@ def discover(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def files(spark: SparkSession, path: str) -> DataFrame:
-    """Live data files of a table: ``folder, path, length``. Lists names, reads no content."""
+    """Live data files of a table: ``folder, path, length``, as URIs. Lists names, reads no content."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select(F.regexp_replace("path", "/[^/]+$", "").alias("folder"), "path", "length")
+        .select(
+            F.regexp_replace("_metadata.file_path", "/[^/]+$", "").alias("folder"),
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_size").alias("length"),
+        )
     )
 
 
@@ -79,7 +83,9 @@ def compact(
 def _rewrite(spark, path: str, schema, parts: Sequence[str], run: Sequence) -> None:
     reader = spark.read.option("basePath", path)
     reader = reader.schema(schema) if schema else reader
-    rows = reader.parquet(*[r["folder"] for r in run])
+    root = Storage(spark, path).qualified(path)
+    folders = [tables.file_of(r["folder"], root) for r in run]
+    rows = reader.parquet(*[f"{path}/{f}" if f else path for f in folders])
     if schema:
         rows = rows.select(*schema.names, "_metadata")
     total = sum(r["wanted"] for r in run)
@@ -99,7 +105,7 @@ def _rewrite(spark, path: str, schema, parts: Sequence[str], run: Sequence) -> N
     )
     if parts:
         spread = spread.sortWithinPartitions(*parts)
-    tables.replace_files(spread, path, parts, "partitions" if parts else "table")
+    tables.swap_in(spread, path, parts, "partitions" if parts else "table")
 
 
 def vacuum(

@@ -13,6 +13,7 @@ import json
 import time
 import uuid
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -100,6 +101,12 @@ def read_table_stream(
     return reader.schema(schema).parquet(path).select(*schema.names)
 
 
+def file_of(uri: str, root: str) -> str:
+    """The path, relative to the table at ``root``, of a file named by its URI."""
+    bare = lambda text: unquote(text).split(":", 1)[-1].lstrip("/")
+    return bare(uri)[len(bare(root)) + 1 :]
+
+
 def leaf_folders(storage: Storage, path: str, depth: int) -> list[str]:
     """Partition directories ``depth`` levels below ``path``, as relative paths."""
     found = [""]
@@ -113,11 +120,6 @@ def leaf_folders(storage: Storage, path: str, depth: int) -> list[str]:
     return found
 
 
-# Characters that partition folder names escape as %XX, and the folder of NULL.
-ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(1, 32)}
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-
-
 def spelled(value) -> str | None:
     """A partition value as text."""
     if value is None or value == "":
@@ -125,27 +127,22 @@ def spelled(value) -> str | None:
     return str(value).lower() if isinstance(value, bool) else str(value)
 
 
-def folder_of(cols: Sequence[str], row: Sequence) -> str:
-    """The relative folder of one combination of partition values."""
-    escape = lambda text: "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in text)
-    names = [NULL_FOLDER if spelled(v) is None else escape(spelled(v)) for v in row]
-    return "/".join(f"{c}={n}" for c, n in zip(cols, names))
-
-
 def publish(
     df: DataFrame,
     path: str,
     partition_cols: Sequence[str] = (),
     replace: str = "table",
-    also_retire: Iterable[str] = (),
     sort_cols: Sequence[str] = (),
     fmt: str = "parquet",
+    retire: Iterable[str] = (),
 ) -> None:
-    """Write ``df`` and put it in place of the table or of the partitions it has.
+    """Write ``df`` and put it in place of the table, of the partitions it has, or of
+    given files.
 
     ``replace="table"`` swaps everything; ``replace="partitions"`` swaps only the partitions that
-    occur in ``df`` (plus ``also_retire``), which makes a repeated run harmless. Rows are balanced
-    by partition with large partitions split over tasks, so a hot one is not a single file.
+    occur in ``df``, which makes a repeated run harmless; ``replace="files"`` adds the rows and
+    takes out the files in ``retire``. Rows are balanced by partition with large partitions split
+    over tasks, so a hot one is not a single file.
     """
     spark = df.sparkSession
     parts = list(partition_cols)
@@ -158,15 +155,11 @@ def publish(
         writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", mode)
         (writer.partitionBy(*parts) if parts else writer).save(path)
         return
-    replace_files(df, path, parts, replace, also_retire)
+    swap_in(df, path, parts, replace, retire)
 
 
-def replace_files(
-    df: DataFrame,
-    path: str,
-    partition_cols: Sequence[str],
-    replace: str,
-    also_retire: Iterable[str] = (),
+def swap_in(
+    df: DataFrame, path: str, partition_cols: Sequence[str], replace: str, retire: Iterable[str] = ()
 ) -> None:
     """Write ``df`` as it is partitioned into staging, then swap it in."""
     spark = df.sparkSession
@@ -180,7 +173,7 @@ def replace_files(
     content = {
         "replace": replace,
         "depth": len(partition_cols),
-        "retire": sorted(also_retire),
+        "retire": sorted(retire),
         "schema": df.schema.jsonValue(),
         "partitions": list(partition_cols),
     }
@@ -205,12 +198,16 @@ def _swap(spark, storage: Storage, path: str, name: str) -> None:
     staged, retired = f"{path}/{STAGING}/{name}", f"{path}/{RETIRED}/{name}"
     order = json.loads(storage.read_text(f"{staged}/{READY}"))
     visible = lambda folder: [n for n in storage.children(folder) if n[0] not in "_."]
-    if order["replace"] == "table" or not order["depth"]:
+    if order["replace"] == "files":
+        folders = leaf_folders(storage, staged, order["depth"])
+        below = [(f"{f}/" if f else "", f"{staged}/{f}" if f else staged) for f in folders]
+        entries = [prefix + n for prefix, folder in below for n in visible(folder)]
+        retire = order["retire"]
+    elif order["replace"] == "table" or not order["depth"]:
         entries = visible(staged)
         retire = visible(path)
     else:
-        entries = leaf_folders(storage, staged, order["depth"])
-        retire = sorted({*entries, *order["retire"]})
+        entries = retire = leaf_folders(storage, staged, order["depth"])
     if not storage.exists(f"{staged}/{CLEARED}"):
         present = [entry for entry in retire if storage.exists(f"{path}/{entry}")]
         storage.move_all((f"{path}/{entry}", f"{retired}/{entry}") for entry in present)
