@@ -48,6 +48,10 @@ def test_load_registers_a_view_only_for_what_exists(spark, path):
     assert spark.table("gold_some").count() == 3
 
 
+def test_preview(spark):
+    assert tables.preview(spark.range(100), 7).count() == 7
+
+
 def test_overwrite_replaces_everything(spark, path):
     df = spark.createDataFrame([(v, i) for i, v in enumerate(ODD + [None])], "p string, v int")
     tables.publish(df, path, ["p"])

@@ -21,10 +21,18 @@ def align(source: DataFrame, target_schema) -> DataFrame:
     return source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target_schema])
 
 
-def key_range(keyed: DataFrame, keys: Sequence[str]) -> Column:
-    """The range of the source's keys, as a filter that lets the scan skip row groups."""
+def key_range(keyed: DataFrame, keys: Sequence[str], unique: bool) -> Column:
+    """The range of the source's keys, as a filter that lets the scan skip row groups.
+
+    The same job looks for keys that occur twice, unless the caller vouches for them.
+    """
+    copies = keyed.withColumn("copies", F.lit(1))
+    if not unique:
+        copies = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
     ends = [f(k).alias(f"{n}_{k}") for k in keys for n, f in (("lo", F.min), ("hi", F.max))]
-    row = keyed.agg(*ends).first()
+    row = copies.agg(F.max("copies").alias("copies"), *ends).first()
+    if (row["copies"] or 0) > 1:
+        raise ValueError(f"two source rows share one key {list(keys)}; dedup first")
     test = F.lit(True)
     for key in keys:
         low, high = row[f"lo_{key}"], row[f"hi_{key}"]
@@ -74,12 +82,11 @@ def merge_upsert(
     parts = tables.partition_cols_of(spark, path)
     source = materialize(align(source, schema), "upsert")
     keyed = source.where(~any_null(keys)).select(*keys)
-    if not unique and keyed.groupBy(*keys).count().where("count > 1").limit(1).count():
-        raise ValueError(f"two source rows share one key {list(keys)}; dedup first")
+    in_range = key_range(keyed, keys, unique)
 
     reader = spark.read.schema(schema).option("basePath", path)
     root = tables.Storage(spark, path).qualified(path)
-    candidates = reader.parquet(path).where(key_range(keyed, keys))
+    candidates = reader.parquet(path).where(in_range)
     if parts and partitions_follow_keys:
         touched = source.select(*parts).distinct().collect()  # one row per partition to change
         candidates = candidates.where(in_partitions(parts, touched))

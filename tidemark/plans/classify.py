@@ -102,7 +102,8 @@ def split(df: DataFrame, seed: int = 0, share: float = TEST_SHARE) -> DataFrame:
     prefix = F.conv(F.substring("_digest", 1, 13), 16, 10).cast("bigint")
     hashed = df.withColumn("_digest", digest).withColumn("_prefix", prefix)
     last = F.ceil(F.lit(share) * F.col("n")) - 1
-    cut = at_ranks(hashed.select("_prefix"), [], "_prefix", [Mark("cut", share, last, last)]).first()
+    mark = Mark("cut", share, last, last)
+    cut = at_ranks(hashed.select("_prefix"), [], "_prefix", [mark], accuracy=100_000).first()
     if cut is None:
         return df.withColumn("test", F.lit(False))
     position = math.ceil(share * cut["n"]) - 1 - cut["below"]

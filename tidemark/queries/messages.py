@@ -124,3 +124,25 @@ def replay_stream(spark, sf_dir):
     ).awaitTermination()
     sent = spark.read.schema(topics.TOPIC_SCHEMA).parquet(f"{path}/topics")
     return _plain(decode.decode_replay(sent))
+
+
+@query(
+    "ticker_list",
+    """select cast(c_custkey as varchar) as _id, c_name as ticker, concat(c_name, ', "Inc."') as security,
+      c_mktsegment as asset_type from customer""",
+)
+def ticker_list(spark, sf_dir):
+    """Customers as a list of tickers with commas and quotes in a field, written and read."""
+    path = scratch_path(spark, "tickers")
+    unknown = F.lit(None).cast("string")
+    files.write_tickers(
+        adapters.table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").cast("string").alias("_id"),
+            F.col("c_name").alias("ticker"),
+            F.concat("c_name", F.lit(', "Inc."')).alias("security"),
+            F.col("c_mktsegment").alias("asset_type"),
+            *[unknown.alias(c) for c in ("currency", "mic", "cik", "composite_figi", "share_figi", "lei")],
+        ),
+        path,
+    )
+    return files.read_tickers(spark, path).select("_id", "ticker", "security", "asset_type")

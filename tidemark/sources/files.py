@@ -58,6 +58,12 @@ def read_tickers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TICKER_CSV).csv(path, header=True, quote='"', escape='"')
 
 
+def write_tickers(tickers: DataFrame, path: str) -> None:
+    """The ticker list as CSV; fields with commas or quotes are quoted."""
+    names = [field.split(" ")[0] for field in TICKER_CSV.split(", ")]
+    tickers.select(*names).write.csv(path, header=True, quote='"', escape='"')
+
+
 def bar_text(bars: DataFrame) -> DataFrame:
     """The bar columns as they are spelled in a file: six decimals, seconds."""
     price = lambda c: F.format_string("%f", F.col(c)).alias(c)

@@ -78,6 +78,11 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """Some ``n`` rows, in no order."""
+    return df.limit(n)
+
+
 def load_table(lake: Lake, spark: SparkSession, name: TableName) -> DataFrame | None:
     """Register ``{tier}_{table}`` if the table exists, else None."""
     path = lake.path(name.tier, name.table, name.db)
