@@ -30,6 +30,17 @@ def test_update_insert_and_repeat(spark, path):
         assert _rows(tables.read_table(spark, path)) == [(1, "a", 1), (2, "a", 20), (3, "b", 3), (4, "c", 4)]
 
 
+def test_no_intermediate_table_is_left(spark, path):
+    from tidemark.shared import shared_dir
+
+    root = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    _table(spark, path)
+    before = Storage(spark, root).children(root)
+    _put(spark, path, [(1, "a", 1)])
+    _put(spark, path, [(1, "a", 2)])
+    assert Storage(spark, root).children(root) == before
+
+
 def test_row_that_changes_partition(spark, path):
     _table(spark, path)
     _put(spark, path, [(1, "a", 1), (2, "b", 2), (3, None, 3)])

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.shared import materialize
+from tidemark.shared import materialize, materialized
 
 
 class Mark(NamedTuple):
@@ -37,11 +37,11 @@ def at_ranks(
     rows = df.select(*by, F.col(value).alias("value")).where("value is not null")
     margin = 4.0 / accuracy
     while True:
-        wanted = materialize(_brackets(rows, by, marks, accuracy, margin), "brackets")
-        found = materialize(_pick(rows, by, wanted), "ranks")
-        complete = found.where("at_first is not null and at_last is not null").count()
-        if margin >= 1.0 or complete == wanted.count() * len(marks):
-            return found
+        with materialized(_brackets(rows, by, marks, accuracy, margin), "brackets") as wanted:
+            found = materialize(_pick(rows, by, wanted), "ranks")
+            complete = found.where("at_first is not null and at_last is not null").count()
+            if margin >= 1.0 or complete == wanted.count() * len(marks):
+                return found
         margin *= 16
 
 

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.dedup import one_per_key
-from tidemark.shared import materialize
+from tidemark.shared import materialized
 from tidemark.sources import tables
+from tidemark.sources.storage import Storage
 
 
 def align(source: DataFrame, target_schema) -> DataFrame:
@@ -80,12 +81,16 @@ def merge_upsert(
         raise ValueError(f"no table at {path}; create it first")
     tables.complete(spark, path)
     parts = tables.partition_cols_of(spark, path)
-    source = materialize(align(source, schema), "upsert")
+    with materialized(align(source, schema), "upsert") as rows:
+        _merge(rows, path, keys, parts, partitions_follow_keys, unique)
+
+
+def _merge(source: DataFrame, path: str, keys, parts, partitions_follow_keys: bool, unique: bool):
+    spark, schema = source.sparkSession, source.schema
     keyed = source.where(~any_null(keys)).select(*keys)
     in_range = key_range(keyed, keys, unique)
-
     reader = spark.read.schema(schema).option("basePath", path)
-    root = tables.Storage(spark, path).qualified(path)
+    root = Storage(spark, path).qualified(path)
     candidates = reader.parquet(path).where(in_range)
     if parts and partitions_follow_keys:
         touched = source.select(*parts).distinct().collect()  # one row per partition to change

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.shared import materialize
+from tidemark.shared import materialized
 from tidemark.sources import tables
 from tidemark.sources.layout import Lake, TableName
 from tidemark.sources.storage import Storage
@@ -63,16 +64,15 @@ def compact(
     tables.complete(spark, path)
     parts = tables.partition_cols_of(spark, path)
     schema = tables.schema_of(spark, path)
-    before = materialize(files(spark, path), "file-list")
     wanted = F.ceil(F.sum("length") / F.lit(float(target_bytes))).cast("int")
-    crowded = (
-        before.groupBy("folder")
-        .agg(F.count(F.lit(1)).alias("files"), F.greatest(wanted, F.lit(1)).alias("wanted"))
-        .where(F.col("files") > F.col("wanted"))
-        .select("folder", "files", "wanted")
-        .collect()  # one row per partition to rewrite
-    )
-    result = {"partitions": len(crowded), "files_before": before.count()}
+    with materialized(files(spark, path), "file-list") as before:
+        crowded = (
+            before.groupBy("folder")
+            .agg(F.count(F.lit(1)).alias("files"), F.greatest(wanted, F.lit(1)).alias("wanted"))
+            .where(F.col("files") > F.col("wanted"))
+            .collect()  # one row per partition to rewrite
+        )
+        result = {"partitions": len(crowded), "files_before": before.count()}
     for start in range(0, len(crowded), folders_per_run):
         run = crowded[start : start + folders_per_run]
         _rewrite(spark, path, schema, parts, run)
@@ -88,19 +88,20 @@ def _rewrite(spark, path: str, schema, parts: Sequence[str], run: Sequence) -> N
     rows = reader.parquet(*[f"{path}/{f}" if f else path for f in folders])
     if schema:
         rows = rows.select(*schema.names, "_metadata")
-    total = sum(r["wanted"] for r in run)
     names = [c for c in rows.columns if c != "_metadata"]
-    folder = F.regexp_replace("_metadata.file_path", "/[^/]+$", "")
-    many = [(r["folder"], r["wanted"]) for r in run if r["wanted"] > 1]
-    share = F.lit(1)
-    if many:  # at most folders_per_run entries
-        lookup = F.create_map(*[F.lit(x) for pair in many for x in pair])
-        share = F.coalesce(F.element_at(lookup, F.col("_folder")), F.lit(1))
-    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    ends = list(accumulate(r["wanted"] for r in run))
+    places = [(r["folder"], end - r["wanted"], r["wanted"]) for r, end in zip(run, ends)]
+    # At most folders_per_run rows, hence the broadcast.
+    target = F.broadcast(spark.createDataFrame(places, "_folder string, _first int, _files int"))
+    row = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     spread = (
-        rows.select(*names, folder.alias("_folder"), place.alias("_place"))
-        .withColumn("_file", F.pmod("_place", share))
-        .repartition(total, "_folder", "_file")
+        rows.select(
+            *names,
+            F.regexp_replace("_metadata.file_path", "/[^/]+$", "").alias("_folder"),
+            row.alias("_row"),
+        )
+        .join(target, "_folder")
+        .repartitionById(ends[-1], (F.col("_first") + F.pmod("_row", F.col("_files"))).cast("int"))
         .select(*names)
     )
     if parts:

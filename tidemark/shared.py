@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +44,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def materialized(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The same for the length of a block whose work is done when it ends; the table goes then."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        Storage(spark, path).delete(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; for the end of a job, when nothing lazy is left."""
+    root = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    Storage(spark, root).delete(root)
+
+
 def materialize_by(df: DataFrame, name: str, column: str) -> dict[str, DataFrame]:
     """Write ``df`` once, split by a column of few values, and return one read per value.
 
