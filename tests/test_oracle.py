@@ -4,6 +4,7 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from tidemark.queries import ORACLES, RUNS
 
 
 @pytest.fixture(scope="module")
@@ -11,10 +12,10 @@ def con(sf):
     return connect(sf)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(RUNS))
 def test_query_matches_sql(spark, sf, con, name):
     df = entry.queries()[name](spark, sf)
-    assert compare(df, con, entry.oracle_sql()[name]) is None
+    assert compare(df, con, ORACLES[name]) is None
 
 
 def test_entry_has_rows(spark):
