@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import langid
+from tidemark.llm import bpe, langid
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
+    "op5_bpe": bpe.op5_bpe,
 }
 
 ORACLES: dict[str, str] = {}
