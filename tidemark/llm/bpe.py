@@ -176,12 +176,12 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, key: str, text
 
 
 def _mapped(spark, docs, vocabulary, key, text, fields, of) -> DataFrame:
-    shared = spark.sparkContext.broadcast(read_vocabulary(vocabulary))
+    shared = spark.sparkContext.broadcast(tuple(vars(read_vocabulary(vocabulary)).values()))
     kind = docs.schema[key].dataType.simpleString()
     schema = f"key {kind}, {fields}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = shared.value
+        automaton = Automaton(*shared.value)
         ids_of = Presplit(Encoder(automaton).word, automaton.special)
         label = automaton.labels.__getitem__
         for batch in batches:
