@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, langid
+from tidemark.llm import bpe, decontaminate, langid
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
     "op5_bpe": bpe.op5_bpe,
+    "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_decontaminate": decontaminate.OP9_SQL,
+}
