@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, langid
+from tidemark.llm import bpe, decontaminate, langid, substrings
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
     "op5_bpe": bpe.op5_bpe,
+    "op7_substrings": substrings.op7_substrings,
     "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
+    "op7_substrings": substrings.OP7_SQL,
     "op9_decontaminate": decontaminate.OP9_SQL,
 }
