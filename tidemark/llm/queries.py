@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, langid, substrings
+from tidemark.llm import bpe, decontaminate, langid, neardup, substrings, toxicity
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op5_bpe": bpe.op5_bpe,
+    "op6_near_duplicates": neardup.op6_near_duplicates,
     "op7_substrings": substrings.op7_substrings,
     "op9_decontaminate": decontaminate.op9_decontaminate,
 }
