@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, langid, neardup, substrings, toxicity
+from tidemark.llm import bpe, decontaminate, langid, neardup, substrings, token_files, toxicity
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
@@ -15,6 +15,7 @@ RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_near_duplicates": neardup.op6_near_duplicates,
     "op7_substrings": substrings.op7_substrings,
     "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op10_token_files": token_files.op10_token_files,
 }
 
 ORACLES: dict[str, str] = {
