@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, langid, neardup, substrings, token_files, toxicity
+from tidemark.llm import bpe, decontaminate, langid, neardup, substrings, token_files, topk, toxicity
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
@@ -14,11 +14,13 @@ RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": bpe.op5_bpe,
     "op6_near_duplicates": neardup.op6_near_duplicates,
     "op7_substrings": substrings.op7_substrings,
+    "op8_top_k": topk.op8_top_k,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_token_files": token_files.op10_token_files,
 }
 
 ORACLES: dict[str, str] = {
     "op7_substrings": substrings.OP7_SQL,
+    "op8_top_k": topk.OP8_SQL,
     "op9_decontaminate": decontaminate.OP9_SQL,
 }
