@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, langid, neardup, substrings, token_files, topk, toxicity
+from tidemark.llm import bpe, chat, decontaminate, langid, neardup, substrings, token_files, topk, toxicity
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
+    "op2_chat": chat.op2_chat,
     "op3_toxicity": toxicity.op3_toxicity,
     "op5_bpe": bpe.op5_bpe,
     "op6_near_duplicates": neardup.op6_near_duplicates,
@@ -20,6 +21,7 @@ RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_chat": chat.OP2_SQL,
     "op7_substrings": substrings.OP7_SQL,
     "op8_top_k": topk.OP8_SQL,
     "op9_decontaminate": decontaminate.OP9_SQL,
