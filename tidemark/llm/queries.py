@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, decontaminate, langid, neardup, substrings, token_files, topk, toxicity
+from tidemark.llm import bpe, chat, decontaminate, langid, neardup, substrings, token_files, topk, toxicity, warc
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
     "op2_chat": chat.op2_chat,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_warc_fixity": warc.op4_warc_fixity,
     "op5_bpe": bpe.op5_bpe,
     "op6_near_duplicates": neardup.op6_near_duplicates,
     "op7_substrings": substrings.op7_substrings,
@@ -22,6 +23,7 @@ RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_chat": chat.OP2_SQL,
+    "op4_warc_fixity": warc.OP4_SQL,
     "op7_substrings": substrings.OP7_SQL,
     "op8_top_k": topk.OP8_SQL,
     "op9_decontaminate": decontaminate.OP9_SQL,
