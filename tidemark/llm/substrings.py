@@ -1,14 +1,13 @@
 """Substring dedup by seed and extend.
 
-Seeds: of every ``WINDOW - SEED + 1`` neighbouring seeds of ``SEED`` words the one with the least hash is an anchor,
-so that each window of ``WINDOW`` words holds an anchor, the same one wherever the window stands. Documents meet on
-anchors. An anchor that stands once is dropped, which are most.
+Seeds: of the ``WINDOW - SEED + 1`` seeds of ``SEED`` words in a window of ``WINDOW`` words the one with the least hash
+is its anchor, the same one wherever the window stands. Documents meet on anchors.
 
-Extension: around an anchor, at most ``WINDOW - SEED`` words on either side can belong to a window that holds it. Its
-places are first grouped by the hash of all these words: a group of two or more matches to both ends, however many
-places it has, as for copies. Where an anchor has several surroundings, one place of each is extended left and right
-by each number of words, and the windows that two surroundings share are the matches there. No two places are ever
-paired, so a passage that stands in a third of all documents costs as many rows as it has places.
+Extension: the windows of one anchor start at neighbouring words. The places of an anchor are first grouped by the hash
+of all the words under these windows: two or more places in a group match to both ends, however many they are, as for
+copies. Where an anchor has several such surroundings, one place of each is extended to the left and right by each
+number of words, and the windows that two surroundings share are the matches there. No two places are ever paired, so a
+passage that stands in a third of all documents costs as many rows as it has places.
 
 The matched spans of a document are joined into maximal repeats.
 
@@ -28,34 +27,37 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as texts
-from tidemark.shared import materialize
+from tidemark.shared import materialized
 
 WINDOW = 35
 SEED = 8
 
 
-def _sliding(x: np.ndarray, n: int, pick) -> np.ndarray:
-    """The least or greatest of each n neighbours, by doubling."""
-    out, size = x, 1
-    while size * 2 <= n:
-        out = pick(out[:-size], out[size:]) if len(out) > size else out[:0]
-        size *= 2
-    rest = n - size
-    return out if not rest else pick(out[:-rest], out[rest:]) if len(out) > rest else out[:0]
-
-
-def anchors(words: texts.Words, window: int, seed: int) -> np.ndarray:
-    """The places in a slice whose seeds are least in some window of their document."""
-    seeds, whole = words.grams(seed)
-    across = window - seed + 1
-    if len(seeds) < across:
-        return np.zeros(0, np.int64)
-    least = _sliding(seeds, across, np.minimum)
+def _least(x: np.ndarray, n: int) -> np.ndarray:
+    """The place of the least, the first if there are several, of each n neighbours: by doubling."""
+    value, place, size = x, np.arange(len(x)), 1
+    while size < n:
+        step = min(size, n - size)
+        take = value[step:] < value[:-step]
+        value, place = np.where(take, value[step:], value[:-step]), np.where(take, place[step:], place[:-step])
+        size += step
+    return place
+
+
+def anchors(words: texts.Words, window: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The seeds of a slice, and of each anchor its place, the first word of its windows and the end of its last one."""
+    seeds, _ = words.grams(seed)
+    none = np.zeros(0, np.int64)
+    if len(words.hashes) < window:
+        return seeds, none, none, none
+    place = _least(seeds, window - seed + 1)
     doc = words.doc_of()
-    starts = np.arange(len(least))
-    least = np.where(doc[starts] == doc[starts + window - 1], least, 0)
-    padded = np.concatenate([np.zeros(across - 1, np.uint64), least, np.zeros(across - 1, np.uint64)])
-    return np.flatnonzero((_sliding(padded, across, np.maximum) == seeds) & whole & (seeds > 0))
+    starts = np.flatnonzero(doc[: len(place)] == doc[window - 1 :])
+    place = place[starts]
+    if not len(place):
+        return seeds, none, none, none
+    first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+    return seeds, place[first], starts[first], starts[np.append(first[1:], len(place)) - 1] + window
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -65,34 +67,32 @@ def _signed(x: np.ndarray) -> pa.Array:
 def _places(window: int, seed: int):
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds, values = texts.plain_words()
-        reach = window - seed
         for batch in batches:
             data, offsets = texts.utf8(batch.column(2))
             for i, j in texts.slices(offsets):
                 at = offsets[i : j + 1]
                 words = texts.Words(data[at[0] : at[-1]], at - at[0], kinds, values)
-                place = anchors(words, window, seed)
+                seeds, place, low, high = anchors(words, window, seed)
                 if not len(place):
                     continue
-                doc = words.doc_of()[place]
-                low = np.maximum(words.docs[doc], place - reach)
-                high = np.minimum(words.docs[doc + 1], place + window)
                 around = texts.span_hashes(words.hashes, low, high, texts.WORD_BASE) + (place - low).astype(np.uint64)
+                doc = np.searchsorted(words.docs, place, "right") - 1
                 first = words.docs[doc]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(i + doc)), batch.column(1).take(pa.array(i + doc)),
-                        _signed(words.grams(seed)[0][place]), _signed(texts.mix(around)),
-                        pa.array((place - first).astype(np.int32)), pa.array((low - first).astype(np.int32)), pa.array((high - first).astype(np.int32)),
+                        _signed(seeds[place]), _signed(texts.mix(around)),
+                        pa.array((low - first).astype(np.int32)), pa.array((high - first).astype(np.int32)),
                     ],
-                    ["key", "row", "anchor", "around", "place", "low", "high"],
+                    ["key", "row", "anchor", "around", "low", "high"],
                 )
 
     return places
 
 
-def _extended(window: int, seed: int):
+def _extended(window: int):
     def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The windows of each place with their hashes, two of them as the anchor is not told."""
         kinds, values = texts.plain_words()
         for batch in batches:
             data, offsets = texts.utf8(batch.column(2))
@@ -100,21 +100,18 @@ def _extended(window: int, seed: int):
                 places = batch.column(3)[r].as_py()
                 at = offsets[r : r + 2]
                 words = texts.Words(data[at[0] : at[1]], at - at[0], kinds, values)
-                place = np.array([p["place"] for p in places], np.int64)
-                low = np.array([p["low"] for p in places], np.int64)
-                high = np.array([p["high"] for p in places], np.int64)
+                low, high, count = (np.array([p[c] for p in places], np.int64) for c in ("low", "high", "n"))
                 n = high - low - window + 1
                 starts = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                which = np.repeat(np.arange(len(place)), n)
-                spans = texts.span_hashes(words.hashes, starts, starts + window, texts.WORD_BASE)
+                span = texts.span_hashes(words.hashes, starts, starts + window, texts.WORD_BASE)
+                check = texts.span_hashes(words.hashes, starts, starts + window, texts.BYTE_BASE) >> np.uint64(33)
+                same = pa.array(np.full(len(starts), r))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(np.full(len(starts), r))), batch.column(1).take(pa.array(np.full(len(starts), r))),
-                        pa.array(np.array([p["anchor"] for p in places], np.int64)[which]),
-                        pa.array((place[which] - starts).astype(np.int32)), _signed(spans), pa.array(starts.astype(np.int32)),
-                        pa.array(np.array([p["n"] for p in places], np.int64)[which]),
+                        batch.column(0).take(same), batch.column(1).take(same), _signed(span), pa.array(check.astype(np.int32)),
+                        pa.array(starts.astype(np.int32)), pa.array(np.repeat(count, n)),
                     ],
-                    ["key", "row", "anchor", "left", "span", "low", "n"],
+                    ["key", "row", "span", "check", "low", "n"],
                 )
 
     return extended
@@ -132,28 +129,23 @@ def _same_row(a: DataFrame, b: DataFrame) -> Column:
 
 def repeats(rows: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """(key, row, spans): the parts of each text, in words, that windows which stand elsewhere too cover."""
-    kind = rows.schema["key"].dataType.simpleString()
-    found = rows.mapInArrow(_places(window, seed), f"key {kind}, row long, anchor long, around long, place int, low int, high int")
-    places = materialize(found, "anchors")
-    one = [F.first(c).alias(c) for c in ("key", "row", "place", "low", "high")]
-    surroundings = places.groupBy("anchor", "around").agg(F.count("*").alias("n"), *one)
-    surroundings = materialize(surroundings, "surroundings")
-    several = surroundings.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1").drop("kinds")
-
-    copies = surroundings.filter("n > 1").select("anchor", "around")
-    whole = places.join(copies, ["anchor", "around"]).select("key", "row", "low", "high")
-
-    extend = surroundings.join(several, "anchor").drop("around")
-    per_row = extend.groupBy("key", "row").agg(F.collect_list(F.struct("place", "low", "high", "anchor", "n")).alias("places"))
+    found = rows.mapInArrow(_places(window, seed), texts.with_key(rows, "key", "row long, anchor long, around long, low int, high int"))
+    with materialized(found, "places") as places:
+        one = [F.first(c).alias(c) for c in ("key", "row", "low", "high")]
+        counted = texts.stored(places.groupBy("anchor", "around").agg(F.count("*").alias("n"), *one), "surroundings")
+        copies = counted.filter("n > 1").select("anchor", "around")
+        whole = texts.stored(places.join(copies, ["anchor", "around"]).select("key", "row", "low", "high"), "whole")
+        several = counted.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("anchor")
+        per_row = counted.join(several, "anchor").groupBy("key", "row").agg(F.collect_list(F.struct("low", "high", "n")).alias("places"))
+        per_row = texts.stored(per_row, "extend")
     # A row that is there twice gives its windows twice, but has no surrounding that stands once.
     with_places = rows.join(per_row, _same_row(rows, per_row)).select(rows["key"], rows["row"], "text", "places")
-    windows = with_places.mapInArrow(_extended(window, seed), f"key {kind}, row long, anchor long, left int, span long, low int, n long")
-    windows = materialize(windows, "windows")
-    shared = windows.groupBy("anchor", "left", "span").agg(F.sum("n").alias("all")).filter("all > 1")
-    partial = windows.filter("n = 1").join(shared, ["anchor", "left", "span"]).select("key", "row", "low", (F.col("low") + window).alias("high"))
-
-    spans = whole.unionByName(partial).groupBy("key", "row").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("spans"))
-    return spans.select("key", "row", F.transform("spans", lambda s: F.struct(s["low"].alias("low"), s["high"].alias("high"))).alias("spans"))
+    schema = texts.with_key(rows, "key", "row long, span long, check int, low int, n long")
+    windows = texts.stored(with_places.mapInArrow(_extended(window), schema), "windows")
+    shared = windows.groupBy("span", "check").agg(F.sum("n").alias("all")).filter("all > 1").drop("all")
+    partial = windows.filter("n = 1").join(shared, ["span", "check"]).select("key", "row", "low", (F.col("low") + window).alias("high"))
+    spans = whole.unionByName(partial).groupBy("key", "row").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+    return texts.stored(spans, "spans")
 
 
 def _cut(data: np.ndarray, at: np.ndarray, spans: list, kinds, values) -> tuple[texts.Words, np.ndarray]:
@@ -176,7 +168,6 @@ def kept(docs: DataFrame, key: str, text: str, fields: str, of: Callable, also:
     out = F.col(key) if also is None else also
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(value).alias("row"), value.alias("text"), out.alias("out"))
     joined = rows.join(spans, _same_row(rows, spans), "left").select("out", rows["text"], "spans")
-    kind = joined.schema["out"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds, values = texts.plain_words()
@@ -190,7 +181,7 @@ def kept(docs: DataFrame, key: str, text: str, fields: str, of: Callable, also:
                 columns = [batch.column(0).slice(i, j - i), *map(pa.array, zip(*out))]
                 yield pa.RecordBatch.from_arrays(columns, ["key", *(f.split()[0] for f in fields.split(", "))])
 
-    return joined.mapInArrow(cut, f"key {kind}, {fields}")
+    return joined.mapInArrow(cut, texts.with_key(joined, "out", fields))
 
 
 def digest(data: bytes, words: texts.Words, stays: np.ndarray) -> tuple[int, int, str]:

@@ -13,6 +13,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from tidemark.shared import materialize
 
 SLICE_BYTES = 2 << 20
 FOLDS = 5
@@ -34,10 +37,31 @@ def train_fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, for operators that hand rows through."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it from there.
+
+    The driver is then asked to collect its garbage, upon which Spark drops the shuffle files of the finished write;
+    else they would stay on disk beside all later ones.
+    """
+    out = materialize(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_key(df: DataFrame, key: str, fields: str) -> StructType:
+    """The schema of a ``key`` column of the type that ``key`` has in ``df``, followed by ``fields``."""
+    return StructType([StructField("key", df.schema[key].dataType), *StructType.fromDDL(fields).fields])
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the offsets of its rows; a null is an empty text."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
