@@ -177,9 +177,6 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, key: str, text
 
 def _mapped(spark, docs, vocabulary, key, text, fields, of) -> DataFrame:
     shared = spark.sparkContext.broadcast(tuple(vars(read_vocabulary(vocabulary)).values()))
-    kind = docs.schema[key].dataType.simpleString()
-    schema = f"key {kind}, {fields}"
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(*shared.value)
         ids_of = Presplit(Encoder(automaton).word, automaton.special)
@@ -194,18 +191,21 @@ def _mapped(spark, docs, vocabulary, key, text, fields, of) -> DataFrame:
                 columns = [batch.column(0).slice(i, j - i), *map(pa.array, zip(*rows))]
                 yield pa.RecordBatch.from_arrays(columns, ["key", *(f.split()[0] for f in fields.split(", "))])
 
-    return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(
+        run, texts.with_key(docs, key, fields)
+    )
 
 
-def digests(spark: SparkSession, docs: DataFrame, vocabulary: str, key: str, text: str) -> DataFrame:
+def digests(spark: SparkSession, docs: DataFrame, vocabulary: str, key: str, text: str, with_ids: bool = False) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256): the digests are taken beside the texts, which then stay there."""
 
-    def of(ids: bytes, decoded: bytes) -> tuple[int, str, str]:
-        # What is no UTF-8, as part of a letter cut by a special string, decodes to replacement marks.
+    def of(ids: bytes, decoded: bytes) -> tuple:
         decoded = decoded.decode("utf-8", "replace").encode()
-        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
+        out = len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
+        return (*out, ids) if with_ids else out
 
-    return _mapped(spark, docs, vocabulary, key, text, "n_tokens long, ids_sha256 string, decoded_sha256 string", of)
+    fields = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
+    return _mapped(spark, docs, vocabulary, key, text, fields, of)
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:

@@ -21,13 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as texts
-from tidemark.shared import materialize
 
 WINDOW = 10
 HEAD = 3  # words by which suffixes that cannot match are left out
 BLOCK_BYTES = 16 << 20
 
-FOUND = "key {key}, text string, n_words long, matches array<struct<item:string,item_start:int,start:int,n_words:int>>"
+FOUND = "text string, n_words long, matches array<struct<item:string,item_start:int,start:int,n_words:int>>"
 
 
 class Tests:
@@ -145,12 +144,12 @@ def matches(spark: SparkSession, docs: DataFrame, tests: DataFrame, key: str, te
     blocks = total // BLOCK_BYTES + 1
     block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    schema = FOUND.format(key=rows.schema["key"].dataType.simpleString())
+    schema = texts.with_key(rows, "key", FOUND)
     for b in range(blocks):
         some = [(r["item"], r["text"]) for r in items.filter(block == b).orderBy("item", "text").toLocalIterator()]
         rows = rows.mapInArrow(_scanner(spark.sparkContext.broadcast(some), window), schema)
         if blocks > 1:
-            rows = materialize(rows, "decontaminate")
+            rows = texts.stored(rows, "decontaminate")
     return rows
 
 
@@ -166,8 +165,8 @@ def n_hit(found: str = "matches"):
 
 def remove(spark: SparkSession, docs: DataFrame, tests: DataFrame, text: str, item: str, item_text: str, window: int = WINDOW) -> DataFrame:
     """The documents without a match, with all their columns."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    found = matches(spark, docs.select(row.alias("row"), F.col(text).alias("text")), tests, "row", "text", item, item_text, window)
+    rows = docs.select(texts.whole_row(docs).alias("row"), F.col(text).alias("text"))
+    found = matches(spark, rows, tests, "row", "text", item, item_text, window)
     return found.filter(F.size("matches") == 0).select("key.*")
 
 

@@ -137,10 +137,8 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model, key: str, text:
                     names[r], scores[r] = UNKNOWN, 0.0
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores)], ["key", "lang_pred", "score"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(
-        score, f"key {kind}, lang_pred string, score double"
-    )
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(score, texts.with_key(docs, key, "lang_pred string, score double"))
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

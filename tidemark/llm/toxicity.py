@@ -13,14 +13,15 @@ backing off and smoothing are Spark aggregations and joins over distinct n-grams
 broadcast is a table of 2^21 slots with the log ratio of each 5-gram and of each context: where two share a slot, the
 one that weighs more (ratio times count) has it.
 
-Defined cases: null and empty texts, and others without a word, have measure 0 and the score of that. If a class has no
-labelled text, the score is the share of toxic labels (0 without labels). Labels other than 0 and 1 are ignored; several
+Defined cases: null and empty texts, and others without a word, have measure 0 and the score of that. If the curve's fold
+lacks a class, every score is the share of toxic labels there (0 without labels). Labels other than 0 and 1 are ignored; several
 labels of one document count each; repeated rows are scored each; other columns are ignored; long texts are whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as texts
-from tidemark.shared import materialize
 
 ORDER = 5
 CHAR_BITS = 12
@@ -99,7 +99,7 @@ def _shared(grams: DataFrame) -> DataFrame:
     level = grams
     for n in range(ORDER - 1, 0, -1):
         level = level.select(_tail("gram", n).alias("gram")).groupBy("gram").agg(F.count("*").alias("k"))
-        levels.append(materialize(level, f"continued{n}"))
+        levels.append(texts.stored(level, f"continued{n}"))
     singles = levels[-1]
     total = singles.agg(F.sum("k").alias("all"), F.count("*").alias("kinds")).first()
     # A character in no other place is as likely as any.
@@ -159,10 +159,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -
     """The checks and log ratios of the slots, from the labelled texts of the counting folds."""
     fold = texts.train_fold(F.col(key))
     some = docs.filter(fold.isin(*COUNT_FOLDS)).select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    of = labels.filter(F.col(label).isin(0, 1)).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
-    rows = some.join(of, "key").select("text", "label")
+    rows = some.join(_labelled(labels, key, label), "key").select("text", "label")
     counted = rows.mapInArrow(_count, "gram long, toxic long, plain long")
-    grams = materialize(counted.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "grams")
+    grams = texts.stored(counted.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "grams")
     checks, ratios = np.zeros(1 << SLOT_BITS, np.uint32), np.zeros(1 << SLOT_BITS, np.float32)
     if grams.isEmpty():
         return checks, ratios
@@ -201,8 +200,8 @@ def measure(spark: SparkSession, docs: DataFrame, model: tuple[np.ndarray, np.nd
                 out[i + of[start]] = np.maximum.reduceat(word, start)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], ["key", "measure"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, f"key {kind}, measure double")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, texts.with_key(docs, key, "measure double"))
 
 
 def logistic(x: np.ndarray, toxic: np.ndarray, plain: np.ndarray) -> tuple[float, float]:
@@ -222,20 +221,46 @@ def logistic(x: np.ndarray, toxic: np.ndarray, plain: np.ndarray) -> tuple[float
     return float(slope), float(offset)
 
 
+@dataclass
+class Model:
+    slots: tuple[np.ndarray, np.ndarray]
+    slope: float
+    offset: float
+
+    def score(self, measure: str) -> Column:
+        return 1 / (1 + F.exp(-(F.col(measure) * self.slope + self.offset)))
+
+
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> Model:
+    """The models of both classes and the logistic curve over their measure."""
+    slots = train(docs, labels, key, text, label)
+    measured = measure(spark, docs.filter(texts.train_fold(F.col(key)).isin(*CURVE_FOLDS)), slots, key, text)
+    labelled = texts.stored(measured.join(_labelled(labels, key, label), "key"), "measured")
+    low, high, share = labelled.agg(F.min("measure"), F.max("measure"), F.avg("label")).first()
+    if share is None or share in (0.0, 1.0):
+        share = min(max(share or 0.0, 1e-6), 1 - 1e-6)
+        return Model(slots, 0.0, float(np.log(share / (1 - share))))
+    width = max(high - low, 1e-9) / BINS
+    at = F.least(F.floor((F.col("measure") - low) / width), F.lit(BINS - 1)).alias("bin")
+    bins = labelled.groupBy(at).agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("plain"), F.avg("measure").alias("x")).toPandas()
+    return Model(slots, *logistic(*(bins[c].to_numpy(float) for c in ("x", "toxic", "plain"))))
+
+
+def _labelled(labels: DataFrame, key: str, label: str) -> DataFrame:
+    return labels.filter(F.col(label).isin(0, 1)).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
+
+
 def scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
     """(key, measure, score) for each document."""
-    model = train(docs, labels, key, text, label)
-    measured = materialize(measure(spark, docs, model, key, text), "measured")
-    of = labels.filter(F.col(label).isin(0, 1)).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
-    labelled = measured.filter(texts.train_fold(F.col("key")).isin(*CURVE_FOLDS)).join(of, "key")
-    ends = labelled.agg(F.min("measure"), F.max("measure"), F.avg("label")).first()
-    if ends[0] is None or ends[2] in (0.0, 1.0):
-        return measured.withColumn("score", F.lit(float(ends[2] or 0.0)))
-    width = max(ends[1] - ends[0], 1e-9) / BINS
-    at = F.least(F.floor((F.col("measure") - ends[0]) / width), F.lit(BINS - 1)).alias("bin")
-    bins = labelled.groupBy(at).agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("plain"), F.avg("measure").alias("x")).toPandas()
-    slope, offset = logistic(bins["x"].to_numpy(float), bins["toxic"].to_numpy(float), bins["plain"].to_numpy(float))
-    return measured.withColumn("score", 1 / (1 + F.exp(-(F.col("measure") * slope + offset))))
+    model = fit(spark, docs, labels, key, text, label)
+    return measure(spark, docs, model.slots, key, text).withColumn("score", model.score("measure"))
+
+
+def remove(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, limit: float = 0.5) -> DataFrame:
+    """The documents with a score below the limit, with all their columns."""
+    model = fit(spark, docs, labels, key, text, label)
+    rows = docs.select(texts.whole_row(docs).alias("row"), F.col(text).alias("text"))
+    return measure(spark, rows, model.slots, "row", "text").filter(model.score("measure") < limit).select("key.*")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
