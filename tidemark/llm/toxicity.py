@@ -1,21 +1,22 @@
-"""Toxicity by class-conditional Kneser-Ney models of character 5-grams.
+"""Toxicity by class-conditional Kneser-Ney models of character 4-grams.
 
-Both classes smooth their own counts of a 5-gram towards one shared model, whose counts are the numbers of different
+Both classes smooth their own counts of a 4-gram towards one shared model, whose counts are the numbers of different
 left neighbours (continuation counts) over both classes, down to single characters. So a rare expression that one class
-never saw falls back to what characters do in general, and its inflected forms still share most of their 5-grams.
+never saw falls back to what characters do in general, and its inflected forms still share most of their 4-grams.
 
-A text is compared word by word: the log likelihood of a word under the toxic model minus that under the ordinary one,
-divided by its length. Its measure is that of its most toxic word, so that a long text does not drown a short insult.
-A logistic curve turns it into a score.
+A text is compared word by word: the log likelihood of a word under the toxic model minus that under the ordinary one.
+Its measures are the ratio divided by its length for the whole text and for its most toxic word, the number of words, and
+how many words exceed some levels and by how much, as a long text must not drown a short insult and one chance word is
+none. A logistic curve over them gives the score.
 
-Counts come from every labelled text of folds 1 to 3, the curve from those of fold 4; fold 0 is held out. All counting,
-backing off and smoothing are Spark aggregations and joins over distinct n-grams and grow with the text. What is
-broadcast is a table of 2^21 slots with the log ratio of each 5-gram and of each context: where two share a slot, the
-one that weighs more (ratio times count) has it.
+Counts come from every labelled text of folds 1 to 3; fold 4 gives the curve, from at most ``CURVE_ROWS`` labelled texts,
+those with the least hash of their key; fold 0 is held out. All counting, backing off and smoothing are Spark
+aggregations and joins over distinct n-grams and grow with the text. What is broadcast is a table of 2^21 slots with the
+log ratio of each 4-gram and of each context: where two share a slot, the one that weighs more (ratio times count) has it.
 
-Defined cases: null and empty texts, and others without a word, have measure 0 and the score of that. If the curve's fold
-lacks a class, every score is the share of toxic labels there (0 without labels). Labels other than 0 and 1 are ignored; several
-labels of one document count each; repeated rows are scored each; other columns are ignored; long texts are whole.
+Defined cases: null and empty texts, and others without a word, have measures 0 and the score of that. If the curve's fold
+lacks a class, every score is the share of toxic labels there (0 without labels). Labels other than 0 and 1 are ignored;
+several labels of one document count each; repeated rows are scored each; other columns are ignored; long texts are whole.
 """
 
 from __future__ import annotations
@@ -30,11 +31,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import text as texts
 
-ORDER = 5
+ORDER = 4
 CHAR_BITS = 12
 SLOT_BITS = 21
 DISCOUNT = 0.75
-BINS = 4096  # of the measure, for the logistic curve
+LEVELS = (1.5, 2.5, 3.5)  # of the log ratio of a word
+CURVE_ROWS = 50_000
 COUNT_FOLDS, CURVE_FOLDS = (1, 2, 3), (4,)
 
 
@@ -49,7 +51,7 @@ def char_classes() -> np.ndarray:
 
 
 def _coded(data: np.ndarray, at: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The 5-gram that ends at each character or the end of its word, where words end, and the document of each.
+    """The 4-gram that ends at each character or the end of its word, where words end, and the document of each.
 
     Characters beyond the first 65,536 are letters numbered by their low bits. Before a word stands a 0.
     """
@@ -120,7 +122,7 @@ def _shared(grams: DataFrame) -> DataFrame:
 
 
 def _ratios(grams: DataFrame) -> DataFrame:
-    """(kind, code, ratio, weight): log ratios of 5-grams (kind 0), and of contexts for what neither class saw (kind 1)."""
+    """(kind, code, ratio, weight): log ratios of 4-grams (kind 0), and of contexts for what neither class saw (kind 1)."""
     contexts = grams.groupBy(_head("gram").alias("context")).agg(
         F.sum("toxic").alias("all_t"), F.sum("plain").alias("all_p"),
         F.sum((F.col("toxic") > 0).cast("long")).alias("kinds_t"), F.sum((F.col("plain") > 0).cast("long")).alias("kinds_p"),
@@ -159,7 +161,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -
     """The checks and log ratios of the slots, from the labelled texts of the counting folds."""
     fold = texts.train_fold(F.col(key))
     some = docs.filter(fold.isin(*COUNT_FOLDS)).select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    rows = some.join(_labelled(labels, key, label), "key").select("text", "label")
+    # Texts meet their labels by a sorted join, as few or many as these are.
+    rows = some.join(_labelled(labels, key, label).hint("merge"), "key").select("text", "label")
     counted = rows.mapInArrow(_count, "gram long, toxic long, plain long")
     grams = texts.stored(counted.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "grams")
     checks, ratios = np.zeros(1 << SLOT_BITS, np.uint32), np.zeros(1 << SLOT_BITS, np.float32)
@@ -172,16 +175,17 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -
     return checks, ratios
 
 
-def measure(spark: SparkSession, docs: DataFrame, model: tuple[np.ndarray, np.ndarray], key: str, text: str) -> DataFrame:
-    """(key, measure): the greatest length-normalised log ratio of a word of each text."""
-    shared = spark.sparkContext.broadcast(model)
+def measure(spark: SparkSession, docs: DataFrame, slots: tuple[np.ndarray, np.ndarray], key: str, text: str) -> DataFrame:
+    """(key, measure) of each text: log ratio by length of the text and of its most toxic word, logarithms of the number
+    of words, of those above each level, and of how much they exceed the first level."""
+    shared = spark.sparkContext.broadcast(slots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         checks, ratios = shared.value
         classes = char_classes()
         for batch in batches:
             data, offsets = texts.utf8(batch.column(1))
-            out = np.zeros(batch.num_rows)
+            out = np.zeros((batch.num_rows, 4 + len(LEVELS)))
             for i, j in texts.slices(offsets):
                 grams, ends, doc = _coded(data, offsets[i : j + 1], classes)
                 if not len(grams):
@@ -194,56 +198,64 @@ def measure(spark: SparkSession, docs: DataFrame, model: tuple[np.ndarray, np.nd
                 ratio[new] = np.where(checks[slot] == check, ratios[slot], 0)
                 last = np.flatnonzero(ends)
                 first = np.append(0, last[:-1] + 1)
-                word = np.add.reduceat(ratio, first, dtype=np.float64) / (last + 1 - first)
+                word, length = np.add.reduceat(ratio, first, dtype=np.float64), last + 1 - first
                 of = doc[last]
                 start = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-                out[i + of[start]] = np.maximum.reduceat(word, start)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], ["key", "measure"])
+                total = lambda x: np.add.reduceat(x, start, dtype=np.float64)  # noqa: B023, E731
+                columns = [
+                    total(word) / total(length), np.maximum.reduceat(word / length, start), np.log1p(total(np.ones(len(word)))),
+                    *(np.log1p(total(word > level)) for level in LEVELS), np.log1p(total(np.maximum(0, word - LEVELS[0]))),
+                ]
+                out[i + of[start]] = np.stack(columns, axis=1)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]), pa.array(out.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["key", "measure"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, texts.with_key(docs, key, "measure double"))
+    return rows.mapInArrow(run, texts.with_key(docs, key, "measure array<double>"))
 
 
-def logistic(x: np.ndarray, toxic: np.ndarray, plain: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the logistic curve through binned counts, by Newton's method with a slight ridge."""
-    slope, offset, ridge = 0.0, 0.0, 1e-3
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+    """Weights and, last, the offset of the logistic curve, by Newton's method on standardized columns."""
+    mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
+    rows = np.hstack([(x - mean) / spread, np.ones((len(x), 1))])
+    weights = np.zeros(rows.shape[1])
     for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(slope * x + offset, -40, 40)))
-        n = toxic + plain
-        miss = toxic - n * p
-        w = n * p * (1 - p)
-        gradient = np.array([(miss * x).sum() - ridge * slope, miss.sum() - ridge * offset])
-        hessian = np.array([[(w * x * x).sum() + ridge, (w * x).sum()], [(w * x).sum(), w.sum() + ridge]])
-        step = np.linalg.solve(hessian, gradient)
-        slope, offset = slope + step[0], offset + step[1]
+        p = 1 / (1 + np.exp(-np.clip(rows @ weights, -30, 30)))
+        slope = rows.T @ (y - p) - ridge * weights
+        bend = (rows.T * (p * (1 - p) + 1e-9)) @ rows + ridge * np.eye(len(weights))
+        step = np.linalg.solve(bend, slope)
+        weights += step
         if np.abs(step).max() < 1e-9:
             break
-    return float(slope), float(offset)
+    out = weights[:-1] / spread
+    return np.append(out, weights[-1] - out @ mean)
 
 
 @dataclass
 class Model:
     slots: tuple[np.ndarray, np.ndarray]
-    slope: float
-    offset: float
+    weights: np.ndarray
 
-    def score(self, measure: str) -> Column:
-        return 1 / (1 + F.exp(-(F.col(measure) * self.slope + self.offset)))
+    def score(self) -> Column:
+        at = F.lit(float(self.weights[-1]))
+        for i, w in enumerate(self.weights[:-1]):
+            at = at + F.col("measure")[i] * float(w)
+        return 1 / (1 + F.exp(-at))
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> Model:
-    """The models of both classes and the logistic curve over their measure."""
+    """The models of both classes and the logistic curve over their measures."""
     slots = train(docs, labels, key, text, label)
-    measured = measure(spark, docs.filter(texts.train_fold(F.col(key)).isin(*CURVE_FOLDS)), slots, key, text)
-    labelled = texts.stored(measured.join(_labelled(labels, key, label), "key"), "measured")
-    low, high, share = labelled.agg(F.min("measure"), F.max("measure"), F.avg("label")).first()
-    if share is None or share in (0.0, 1.0):
-        share = min(max(share or 0.0, 1e-6), 1 - 1e-6)
-        return Model(slots, 0.0, float(np.log(share / (1 - share))))
-    width = max(high - low, 1e-9) / BINS
-    at = F.least(F.floor((F.col("measure") - low) / width), F.lit(BINS - 1)).alias("bin")
-    bins = labelled.groupBy(at).agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("plain"), F.avg("measure").alias("x")).toPandas()
-    return Model(slots, *logistic(*(bins[c].to_numpy(float) for c in ("x", "toxic", "plain"))))
+    of = _labelled(labels, key, label).filter(texts.train_fold(F.col("key")).isin(*CURVE_FOLDS)).orderBy(F.xxhash64("key"), "key", "label").limit(CURVE_ROWS)
+    some = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(texts.train_fold(F.col("key")).isin(*CURVE_FOLDS))
+    measured = measure(spark, some, slots, "key", "text")
+    rows = measured.join(of.hint("merge"), "key").select("measure", "label").toPandas()
+    y = rows["label"].to_numpy(float)
+    share = y.mean() if len(y) else 0.0
+    if share in (0.0, 1.0):
+        share = min(max(share, 1e-6), 1 - 1e-6)
+        return Model(slots, np.append(np.zeros(4 + len(LEVELS)), np.log(share / (1 - share))))
+    return Model(slots, logistic(np.stack(rows["measure"].to_numpy()), y))
 
 
 def _labelled(labels: DataFrame, key: str, label: str) -> DataFrame:
@@ -253,19 +265,19 @@ def _labelled(labels: DataFrame, key: str, label: str) -> DataFrame:
 def scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
     """(key, measure, score) for each document."""
     model = fit(spark, docs, labels, key, text, label)
-    return measure(spark, docs, model.slots, key, text).withColumn("score", model.score("measure"))
+    return measure(spark, docs, model.slots, key, text).withColumn("score", model.score())
 
 
 def remove(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, limit: float = 0.5) -> DataFrame:
     """The documents with a score below the limit, with all their columns."""
     model = fit(spark, docs, labels, key, text, label)
     rows = docs.select(texts.whole_row(docs).alias("row"), F.col(text).alias("text"))
-    return measure(spark, rows, model.slots, "row", "text").filter(model.score("measure") < limit).select("key.*")
+    return measure(spark, rows, model.slots, "row", "text").filter(model.score() < limit).select("key.*")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document."""
     found = scores(spark, texts.table(spark, sf_dir, "documents"), texts.table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
     return found.select(
-        F.col("key").alias("doc_id"), texts.held_out(F.col("key")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "measure"
+        F.col("key").alias("doc_id"), texts.held_out(F.col("key")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
