@@ -88,3 +88,40 @@ def test_class_that_is_never_predicted(spark):
     assert confusion == {(0, 0): 0, (0, 1): 1, (1, 0): 0, (1, 1): 1}
     got = {r["class"]: r for r in metrics.report(metrics.confusion(predicted)).collect()}
     assert (got["0"]["precision"], got["0"]["recall"], got["0"]["f1"]) == (0.0, 0.0, 0.0)
+
+
+@pytest.mark.parametrize("hole", [None, float("nan")])
+def test_rows_without_a_measurement_cost_no_others_theirs(spark, hole):
+    """Holes in a pivot (block_rows=8 makes many rows pivots), in plain training rows and in test rows."""
+    rng = random.Random(7)
+    whole = [(i, i % 3, rng.random(), rng.random()) for i in range(60)]
+    torn = [(100 + i, 1, hole, rng.random()) for i in range(20)]
+    test = [(1000 + i, rng.random(), rng.random()) for i in range(15)]
+    test_df = spark.createDataFrame([*test, (2000, hole, 0.5)], "id bigint, x double, y double")
+    train_df = spark.createDataFrame([*whole, *torn], "id bigint, label int, x double, y double")
+    got = {}
+    for r in sorted(neighbors(test_df, train_df, NAMES, 3, block_rows=8).collect(), key=lambda r: (r["id"], r["rank"])):
+        got.setdefault(r["id"], []).append((r["train_id"], r["train_label"]))
+    assert got == _brute(test, whole, 3)
+    none = neighbors(test_df, train_df.where("id >= 100"), NAMES, 3)
+    assert none.count() == 0 and vote(none).count() == 0
+
+
+def test_predictions_keep_every_test_row(spark):
+    rng = random.Random(8)
+    rows = [(i, i % 2, None if i % 10 == 0 else rng.random(), rng.random()) for i in range(100)]
+    df = spark.createDataFrame(rows, "id bigint, label int, x double, y double")
+    found = classify.predict(df, NAMES)
+    assert found.count() == 25
+    assert {r["id"] for r in found.where("pred is null").collect()} == {r["id"] for r in found.where("x is null").collect()}
+    assert tuple(classify.unusable(df, NAMES).first()) == (100, 10)
+    assert sum(r["n"] for r in metrics.confusion(found).collect()) == found.where("x is not null").count()
+
+
+def test_bins_leave_out_what_is_not_there(spark):
+    rows = [(0, 1.0, 5.0), (0, 2.0, None), (0, None, 5.0), (0, 11.0, 5.0), (0, float("nan"), 5.0)]
+    df = spark.createDataFrame(rows, "label int, x double, y double")
+    bins = {(r["feature"], r["bin"]): r["n"] for r in classify.histogram(df, NAMES).collect()}
+    assert bins == {("x", 0): 1, ("x", 1): 1, ("x", 9): 1, ("y", 0): 4}
+    pairs = {(r["x_bin"], r["y_bin"]): r["n"] for r in classify.pair_bins(df, NAMES).collect()}
+    assert pairs == {(0, 0): 1, (4, 0): 1}

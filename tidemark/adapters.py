@@ -100,11 +100,12 @@ def evento(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-FEATURES = ["f1", "f2", "f3", "f4"]
+ENTRIES = 64  # of an embedding
+FEATURES = [f"f{i}" for i in range(1, ENTRIES + 1)]
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four measurements and a class per row, from the first entries of each embedding."""
+    """All entries of each embedding as measurements, and its class."""
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"),
         "label",

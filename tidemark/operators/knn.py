@@ -46,31 +46,26 @@ def neighbors(
 ) -> DataFrame:
     """The k nearest training rows of each test row: ``id, train_id, train_label, d2, rank``.
 
-    Both tables have ``id`` and the feature columns; ``train`` also has ``label``.
+    Both tables have ``id`` and the feature columns; ``train`` also has ``label``. A row with a NULL or NaN
+    feature is at no distance: it is no neighbor and has none.
     """
-    features = list(features)
-    copies = Window.partitionBy(*features).orderBy("id")
+    # One array column from here on; the rows are written first, so that no plan drags all columns along.
+    point = F.array(*[F.col(c).cast("double") for c in features]).alias("point")
+    whole = F.forall("point", lambda v: v.isNotNull() & ~F.isnan(v))
+    test = materialize(test.select("id", point), "knn-test").where(whole)
+    train = materialize(train.select("id", "label", point), "knn-points").where(whole)
     # Of identical training rows only the k smallest ids can ever be neighbors.
-    train = (
-        train.select("id", "label", *features)
-        .withColumn("copy", F.row_number().over(copies))
-        .where(F.col("copy") <= k)
-        .drop("copy")
-    )
+    copies = Window.partitionBy("point").orderBy("id")
+    train = train.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k).drop("copy")
     train = materialize(train, "knn-train")
     rows = train.count()
     wanted = min(max_pivots, max(1, math.ceil(rows / block_rows)))
-    pivots = np.array(
-        [
-            tuple(row)
-            for row in train.orderBy(F.xxhash64("id"), "id").select(*features).limit(wanted).collect()
-        ],
-        dtype=float,
-    ).reshape(-1, len(features))
+    chosen = train.orderBy(F.xxhash64("id"), "id").select("point").limit(wanted).collect()
+    pivots = np.array([row["point"] for row in chosen], dtype=float).reshape(-1, len(features))
 
     cells = materialize(
-        train.withColumn("home", _home_cell(pivots)(*features)).select(
-            "id", "label", *features, "home.cell", "home.distance"
+        train.withColumn("home", _home_cell(pivots)("point")).select(
+            "id", "label", "point", "home.cell", "home.distance"
         ),
         "knn-cells",
     )
@@ -81,7 +76,7 @@ def neighbors(
         .collect()  # at most max_pivots rows
     }
     visits = materialize(
-        test.select("id", *features, F.explode(_cells_in_reach(pivots, reach, k)(*features)).alias("cell")),
+        test.select("id", "point", F.explode(_cells_in_reach(pivots, reach, k)("point")).alias("cell")),
         "knn-visits",
     )
     visitors = {
@@ -107,7 +102,7 @@ def neighbors(
         test_side.groupBy(*key)
         .cogroup(train_side.groupBy(*key))
         .applyInPandas(
-            _nearest_in_block(features, k),
+            _nearest_in_block(k),
             f"id {test_id}, train_id {types['id']}, train_label {types['label']}, d2 double",
         )
     )
@@ -125,18 +120,17 @@ def _per_cell(counts: dict[int, int], cells: int) -> Column:
     return F.lit([counts.get(cell, 0) for cell in range(cells)])[F.col("cell")]
 
 
-def _in_slices(columns: Sequence[pd.Series]):
+def _in_slices(points: pd.Series):
     """A batch's rows as arrays small enough to hold their distances to every pivot."""
-    points = np.column_stack(columns)
     for start in range(0, len(points), CHUNK_ROWS):
-        yield points[start : start + CHUNK_ROWS]
+        yield np.stack(points.iloc[start : start + CHUNK_ROWS])
 
 
 def _home_cell(pivots: np.ndarray):
     @F.pandas_udf("cell int, distance double")
-    def home(*columns: pd.Series) -> pd.DataFrame:
-        found = []
-        for points in _in_slices(columns):
+    def home(column: pd.Series) -> pd.DataFrame:
+        found = [pd.DataFrame({"cell": [], "distance": []})]
+        for points in _in_slices(column):
             d2 = squared_distances(points, pivots)
             found.append(pd.DataFrame({"cell": d2.argmin(axis=1), "distance": np.sqrt(d2.min(axis=1))}))
         return pd.concat(found, ignore_index=True)
@@ -150,9 +144,9 @@ def _cells_in_reach(pivots: np.ndarray, reach: dict[int, tuple], k: int):
         radius[cell] = r
 
     @F.pandas_udf("array<int>")
-    def in_reach(*columns: pd.Series) -> pd.Series:
+    def in_reach(column: pd.Series) -> pd.Series:
         found = []
-        for points in _in_slices(columns):
+        for points in _in_slices(column):
             distance = np.sqrt(squared_distances(points, pivots))
             if len(pivots) < k:
                 bound = np.full(len(distance), np.inf)
@@ -166,15 +160,13 @@ def _cells_in_reach(pivots: np.ndarray, reach: dict[int, tuple], k: int):
     return in_reach
 
 
-def _nearest_in_block(features: list[str], k: int):
+def _nearest_in_block(k: int):
     columns = ["id", "train_id", "train_label", "d2"]
 
     def nearest(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
         if test.empty or train.empty:
             return pd.DataFrame(columns=columns)
-        d2 = squared_distances(
-            test[features].to_numpy(dtype=float), train[features].to_numpy(dtype=float)
-        )
+        d2 = squared_distances(np.stack(test["point"]), np.stack(train["point"]))
         bound = np.partition(d2, min(k, len(train)) - 1, axis=1)[:, min(k, len(train)) - 1]
         row, col = np.nonzero(d2 <= bound[:, None])
         train_id = train["id"].to_numpy()[col]

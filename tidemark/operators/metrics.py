@@ -15,8 +15,11 @@ def accuracy(predicted: DataFrame) -> DataFrame:
 
 
 def confusion(predicted: DataFrame) -> DataFrame:
-    """L8, long form: a count for every (true, predicted) pair of classes, zeros included."""
-    counts = predicted.groupBy("label", "pred").agg(F.count(F.lit(1)).alias("n"))
+    """L8, long form: a count for every (true, predicted) pair of classes, zeros included.
+
+    Rows without a prediction are no part of it, nor of the accuracy.
+    """
+    counts = predicted.where("pred is not null").groupBy("label", "pred").agg(F.count(F.lit(1)).alias("n"))
     classes = counts.agg(
         F.array_union(F.collect_set("label"), F.collect_set("pred")).alias("classes")
     )

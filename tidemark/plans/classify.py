@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,13 +24,25 @@ def named(df: DataFrame, label: str = "label") -> DataFrame:
     return df.withColumn("class_name", code_name(label, CLASS_NAMES, LAST_CLASS))
 
 
+def present(value: Column | str) -> Column:
+    """Whether a measurement is there: neither NULL nor NaN."""
+    value = F.col(value) if isinstance(value, str) else value
+    return value.isNotNull() & ~F.isnan(value)
+
+
+def unusable(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """How many rows lack a measurement, and so have no place among neighbors: one row, ``rows, unusable``."""
+    whole = F.forall(F.array(*features), present)
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~whole).alias("unusable"))
+
+
 def long_form(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.unpivot(["label"], list(features), "feature", "value")
 
 
 def summary(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """L2: count, extremes and quartiles per class and measurement."""
-    long = long_form(df, features)
+    """L2: count, extremes and quartiles per class and measurement, of those that are there."""
+    long = long_form(df, features).where(present("value"))
     quartiles = quantiles(long, ["label", "feature"], "value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
     extremes = long.groupBy("label", "feature").agg(
         F.min("value").alias("least"), F.max("value").alias("most")
@@ -39,58 +50,84 @@ def summary(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return quartiles.join(extremes, ["label", "feature"])
 
 
-def bin_of(value: Column | str, low: float, high: float, bins: int) -> Column:
-    """The 0-based fixed-width bin of a value; the top edge belongs to the last bin."""
-    value = F.col(value) if isinstance(value, str) else value
-    place = F.floor(F.try_divide((value - F.lit(low)) * F.lit(float(bins)), F.lit(high - low)))
-    return F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("int")
+def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
+    """The 0-based fixed-width bin of a value, the top edge in the last bin, all in bin 0 if the edges are equal.
+
+    A missing value, NULL or NaN, has none.
+    """
+    place = F.floor((value - low) * F.lit(float(bins)) / (high - low))
+    inside = F.when(high > low, F.least(place, F.lit(bins - 1))).otherwise(F.lit(0))
+    return F.when(present(value), inside).cast("int")
+
+
+def extent(df: DataFrame, features: Sequence[str]) -> tuple[list, list]:
+    """Least and greatest value of each measurement: one aggregate, one row read back for each."""
+    long = long_form(df, features).where(present("value"))
+    found = long.groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high")).collect()
+    edges = {r["feature"]: (r["low"], r["high"]) for r in found}
+    return tuple([edges.get(c, (0.0, 0.0))[side] for c in features] for side in (0, 1))
 
 
-def extent(df: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """Least and greatest value of each measurement: one aggregate, one row read back."""
-    row = df.agg(*[f(c).alias(f"{n}_{c}") for c in features for n, f in (("lo", F.min), ("hi", F.max))]).first()
-    return {c: (row[f"lo_{c}"], row[f"hi_{c}"]) for c in features}
+def _binned(df: DataFrame, features: Sequence[str], bins: int) -> Column:
+    """The bins of all measurements of a row as an array."""
+    low, high = (F.array(*map(F.lit, side)) for side in extent(df, features))
+    values = F.array(*features)
+    return F.transform(values, lambda v, i: bin_of(v, F.get(low, i), F.get(high, i), bins))
+
+
+def _named(features: Sequence[str], place: str) -> Column:
+    return F.get(F.array(*map(F.lit, features)), F.col(place))
 
 
 def histogram(df: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     """L2: the density behind a violin plot, as fixed-width counts per class and measurement."""
-    edges = extent(df, features)
-    entries = [
-        F.struct(F.lit(c).alias("feature"), bin_of(c, *edges[c], bins).alias("bin"))
-        for c in features
-    ]
     return (
-        df.select("label", F.explode(F.array(*entries)).alias("e"))
-        .groupBy("label", "e.feature", "e.bin")
+        df.select("label", F.posexplode(_binned(df, features, bins)).alias("i", "bin"))
+        .where("bin is not null")
+        .groupBy("label", "i", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
+        .select("label", _named(features, "i").alias("feature"), "bin", "n")
     )
 
 
+def _pairs(width: int, cell) -> Column:
+    """``cell(i, j)`` for all pairs i < j of places."""
+    after = lambda i: F.sequence(i + 1, F.lit(width - 1))
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(width - 2)), lambda i: F.transform(after(i), lambda j: cell(i, j))))
+
+
 def pair_bins(df: DataFrame, features: Sequence[str], bins: int = 5) -> DataFrame:
     """L4: pair-plot counts per class and pair of measurements, binned so that output is bounded."""
-    edges = extent(df, features)
-    binned = df.select("label", *[bin_of(c, *edges[c], bins).alias(c) for c in features])
-    entries = [
-        F.struct(
-            F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(x).alias("x_bin"), F.col(y).alias("y_bin")
-        )
-        for x, y in combinations(features, 2)
-    ]
+    binned = df.select("label", _binned(df, features, bins).alias("b"))
+    cell = lambda i, j: F.struct(
+        i.alias("i"), j.alias("j"), F.get("b", i).alias("x_bin"), F.get("b", j).alias("y_bin")
+    )
     return (
-        binned.select("label", F.explode(F.array(*entries)).alias("e"))
-        .groupBy("label", "e.x", "e.y", "e.x_bin", "e.y_bin")
+        binned.select("label", F.explode(_pairs(len(features), cell)).alias("e"))
+        .select("label", "e.*")
+        .where("x_bin is not null and y_bin is not null")
+        .groupBy("label", "i", "j", "x_bin", "y_bin")
         .agg(F.count(F.lit(1)).alias("n"))
+        .select("label", _named(features, "i").alias("x"), _named(features, "j").alias("y"), "x_bin", "y_bin", "n")
     )
 
 
 def correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """L3: the Pearson matrix in long form, every pair from one aggregation."""
-    pairs = list(combinations(features, 2))
-    one_row = df.agg(*[F.corr(x, y).alias(f"{x}~{y}") for x, y in pairs])
-    cells = [(x, x, F.lit(1.0)) for x in features]
-    cells += [(a, b, F.col(f"{x}~{y}")) for x, y in pairs for a, b in ((x, y), (y, x))]
-    entries = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), c.alias("corr")) for a, b, c in cells]
-    return one_row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    """L3: the Pearson matrix in long form; a pair counts the rows where both values are there.
+
+    Pairs are summed up before the shuffle, which then has a few rows for each pair and task.
+    """
+    values = df.select(F.transform(F.array(*features), lambda v: F.when(present(v), v)).alias("v"))
+    cell = lambda i, j: F.struct(i.alias("i"), j.alias("j"), F.get("v", i).alias("a"), F.get("v", j).alias("b"))
+    pairs = (
+        values.select(F.explode(_pairs(len(features), cell)).alias("e"))
+        .groupBy("e.i", "e.j")
+        .agg(F.corr("e.a", "e.b").alias("corr"))
+        .select(_named(features, "i").alias("x"), _named(features, "j").alias("y"), "corr")
+    )
+    both = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"), "corr"))
+    one = df.select(F.lit(1)).limit(1).select(F.explode(F.array(*map(F.lit, features))).alias("x"))
+    return both.unionByName(one.select("x", F.col("x").alias("y"), F.lit(1.0).alias("corr")))
 
 
 def split(df: DataFrame, seed: int = 0, share: float = TEST_SHARE) -> DataFrame:
@@ -123,9 +160,12 @@ def split(df: DataFrame, seed: int = 0, share: float = TEST_SHARE) -> DataFrame:
 
 
 def predict(df: DataFrame, features: Sequence[str], seed: int = 0, k: int = K) -> DataFrame:
-    """Split, classify the test rows, and set prediction and truth side by side."""
+    """Split, classify the test rows, and set prediction and truth side by side.
+
+    Every test row comes out; one that lacks a measurement has no prediction, see ``unusable``.
+    """
     marked = split(df, seed)
     test = marked.where("test").drop("test")
     train = marked.where("not test").drop("test")
     voted = vote(neighbors(test, train, features, k))
-    return test.join(voted, "id").withColumn("correct", F.col("pred") == F.col("label"))
+    return test.join(voted, "id", "left").withColumn("correct", F.col("pred") == F.col("label"))

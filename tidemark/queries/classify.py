@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import functions as F
 
 from tidemark import adapters
@@ -15,7 +13,8 @@ NAMES = adapters.FEATURES
 BINS, PAIR_BINS = 10, 5
 
 LONG = f"""with {FEATURES}, long as (
-  {' union all '.join(f"select label, '{c}' as feature, {c} as value from features" for c in NAMES)})"""
+  select id, label, cast(substr(feature, 2) as integer) as i, feature, value
+  from (unpivot features on {', '.join(NAMES)} into name feature value value))"""
 
 
 def _bin(value: str, low: str, high: str, bins: int) -> str:
@@ -52,17 +51,15 @@ def feature_histogram(spark, sf_dir):
     return classify.histogram(adapters.features(spark, sf_dir), NAMES, BINS)
 
 
-_EDGES = "select " + ", ".join(f"min({c}) as lo_{c}, max({c}) as hi_{c}" for c in NAMES) + " from features"
+EDGES = "edges as (select i, feature, min(value) as lo, max(value) as hi from long group by i, feature)"
 
 
 @query(
     "pair_bins",
-    f"with {FEATURES}, edges as ({_EDGES}) "
-    + " union all ".join(
-        f"select label, '{x}' as x, '{y}' as y, {_bin(x, 'lo_' + x, 'hi_' + x, PAIR_BINS)} as x_bin, "
-        f"{_bin(y, 'lo_' + y, 'hi_' + y, PAIR_BINS)} as y_bin, count(*) as n from features, edges group by all"
-        for x, y in combinations(NAMES, 2)
-    ),
+    f"""{LONG}, {EDGES}, binned as (
+      select id, label, i, feature, {_bin('value', 'lo', 'hi', PAIR_BINS)} as bin from long join edges using (i, feature))
+    select a.label, a.feature as x, b.feature as y, a.bin as x_bin, b.bin as y_bin, count(*) as n
+    from binned a join binned b on a.id = b.id and a.i < b.i group by all""",
 )
 def pair_bins(spark, sf_dir):
     return classify.pair_bins(adapters.features(spark, sf_dir), NAMES, PAIR_BINS)
@@ -70,14 +67,9 @@ def pair_bins(spark, sf_dir):
 
 @query(
     "feature_corr",
-    f"with {FEATURES} "
-    + " union all ".join(
-        f"select '{x}' as x, '{y}' as y, "
-        + ("max(cast(1 as double))" if x == y else f"round(corr({x}, {y}), 6)")
-        + " as corr from features"
-        for x in NAMES
-        for y in NAMES
-    ),
+    f"""{LONG} select a.feature as x, b.feature as y,
+      case when a.i = b.i then 1.0::double else round(corr(a.value, b.value), 6) end as corr
+    from long a join long b on a.id = b.id group by a.feature, b.feature, a.i, b.i""",
 )
 def feature_corr(spark, sf_dir):
     found = classify.correlations(adapters.features(spark, sf_dir), NAMES)

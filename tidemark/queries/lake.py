@@ -90,8 +90,8 @@ def reconcile_layers(spark, sf_dir):
 
 @query(
     "not_null_counts",
-    """select count(*) as rows, count(vec_id) as id, count(label) as label, count(embedding[1]) as f1,
-      count(embedding[2]) as f2, count(embedding[3]) as f3, count(embedding[4]) as f4 from embeddings""",
+    f"""select count(*) as rows, count(vec_id) as id, count(label) as label,
+      {', '.join(f'count(embedding[{i}]) as f{i}' for i in range(1, adapters.ENTRIES + 1))} from embeddings""",
 )
 def not_null_counts(spark, sf_dir):
     return dedup.not_null_counts(adapters.features(spark, sf_dir))

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.adapters import ENTRIES
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 RUNS: dict[str, Run] = {}
@@ -68,7 +70,7 @@ EVENTO = """evento as (
          concat('usuario ', cast(user_id as varchar), case when event_id % 97 = 0 then ' b' else '' end) as nomeusuario
   from events)"""
 
-FEATURES = """features as (
-  select vec_id as id, label, cast(embedding[1] as double) as f1, cast(embedding[2] as double) as f2,
-         cast(embedding[3] as double) as f3, cast(embedding[4] as double) as f4
+FEATURES = f"""features as (
+  select vec_id as id, label,
+         {', '.join(f'cast(embedding[{i}] as double) as f{i}' for i in range(1, ENTRIES + 1))}
   from embeddings)"""
