@@ -10,10 +10,14 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tidemark.session import get_spark
 
-    session = get_spark("tests", master="local[4]", shuffle_partitions=4)
+    folders = {
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+    }
+    session = get_spark("tests", master="local[4]", shuffle_partitions=4, conf=folders)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
@@ -25,7 +29,5 @@ def sf():
 
 
 @pytest.fixture
-def path(spark):
-    from tidemark.shared import scratch_path
-
-    return scratch_path(spark, "test")
+def path(tmp_path):
+    return str(tmp_path / "table")

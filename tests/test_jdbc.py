@@ -14,4 +14,4 @@ def test_overwrite_keeps_the_table():
 
 
 def test_writer_is_built_without_connecting(spark):
-    assert jdbc_writer(spark.range(1), "t", CONNECTION) is not None
+    assert jdbc_writer(spark.range(1), "t", CONNECTION, partitions=4) is not None

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import maintenance
+from tidemark.shared import materialize
 from tidemark.sources import tables
 from tidemark.sources.layout import Lake, TableName, split_topic, storage_kind
 from tidemark.sources.storage import Storage
@@ -194,3 +195,64 @@ def test_marker_is_plain_json(spark, path):
     tables.publish(spark.range(1), path)
     content = json.loads(Storage(spark, path).read_text(f"{path}/{tables.SCHEMA_FILE}"))
     assert content["partitions"] == []
+
+
+@pytest.mark.parametrize("same_partition_rewritten", [False, True])
+def test_rows_written_while_compaction_runs_stay(spark, path, monkeypatch, same_partition_rewritten):
+    """An upsert lands after compaction has listed its files and before it swaps its own in."""
+    from tidemark.operators.upsert import merge_upsert
+
+    for start in (0, 5):
+        tables.append(spark.range(start, start + 5).select("id", (F.col("id") % 2).cast("string").alias("p")), path, ["p"])
+    swap_in, done = tables.swap_in, []
+
+    def late(df, at, *how, **more):
+        if more.get("same_rows") and not done:
+            done.append(True)
+            first = 0 if same_partition_rewritten else 10
+            fresh = spark.range(first, 20).select("id", (F.col("id") % 2).cast("string").alias("p"))
+            merge_upsert(fresh, path, ["id"])
+        return swap_in(df, at, *how, **more)
+
+    monkeypatch.setattr(tables, "swap_in", late)
+    if same_partition_rewritten:  # what it was to read is gone: it ends and changes nothing
+        with pytest.raises(Exception, match="does not exist|FILE_NOT_EXIST|FAILED_READ_FILE"):
+            maintenance.compact(spark, path)
+    else:
+        maintenance.compact(spark, path)
+    assert sorted(r["id"] for r in tables.read_table(spark, path).collect()) == list(range(20))
+
+
+def test_a_rewrite_leaves_folders_that_others_replaced(spark, path):
+    """Its rows were read from files of which one in p=0 is gone when it swaps."""
+    tables.append(spark.range(6).select("id", (F.col("id") % 2).cast("string").alias("p")).coalesce(1), path, ["p"])
+    listed = sorted(tables.file_of(r["path"], Storage(spark, path).qualified(path)) for r in maintenance.files(spark, path).collect())
+    rows = materialize(tables.read_table(spark, path), "rows")
+    replaced = spark.createDataFrame([(100, "0")], "id long, p string")
+    tables.publish(replaced, path, ["p"], replace="partitions")
+    tables.swap_in(rows, path, ["p"], "files", listed, same_rows=True)
+    assert sorted(r["id"] for r in tables.read_table(spark, path).collect()) == [1, 3, 5, 100]
+
+
+def test_vacuum_counts_from_the_moment_of_retirement(spark, path, monkeypatch):
+    """A publish that began five hours ago retires its data now; what it still writes is not abandoned."""
+    import time
+
+    now = time.time
+    tables.publish(spark.range(3), path)
+    monkeypatch.setattr(tables.time, "time", lambda: now() - 5 * 3600)
+    complete, begun = tables.complete, []
+
+    def slow(spark_, at):
+        if begun:
+            monkeypatch.setattr(tables.time, "time", now)
+        begun.append(True)
+        return complete(spark_, at)
+
+    monkeypatch.setattr(tables, "complete", slow)
+    tables.publish(spark.range(4), path)
+    assert maintenance.vacuum(spark, path, 4, now=now()) == 0
+    spark.range(2).write.parquet(f"{path}/{tables.STAGING}/{int((now() - 5 * 3600) * 1000)}-running")
+    assert maintenance.vacuum(spark, path, 4, now=now()) == 0
+    assert maintenance.vacuum(spark, path, 4, now=now() + 5 * 3600) == 2
+    assert tables.read_table(spark, path).count() == 4

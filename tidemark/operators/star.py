@@ -10,12 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.shared import materialize_by
 
 
-def dimension_pairs(df: DataFrame, dims: dict[str, str]) -> DataFrame:
-    """A7 for all dimensions in one scan: distinct ``(dim, id, name)``.
-
-    ``dims`` maps an id column to its name column. The rows are reduced before the shuffle by hash
-    aggregation over the whole triple.
-    """
+def dimension_rows(df: DataFrame, dims: dict[str, str]) -> DataFrame:
+    """``(dim, id, name)`` of every row and dimension; ``dims`` maps an id column to its name column."""
     pairs = F.array(
         *[
             F.struct(
@@ -26,7 +22,12 @@ def dimension_pairs(df: DataFrame, dims: dict[str, str]) -> DataFrame:
             for id_col, name_col in dims.items()
         ]
     )
-    return df.select(F.explode(pairs).alias("p")).select("p.*").distinct()
+    return df.select(F.explode(pairs).alias("p")).select("p.*")
+
+
+def dimension_pairs(df: DataFrame, dims: dict[str, str]) -> DataFrame:
+    """A7 for all dimensions in one scan: distinct ``(dim, id, name)``, reduced before the shuffle."""
+    return dimension_rows(df, dims).distinct()
 
 
 def one_name_per_id(pairs: DataFrame) -> DataFrame:
@@ -35,15 +36,17 @@ def one_name_per_id(pairs: DataFrame) -> DataFrame:
 
 
 def star_join(
-    fact: DataFrame, pairs: DataFrame, dims: dict[str, str], dedupe: bool = True
+    fact: DataFrame, rows: DataFrame, dims: dict[str, str], dedupe: bool = True
 ) -> DataFrame:
     """Inner-join a pre-aggregated fact to each dimension by id; NULL ids drop out.
 
+    ``rows`` are ``dimension_rows``; one shuffle makes them names by id.
+
     The dimensions are written once, a folder each, so that the planner sees their sizes and
     broadcasts only those under its threshold; a larger one is shuffled, and adaptive execution
     splits its hot ids. With ``dedupe`` off, an id with two names doubles its fact rows.
     """
-    named = materialize_by(one_name_per_id(pairs) if dedupe else pairs, "dims", "dim")
+    named = materialize_by(one_name_per_id(rows) if dedupe else rows.distinct(), "dims", "dim")
     joined = fact
     for id_col, name_col in dims.items():
         if id_col not in named:  # no event at all

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalar import minute_stamp
-from tidemark.operators.star import count_by, dimension_pairs, star_join
+from tidemark.operators.star import count_by, dimension_rows, star_join
 
 # Columns of the event tables.
 DAY = ["ano", "mes", "dia"]
@@ -50,8 +50,7 @@ def statistics(events: DataFrame) -> DataFrame:
 def mart(events: DataFrame, dedupe: bool = True) -> DataFrame:
     """The statistics with every id's name beside it."""
     names = {id_col: "nomeusuario" if name == "usuario" else name for id_col, name in IDS.items()}
-    pairs = dimension_pairs(events, names)
-    return star_join(statistics(events), pairs, IDS, dedupe).select(*MART)
+    return star_join(statistics(events), dimension_rows(events, names), IDS, dedupe).select(*MART)
 
 
 def export_rows(gold: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:

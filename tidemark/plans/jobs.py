@@ -20,6 +20,7 @@ from tidemark.streaming.silver import bars_to_silver
 
 # Table names of the lakehouse and of the marts.
 STOCK_DB = "StockData"
+MART_CONNECTIONS = 32  # what the mart database bears at once
 MARTS = {
     "invoices": "invoicesbycountry",
     "daily": "stocks_daily",
@@ -42,7 +43,7 @@ def retail_job(
     gold_path = lake.path("gold", "invoicesbycountry")
     tables.publish(retail.by_country(silver), gold_path, sort_cols=["country", "InvoiceDate", "type"])
     if connection:
-        publish_mart(tables.read_table(spark, gold_path), MARTS["invoices"], connection)
+        publish_mart(tables.read_table(spark, gold_path), MARTS["invoices"], connection, partitions=MART_CONNECTIONS)
 
 
 def stocks_job(
@@ -73,8 +74,8 @@ def stocks_job(
     silver = tables.read_table(spark, silver_path)
     tables.publish(stocks.gold_daily(silver), gold_path, ["ticker", "day"])
     if connection:
-        publish_mart(tables.read_table(spark, gold_path), MARTS["daily"], connection)
-        publish_mart(stocks.intraday_mart(silver), MARTS["intraday"], connection)
+        publish_mart(tables.read_table(spark, gold_path), MARTS["daily"], connection, partitions=MART_CONNECTIONS)
+        publish_mart(stocks.intraday_mart(silver), MARTS["intraday"], connection, partitions=MART_CONNECTIONS)
 
 
 def intraday_job(spark: SparkSession, lake: Lake, messages: DataFrame, encoding: str = "json") -> None:
@@ -110,20 +111,31 @@ def events_job(
     start: dt.date | None = None,
     end: dt.date | None = None,
 ) -> None:
-    """Silver audit events to the gold mart, days replaced whole, and the days' rows exported."""
+    """Silver audit events to the gold mart, days replaced whole, and the days' rows exported.
+
+    The export appends, so it needs its range of days: without one, each run would add all rows again.
+    """
+    if connection and not (start and end):
+        raise ValueError("the export needs start and end")
     silver = tables.read_table(spark, lake.path("silver", "audit"))
     gold_path = lake.path("gold", "audit")
     tables.publish(events.mart(silver), gold_path, events.DAY, replace="partitions")
     if connection:
         rows = events.export_rows(tables.read_table(spark, gold_path), start, end)
-        publish_mart(rows, MARTS["events"], connection, mode="append")
+        publish_mart(rows, MARTS["events"], connection, mode="append", partitions=MART_CONNECTIONS)
 
 
 def maintenance_job(spark: SparkSession, lake: Lake, retention_hours: float = 4) -> list[dict]:
-    """Compact and vacuum every table of the lake that no stream is writing; report per table."""
+    """Compact and vacuum every table of the lake; report per table.
+
+    A table that a stream appends to belongs to that stream's file log: it is reported as skipped, with
+    its number of files.
+    """
     report = []
     for row in maintenance.discover(spark, lake).collect():
         if tables.stream_written(spark, row["path"]):
+            files = maintenance.files(spark, row["path"]).count()
+            report.append({"tier": row["tier"], "table": row["table"], "skipped": "written by a stream", "files_before": files})
             continue
         result = maintenance.compact(spark, row["path"])
         result["removed"] = maintenance.vacuum(spark, row["path"], retention_hours)

@@ -59,7 +59,8 @@ def compact(
 
     Rows go to ``ceil(bytes / target)`` files by a hash of their place in the old files, so that
     the split repeats when a task is retried and does not depend on the data's own skew. Partitions
-    that are already compact are not read.
+    that are already compact are not read. Only the files that were read are retired: what others add
+    meanwhile stays, and a partition where one of them was replaced meanwhile is left as it is.
     """
     tables.complete(spark, path)
     parts = tables.partition_cols_of(spark, path)
@@ -73,19 +74,20 @@ def compact(
             .collect()  # one row per partition to rewrite
         )
         result = {"partitions": len(crowded), "files_before": before.count()}
-    for start in range(0, len(crowded), folders_per_run):
-        run = crowded[start : start + folders_per_run]
-        _rewrite(spark, path, schema, parts, run)
+        for start in range(0, len(crowded), folders_per_run):
+            run = crowded[start : start + folders_per_run]
+            _rewrite(spark, path, schema, parts, run, before)
     result["files_after"] = files(spark, path).count()
     return result
 
 
-def _rewrite(spark, path: str, schema, parts: Sequence[str], run: Sequence) -> None:
+def _rewrite(spark, path: str, schema, parts: Sequence[str], run: Sequence, listed: DataFrame) -> None:
     reader = spark.read.option("basePath", path)
     reader = reader.schema(schema) if schema else reader
     root = Storage(spark, path).qualified(path)
-    folders = [tables.file_of(r["folder"], root) for r in run]
-    rows = reader.parquet(*[f"{path}/{f}" if f else path for f in folders])
+    crowded = F.col("folder").isin([r["folder"] for r in run])
+    old = [tables.file_of(r["path"], root) for r in listed.where(crowded).select("path").collect()]
+    rows = reader.parquet(*[f"{path}/{f}" for f in old])
     if schema:
         rows = rows.select(*schema.names, "_metadata")
     names = [c for c in rows.columns if c != "_metadata"]
@@ -106,7 +108,7 @@ def _rewrite(spark, path: str, schema, parts: Sequence[str], run: Sequence) -> N
     )
     if parts:
         spread = spread.sortWithinPartitions(*parts)
-    tables.swap_in(spread, path, parts, "partitions" if parts else "table")
+    tables.swap_in(spread, path, parts, "files", old, same_rows=True)
 
 
 def vacuum(
@@ -116,7 +118,8 @@ def vacuum(
     force: bool = False,
     now: float | None = None,
 ) -> int:
-    """M3: delete replaced data and abandoned writes older than the retention; returns how many.
+    """M3: delete data replaced longer ago than the retention, and writes that were cut short and whose
+    newest file is older than that; returns how many.
 
     Live data is never looked at. Retentions under an hour need ``force``, since a running reader
     may still hold the old files.
@@ -129,7 +132,10 @@ def vacuum(
     removed = 0
     for area in (tables.RETIRED, tables.STAGING):
         for name in storage.folders(f"{path}/{area}"):
-            if int(name.split("-")[0]) <= limit:
+            since = int(name.split("-")[0])
+            if area == tables.STAGING:
+                since = max(since, storage.newest(f"{path}/{area}/{name}"))
+            if since <= limit:
                 storage.delete(f"{path}/{area}/{name}")
                 removed += 1
     return removed

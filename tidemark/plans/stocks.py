@@ -111,11 +111,16 @@ def gold_daily(silver_bars: DataFrame) -> DataFrame:
 
 
 def intraday_mart(silver_bars: DataFrame) -> DataFrame:
-    """Silver shifted to local time, each ticker's newest bar first. ``day`` stays as it was
-    before the shift."""
-    return silver_bars.withColumn(
-        "timestamp", shift_hours(F.col("timestamp"), MART_SHIFT_HOURS)
-    ).orderBy("ticker", F.col("timestamp").desc())
+    """Silver shifted to local time; ``day`` stays as it was before the shift.
+
+    In no order, as a database table keeps none: see ``newest_first`` for reading it.
+    """
+    return silver_bars.withColumn("timestamp", shift_hours(F.col("timestamp"), MART_SHIFT_HOURS))
+
+
+def newest_first(mart: DataFrame) -> DataFrame:
+    """O2: by ticker, its newest bar first."""
+    return mart.orderBy("ticker", F.col("timestamp").desc())
 
 
 def gold_intraday(silver_bars: DataFrame, now: Column | None = None) -> DataFrame:

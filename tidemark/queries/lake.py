@@ -13,7 +13,7 @@ from tidemark.operators import dedup
 from tidemark.operators.upsert import merge_upsert
 from tidemark.plans import maintenance, stocks
 from tidemark.queries.registry import BARS, EVENTO, query
-from tidemark.shared import scratch_path
+from tidemark.shared import materialize, scratch_path
 from tidemark.sources import tables, topics
 from tidemark.sources.layout import Lake
 from tidemark.streaming import bronze as bronze_streams
@@ -319,11 +319,17 @@ def _in_pieces(spark, sf_dir) -> str:
     return path
 
 
-@query("compact_content", f"with {BARS} select * from bars")
+@query(
+    "compact_content",
+    f"""with {BARS} select *, true as shrunk from bars""",
+)
 def compact_content(spark, sf_dir):
+    """M2: the rows, and whether each partition now has the one file that its size calls for."""
     path = _in_pieces(spark, sf_dir)
     maintenance.compact(spark, path)
-    return tables.read_table(spark, path).select(*adapters.bars(spark, sf_dir).columns)
+    rows = tables.read_table(spark, path).select(*adapters.bars(spark, sf_dir).columns)
+    report = maintenance.storage_report(spark.read.parquet(path), ["ticker"]).select("ticker", (F.col("files") == 1).alias("shrunk"))
+    return rows.join(report, "ticker")
 
 
 @query("vacuum_content", f"with {BARS} select * from bars")
@@ -334,13 +340,20 @@ def vacuum_content(spark, sf_dir):
     return tables.read_table(spark, path).select(*adapters.bars(spark, sf_dir).columns)
 
 
-@query("storage_rows", f"with {BARS} select ticker, count(*) as rows from bars group by 1")
+@query(
+    "storage_rows",
+    f"with {BARS} select ticker, count(*) as rows, true as has_files, true as has_bytes from bars group by 1",
+)
 def storage_rows(spark, sf_dir):
-    """M8: the rows each partition's files hold; bytes and file counts depend on the writer."""
+    """M8: what each partition's files hold. How many they are and their bytes depend on the writer,
+    so they are held against the listing of the folder."""
     path = _in_pieces(spark, sf_dir)
     schema = tables.schema_of(spark, path)
-    return maintenance.storage_report(spark.read.schema(schema).parquet(path), ["ticker"]).select(
-        "ticker", "rows"
+    report = maintenance.storage_report(spark.read.schema(schema).parquet(path), ["ticker"])
+    listed = maintenance.files(spark, path).groupBy(F.regexp_extract("folder", "ticker=(.*)$", 1).alias("ticker"))
+    listed = listed.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("length"))
+    return report.join(listed, "ticker").select(
+        "ticker", "rows", (F.col("files") == F.col("n")).alias("has_files"), (F.col("bytes") == F.col("length")).alias("has_bytes")
     )
 
 
@@ -369,4 +382,6 @@ def catalog_counts(spark, sf_dir):
     tables.publish(adapters.bars(spark, sf_dir), f"{path}/bars", ["ticker"])
     maintenance.register(spark, database, "bars", f"{path}/bars", location=f"{path}/db")
     maintenance.register(spark, database, "events", f"{sf_dir}/events.parquet")
-    return maintenance.count_rows(spark, database, ["bars", "events"])
+    counted = materialize(maintenance.count_rows(spark, database, ["bars", "events"]), "counts")
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    return counted

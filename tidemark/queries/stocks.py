@@ -60,7 +60,7 @@ def silver_osc_fillna(spark, sf_dir):
     order by ticker, "timestamp" desc""",
 )
 def gold_intraday_mart(spark, sf_dir):
-    return stocks.intraday_mart(stocks.silver(adapters.bars(spark, sf_dir)))
+    return stocks.newest_first(stocks.intraday_mart(stocks.silver(adapters.bars(spark, sf_dir))))
 
 
 @query(

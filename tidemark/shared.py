@@ -7,7 +7,6 @@ planner its true size, so that a later join broadcasts it only when that size is
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -16,20 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.sources.storage import Storage
 
-_local_dirs: dict[str, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can see, as the cluster names it in ``spark.checkpoint.dir``."""
+    """The folder every executor can see, as the cluster names it in ``spark.checkpoint.dir``.
+
+    A local session without one uses its warehouse folder.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
-    return _local_dirs[context.applicationId]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -23,10 +23,11 @@ def jdbc_writer(
     table: str,
     connection: Mapping[str, str],
     mode: str = "overwrite",
-    partitions: int = 8,
+    *,
+    partitions: int,
     batch: int = 10_000,
 ) -> DataFrameWriter:
-    """A writer of ``df`` to a mart; ``numPartitions`` bounds the open connections."""
+    """A writer of ``df`` to a mart; ``partitions`` is how many connections the database bears."""
     options = write_options(table, connection, mode, partitions, batch)
     return df.write.format("jdbc").options(**options).mode(mode)
 
@@ -41,7 +42,7 @@ def read_mart(
     connection: Mapping[str, str],
     split_on: str | None = None,
     bounds: tuple | None = None,
-    partitions: int = 8,
+    partitions: int = 1,
 ) -> DataFrame:
     """A mart read back, in parallel ranges of ``split_on`` when given."""
     reader = spark.read.format("jdbc").options(**connection, dbtable=table)

@@ -32,6 +32,13 @@ class Storage:
             s.getPath().getName() for s in self._fs.listStatus(self._path(path)) if s.isDirectory()
         )
 
+    def newest(self, path: str) -> int:
+        """When the newest file below ``path`` was written, in ms; 0 if there is none."""
+        found, last = self._fs.listFiles(self._path(path), True), 0
+        while found.hasNext():
+            last = max(last, found.next().getModificationTime())
+        return last
+
     def move(self, source: str, target: str) -> None:
         self._fs.mkdirs(self._path(target).getParent())
         if not self._fs.rename(self._path(source), self._path(target)):

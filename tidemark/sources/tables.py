@@ -22,7 +22,7 @@ from tidemark.sources.layout import Lake, TableName
 from tidemark.sources.storage import Storage
 
 SCHEMA_FILE = "_schema.json"
-STAGING, RETIRED, READY, CLEARED = "_staging", "_retired", "_ready.json", "_cleared"
+STAGING, RETIRED, READY, CLEARED, PLACED = "_staging", "_retired", "_ready.json", "_cleared", "_placed.json"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -164,9 +164,18 @@ def publish(
 
 
 def swap_in(
-    df: DataFrame, path: str, partition_cols: Sequence[str], replace: str, retire: Iterable[str] = ()
+    df: DataFrame,
+    path: str,
+    partition_cols: Sequence[str],
+    replace: str,
+    retire: Iterable[str] = (),
+    same_rows: bool = False,
 ) -> None:
-    """Write ``df`` as it is partitioned into staging, then swap it in."""
+    """Write ``df`` as it is partitioned into staging, then swap it in.
+
+    ``same_rows`` says that the files in ``retire`` are rewritten without change: where another
+    writer has replaced one of them meanwhile, its folder is left as that writer made it.
+    """
     spark = df.sparkSession
     storage = Storage(spark, path)
     if stream_written(spark, path):
@@ -179,6 +188,7 @@ def swap_in(
         "replace": replace,
         "depth": len(partition_cols),
         "retire": sorted(retire),
+        "same_rows": same_rows,
         "schema": df.schema.jsonValue(),
         "partitions": list(partition_cols),
     }
@@ -200,7 +210,8 @@ def complete(spark: SparkSession, path: str) -> int:
 
 
 def _swap(spark, storage: Storage, path: str, name: str) -> None:
-    staged, retired = f"{path}/{STAGING}/{name}", f"{path}/{RETIRED}/{name}"
+    # Retired data is as old as this moment, however long the write took.
+    staged, retired = f"{path}/{STAGING}/{name}", f"{path}/{RETIRED}/{int(time.time() * 1000)}-{name}"
     order = json.loads(storage.read_text(f"{staged}/{READY}"))
     visible = lambda folder: [n for n in storage.children(folder) if n[0] not in "_."]
     if order["replace"] == "files":
@@ -208,6 +219,15 @@ def _swap(spark, storage: Storage, path: str, name: str) -> None:
         below = [(f"{f}/" if f else "", f"{staged}/{f}" if f else staged) for f in folders]
         entries = [prefix + n for prefix, folder in below for n in visible(folder)]
         retire = order["retire"]
+        if order.get("same_rows") and not storage.exists(f"{staged}/{CLEARED}"):
+            folder = lambda entry: entry.rpartition("/")[0]
+            gone = {folder(e) for e in retire if not storage.exists(f"{path}/{e}")}
+            entries = [e for e in entries if folder(e) not in gone]
+            retire = [e for e in retire if folder(e) not in gone]
+            storage.write_text(f"{staged}/{PLACED}", json.dumps(entries))
+        elif storage.exists(f"{staged}/{PLACED}"):
+            entries = json.loads(storage.read_text(f"{staged}/{PLACED}"))
+            entries = [e for e in entries if storage.exists(f"{staged}/{e}")]
     elif order["replace"] == "table" or not order["depth"]:
         entries = visible(staged)
         retire = visible(path)

@@ -19,10 +19,11 @@ def stream_topic(
     path: str | None = None,
     first_run: bool = True,
     max_files: int | None = None,
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
     """S3: a topic as a stream, from the start when the target is missing, else only what is new.
 
-    Where a checkpoint exists it decides, not ``first_run``. A topic directory always starts at
+    Offsets that the broker no longer has are an error unless ``fail_on_data_loss`` is off. Where a checkpoint exists it decides, not ``first_run``. A topic directory always starts at
     its first file.
     """
     if bootstrap:
@@ -31,7 +32,7 @@ def stream_topic(
             .option("kafka.bootstrap.servers", bootstrap)
             .option("subscribe", topic)
             .option("startingOffsets", "earliest" if first_run else "latest")
-            .option("failOnDataLoss", "false")
+            .option("failOnDataLoss", str(fail_on_data_loss).lower())
             .load()
         )
     reader = spark.readStream.schema(TOPIC_SCHEMA)
