@@ -1,13 +1,18 @@
 """Near duplicates by Order MinHash, verified by banded alignment.
 
-Texts are words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` in lower case. Two are near duplicates if their edit similarity in
-words, 1 - distance / words of the longer one, is 0.8 or more. Candidates share one of ``SKETCHES`` sketches; each hashes
-the ``PICKED`` least occurrence-labelled shingles of five words under its own order, in the order of the text.
+Texts are words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` in lower case. Two are near duplicates if the Jaccard similarity of
+their sets of five-word shingles is 0.8 or more, and so is their edit similarity in words, 1 - distance / words of the
+longer one: the same passages in another order are none. Candidates share one of ``SKETCHES`` sketches; each hashes the
+``PICKED`` least occurrence-labelled shingles of five words under its own order, in the order of the text. A pair at 0.8
+shares a sketch with a probability above 0.9999.
 
 Copies (equal words) are one node with the class of all its rows. In each bucket of nodes with one sketch the least
-nodes, the hubs, are aligned with all others that are not of their component yet, then the next ones with those that
-are left, until every pair of the bucket is either in one component or was compared. So a bucket of near copies of one
-text costs one alignment for each, no candidate is dropped, and no bucket is gathered in one task.
+nodes, the hubs, meet all others that are not of their component yet, then the next hubs, eight times as many each round,
+those that are left, until every pair of the bucket is either in one component or was compared. So a bucket of near copies
+of one text costs about one alignment for each, no candidate is dropped, no bucket is gathered in one task, and the rounds
+are as many as the logarithm of the largest bucket. Where nodes meet, a bitmap of their shingles (each shingle flips one
+bit, so bitmaps differ in no more bits than the sets do in shingles) leaves out pairs that are too different, before
+their words are read.
 
 Defined cases: null and empty texts, and all others without a word, are copies of each other; texts of fewer than five
 words have no shingle and match copies only. Repeated rows get one class. The class id is the least key of the class,
@@ -26,27 +31,28 @@ from pyspark.sql.window import Window
 
 from tidemark.llm import text as texts
 from tidemark.llm.components import components
-from tidemark.shared import materialize
 
 SHINGLE = 5
-PICKED = 2
+PICKED = 3
 SKETCHES = 16
 SIMILARITY = 0.8
-HUBS = (1, 8, 64)  # of each bucket in the first, the second and every later round
+BITMAP_LONGS = 16
+HUBS, MORE_HUBS = 1, 8  # of each bucket in the first round, and how many times as many in each later one
 ALIGNED_CELLS = 1 << 20
 
 
-def sketch(words: texts.Words, shingle: int = SHINGLE, picked: int = PICKED, sketches: int = SKETCHES) -> np.ndarray:
-    """documents x sketches: each hashes the ``picked`` least occurrence-labelled shingles in their text order.
+def sketch(words: texts.Words, shingle: int = SHINGLE, picked: int = PICKED, sketches: int = SKETCHES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each document its sketches, the number of its different shingles, and their bitmap.
 
-    A document of fewer shingles than ``picked`` takes those it has; one without any gets 0.
+    A sketch hashes the ``picked`` least occurrence-labelled shingles in their text order. A document of fewer shingles
+    takes those it has; one without any gets 0.
     """
     n = len(words.docs) - 1
-    out = np.zeros((n, sketches), np.uint64)
+    out, bitmap = np.zeros((n, sketches), np.uint64), np.zeros((n, BITMAP_LONGS), np.uint64)
     grams, whole = words.grams(shingle)
     place = np.flatnonzero(whole)
     if not len(place):
-        return out
+        return out, np.zeros(n, np.int64), bitmap
     grams, doc = grams[place], words.doc_of()[place]
     # The how-manieth such shingle of its document each one is.
     order = np.lexsort([grams, doc])
@@ -55,6 +61,9 @@ def sketch(words: texts.Words, shingle: int = SHINGLE, picked: int = PICKED, ske
     at = np.arange(len(order))
     nth = np.empty(len(order), np.uint64)
     nth[order] = at - np.maximum.accumulate(np.where(same, 0, at))
+    once = order[~same]
+    bit = grams[once] & np.uint64(64 * BITMAP_LONGS - 1)
+    np.bitwise_xor.at(bitmap, (doc[once], (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
     labelled = grams + nth * np.uint64(texts.WORD_BASE)
     first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
     rows, size = doc[first], np.diff(np.append(first, len(doc)))
@@ -76,7 +85,7 @@ def sketch(words: texts.Words, shingle: int = SHINGLE, picked: int = PICKED, ske
         for p in range(picked):
             value = texts.mix(value * np.uint64(texts.WORD_BASE) + padded[places[p]])
         out[rows, k] = value
-    return out
+    return out, np.bincount(doc[once], minlength=n), bitmap
 
 
 def allowed(longer: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
@@ -133,8 +142,8 @@ def _shared_words(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.minimum(from_b, np.diff(np.append(first, len(both))) - from_b).sum())
 
 
-def similar(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMILARITY) -> np.ndarray:
-    """Whether each pair is similar enough: by words in common, then by alignment in a band that widens."""
+def aligned(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMILARITY) -> np.ndarray:
+    """Whether the edit similarity of each pair is enough: by words in common, then by alignment in a band that widens."""
     out = np.zeros(len(pairs), bool)
     todo = []
     for r, (a, b) in enumerate(pairs):
@@ -162,14 +171,27 @@ def similar(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMI
     return out
 
 
-def _digests(words: texts.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of all the words of each document."""
-    start, end = words.docs[:-1], words.docs[1:]
-    return texts.span_hashes(words.hashes, start, end, texts.WORD_BASE), texts.span_hashes(words.hashes, start, end, texts.BYTE_BASE)
+def _shingles(words: np.ndarray) -> np.ndarray:
+    """The set of hashes of a text's shingles."""
+    starts = np.arange(max(0, len(words) - SHINGLE + 1))
+    return np.unique(texts.span_hashes(words.astype(np.uint64), starts, starts + SHINGLE, texts.WORD_BASE))
+
+
+def similar(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMILARITY) -> np.ndarray:
+    """Whether each pair is similar enough by its shingles and by alignment."""
+    out = np.zeros(len(pairs), bool)
+    for r, (a, b) in enumerate(pairs):
+        x, y = _shingles(a), _shingles(b)
+        common = len(np.intersect1d(x, y, assume_unique=True))
+        out[r] = common > 0 and common >= similarity * (len(x) + len(y) - common) - 1e-9
+    chosen = np.flatnonzero(out)
+    out[chosen] = aligned([pairs[r] for r in chosen], similarity)
+    return out
 
 
-def _signed(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64)
+def _nodes(words: texts.Words) -> pa.Array:
+    """A hash of all the words of each document."""
+    return pa.array(texts.span_hashes(words.hashes, words.docs[:-1], words.docs[1:], texts.WORD_BASE).view(np.int64))
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,16 +201,10 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in texts.slices(offsets):
             at = offsets[i : j + 1]
             words = texts.Words(data[at[0] : at[-1]], at - at[0], kinds, values)
-            sketches = sketch(words)
-            ends = np.arange(j - i + 1, dtype=np.int32) * SKETCHES
-            node, other = _digests(words)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(i, j - i), pa.array(_signed(node)), pa.array(_signed(other)), pa.array(np.diff(words.docs).astype(np.int32)),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(_signed(sketches.ravel()))),
-                ],
-                ["key", "node", "other", "n", "sketches"],
-            )
+            sketches, size, bitmap = sketch(words)
+            lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel().view(np.int64)))
+            columns = [batch.column(0).slice(i, j - i), _nodes(words), pa.array(size.astype(np.int32)), lists(sketches), lists(bitmap)]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "node", "size", "sketches", "bitmap"])
 
 
 def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +215,7 @@ def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in texts.slices(offsets):
             at = offsets[i : j + 1]
             words = texts.Words(data[at[0] : at[-1]], at - at[0], kinds, values)
-            node = pa.array(_signed(_digests(words)[0]))
+            node = _nodes(words)
             numbers = pa.array((words.hashes >> np.uint64(32)).astype(np.uint32).view(np.int32))
             lists = pa.ListArray.from_arrays(pa.array(words.docs.astype(np.int32)), numbers)
             own = pa.array(np.asarray(node) == np.asarray(batch.column(0).slice(i, j - i)))
@@ -225,37 +241,36 @@ def links(pairs: DataFrame, words: DataFrame) -> DataFrame:
     return both.mapInArrow(_aligned, "a long, b long")
 
 
-def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, class_id) for each row."""
+def node_classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(key, node) of each row, and (node, class_id, kept) of each node; ``kept`` is the one node of its class that stays."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
-    sketched = materialize(
-        rows.mapInArrow(_sketched, f"key {kind}, node long, other long, n int, sketches array<long>"), "sketches"
-    )
-    nodes = sketched.groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("sketches").alias("sketches"))
-    nodes = materialize(nodes, "nodes")
-    each = nodes.filter(F.col("n") >= SHINGLE).select("node", "n", F.posexplode("sketches").alias("k", "sketch"))
-    each = each.select(F.xxhash64("k", "sketch").alias("bucket"), "node", "n")
-    shared = each.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1").select("bucket")
-    members = materialize(each.join(shared, "bucket").withColumn("part", F.col("node")), "members")
+    schema = texts.with_key(rows, "key", "node long, size int, sketches array<long>, bitmap array<long>")
+    sketched = texts.stored(rows.mapInArrow(_sketched, schema), "sketches")
+    firsts = [F.first(c).alias(c) for c in ("size", "sketches", "bitmap")]
+    nodes = texts.stored(sketched.groupBy("node").agg(F.min("key").alias("key"), *firsts), "nodes")
+    each = nodes.filter(F.col("size") > 0).select("node", "size", "bitmap", F.posexplode("sketches").alias("k", "sketch"))
+    each = each.select(F.xxhash64("k", "sketch").alias("bucket"), "node", "size", "bitmap")
+    shared = each.groupBy("bucket").agg(F.count("*").alias("nodes")).filter("nodes > 1").select("bucket")
+    members = texts.stored(each.join(shared, "bucket").withColumn("part", F.col("node")), "members")
 
     involved = members.select("node").distinct().join(nodes.select("node", F.col("key").alias("of")), "node")
     texts_of = rows.join(involved, rows["key"].eqNullSafe(involved["of"])).select("node", "text")
-    words = materialize(texts_of.mapInArrow(_worded, "node long, words array<int>").dropDuplicates(["node"]), "words")
+    words = texts.stored(texts_of.mapInArrow(_worded, "node long, words array<int>").dropDuplicates(["node"]), "words")
 
-    parts, round_ = None, 0
+    parts, hubs_of = None, HUBS
+    differing = sum(F.bit_count(F.get("bitmap", i).bitwiseXOR(F.get("bitmap_a", i))) for i in range(BITMAP_LONGS))
     while not members.isEmpty():
-        hubs_of = HUBS[min(round_, len(HUBS) - 1)]
         ranked = members.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("node")))
         hubs = ranked.filter(F.col("rank") <= hubs_of)
-        hub = hubs.select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"))
+        hub = hubs.select("bucket", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("bitmap").alias("bitmap_a"), F.col("part").alias("part_a"))
         pairs = (
             members.join(hub, "bucket")
-            .filter("node > a and part != part_a and least(n, n_a) >= greatest(n, n_a) - floor(greatest(n, n_a) * (1 - 0.8D) + 1e-9)")
+            .filter((F.col("node") > F.col("a")) & (F.col("part") != F.col("part_a")))
+            .filter(differing <= (F.col("size") + F.col("size_a")) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-9)
             .select("a", F.col("node").alias("b"))
             .distinct()
         )
-        found = materialize(links(pairs, words), "links")
+        found = texts.stored(links(pairs, words), "links")
         if parts is None:
             parts = components(found.select("a", "b"))
         else:
@@ -266,19 +281,48 @@ def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
             merged = components(named.select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b")))
             renamed = merged.select(F.col("node").alias("part"), F.col("part").alias("new"))
             parts = known.join(renamed, "part", "left").select("node", F.coalesce("new", "part").alias("part"))
-            parts = materialize(parts.unionByName(merged.join(known, "node", "left_anti")), "parts")
+            parts = texts.stored(parts.unionByName(merged.join(known, "node", "left_anti")), "parts")
         last = hubs.groupBy("bucket").agg(F.max("node").alias("last"))
         left = members.join(last, "bucket").filter("node > last").drop("last", "part").join(parts, "node", "left")
-        left = left.select("bucket", "node", "n", F.coalesce("part", "node").alias("part"))
+        left = left.select("bucket", "node", "size", "bitmap", F.coalesce("part", "node").alias("part"))
         several = left.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("bucket")
-        members = materialize(left.join(several, "bucket"), "members")
-        round_ += 1
+        members = texts.stored(left.join(several, "bucket"), "members")
+        hubs_of *= MORE_HUBS
 
     if parts is None:
         parts = members.select("node", "part")
     of = nodes.select("node", "key").join(parts, "node", "left").select("node", "key", F.coalesce("part", "node").alias("part"))
-    named = of.join(of.groupBy("part").agg(F.min("key").alias("class_id")), "part").select("node", "class_id")
-    return sketched.select("key", "node").join(named, "node").select("key", "class_id")
+    # The least key of a class; a null one only if there is no other.
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "node")).alias("first")
+    named = of.join(of.groupBy("part").agg(first), "part")
+    named = named.select("node", F.col("first.key").alias("class_id"), (F.col("node") == F.col("first.node")).alias("kept"))
+    return sketched.select("key", "node"), texts.stored(named, "classes")
+
+
+def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, class_id) for each row."""
+    each, named = node_classes(docs, key, text)
+    return each.join(named, "node").select("key", "class_id")
+
+
+def _noded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds, values = texts.folded_words()
+    for batch in batches:
+        data, offsets = texts.utf8(batch.column(1))
+        for i, j in texts.slices(offsets):
+            at = offsets[i : j + 1]
+            words = texts.Words(data[at[0] : at[-1]], at - at[0], kinds, values)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), _nodes(words)], ["key", "node"])
+
+
+def remove(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """One document of each class, with all its columns: the one of the least key."""
+    _, named = node_classes(docs, key, text)
+    rows = docs.select(texts.whole_row(docs).alias("row"), F.col(text).cast("string").alias("text"))
+    noded = rows.mapInArrow(_noded, texts.with_key(rows, "row", "node long"))
+    of = named.filter("kept").select("node", "class_id")
+    least = noded.join(of, "node").filter(F.col("key")[key].eqNullSafe(F.col("class_id")))
+    return least.dropDuplicates(["node"]).select("key.*")
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
