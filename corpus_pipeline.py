@@ -1,23 +1,59 @@
-"""The corpus pipeline: documents pass through stages, each written as Parquet and read again."""
+"""The corpus pipeline: documents pass through stages, each written as Parquet and read again.
+
+Toxic documents go, one document of each near-duplicate class stays, repeated passages are cut out of the texts,
+documents that hold benchmark passages go, and what is left is encoded. All stages but the last return the columns of
+``documents``; ``n_chars`` follows the text.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import bpe, decontaminate, neardup, substrings, toxicity
+from tidemark.llm import text as texts
 from tidemark.shared import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.remove(spark, docs, texts.table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.remove(docs, "doc_id", "text")
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substrings.remove(docs, "doc_id", "text").withColumn("n_chars", F.length("text").cast("long"))
+
+
+def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.remove(spark, docs, texts.table(spark, sf_dir, "benchmark"), "text", "item_id", "text")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = bpe.digests(spark, docs, bpe.default_vocabulary(), "doc_id", "text", with_ids=True)
+    return found.withColumnRenamed("key", "doc_id")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxic),
+    ("near_duplicates", near_duplicates),
+    ("passages", passages),
+    ("benchmarks", benchmarks),
+    ("tokens", tokens),
+]
 
 # Models, sketches and tokenizers are beyond SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = texts.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)
