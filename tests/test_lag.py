@@ -117,3 +117,19 @@ def test_refresh_matches_full_recompute(spark):
     part = {r["_id"]: (r["osc"], r["osc_per"]) for r in stocks.refreshed_changes(bars, late).collect()}
     assert part and part.items() <= full.items()
     assert len(part) == bars.where("ticker = 'B'").count() - 7
+
+
+def test_refresh_reads_the_years_it_needs(spark, path):
+    """The scan behind a refresh is limited to partitions from the year before the first change on."""
+    from tidemark.sources import tables
+
+    rows = [(str(y), "a", dt.datetime(y, 6, 1), float(y), y) for y in range(2000, 2020)] + [("x", "b", dt.datetime(2001, 1, 1), 3.0, 2001), ("z", "b", dt.datetime(2018, 9, 1), 6.0, 2018)]
+    schema = "_id string, ticker string, timestamp timestamp_ntz, close double, ano int"
+    tables.publish(spark.createDataFrame(rows, schema), path, ["ticker", "ano"])
+    bars = tables.read_table(spark, path)
+    changed = bars.where("ano >= 2018").select("ticker", "timestamp")
+    got = {r["_id"]: r["osc"] for r in stocks.refreshed_changes(bars, changed).collect()}
+    assert got == {"2018": 1.0, "2019": 1.0, "z": 3.0}  # b's bar before is found in 2001
+    plan = stocks._of_years(bars, 2017, None)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ano" in plan and "(ano" in plan
+    assert stocks.refreshed_changes(bars, changed.limit(0)).count() == 0

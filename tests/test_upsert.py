@@ -162,3 +162,17 @@ def test_two_spellings_of_one_instant(spark, path):
     got = tables.read_table(spark, path).select("ticker", F.col("timestamp").cast("string"), "close")
     assert [tuple(r) for r in got.collect()] == [("A", "2024-01-01 13:00:00", 2.0)]
     assert counts == [(7, 2, 1)]
+
+
+def test_rows_without_a_key_are_kept_aside_once_per_batch(spark, path):
+    """A micro-batch that Spark repeats leaves the same table and the same rejects."""
+    _table(spark, path)
+    run = upsert_batches(path, ["k"], ["v"])
+    batch = spark.createDataFrame([(1, "a", 1), (None, "a", 2), (None, "b", 3)], SCHEMA)
+    for _ in range(2):
+        run(batch, 7)
+    run(spark.createDataFrame([(1, "a", 5), (None, "c", 6)], SCHEMA), 8)
+    assert _rows(tables.read_table(spark, path)) == [(1, "a", 5)]
+    aside = spark.read.parquet(f"{path}/_rejects/batch_id=7").collect()
+    assert sorted(r["_arrived"] for r in aside) == ['{"p":"a","v":2}', '{"p":"b","v":3}']
+    assert spark.read.parquet(f"{path}/_rejects/batch_id=8").count() == 1

@@ -33,6 +33,10 @@ CDC_DOCUMENT = (
     "_id struct<`$oid`:string>, ticker string, description string, timestamp struct<`$date`:bigint>, "
     "open double, high double, low double, close double, volume bigint"
 )
+FLAT_CHANGE = (
+    "_id string, ticker string, description string, timestamp bigint, open double, high double, low double, "
+    "close double, volume bigint, __op string, __collection string, __ts_ms bigint"
+)
 API_PAGE = "data array<struct<t:bigint, o:float, h:float, l:float, c:float, v:int>>"
 FRAME_BYTES = 5
 
@@ -65,6 +69,25 @@ def decode_json(df: DataFrame, schema: str, keep: tuple[str, ...] = ()) -> DataF
     return df.select(value, *keep).select("value.*", *keep)
 
 
+BROKEN = "_broken"
+
+
+def unreadable(df: DataFrame, schema: str) -> Column:
+    """Whether a message's value is there but is no JSON object that fits ``schema``."""
+    text = F.col("value").cast("string")
+    parsed = F.from_json(text, f"{schema}, {BROKEN} string", {"columnNameOfCorruptRecord": BROKEN})
+    return F.col("value").isNotNull() & (parsed.isNull() | parsed[BROKEN].isNotNull())
+
+
+def decode_flat_changes(df: DataFrame, schema: str = FLAT_CHANGE) -> DataFrame:
+    """The flat change record that a connector's unwrap leaves, behind registry framing.
+
+    ``schema`` is the record's schema as text; all fields may be missing.
+    """
+    rows = decode_json(unframe(df), schema, ("schema_id",))
+    return rows.withColumn("timestamp", F.timestamp_millis("timestamp"))
+
+
 def encode_bars(df: DataFrame) -> DataFrame:
     """Key ``"{ticker} {timestamp}"`` and the bar as JSON."""
     stamped = df.withColumn("timestamp", rfc3339("timestamp"))

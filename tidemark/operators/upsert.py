@@ -118,13 +118,17 @@ def upsert_batches(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     partitions_follow_keys: bool = False,
     report: Callable[[int, int, int], None] | None = None,
+    rejects: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: align types, keep the latest row per key, upsert.
 
-    Types are aligned before rows are compared, so two spellings of one instant are one key. A
-    batch that runs twice leaves the same table. ``report`` gets (batch id, rows in, rows out),
-    counted while the batch is written.
+    Types are aligned before rows are compared, so two spellings of one instant are one key. Rows
+    without a key, as where a stamp did not parse, match nothing and would come in again with a repeated
+    batch: they go to a folder of their batch below ``rejects`` (``_rejects`` in the table by default),
+    as they arrived, which a repeat writes anew. So a batch that runs twice leaves the same tables.
+    ``report`` gets (batch id, rows in, rows out), counted while the batch is written.
     """
+    aside = rejects or f"{path}/_rejects"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -132,10 +136,14 @@ def upsert_batches(
         rows = (prepare(batch) if prepare else batch).observe(seen, F.count(F.lit(1)).alias("rows"))
         schema = tables.schema_of(spark, path)
         typed = align(rows, schema)
-        keyless = typed.where(any_null(keys))
         latest = one_per_key(typed.where(~any_null(keys)), keys, *latest_by)
-        out = latest.unionByName(keyless).observe(sent, F.count(F.lit(1)).alias("rows"))
+        out = latest.observe(sent, F.count(F.lit(1)).alias("rows"))
         merge_upsert(out, path, keys, partitions_follow_keys, unique=True)
+        arrived = batch.withColumn("_arrived", F.to_json(F.struct(*batch.columns)))
+        arrived = prepare(arrived) if prepare else arrived
+        kinds = {f.name: f.dataType for f in schema}
+        lost = arrived.withColumns({k: F.col(k).cast(kinds[k]) for k in keys}).where(any_null(keys))
+        lost.select(*keys, "_arrived").write.mode("overwrite").parquet(f"{aside}/batch_id={batch_id}")
         if report:
             report(batch_id, seen.get["rows"], sent.get["rows"])
 

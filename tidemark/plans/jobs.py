@@ -15,7 +15,7 @@ from tidemark.shared import materialize
 from tidemark.sources import tables
 from tidemark.sources.jdbc import publish_mart
 from tidemark.sources.layout import Lake
-from tidemark.streaming.bronze import topic_to_bronze
+from tidemark.streaming.bronze import topic_rejects, topic_to_bronze
 from tidemark.streaming.silver import bars_to_silver
 
 # Table names of the lakehouse and of the marts.
@@ -88,6 +88,9 @@ def intraday_job(spark: SparkSession, lake: Lake, messages: DataFrame, encoding:
     topic_to_bronze(
         messages, bronze, lake.checkpoint("bronze", "stocks_intraday", reader="topic"), encoding
     ).awaitTermination()
+    if encoding == "json":
+        rejects, reader = lake.path("rejects", "stocks_intraday"), lake.checkpoint("rejects", "stocks_intraday", reader="topic")
+        topic_rejects(messages, rejects, reader).awaitTermination()
     bars_to_silver(
         spark, bronze, silver, lake.checkpoint("silver", "stocks_intraday", reader="bronze")
     ).awaitTermination()

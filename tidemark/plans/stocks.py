@@ -78,24 +78,46 @@ def silver(bars: DataFrame, fill: str = "coalesce", unit: str | None = None) ->
     )
 
 
+def _of_years(bars: DataFrame, first: int | None, end: int | None) -> DataFrame:
+    """The bars of the years from ``first`` up to but without ``end``, by partitions where there are any."""
+    year = F.col("ano") if "ano" in bars.columns else F.year("timestamp")
+    rows = bars if first is None else bars.where(year >= first)
+    return rows if end is None else rows.where(year < end)
+
+
+def _last_before(bars: DataFrame, start: DataFrame) -> DataFrame:
+    """The last bar of each ticker before its ``_from``."""
+    return (
+        bars.join(start, "ticker")
+        .where(F.col("timestamp") < F.col("_from"))
+        .groupBy("ticker")
+        .agg(F.max_by("close", "timestamp").alias("close"), F.max("timestamp").alias("timestamp"))
+    )
+
+
 def refreshed_changes(bars: DataFrame, changed: DataFrame, fill: str = "coalesce") -> DataFrame:
     """N1, N2 after late or corrected bars: only the rows whose change may differ.
 
     ``changed`` has the ticker and timestamp of every bar that was inserted or updated in ``bars``.
     Each of those tickers is recomputed from its first changed bar on, with the bar before it
-    carried in, since a corrected bar also alters the one after it.
+    carried in, since a corrected bar also alters the one after it. The bar before is looked for in the
+    year of the first change and the one before; only tickers without any bar there are looked up in what
+    is older. Filters are on ``timestamp`` and, where it is there, on the partition column ``ano``.
     """
     start = materialize(
         changed.groupBy("ticker").agg(F.min("timestamp").alias("_from")), "changed-from"
     )
-    rows = bars.join(start, "ticker")
-    tail = rows.where(F.col("timestamp") >= F.col("_from")).withColumn("_before", F.lit(False))
-    before = (
-        rows.where(F.col("timestamp") < F.col("_from"))
-        .groupBy("ticker")
-        .agg(F.max_by("close", "timestamp").alias("close"), F.max("timestamp").alias("timestamp"))
-        .withColumn("_before", F.lit(True))
-    )
+    first = start.agg(F.min("_from")).first()[0]
+    if first is None:
+        return with_changes(bars.where(F.lit(False)), fill)
+    tail = _of_years(bars, first.year, None).where(F.col("timestamp") >= F.lit(first)).join(start, "ticker")
+    tail = tail.where(F.col("timestamp") >= F.col("_from")).withColumn("_before", F.lit(False))
+    recent = materialize(_last_before(_of_years(bars, first.year - 1, None), start), "before")
+    older = start.join(recent, "ticker", "left_anti")
+    before = recent
+    if not older.isEmpty():
+        before = recent.unionByName(_last_before(_of_years(bars, None, first.year - 1), older))
+    before = before.withColumn("_before", F.lit(True))
     seeded = materialize(tail.unionByName(before, allowMissingColumns=True), "changed-bars")
     return with_changes(seeded, fill).where(~F.col("_before")).drop("_before", "_from")
 

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from tidemark import adapters
 from tidemark.functions.decode import encode_bars
+from tidemark.functions.scalar import parse_date, rejected
 from tidemark.operators import dedup
 from tidemark.operators.upsert import merge_upsert
 from tidemark.plans import maintenance, stocks
 from tidemark.queries.registry import BARS, EVENTO, query
 from tidemark.shared import materialize, scratch_path
 from tidemark.sources import tables, topics
-from tidemark.sources.layout import Lake
+from tidemark.sources.layout import Lake, TableName
 from tidemark.streaming import bronze as bronze_streams
 from tidemark.streaming import silver as silver_streams
 
@@ -216,6 +217,43 @@ def stream_bronze_append(spark, sf_dir):
     return _plain(tables.read_table(spark, path))
 
 
+@query(
+    "stream_bronze_rejects",
+    f"""with {BARS} select ticker, count(*) as rows from bars group by 1
+    union all select 'broken' as ticker, count(*) as rows from bars where cast(_id as bigint) % 10 = 0""",
+)
+def stream_bronze_rejects(spark, sf_dir):
+    """Broken messages between the bars; both kinds counted."""
+    lake = _lake(spark)
+    topic = f"{lake.root}/_topic"
+    _deliver(spark, sf_dir, topic)
+    bars = adapters.bars(spark, sf_dir)
+    broken = bars.where(F.col("_id").cast("long") % 10 == 0).select("_id", F.encode(F.to_json(F.struct("ticker", "open", "close")), "UTF-8").alias("value"))
+    cut = F.when(F.col("_id").cast("long") % 20 == 0, F.encode(F.lit("no json"), "UTF-8")).otherwise(
+        F.expr("substring(value, 1, octet_length(value) - 5)")
+    )
+    topics.write_topic(broken.select(F.lit(None).cast("binary").alias("key"), cut.alias("value")), TOPIC, path=topic)
+    path, rejects = _bronze(spark, topic, lake), lake.path("rejects", "stocks_intraday")
+    reader = lake.checkpoint("rejects", "stocks_intraday", reader="topic")
+    bronze_streams.topic_rejects(topics.stream_topic(spark, TOPIC, path=topic), rejects, reader).awaitTermination()
+    good = tables.read_table(spark, path).groupBy("ticker").agg(F.count(F.lit(1)).alias("rows"))
+    return good.unionByName(tables.read_table(spark, rejects).agg(F.lit("broken").alias("ticker"), F.count(F.lit(1)).alias("rows")))
+
+
+@query(
+    "capture_stamps",
+    f"with {BARS} select ticker, count(*) as rows, true as stamped from bars group by 1",
+)
+def capture_stamps(spark, sf_dir):
+    """every bronze row has the broker's stamp and, not before it, its own."""
+    lake = _lake(spark)
+    topic = f"{lake.root}/_topic"
+    _deliver(spark, sf_dir, topic)
+    rows = tables.read_table(spark, _bronze(spark, topic, lake))
+    in_order = F.coalesce(F.col("_capture_time_bronze") >= F.col("_capture_time_kafka"), F.lit(False))
+    return rows.groupBy("ticker").agg(F.count(F.lit(1)).alias("rows"), F.min(in_order).alias("stamped"))
+
+
 @query("stream_bronze_partitioned", STREAMED)
 def stream_bronze_partitioned(spark, sf_dir):
     """The same, written by ticker."""
@@ -385,3 +423,37 @@ def catalog_counts(spark, sf_dir):
     counted = materialize(maintenance.count_rows(spark, database, ["bars", "events"]), "counts")
     spark.sql(f"DROP DATABASE `{database}` CASCADE")
     return counted
+
+
+@query("load_view", f"with {BARS} select ticker, count(*) as rows from bars group by 1")
+def load_view(spark, sf_dir):
+    """A table that exists, registered under its name; one that does not is left out."""
+    lake = _lake(spark)
+    name = TableName("bronze", "StockData", "loaded")
+    tables.publish(adapters.bars(spark, sf_dir), lake.path("bronze", "loaded", "StockData"), ["ticker"])
+    tables.load_table(lake, spark, name)
+    if tables.load_table(lake, spark, TableName("bronze", None, "missing")) is not None:
+        raise AssertionError("a table that is not there was loaded")
+    return spark.table(name.view).groupBy("ticker").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("preview_rows", f"with {BARS} select least(count(*), 5) as rows, true as known from bars")
+def preview_rows(spark, sf_dir):
+    """Some five rows, all of them rows of the table."""
+    bars = adapters.bars(spark, sf_dir)
+    shown = tables.preview(bars)
+    known = bars.select(F.col("_id").alias("_known")).join(shown, F.col("_known") == F.col("_id"), "right")
+    return known.agg(F.count(F.lit(1)).alias("rows"), F.min(F.col("_known").isNotNull()).alias("known"))
+
+
+@query(
+    "text_dates",
+    f"""with {BARS} select case when cast(_id as bigint) % 50 = 0 then null else cast("timestamp" as date) end as day,
+      count(*) as rows, cast(count_if(cast(_id as bigint) % 50 = 0) as bigint) as rejected from bars group by 1""",
+)
+def text_dates(spark, sf_dir):
+    """F8: stamps as text to dates; texts that are none are counted."""
+    bars = adapters.bars(spark, sf_dir)
+    text = F.when(F.col("_id").cast("long") % 50 == 0, "soon").otherwise(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+    rows = bars.select(text.alias("text")).withColumn("day", parse_date("text"))
+    return rows.groupBy("day").agg(F.count(F.lit(1)).alias("rows"), F.count_if(rejected(F.col("day"), "text")).alias("rejected"))

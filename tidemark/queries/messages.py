@@ -62,6 +62,24 @@ def framed_payload(spark, sf_dir):
     )
 
 
+@query(
+    "framed_change_record",
+    f"""with {BARS} select 9 as schema_id, _id, ticker, description, date_trunc('millisecond', "timestamp") as "timestamp",
+      open, high, low, close, volume, case when ticker = 'error' then null else 'c' end as __op,
+      'stocks' as __collection, epoch_us("timestamp") // 1000 as __ts_ms from bars""",
+)
+def framed_change_record(spark, sf_dir):
+    """Flat change records behind a schema id; fields may be missing."""
+    stamp = F.unix_millis(F.col("timestamp").cast("timestamp"))
+    record = F.struct(
+        "_id", "ticker", "description", stamp.alias("timestamp"), "open", "high", "low", "close", "volume",
+        F.when(F.col("ticker") != "error", "c").alias("__op"), F.lit("stocks").alias("__collection"), stamp.alias("__ts_ms"),
+    )
+    framed = adapters.bars(spark, sf_dir).select(decode.frame(decode.utf8(F.to_json(record)), 9).alias("value"))
+    rows = decode.decode_flat_changes(framed)
+    return rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 @query(
     "cdc_unwrap",
     f"""with {BARS} select _id, ticker, description, date_trunc('millisecond', "timestamp") as "timestamp",

@@ -63,6 +63,23 @@ def gold_intraday_mart(spark, sf_dir):
     return stocks.newest_first(stocks.intraday_mart(stocks.silver(adapters.bars(spark, sf_dir))))
 
 
+@query(
+    "silver_cdc",
+    f"""with {BARS}, changes as (
+      select * replace (date_trunc('millisecond', "timestamp") as "timestamp") from bars where ticker <> 'error'), lagged as (
+      select *, lag(close) over (partition by ticker order by "timestamp") as prev from changes)
+    select _id, ticker, strftime("timestamp", '%Y-%m-%d') as day, description, "timestamp", open, high, low, close, volume,
+      coalesce(close - prev, 0) as osc, coalesce(coalesce(close - prev, 0) * 100.0 / nullif(prev, 0), 0) as osc_per,
+      case when ticker = 'purchase' then 'u' else 'c' end as __op, 'stocks' as __collection,
+      "timestamp" - interval 5 hours as __ts_ms
+    from lagged""",
+)
+def silver_cdc(spark, sf_dir):
+    """silver straight from the change messages, their capture stamp shifted."""
+    rows = stocks.silver(decode.unwrap_cdc(adapters.cdc_messages(spark, sf_dir)))
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("timestamp", "__ts_ms")})
+
+
 @query(
     "gold_intraday",
     f"""with {CAPTURED}, lagged as (

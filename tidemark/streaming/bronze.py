@@ -14,6 +14,7 @@ from tidemark.functions.decode import (
     decode_json,
     encode_replay,
     unframe,
+    unreadable,
 )
 from tidemark.sources.files import stream_bar_csvs
 from tidemark.sources.tables import widen_schema
@@ -23,11 +24,13 @@ from tidemark.sources.topics import as_messages
 def decode_bars(messages: DataFrame, encoding: str = "json") -> DataFrame:
     """Bars with the broker's stamp as ``_capture_time_kafka`` and ``_capture_time_bronze``.
 
-    ``encoding`` is ``json``, ``avro``, or ``framed`` (Avro behind a schema id).
+    ``encoding`` is ``json``, ``avro``, or ``framed`` (Avro behind a schema id). JSON values that cannot be
+    read are left to ``broken_messages``.
     """
-    stamped = messages.where(F.col("value").isNotNull()).withColumnRenamed(
-        "timestamp", "_capture_time_kafka"
-    )
+    readable = F.col("value").isNotNull()
+    if encoding == "json":
+        readable = readable & ~unreadable(messages, BAR_JSON)
+    stamped = messages.where(readable).withColumnRenamed("timestamp", "_capture_time_kafka")
     keep = ("_capture_time_kafka",)
     if encoding == "json":
         bars = decode_json(stamped, BAR_JSON, keep)
@@ -38,6 +41,11 @@ def decode_bars(messages: DataFrame, encoding: str = "json") -> DataFrame:
     return bars.withColumn("_capture_time_bronze", F.current_timestamp())
 
 
+def broken_messages(messages: DataFrame, schema: str = BAR_JSON) -> DataFrame:
+    """The messages whose JSON value cannot be read, as they came, with the time of their capture."""
+    return messages.where(unreadable(messages, schema)).withColumn("_capture_time_bronze", F.current_timestamp())
+
+
 def append_stream(
     rows: DataFrame,
     path: str,
@@ -76,6 +84,11 @@ def topic_to_bronze(
     return append_stream(rows, path, checkpoint, **how)
 
 
+def topic_rejects(messages: DataFrame, path: str, checkpoint: str, schema: str = BAR_JSON, **how) -> StreamingQuery:
+    """What ``topic_to_bronze`` leaves out of a JSON topic, kept and countable in a table of its own."""
+    return append_stream(broken_messages(messages, schema), path, checkpoint, **how)
+
+
 def keep_every_copy(bronze: DataFrame, path: str, checkpoint: str, **how) -> StreamingQuery:
     """T4: bronze appended to silver without dedup, to compare with the upsert."""
     rows = bronze.withColumn("_capture_time_silver", F.current_timestamp())
