@@ -3,7 +3,8 @@
 ``percentile`` keeps every distinct value of a group in one map. Here a sketch first brackets each
 wanted rank; the second pass counts the rows below the bracket and keeps, already summed per value,
 only the few inside it. The counts are exact, so the answer is; a bracket that misses its rank is
-noticed and widened.
+noticed and widened. A bracket is a fixed share of its group, so that of a very large group is cut into
+bins of equal width, again and again, until it holds a bounded number of rows.
 """
 
 from __future__ import annotations
@@ -18,6 +19,11 @@ from pyspark.sql.window import Window
 from tidemark.shared import materialize, materialized
 
 
+WINDOW_ROWS = 200_000  # of a bracket that one task sorts
+BINS = 1024
+MARGIN = 4.0  # half the width of a bracket, in errors of the sketch
+
+
 class Mark(NamedTuple):
     """Two neighboring 0-based ranks near probability ``p``, as expressions over the count ``n``."""
 
@@ -28,17 +34,23 @@ class Mark(NamedTuple):
 
 
 def at_ranks(
-    df: DataFrame, by: Sequence[str], value: str, marks: Sequence[Mark], accuracy: int = 20_000
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    marks: Sequence[Mark],
+    accuracy: int = 20_000,
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """The values at each mark's ranks: ``by…, name, n, first, last, at_first, at_last, below``.
 
     ``below`` counts the values smaller than ``at_first``.
     """
     rows = df.select(*by, F.col(value).alias("value")).where("value is not null")
-    margin = 4.0 / accuracy
+    margin = MARGIN / accuracy
     while True:
         with materialized(_brackets(rows, by, marks, accuracy, margin), "brackets") as wanted:
-            found = materialize(_pick(rows, by, wanted), "ranks")
+            narrow = _narrowed(rows, by, wanted, accuracy, window_rows)
+            found = materialize(_pick(rows, by, narrow), "ranks")
             complete = found.where("at_first is not null and at_last is not null").count()
             if margin >= 1.0 or complete == wanted.count() * len(marks):
                 return found
@@ -77,20 +89,67 @@ def _brackets(rows, by, marks, accuracy, margin) -> DataFrame:
     return counted.select(*by, "n", F.array(*entries).alias("marks"))
 
 
+def _marked(rows: DataFrame, by: Sequence[str], wanted: DataFrame) -> DataFrame:
+    """Each row beside every mark of its group: ``by…, value, n, m``, up to the high end of the bracket."""
+    if by:
+        same_group = F.lit(True)
+        for c in by:
+            same_group = same_group & F.col(f"r.{c}").eqNullSafe(F.col(f"w.{c}"))
+        beside = rows.alias("r").join(wanted.alias("w"), same_group).select(*[f"r.{c}" for c in by], "value", "n", F.explode("marks").alias("m"))
+    else:
+        one = wanted.first()  # a single row of totals
+        if one is None:
+            return rows.where(F.lit(False)).join(wanted.select("n", F.explode("marks").alias("m")), how="cross")
+        kinds = wanted.schema["marks"].dataType.elementType
+        marks = [F.struct(*[F.lit(m[f.name]).cast(f.dataType).alias(f.name) for f in kinds]) for m in one["marks"]]
+        beside = rows.select("value", F.lit(one["n"]).alias("n"), F.explode(F.array(*marks)).alias("m"))
+    return beside.where(F.col("value") <= F.col("m.high"))
+
+
+def _narrowed(rows: DataFrame, by: Sequence[str], wanted: DataFrame, accuracy: int, window_rows: int) -> DataFrame:
+    """Brackets of at most ``window_rows`` rows, or of one value: each pass counts the bins of every bracket
+    and keeps those from its first rank's to its last."""
+    share = 2 * MARGIN / accuracy
+    if not wanted.where(F.col("n") * share > window_rows).count():
+        return wanted
+    widest = None
+    while True:
+        width = F.col("m.high").cast("double") - F.col("m.low").cast("double")
+        place = F.least(F.floor((F.col("value").cast("double") - F.col("m.low")) * F.lit(float(BINS)) / width), F.lit(BINS - 1))
+        bin_ = F.when(F.col("value") < F.col("m.low"), F.lit(-1)).when(width > 0, place).otherwise(F.lit(0))
+        cells = (
+            _marked(rows, by, wanted)
+            .groupBy(*by, "n", "m", bin_.cast("int").alias("bin"))
+            .agg(F.count(F.lit(1)).alias("copies"), F.min("value").alias("least"), F.max("value").alias("most"))
+        )
+        upto = F.sum("copies").over(Window.partitionBy(*by, "m.name").orderBy("bin"))
+        running = cells.withColumn("upto", upto).withColumn("below", F.col("upto") - F.col("copies"))
+        holds = lambda rank: (F.col("bin") >= 0) & (F.col(rank) >= F.col("below")) & (F.col(rank) < F.col("upto"))
+        between = (F.col("bin") >= 0) & (F.col("upto") > F.col("m.first")) & (F.col("below") <= F.col("m.last"))
+        found = running.groupBy(*by, "n", "m").agg(
+            F.max(F.when(holds("m.first"), F.col("least"))).alias("low"),
+            F.max(F.when(holds("m.last"), F.col("most"))).alias("high"),
+            F.sum(F.when(between, F.col("copies"))).alias("rows"),
+        )
+        found = materialize(found, "narrowed")
+        # A bracket that misses a rank is left for the caller to widen.
+        good = F.col("low").isNotNull() & F.col("high").isNotNull()
+        most = found.where(good & (F.col("low") < F.col("high"))).agg(F.max("rows")).first()[0] or 0
+        mark = F.struct(
+            "m.name", "m.first", "m.last",
+            F.when(good, F.col("low")).otherwise(F.col("m.low")).alias("low"), F.when(good, F.col("high")).otherwise(F.col("m.high")).alias("high"),
+        )
+        wanted = materialize(found.groupBy(*by, "n").agg(F.collect_list(mark).alias("marks")), "brackets")
+        if most <= window_rows or most == widest:
+            return wanted
+        widest = most
+
+
 def _pick(rows, by, wanted) -> DataFrame:
     """Count below and inside each bracket, then read the ranks off the running count."""
-    same_group = F.lit(True)
-    for c in by:
-        same_group = same_group & F.col(f"r.{c}").eqNullSafe(F.col(f"w.{c}"))
-    if not by:
-        rows, wanted = rows.withColumn("_all", F.lit(0)), wanted.withColumn("_all", F.lit(0))
-        same_group = F.col("r._all") == F.col("w._all")
     inside = F.when(F.col("value") >= F.col("m.low"), F.col("value"))
     counts = (
-        rows.alias("r")
-        .join(wanted.alias("w"), same_group)
-        .select(*[f"r.{c}" for c in by], "value", "n", F.explode("marks").alias("m"))
-        .where(F.col("value") <= F.col("m.high"))
+        _marked(rows, by, wanted)
         .groupBy(*by, "m.name", "n", "m.first", "m.last", inside.alias("value"))
         .agg(F.count(F.lit(1)).alias("copies"))
     )
@@ -114,6 +173,7 @@ def quantiles(
     value: str,
     probs: dict[str, float],
     accuracy: int = 20_000,
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Linearly interpolated quantiles, one column per name in ``probs``, one row per group."""
     marks = [
@@ -125,7 +185,7 @@ def quantiles(
         )
         for name, p in probs.items()
     ]
-    found = at_ranks(df, by, value, marks, accuracy)
+    found = at_ranks(df, by, value, marks, accuracy, window_rows)
     share = lambda p: F.lit(p) * (F.col("n") - 1) - F.col("first")
     read = lambda name, p: F.max(
         F.when(
