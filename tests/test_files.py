@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 import io
 import zipfile
@@ -33,7 +34,7 @@ def test_exported_files_have_header_and_six_decimals(spark, path):
     assert files.read_bar_csvs(spark, path).first()["close"] == 0.333333
 
 
-def _workbook(rows, shared=True):
+def _workbook(rows, shared=True, more=()):
     texts = []
 
     def cell(ref, value):
@@ -54,6 +55,12 @@ def _workbook(rows, shared=True):
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as book:
         book.writestr("xl/worksheets/sheet1.xml", f"<worksheet {space}><sheetData>{body}</sheetData></worksheet>")
+        office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+        names = ["Lines", *more]
+        entries = "".join(f'<sheet name="{n}" sheetId="{k}" r:id="r{k}"/>' for k, n in enumerate(names, 1))
+        book.writestr("xl/workbook.xml", f'<workbook {space} xmlns:r="{office}"><sheets>{entries}</sheets></workbook>')
+        targets = "".join(f'<Relationship Id="r{k}" Target="worksheets/sheet{k}.xml"/>' for k in range(1, len(names) + 1))
+        book.writestr("xl/_rels/workbook.xml.rels", f"<Relationships>{targets}</Relationships>")
         if shared:
             items = "".join(f"<si><t>{t}</t></si>" for t in texts)
             book.writestr("xl/sharedStrings.xml", f"<sst {space}>{items}</sst>")
@@ -86,3 +93,16 @@ def test_workbooks(spark, path):
         ("536370", 3, "2010-12-01 08:45:00", 1.0, 12583, "Norway"),
         ("C536379", -1, "2010-12-01 12:00:00", 27.5, None, "France"),
     ]
+
+
+def test_a_sheet_of_several_is_chosen_by_name(spark, path):
+    import os
+
+    os.makedirs(path)
+    with open(f"{path}/a.xlsx", "wb") as file:
+        file.write(_workbook([["k"], ["1"]], more=["Other"]))
+    schema = spark.createDataFrame([], "k int").schema
+    assert [r["k"] for r in files.read_workbooks(spark, path, schema, "Lines").collect()] == [1]
+    for name in (None, "Missing"):
+        with pytest.raises(Exception, match="name one of the sheets|no sheet"):
+            files.read_workbooks(spark, path, schema, name).collect()

@@ -89,16 +89,30 @@ def write_bar_csvs(bars: DataFrame, path: str) -> None:
 # ---- S8: workbooks ------------------------------------------------------------------------------
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
-def _sheet_cells(content: bytes) -> list[dict[int, str]]:
-    """Cell texts of a workbook's first sheet, per row, by 0-based column."""
+def _sheet_file(book: zipfile.ZipFile, sheet: str | None) -> str:
+    """Where a workbook keeps the sheet of a name, or its first one."""
+    sheets = list(ElementTree.fromstring(book.read("xl/workbook.xml")).iter(f"{_MAIN}sheet"))
+    found = [s for s in sheets if sheet is None or s.get("name") == sheet]
+    if not found:
+        raise ValueError(f"no sheet {sheet!r} among {[s.get('name') for s in sheets]}")
+    if sheet is None and len(sheets) > 1:
+        raise ValueError(f"name one of the sheets {[s.get('name') for s in sheets]}")
+    links = ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
+    target = next(link.get("Target") for link in links if link.get("Id") == found[0].get(_LINK))
+    return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+
+
+def _sheet_cells(content: bytes, name: str | None) -> list[dict[int, str]]:
+    """Cell texts of one sheet of a workbook, per row, by 0-based column."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         shared: list[str] = []
         if "xl/sharedStrings.xml" in book.namelist():
             for item in ElementTree.fromstring(book.read("xl/sharedStrings.xml")):
                 shared.append("".join(t.text or "" for t in item.iter(f"{_MAIN}t")))
-        sheet = ElementTree.fromstring(book.read("xl/worksheets/sheet1.xml"))
+        sheet = ElementTree.fromstring(book.read(_sheet_file(book, name)))
     rows = []
     for row in sheet.iter(f"{_MAIN}row"):
         cells = {}
@@ -119,8 +133,10 @@ def _sheet_cells(content: bytes) -> list[dict[int, str]]:
     return rows
 
 
-def read_workbooks(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The first sheet of every ``.xlsx`` below ``path``, columns matched by header name.
+def read_workbooks(spark: SparkSession, path: str, schema: T.StructType, sheet: str | None = None) -> DataFrame:
+    """A sheet of every ``.xlsx`` below ``path``, columns matched by header name.
+
+    A workbook of several sheets needs the name of one; none is left out unsaid.
 
     One task opens one workbook, whose size the file format bounds. Every cell arrives as text and
     the schema decides its type, so a column of codes such as an invoice number stays text.
@@ -131,7 +147,7 @@ def read_workbooks(spark: SparkSession, path: str, schema: T.StructType) -> Data
     def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
-                header, *body = _sheet_cells(content)
+                header, *body = _sheet_cells(content, sheet)
                 place = {title: column for column, title in header.items()}
                 yield pd.DataFrame(
                     {n: [row.get(place.get(n)) for row in body] for n in names}, dtype=object
