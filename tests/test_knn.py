@@ -125,3 +125,25 @@ def test_bins_leave_out_what_is_not_there(spark):
     assert bins == {("x", 0): 1, ("x", 1): 1, ("x", 9): 1, ("y", 0): 4}
     pairs = {(r["x_bin"], r["y_bin"]): r["n"] for r in classify.pair_bins(df, NAMES).collect()}
     assert pairs == {(0, 0): 1, (4, 0): 1}
+
+
+def test_later_cells_drop_out(spark, monkeypatch):
+    """Clustered rows: after its own cell a test row visits few others."""
+    from tidemark.operators import knn
+
+    rng = random.Random(9)
+    spot = lambda c: (10.0 * c + rng.random(), 10.0 * (c % 7) + rng.random())
+    train = [(i, i % 3, *spot(i % 40)) for i in range(2000)]
+    test = [(5000 + i, *spot(i % 40)) for i in range(80)]
+    visits, look = [], knn._look
+
+    def watched(seen, *rest):
+        visits.append(seen.count())
+        return look(seen, *rest)
+
+    monkeypatch.setattr(knn, "_look", watched)
+    test_df = spark.createDataFrame(test, "id bigint, x double, y double")
+    train_df = spark.createDataFrame(train, "id bigint, label int, x double, y double")
+    found = neighbors(test_df, train_df, NAMES, 3, block_rows=20, max_pivots=400)
+    assert {(r["id"], r["train_id"]) for r in found.collect()} == {(i, j) for i, near in _brute(test, train, 3).items() for j, _ in near}
+    assert visits[0] == 80 and visits[1] <= 80 * 8

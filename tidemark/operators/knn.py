@@ -1,10 +1,10 @@
 """Exact k nearest neighbors between two tables, without pairing every row with every row.
 
-A bounded set of training rows serves as pivots. Each training row belongs to the cell of its
-nearest pivot, and each cell knows its radius. The k-th smallest distance from a test row to the
-pivots bounds its neighborhood, so by the triangle inequality only cells that reach into that ball
-can hold a neighbor. Cells are cut into blocks of bounded size, test rows into chunks, and each
-(block, chunk) pair is one small task that returns at most k rows per test row.
+Some training rows, as many as the square root of all beyond ``MAX_PIVOTS``, serve as pivots. Each training row belongs
+to the cell of its nearest pivot, and each cell knows its radius. A test row first looks into the cell of its own nearest
+pivot. The k-th distance found there, or the k-th smallest distance to a pivot, bounds its neighborhood, so by the
+triangle inequality only cells that reach into that ball are looked into afterwards. Cells are cut into blocks of bounded
+size, test rows into chunks, and each (block, chunk) pair is one small task that returns at most k rows per test row.
 
 Ties: equal distances go to the smaller training id, equal votes to the smaller label.
 """
@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -25,6 +25,7 @@ from tidemark.shared import materialize
 BLOCK_ROWS = 4096
 CHUNK_ROWS = 1024
 MAX_PIVOTS = 2048
+SLICE_CELLS = 1 << 21
 
 
 def squared_distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -59,55 +60,56 @@ def neighbors(
     train = train.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k).drop("copy")
     train = materialize(train, "knn-train")
     rows = train.count()
-    wanted = min(max_pivots, max(1, math.ceil(rows / block_rows)))
+    most = max(max_pivots, math.isqrt(rows))
+    wanted = min(most, max(1, math.ceil(rows / block_rows)))
     chosen = train.orderBy(F.xxhash64("id"), "id").select("point").limit(wanted).collect()
     pivots = np.array([row["point"] for row in chosen], dtype=float).reshape(-1, len(features))
 
+    home = _home_cell(pivots)("point")
     cells = materialize(
-        train.withColumn("home", _home_cell(pivots)("point")).select(
-            "id", "label", "point", "home.cell", "home.distance"
-        ),
-        "knn-cells",
+        train.withColumn("home", home).select("id", "label", "point", "home.cell", "home.distance"), "knn-cells"
     )
-    reach = {
-        row["cell"]: (row["rows"], row["radius"])
-        for row in cells.groupBy("cell")
-        .agg(F.count(F.lit(1)).alias("rows"), F.max("distance").alias("radius"))
-        .collect()  # at most max_pivots rows
-    }
-    visits = materialize(
-        test.select("id", "point", F.explode(_cells_in_reach(pivots, reach, k)("point")).alias("cell")),
-        "knn-visits",
-    )
-    visitors = {
-        row["cell"]: row["count"] for row in visits.groupBy("cell").count().collect()
-    }  # at most max_pivots rows
-
-    cell_count = len(pivots)
-    blocks = _per_cell({c: math.ceil(n / block_rows) for c, (n, _) in reach.items()}, cell_count)
-    chunks = _per_cell({c: math.ceil(n / chunk_rows) for c, n in visitors.items()}, cell_count)
-    spread = lambda count: F.pmod(F.xxhash64("id"), count)
-    every = lambda count: F.explode(F.sequence(F.lit(0), count - 1))
-    test_side = visits.withColumn("chunk", spread(chunks)).withColumn("block", every(blocks))
-    train_side = (
-        cells.drop("distance")
-        .where(chunks > 0)
-        .withColumn("block", spread(blocks))
-        .withColumn("chunk", every(chunks))
+    sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"), F.max("distance").alias("radius"))
+    sizes = materialize(sizes, "knn-sizes")
+    radius = {row["cell"]: row["radius"] for row in sizes.collect()}  # one row per pivot
+
+    def look(visits: DataFrame) -> DataFrame:
+        return materialize(_look(visits, cells, sizes, k, block_rows, chunk_rows), "knn-near")
+
+    at_home = materialize(test.withColumn("cell", home["cell"]), "knn-home")
+    first = look(at_home)
+    bound = first.groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.max("d2")).alias("bound"))
+    others = at_home.withColumnRenamed("cell", "home").join(bound, "id", "left")
+    reach = F.explode(_cells_in_reach(pivots, radius, k)("point", "bound")).alias("cell")
+    visits = materialize(others.select("id", "point", "home", reach).where("cell != home").drop("home"), "knn-visits")
+    near = first.unionByName(look(visits))
+    by_distance = Window.partitionBy("id").orderBy("d2", "train_id")
+    return near.withColumn("rank", F.row_number().over(by_distance)).where(F.col("rank") <= k)
+
+
+def _look(visits: DataFrame, cells: DataFrame, sizes: DataFrame, k: int, block_rows: int, chunk_rows: int) -> DataFrame:
+    """The k nearest rows of each (block, chunk) pair of the cells that are visited."""
+    visitors = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("visitors"))
+    parts = sizes.join(visitors, "cell").select(
+        "cell", F.ceil(F.col("rows") / block_rows).alias("blocks"), F.ceil(F.col("visitors") / chunk_rows).alias("chunks")
     )
+    parts = materialize(parts, "knn-parts")  # at most one row per pivot
+    spread = lambda count: F.pmod(F.xxhash64("id"), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count).cast("int") - 1))
+    test_side = visits.join(parts, "cell").withColumn("chunk", spread("chunks")).withColumn("block", every("blocks"))
+    train_side = cells.drop("distance").join(parts, "cell").withColumn("block", spread("blocks")).withColumn("chunk", every("chunks"))
     key = ["cell", "block", "chunk"]
-    types = {f.name: f.dataType.simpleString() for f in train.schema}
-    test_id = test.schema["id"].dataType.simpleString()
-    near = (
-        test_side.groupBy(*key)
-        .cogroup(train_side.groupBy(*key))
+    types = {f.name: f.dataType.simpleString() for f in cells.schema}
+    test_id = visits.schema["id"].dataType.simpleString()
+    return (
+        test_side.drop("blocks", "chunks")
+        .groupBy(*key)
+        .cogroup(train_side.drop("blocks", "chunks").groupBy(*key))
         .applyInPandas(
             _nearest_in_block(k),
             f"id {test_id}, train_id {types['id']}, train_label {types['label']}, d2 double",
         )
     )
-    by_distance = Window.partitionBy("id").orderBy("d2", "train_id")
-    return near.withColumn("rank", F.row_number().over(by_distance)).where(F.col("rank") <= k)
 
 
 def vote(found: DataFrame) -> DataFrame:
@@ -115,22 +117,20 @@ def vote(found: DataFrame) -> DataFrame:
     return found.groupBy("id").agg(F.mode("train_label", True).alias("pred"))
 
 
-def _per_cell(counts: dict[int, int], cells: int) -> Column:
-    """A number per cell, looked up by position in a constant array."""
-    return F.lit([counts.get(cell, 0) for cell in range(cells)])[F.col("cell")]
-
-
-def _in_slices(points: pd.Series):
-    """A batch's rows as arrays small enough to hold their distances to every pivot."""
-    for start in range(0, len(points), CHUNK_ROWS):
-        yield np.stack(points.iloc[start : start + CHUNK_ROWS])
+def _in_slices(points: pd.Series, pivots: int):
+    """Where a batch's rows begin and end in slices small enough to hold their distances to every pivot."""
+    step = max(1, SLICE_CELLS // max(1, pivots))
+    for start in range(0, len(points), step):
+        yield start, np.stack(points.iloc[start : start + step])
 
 
 def _home_cell(pivots: np.ndarray):
     @F.pandas_udf("cell int, distance double")
     def home(column: pd.Series) -> pd.DataFrame:
+        if not len(pivots):
+            return pd.DataFrame({"cell": np.full(len(column), -1), "distance": np.zeros(len(column))})
         found = [pd.DataFrame({"cell": [], "distance": []})]
-        for points in _in_slices(column):
+        for _, points in _in_slices(column, len(pivots)):
             d2 = squared_distances(points, pivots)
             found.append(pd.DataFrame({"cell": d2.argmin(axis=1), "distance": np.sqrt(d2.min(axis=1))}))
         return pd.concat(found, ignore_index=True)
@@ -138,20 +138,20 @@ def _home_cell(pivots: np.ndarray):
     return home
 
 
-def _cells_in_reach(pivots: np.ndarray, reach: dict[int, tuple], k: int):
+def _cells_in_reach(pivots: np.ndarray, radii: dict[int, float], k: int):
     radius = np.full(len(pivots), -np.inf)
-    for cell, (_, r) in reach.items():
+    for cell, r in radii.items():
         radius[cell] = r
 
     @F.pandas_udf("array<int>")
-    def in_reach(column: pd.Series) -> pd.Series:
+    def in_reach(column: pd.Series, known: pd.Series) -> pd.Series:
         found = []
-        for points in _in_slices(column):
+        for start, points in _in_slices(column, len(pivots)):
             distance = np.sqrt(squared_distances(points, pivots))
-            if len(pivots) < k:
-                bound = np.full(len(distance), np.inf)
-            else:
-                bound = np.partition(distance, k - 1, axis=1)[:, k - 1]
+            bound = known.iloc[start : start + len(points)].to_numpy(dtype=float)
+            bound = np.where(np.isnan(bound), np.inf, np.sqrt(bound))
+            if len(pivots) >= k:
+                bound = np.minimum(bound, np.partition(distance, k - 1, axis=1)[:, k - 1])
             slack = 1e-9 * (1.0 + distance)
             touched = (distance - radius <= bound[:, None] + slack) & (radius >= 0)
             found.extend(np.flatnonzero(row).astype("int32") for row in touched)
