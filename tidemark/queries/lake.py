@@ -17,6 +17,7 @@ from tidemark.queries.registry import BARS, EVENTO, query
 from tidemark.shared import materialize, scratch_path
 from tidemark.sources import tables, topics
 from tidemark.sources.layout import Lake, TableName
+from tidemark.sources.storage import Storage
 from tidemark.streaming import bronze as bronze_streams
 from tidemark.streaming import silver as silver_streams
 
@@ -370,12 +371,17 @@ def compact_content(spark, sf_dir):
     return rows.join(report, "ticker")
 
 
-@query("vacuum_content", f"with {BARS} select * from bars")
+@query("vacuum_content", f"with {BARS} select *, true as had_old, true as clean from bars")
 def vacuum_content(spark, sf_dir):
+    """M3: the rows, whether compaction left replaced files behind, and whether none is left now."""
     path = _in_pieces(spark, sf_dir)
     maintenance.compact(spark, path)
+    storage = Storage(spark, path)
+    replaced = lambda: bool(storage.folders(f"{path}/{tables.RETIRED}"))
+    had_old = replaced()
     maintenance.vacuum(spark, path, 0, force=True)
-    return tables.read_table(spark, path).select(*adapters.bars(spark, sf_dir).columns)
+    rows = tables.read_table(spark, path).select(*adapters.bars(spark, sf_dir).columns)
+    return rows.withColumns({"had_old": F.lit(had_old), "clean": F.lit(not replaced())})
 
 
 @query(
