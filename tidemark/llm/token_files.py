@@ -26,7 +26,6 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +43,7 @@ SAMPLE_BYTES = 16 << 10
 LEVEL = 3
 ENTRY = np.dtype([("key", "<i8"), ("has_key", "u1"), ("n", "<u8"), ("end", "<u8")])
 SEGMENT = "shard int, number int, first_key long, last_key long, n_docs int, before long, n_tokens long, data binary"
-UNBROKEN = r"\S{2000}"  # runs that a rank table merges in quadratic time
+UNBROKEN = 2000  # letters of a run that a rank table merges in quadratic time
 
 
 def ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
@@ -70,15 +69,14 @@ def encoder(table: dict[bytes, int], special: dict[str, int], content: str) -> C
     from tokenizers import Tokenizer
 
     own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=table, special_tokens=special)
-    unbroken = regex.compile(UNBROKEN).search
     library: list[Tokenizer] = []
 
     def encode(text: str) -> np.ndarray:
-        if len(text) >= 2000 and unbroken(text):
+        if len(text) >= UNBROKEN and max(map(len, text.split()), default=0) >= UNBROKEN:
             if not library:
                 library.append(Tokenizer.from_str(content))
             return np.array(library[0].encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.array(own.encode(text, allowed_special="all", disallowed_special=()), np.uint32)
+        return own.encode_to_numpy(text, allowed_special="all", disallowed_special=())
 
     return encode
 
@@ -164,9 +162,9 @@ def write(spark: SparkSession, docs: DataFrame, path: str, key: str, text: str,
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
         for batch in batches:
-            for k, value in zip(batch.column(0), batch.column(1)):
-                ids = np.append(encode(value.as_py()), end_id)
-                entries.append((k.as_py(), ids))
+            for k, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = np.append(encode(value), end_id)
+                entries.append((k, ids))
                 frames.append(close(ids.astype(f"<u{width}").tobytes()))
                 size += len(ids)
                 if size * width >= SEGMENT_BYTES:
