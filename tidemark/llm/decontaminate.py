@@ -26,7 +26,7 @@ WINDOW = 10
 HEAD = 3  # words by which suffixes that cannot match are left out
 BLOCK_BYTES = 16 << 20
 
-FOUND = "text string, n_words long, matches array<struct<item:string,item_start:int,start:int,n_words:int>>"
+FOUND = "n_words long, matches array<struct<item:string,item_start:int,start:int,n_words:int>>"
 
 
 class Tests:
@@ -96,13 +96,13 @@ def search(tests: Tests, words: texts.Words, window: int) -> tuple[np.ndarray, n
     return may[suffixes[low[test] + nth]], test
 
 
-def _scanner(shared, window: int):
+def _scanner(shared, window: int, text: str):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds, values = texts.folded_words()
         tests = Tests(shared.value, window)
         for batch in batches:
-            data, offsets = texts.utf8(batch.column(1))
-            for i, j in texts.slices(offsets):
+            data, offsets = texts.utf8(batch.column(0).field(text))
+            for i, j in texts.slices(offsets, 2 * texts.SLICE_BYTES):
                 piece = batch.slice(i, j - i)
                 at = offsets[i : j + 1]
                 words = texts.Words(data[at[0] : at[-1]], at - at[0], kinds, values)
@@ -130,24 +130,30 @@ def _scanner(shared, window: int):
                 )
                 ends = np.searchsorted(doc[first], np.arange(j - i + 1)).astype(np.int32)
                 found = pa.ListArray.from_arrays(pa.array(ends), match)
-                if batch.num_columns > 3:  # what earlier blocks found
-                    found = pa.array([(a or []) + b for a, b in zip(piece.column(3).to_pylist(), found.to_pylist())], found.type)
-                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(np.diff(words.docs)), found], ["key", "text", "n_words", "matches"])
+                if batch.num_columns > 2:  # what earlier blocks found
+                    found = pa.array([(a or []) + b for a, b in zip(piece.column(2).to_pylist(), found.to_pylist())], found.type)
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(np.diff(words.docs)), found], ["key", "n_words", "matches"])
 
     return scan
 
 
 def matches(spark: SparkSession, docs: DataFrame, tests: DataFrame, key: str, text: str, item: str, item_text: str, window: int = WINDOW) -> DataFrame:
-    """(key, text, n_words, matches) for each document: its longest verbatim matches of at least a window."""
+    """(key, n_words, matches) for each document: its longest verbatim matches of at least a window."""
+    row = F.struct(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    found = _matched(spark, docs.select(row.alias("key")), "text", tests, item, item_text, window)
+    return found.select("key.key", "n_words", "matches")
+
+
+def _matched(spark: SparkSession, rows: DataFrame, text: str, tests: DataFrame, item: str, item_text: str, window: int) -> DataFrame:
+    """(key, n_words, matches) for rows of one struct ``key`` with a field ``text``."""
     items = tests.select(F.col(item).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).dropna()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = total // BLOCK_BYTES + 1
     block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     schema = texts.with_key(rows, "key", FOUND)
     for b in range(blocks):
         some = [(r["item"], r["text"]) for r in items.filter(block == b).orderBy("item", "text").toLocalIterator()]
-        rows = rows.mapInArrow(_scanner(spark.sparkContext.broadcast(some), window), schema)
+        rows = rows.mapInArrow(_scanner(spark.sparkContext.broadcast(some), window, text), schema)
         if blocks > 1:
             rows = texts.stored(rows, "decontaminate")
     return rows
@@ -165,8 +171,7 @@ def n_hit(found: str = "matches"):
 
 def remove(spark: SparkSession, docs: DataFrame, tests: DataFrame, text: str, item: str, item_text: str, window: int = WINDOW) -> DataFrame:
     """The documents without a match, with all their columns."""
-    rows = docs.select(texts.whole_row(docs).alias("row"), F.col(text).alias("text"))
-    found = matches(spark, rows, tests, "row", "text", item, item_text, window)
+    found = _matched(spark, docs.select(texts.whole_row(docs).alias("key")), text, tests, item, item_text, window)
     return found.filter(F.size("matches") == 0).select("key.*")
 
 

@@ -305,21 +305,24 @@ def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
     return each.join(named, "node").select("key", "class_id")
 
 
-def _noded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds, values = texts.folded_words()
-    for batch in batches:
-        data, offsets = texts.utf8(batch.column(1))
-        for i, j in texts.slices(offsets):
-            at = offsets[i : j + 1]
-            words = texts.Words(data[at[0] : at[-1]], at - at[0], kinds, values)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), _nodes(words)], ["key", "node"])
+def _noded(text: str):
+    def noded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds, values = texts.folded_words()
+        for batch in batches:
+            data, offsets = texts.utf8(batch.column(0).field(text))
+            for i, j in texts.slices(offsets):
+                at = offsets[i : j + 1]
+                words = texts.Words(data[at[0] : at[-1]], at - at[0], kinds, values)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), _nodes(words)], ["key", "node"])
+
+    return noded
 
 
 def remove(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One document of each class, with all its columns: the one of the least key."""
     _, named = node_classes(docs, key, text)
-    rows = docs.select(texts.whole_row(docs).alias("row"), F.col(text).cast("string").alias("text"))
-    noded = rows.mapInArrow(_noded, texts.with_key(rows, "row", "node long"))
+    rows = docs.select(texts.whole_row(docs).alias("row"))
+    noded = rows.mapInArrow(_noded(text), texts.with_key(rows, "row", "node long"))
     of = named.filter("kept").select("node", "class_id")
     least = noded.join(of, "node").filter(F.col("key")[key].eqNullSafe(F.col("class_id")))
     return least.dropDuplicates(["node"]).select("key.*")

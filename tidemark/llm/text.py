@@ -17,7 +17,7 @@ from pyspark.sql.types import StructField, StructType
 
 from tidemark.shared import materialize
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 FOLDS = 5
 
 # Fixed values of the hashes: an odd base for bytes, one for words, and the multipliers of the final mix.

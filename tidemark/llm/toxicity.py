@@ -175,16 +175,19 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -
     return checks, ratios
 
 
-def measure(spark: SparkSession, docs: DataFrame, slots: tuple[np.ndarray, np.ndarray], key: str, text: str) -> DataFrame:
+def measure(spark: SparkSession, docs: DataFrame, slots: tuple[np.ndarray, np.ndarray], key: str, text: str, whole: bool = False) -> DataFrame:
     """(key, measure) of each text: log ratio by length of the text and of its most toxic word, logarithms of the number
-    of words, of those above each level, and of how much they exceed the first level."""
+    of words, of those above each level, and of how much they exceed the first level.
+
+    With ``whole``, ``key`` is a struct of the whole row and ``text`` its field, so that a text travels once.
+    """
     shared = spark.sparkContext.broadcast(slots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         checks, ratios = shared.value
         classes = char_classes()
         for batch in batches:
-            data, offsets = texts.utf8(batch.column(1))
+            data, offsets = texts.utf8(batch.column(0).field(text) if whole else batch.column(1))
             out = np.zeros((batch.num_rows, 4 + len(LEVELS)))
             for i, j in texts.slices(offsets):
                 grams, ends, doc = _coded(data, offsets[i : j + 1], classes)
@@ -210,7 +213,7 @@ def measure(spark: SparkSession, docs: DataFrame, slots: tuple[np.ndarray, np.nd
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]), pa.array(out.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["key", "measure"])
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(key).alias("key"), *([] if whole else [F.col(text).cast("string").alias("text")]))
     return rows.mapInArrow(run, texts.with_key(docs, key, "measure array<double>"))
 
 
@@ -271,8 +274,8 @@ def scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str, te
 def remove(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, limit: float = 0.5) -> DataFrame:
     """The documents with a score below the limit, with all their columns."""
     model = fit(spark, docs, labels, key, text, label)
-    rows = docs.select(texts.whole_row(docs).alias("row"), F.col(text).alias("text"))
-    return measure(spark, rows, model.slots, "row", "text").filter(model.score() < limit).select("key.*")
+    rows = docs.select(texts.whole_row(docs).alias("row"))
+    return measure(spark, rows, model.slots, "row", text, whole=True).filter(model.score() < limit).select("key.*")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
