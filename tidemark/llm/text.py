@@ -37,6 +37,16 @@ def train_fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
+def hashed_sample(df: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows, those with the least hash of their key in a part of about four times as many.
+
+    The part is taken first, by the remainder of the hash, so that no task gathers more than it holds.
+    """
+    share = max(1, df.count() // (4 * most))
+    hashed = F.xxhash64(key)
+    return df.filter(F.pmod(hashed, F.lit(share)) == 0).orderBy(hashed, key).limit(most)
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns as one struct, for operators that hand rows through."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])

@@ -10,8 +10,8 @@ A segment, little-endian: ``TIDESEG1``, the dictionary's SHA-256 (32 bytes), byt
 offset index, for each document its key (i8), whether it has one (u1), number of ids (u8) and end of its frame, counted
 from the first frame (u8); then the frames. An id takes 2 bytes where the vocabulary allows it.
 
-The dictionary is trained on the serialized ids of at most ``SAMPLE_DOCS`` documents, those with the least hash of their
-key, and at most ``SAMPLE_BYTES`` of each; every document is then compressed whole with it.
+The dictionary is trained on the serialized ids of at most ``SAMPLE_DOCS`` documents, chosen by a hash of their key, and
+at most ``SAMPLE_BYTES`` of each; every document is then compressed whole with it.
 
 Defined cases: null is the empty text and has the end id only; documents of one key follow each other by text; a null
 key comes first; an empty table has no segments; other columns are ignored; long texts are one frame. Keys are integers.
@@ -141,7 +141,7 @@ def write(spark: SparkSession, docs: DataFrame, path: str, key: str, text: str,
             ids = [np.append(encode(t), end_id).astype(f"<u{width}").tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([i[:SAMPLE_BYTES] for i in ids], pa.binary())], ["ids"])
 
-    chosen = rows.select("text", F.xxhash64("key").alias("hash"), "key").orderBy("hash", "key").limit(SAMPLE_DOCS)
+    chosen = texts.hashed_sample(rows, "key", SAMPLE_DOCS)
     dictionary = train_dictionary([r["ids"] for r in chosen.select("text").mapInArrow(serialized, "ids binary").collect()])
     digest = hashlib.sha256(dictionary).digest()
     spark.createDataFrame([(digest, dictionary)], "sha256 binary, data binary").coalesce(1).write.parquet(f"{path}/dictionary")

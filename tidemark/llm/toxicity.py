@@ -10,7 +10,7 @@ how many words exceed some levels and by how much, as a long text must not drown
 none. A logistic curve over them gives the score.
 
 Counts come from every labelled text of folds 1 to 3; fold 4 gives the curve, from at most ``CURVE_ROWS`` labelled texts,
-those with the least hash of their key; fold 0 is held out. All counting, backing off and smoothing are Spark
+chosen by a hash of their key; fold 0 is held out. All counting, backing off and smoothing are Spark
 aggregations and joins over distinct n-grams and grow with the text. What is broadcast is a table of 2^21 slots with the
 log ratio of each 4-gram and of each context: where two share a slot, the one that weighs more (ratio times count) has it.
 
@@ -249,7 +249,7 @@ class Model:
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> Model:
     """The models of both classes and the logistic curve over their measures."""
     slots = train(docs, labels, key, text, label)
-    of = _labelled(labels, key, label).filter(texts.train_fold(F.col("key")).isin(*CURVE_FOLDS)).orderBy(F.xxhash64("key"), "key", "label").limit(CURVE_ROWS)
+    of = texts.hashed_sample(_labelled(labels, key, label).filter(texts.train_fold(F.col("key")).isin(*CURVE_FOLDS)), "key", CURVE_ROWS)
     some = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(texts.train_fold(F.col("key")).isin(*CURVE_FOLDS))
     measured = measure(spark, some, slots, "key", "text")
     rows = measured.join(of.hint("merge"), "key").select("measure", "label").toPandas()
