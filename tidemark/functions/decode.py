@@ -40,7 +40,7 @@ FLAT_CHANGE = (
 API_PAGE = "data array<struct<t:bigint, o:float, h:float, l:float, c:float, v:int>>"
 FRAME_BYTES = 5
 
-# The plain Avro record of a bar, as schema text.
+# Fixed value: the plain Avro record of a bar, as schema text.
 BAR_AVRO = """{"type": "record", "name": "Stock", "fields": [
   {"name": "ticker", "type": "string"},
   {"name": "timestamp", "type": "string"},

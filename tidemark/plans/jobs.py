@@ -52,9 +52,12 @@ def stocks_job(
     messages: DataFrame,
     connection: Mapping[str, str] | None = None,
     keep_copies: bool = False,
+    unit: str | None = None,
 ) -> None:
     """Change messages drained to bronze, then silver and daily gold rebuilt, then both marts.
 
+    ``unit`` is the width of the time slices of the lag, which is measured in passes of its own if not given.
+
     A re-sent bar would show a change of 0 and count its volume twice, so copies are dropped
     unless ``keep_copies`` asks for the plain recompute.
     """
@@ -70,7 +73,7 @@ def stocks_job(
     if not keep_copies:
         bars = materialize(stocks.latest_bars(bars, "__ts_ms"), "latest-bars")
     silver_path, gold_path = (lake.path(tier, "stocks", STOCK_DB) for tier in ("silver", "gold"))
-    tables.publish(stocks.silver(bars, fill="all"), silver_path, ["ticker", "day"], sort_cols=["timestamp"])
+    tables.publish(stocks.silver(bars, fill="all", unit=unit), silver_path, ["ticker", "day"], sort_cols=["timestamp"])
     silver = tables.read_table(spark, silver_path)
     tables.publish(stocks.gold_daily(silver), gold_path, ["ticker", "day"])
     if connection:
