@@ -191,9 +191,8 @@ def _mapped(spark, docs, vocabulary, key, text, fields, of) -> DataFrame:
                 columns = [batch.column(0).slice(i, j - i), *map(pa.array, zip(*rows))]
                 yield pa.RecordBatch.from_arrays(columns, ["key", *(f.split()[0] for f in fields.split(", "))])
 
-    return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, texts.with_key(docs, key, fields)
-    )
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    return texts.mapped(rows, run, texts.with_key(docs, key, fields))
 
 
 def digests(spark: SparkSession, docs: DataFrame, vocabulary: str, key: str, text: str, with_ids: bool = False) -> DataFrame:

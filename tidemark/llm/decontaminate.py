@@ -153,7 +153,7 @@ def _matched(spark: SparkSession, rows: DataFrame, text: str, tests: DataFrame,
     schema = texts.with_key(rows, "key", FOUND)
     for b in range(blocks):
         some = [(r["item"], r["text"]) for r in items.filter(block == b).orderBy("item", "text").toLocalIterator()]
-        rows = rows.mapInArrow(_scanner(spark.sparkContext.broadcast(some), window, text), schema)
+        rows = texts.mapped(rows, _scanner(spark.sparkContext.broadcast(some), window, text), schema)
         if blocks > 1:
             rows = texts.stored(rows, "decontaminate")
     return rows

@@ -95,7 +95,7 @@ def train(docs: DataFrame, text: str, label: str) -> Model:
     languages = [r["lang"] for r in per_lang]
     counts = np.full((len(languages), 1 << BITS), SMOOTHING)
     found = (
-        rows.mapInArrow(_counter(languages), "lang int, bucket int, n long")
+        texts.mapped(rows, _counter(languages), "lang int, bucket int, n long")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
         .toPandas()
@@ -138,7 +138,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model, key: str, text:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores)], ["key", "lang_pred", "score"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(score, texts.with_key(docs, key, "lang_pred string, score double"))
+    return texts.mapped(rows, score, texts.with_key(docs, key, "lang_pred string, score double"))
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

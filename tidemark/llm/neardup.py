@@ -238,14 +238,14 @@ def links(pairs: DataFrame, words: DataFrame) -> DataFrame:
     left = words.select(F.col("node").alias("a"), F.col("words").alias("words_a"))
     right = words.select(F.col("node").alias("b"), F.col("words").alias("words_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "words_a", "words_b")
-    return both.mapInArrow(_aligned, "a long, b long")
+    return texts.mapped(both, _aligned, "a long, b long")
 
 
 def node_classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(key, node) of each row, and (node, class_id, kept) of each node; ``kept`` is the one node of its class that stays."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     schema = texts.with_key(rows, "key", "node long, size int, sketches array<long>, bitmap array<long>")
-    sketched = texts.stored(rows.mapInArrow(_sketched, schema), "sketches")
+    sketched = texts.stored(texts.mapped(rows, _sketched, schema), "sketches")
     firsts = [F.first(c).alias(c) for c in ("size", "sketches", "bitmap")]
     nodes = texts.stored(sketched.groupBy("node").agg(F.min("key").alias("key"), *firsts), "nodes")
     each = nodes.filter(F.col("size") > 0).select("node", "size", "bitmap", F.posexplode("sketches").alias("k", "sketch"))
@@ -255,7 +255,7 @@ def node_classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataF
 
     involved = members.select("node").distinct().join(nodes.select("node", F.col("key").alias("of")), "node")
     texts_of = rows.join(involved, rows["key"].eqNullSafe(involved["of"])).select("node", "text")
-    words = texts.stored(texts_of.mapInArrow(_worded, "node long, words array<int>").dropDuplicates(["node"]), "words")
+    words = texts.stored(texts.mapped(texts_of, _worded, "node long, words array<int>").dropDuplicates(["node"]), "words")
 
     parts, hubs_of = None, HUBS
     differing = sum(F.bit_count(F.get("bitmap", i).bitwiseXOR(F.get("bitmap_a", i))) for i in range(BITMAP_LONGS))
@@ -322,7 +322,7 @@ def remove(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One document of each class, with all its columns: the one of the least key."""
     _, named = node_classes(docs, key, text)
     rows = docs.select(texts.whole_row(docs).alias("row"))
-    noded = rows.mapInArrow(_noded(text), texts.with_key(rows, "row", "node long"))
+    noded = texts.mapped(rows, _noded(text), texts.with_key(rows, "row", "node long"))
     of = named.filter("kept").select("node", "class_id")
     least = noded.join(of, "node").filter(F.col("key")[key].eqNullSafe(F.col("class_id")))
     return least.dropDuplicates(["node"]).select("key.*")

@@ -129,7 +129,7 @@ def _same_row(a: DataFrame, b: DataFrame) -> Column:
 
 def repeats(rows: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """(key, row, spans): the parts of each text, in words, that windows which stand elsewhere too cover."""
-    found = rows.mapInArrow(_places(window, seed), texts.with_key(rows, "key", "row long, anchor long, around long, low int, high int"))
+    found = texts.mapped(rows, _places(window, seed), texts.with_key(rows, "key", "row long, anchor long, around long, low int, high int"))
     with materialized(found, "places") as places:
         one = [F.first(c).alias(c) for c in ("key", "row", "low", "high")]
         counted = texts.stored(places.groupBy("anchor", "around").agg(F.count("*").alias("n"), *one), "surroundings")
@@ -141,7 +141,7 @@ def repeats(rows: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
     # A row that is there twice gives its windows twice, but has no surrounding that stands once.
     with_places = rows.join(per_row, _same_row(rows, per_row)).select(rows["key"], rows["row"], "text", "places")
     schema = texts.with_key(rows, "key", "row long, span long, check int, low int, n long")
-    windows = texts.stored(with_places.mapInArrow(_extended(window), schema), "windows")
+    windows = texts.stored(texts.mapped(with_places, _extended(window), schema), "windows")
     shared = windows.groupBy("span", "check").agg(F.sum("n").alias("all")).filter("all > 1").drop("all")
     partial = windows.filter("n = 1").join(shared, ["span", "check"]).select("key", "row", "low", (F.col("low") + window).alias("high"))
     spans = whole.unionByName(partial).groupBy("key", "row").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
@@ -181,7 +181,7 @@ def kept(docs: DataFrame, key: str, text: str, fields: str, of: Callable, also:
                 columns = [batch.column(0).slice(i, j - i), *map(pa.array, zip(*out))]
                 yield pa.RecordBatch.from_arrays(columns, ["key", *(f.split()[0] for f in fields.split(", "))])
 
-    return joined.mapInArrow(cut, texts.with_key(joined, "out", fields))
+    return texts.mapped(joined, cut, texts.with_key(joined, "out", fields))
 
 
 def digest(data: bytes, words: texts.Words, stays: np.ndarray) -> tuple[int, int, str]:

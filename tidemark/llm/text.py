@@ -6,7 +6,7 @@ bounded by ``SLICE_BYTES`` or by the longest single document, whichever is more.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,7 @@ from pyspark.sql.types import StructField, StructType
 from tidemark.shared import materialize
 
 SLICE_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20
 FOLDS = 5
 
 # Fixed values of the hashes: an odd base for bytes, one for words, and the multipliers of the final mix.
@@ -52,6 +53,17 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def mapped(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``df.mapInArrow`` over batches of at most ``BATCH_BYTES``, set in the session if it has more.
+
+    Texts are long: at the default of 64 MB a batch lies several times in the memory of an executor and its workers.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(str(conf.get(name)).rstrip("b")) > BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it from there.
 

@@ -142,7 +142,7 @@ def write(spark: SparkSession, docs: DataFrame, path: str, key: str, text: str,
             yield pa.RecordBatch.from_arrays([pa.array([i[:SAMPLE_BYTES] for i in ids], pa.binary())], ["ids"])
 
     chosen = texts.hashed_sample(rows, "key", SAMPLE_DOCS)
-    dictionary = train_dictionary([r["ids"] for r in chosen.select("text").mapInArrow(serialized, "ids binary").collect()])
+    dictionary = train_dictionary([r["ids"] for r in texts.mapped(chosen.select("text"), serialized, "ids binary").collect()])
     digest = hashlib.sha256(dictionary).digest()
     spark.createDataFrame([(digest, dictionary)], "sha256 binary, data binary").coalesce(1).write.parquet(f"{path}/dictionary")
 
@@ -175,7 +175,7 @@ def write(spark: SparkSession, docs: DataFrame, path: str, key: str, text: str,
             yield finished()
 
     ordered = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
-    ordered.mapInArrow(segments, SEGMENT).write.option("compression", "uncompressed").parquet(f"{path}/segments")
+    texts.mapped(ordered, segments, SEGMENT).write.option("compression", "uncompressed").parquet(f"{path}/segments")
 
 
 def _opened(spark: SparkSession, path: str) -> tuple[bytes, DataFrame]:
@@ -200,7 +200,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 ids = pa.array([segment.ids(k).tobytes() for k in range(count)], pa.binary())
                 yield pa.RecordBatch.from_arrays([keys, pa.array(first), ids], ["key", "start", "ids"])
 
-    return segments.select("shard", "before", "data").mapInArrow(documents, "key long, start long, ids binary")
+    return texts.mapped(segments.select("shard", "before", "data"), documents, "key long, start long, ids binary")
 
 
 def lookup(spark: SparkSession, path: str, keys: list[int]) -> DataFrame:
@@ -219,7 +219,7 @@ def lookup(spark: SparkSession, path: str, keys: list[int]) -> DataFrame:
                 ids = pa.array([segment.ids(k).tobytes() for k in found], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(segment.index["key"][found]), ids], ["key", "ids"])
 
-    return segments.filter(may).select("data").mapInArrow(documents, "key long, ids binary")
+    return texts.mapped(segments.filter(may).select("data"), documents, "key long, ids binary")
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:

@@ -131,7 +131,7 @@ def top_k(spark: SparkSession, queries: DataFrame, rows: DataFrame, k: int) -> D
             vectors.append(r["vector"])
         arrays = {w: (np.array(i, np.int64), np.array(v, float)) for w, (i, v) in groups.items()}
         shared = spark.sparkContext.broadcast(arrays)
-        parts.append(rows.select("vec_id", "vector").mapInArrow(_searcher(shared, k), "query_id long, vec_id long, score long"))
+        parts.append(texts.mapped(rows.select("vec_id", "vector"), _searcher(shared, k), "query_id long, vec_id long, score long"))
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)

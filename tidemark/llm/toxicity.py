@@ -163,12 +163,12 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -
     some = docs.filter(fold.isin(*COUNT_FOLDS)).select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     # Texts meet their labels by a sorted join, as few or many as these are.
     rows = some.join(_labelled(labels, key, label).hint("merge"), "key").select("text", "label")
-    counted = rows.mapInArrow(_count, "gram long, toxic long, plain long")
+    counted = texts.mapped(rows, _count, "gram long, toxic long, plain long")
     grams = texts.stored(counted.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "grams")
     checks, ratios = np.zeros(1 << SLOT_BITS, np.uint32), np.zeros(1 << SLOT_BITS, np.float32)
     if grams.isEmpty():
         return checks, ratios
-    placed = _ratios(grams).mapInArrow(_placed, "slot long, check long, ratio double, weight double")
+    placed = texts.mapped(_ratios(grams), _placed, "slot long, check long, ratio double, weight double")
     best = placed.groupBy("slot").agg(F.max(F.struct("weight", "check", "ratio")).alias("best")).select("slot", "best.check", "best.ratio").toPandas()
     checks[best["slot"]] = best["check"]
     ratios[best["slot"]] = best["ratio"]
@@ -214,7 +214,7 @@ def measure(spark: SparkSession, docs: DataFrame, slots: tuple[np.ndarray, np.nd
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["key", "measure"])
 
     rows = docs.select(F.col(key).alias("key"), *([] if whole else [F.col(text).cast("string").alias("text")]))
-    return rows.mapInArrow(run, texts.with_key(docs, key, "measure array<double>"))
+    return texts.mapped(rows, run, texts.with_key(docs, key, "measure array<double>"))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
