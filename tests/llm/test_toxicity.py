@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -103,3 +104,29 @@ def test_no_gram_crosses_a_document():
     data, offsets = texts.utf8(__import__("pyarrow").array(["ab", "", "cd e"]))
     grams, ends, doc = toxicity._coded(data, offsets, toxicity.char_classes())
     assert ends.sum() == 3 and doc[ends].tolist() == [0, 2, 2] and len(grams) == 3 + 3 + 2
+
+
+def test_no_ratio_is_lost_among_many(spark):
+    """With some 200,000 different 4-grams and contexts every word still has the ratio of plain Kneser-Ney."""
+    pick = random.Random(4)
+    some = ["".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(40_000)]
+    ids = [i for i in range(400) if __import__("zlib").crc32(str(i).encode()) % 5 in toxicity.COUNT_FOLDS][:100]
+    rows = [(i, " ".join(some[400 * k : 400 * k + 400]), k % 2) for k, i in enumerate(ids)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, label) for i, _, label in rows], "doc_id long, toxic int")
+    want = plain_model([(t, label) for _, t, label in rows])
+    model = toxicity.train(docs, labels, "doc_id", "text", "toxic")
+    found = toxicity.measure(spark, spark.createDataFrame(list(enumerate(some[::400])), "id int, text string"), model, "id", "text").collect()
+    assert all(np.allclose(r["measure"], want(some[400 * r["key"]]), atol=1e-4) for r in found)
+
+
+def test_join_gives_what_the_table_gives(spark, monkeypatch):
+    docs = odd.table(spark).unionByName(spark.createDataFrame([(100 + k, odd.prose(k, 60)) for k in range(60)], "doc_id long, text string"), allowMissingColumns=True)
+    labels = spark.createDataFrame([(100 + k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    want = toxicity.scores(spark, docs, labels, "doc_id", "text", "toxic").collect()
+    kept = toxicity.remove(spark, docs, labels, "doc_id", "text", "toxic").collect()
+    monkeypatch.setattr(toxicity, "TABLE_ENTRIES", 1)
+    monkeypatch.setattr(toxicity, "JOINED_BYTES", 1000)
+    assert toxicity.train(docs, labels, "doc_id", "text", "toxic").table is None
+    assert sorted(map(repr, toxicity.scores(spark, docs, labels, "doc_id", "text", "toxic").collect())) == sorted(map(repr, want))
+    assert sorted(map(repr, toxicity.remove(spark, docs, labels, "doc_id", "text", "toxic").collect())) == sorted(map(repr, kept))

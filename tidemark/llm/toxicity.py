@@ -11,8 +11,9 @@ none. A logistic curve over them gives the score.
 
 Counts come from every labelled text of folds 1 to 3; fold 4 gives the curve, from at most ``CURVE_ROWS`` labelled texts,
 chosen by a hash of their key; fold 0 is held out. All counting, backing off and smoothing are Spark
-aggregations and joins over distinct n-grams and grow with the text. What is broadcast is a table of 2^21 slots with the
-log ratio of each 4-gram and of each context: where two share a slot, the one that weighs more (ratio times count) has it.
+aggregations and joins over distinct n-grams and grow with the text. Every log ratio, of each 4-gram and of each context, is
+kept under its exact code. Up to ``TABLE_ENTRIES`` of them are broadcast as one table; more stay a Spark table, and each
+slice of documents gets, by a join, those of its own 4-grams and contexts. Both ways give the same measures.
 
 Defined cases: null and empty texts, and others without a word, have measures 0 and the score of that. If the curve's fold
 lacks a class, every score is the share of toxic labels there (0 without labels). Labels other than 0 and 1 are ignored;
@@ -26,17 +27,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from tidemark.llm import text as texts
 
 ORDER = 4
 CHAR_BITS = 12
-SLOT_BITS = 21
+TABLE_ENTRIES = 1 << 21
 DISCOUNT = 0.75
 LEVELS = (1.5, 2.5, 3.5)  # of the log ratio of a word
 CURVE_ROWS = 50_000
+JOINED_BYTES = 1 << 18  # of texts in a row that meets its ratios by a join
 COUNT_FOLDS, CURVE_FOLDS = (1, 2, 3), (4,)
 
 
@@ -122,7 +126,7 @@ def _shared(grams: DataFrame) -> DataFrame:
 
 
 def _ratios(grams: DataFrame) -> DataFrame:
-    """(kind, code, ratio, weight): log ratios of 4-grams (kind 0), and of contexts for what neither class saw (kind 1)."""
+    """(code, ratio): log ratios of 4-grams (code 2 * gram), and of contexts for what neither class saw (2 * context + 1)."""
     contexts = grams.groupBy(_head("gram").alias("context")).agg(
         F.sum("toxic").alias("all_t"), F.sum("plain").alias("all_p"),
         F.sum((F.col("toxic") > 0).cast("long")).alias("kinds_t"), F.sum((F.col("plain") > 0).cast("long")).alias("kinds_p"),
@@ -136,85 +140,158 @@ def _ratios(grams: DataFrame) -> DataFrame:
 
     shared = _shared(grams).select(F.col("gram").alias("tail"), "p")
     each = grams.withColumn("context", _head("gram")).withColumn("tail", _tail("gram", ORDER - 1)).join(contexts, "context").join(shared, "tail")
-    seen = each.select(
-        F.lit(0).alias("kind"), F.col("gram").alias("code"), F.log(own("toxic", "t") / own("plain", "p")).alias("ratio"), (F.col("toxic") + F.col("plain")).alias("n")
-    )
-    unseen = contexts.select(
-        F.lit(1).alias("kind"), F.col("context").alias("code"), F.log(back("t") / back("p")).alias("ratio"), (F.col("kinds_t") + F.col("kinds_p")).alias("n")
-    )
-    return seen.unionByName(unseen).withColumn("weight", F.abs("ratio") * F.col("n")).drop("n")
-
+    seen = each.select((F.col("gram") * 2).alias("code"), F.log(own("toxic", "t") / own("plain", "p")).cast("float").alias("ratio"))
+    unseen = contexts.select((F.col("context") * 2 + 1).alias("code"), F.log(back("t") / back("p")).cast("float").alias("ratio"))
+    return seen.unionByName(unseen)
 
-def _slots(kind: np.ndarray | int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The slot of each entry and a check that tells it from others of that slot."""
-    mixed = texts.mix(code * np.uint64(2) + np.uint64(kind) if np.isscalar(kind) else code * np.uint64(2) + kind.astype(np.uint64))
-    return (mixed >> np.uint64(64 - SLOT_BITS)).astype(np.int64), (mixed & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
-
-def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        slot, check = _slots(np.asarray(batch.column(0)), np.asarray(batch.column(1)).view(np.uint64))
-        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(check.astype(np.int64)), batch.column(2), batch.column(3)], ["slot", "check", "ratio", "weight"])
+Table = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> tuple[np.ndarray, np.ndarray]:
-    """The checks and log ratios of the slots, from the labelled texts of the counting folds."""
+@dataclass
+class Ratios:
+    """The log ratios of all codes, as a table to broadcast or, if they are too many, as rows (code, ratio)."""
+
+    table: Table | None
+    rows: DataFrame | None = None
+
+
+def _table(codes: np.ndarray, ratios: np.ndarray) -> Table:
+    """The codes, mixed (a bijection) and sorted, their ratios, and where the codes of each leading bits begin."""
+    mixed = texts.mix(codes.view(np.uint64))
+    order = np.argsort(mixed)
+    mixed = mixed[order]
+    bits = 1 + max(1, len(mixed)).bit_length()
+    begin = np.searchsorted(mixed, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).astype(np.int32)
+    return mixed, ratios[order].astype(np.float32), begin
+
+
+def _found(table: Table, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the table has each code, and its ratio or 0."""
+    mixed, ratios, begin = table
+    known, ratio = np.zeros(len(codes), bool), np.zeros(len(codes), np.float32)
+    wanted = texts.mix(codes)
+    at = begin[(wanted >> np.uint64(65 - len(begin).bit_length())).astype(np.int64)].astype(np.int64)
+    todo = np.flatnonzero(at < len(mixed))
+    wanted, at = wanted[todo], at[todo]
+    while len(todo):
+        there = mixed[at]
+        hit = there == wanted
+        known[todo[hit]] = True
+        ratio[todo[hit]] = ratios[at[hit]]
+        on = (there < wanted) & (at + 1 < len(mixed))
+        todo, wanted, at = todo[on], wanted[on], at[on] + 1
+    return known, ratio
+
+
+def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> Ratios:
+    """The log ratios, from the labelled texts of the counting folds."""
     fold = texts.train_fold(F.col(key))
     some = docs.filter(fold.isin(*COUNT_FOLDS)).select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     # Texts meet their labels by a sorted join, as few or many as these are.
     rows = some.join(_labelled(labels, key, label).hint("merge"), "key").select("text", "label")
     counted = texts.mapped(rows, _count, "gram long, toxic long, plain long")
     grams = texts.stored(counted.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "grams")
-    checks, ratios = np.zeros(1 << SLOT_BITS, np.uint32), np.zeros(1 << SLOT_BITS, np.float32)
     if grams.isEmpty():
-        return checks, ratios
-    placed = texts.mapped(_ratios(grams), _placed, "slot long, check long, ratio double, weight double")
-    best = placed.groupBy("slot").agg(F.max(F.struct("weight", "check", "ratio")).alias("best")).select("slot", "best.check", "best.ratio").toPandas()
-    checks[best["slot"]] = best["check"]
-    ratios[best["slot"]] = best["ratio"]
-    return checks, ratios
+        return Ratios(_table(np.zeros(0, np.int64), np.zeros(0, np.float32)))
+    ratios = texts.stored(_ratios(grams), "ratios")
+    if ratios.count() > TABLE_ENTRIES:
+        return Ratios(None, ratios)
+    found = ratios.toPandas()
+    return Ratios(_table(found["code"].to_numpy(), found["ratio"].to_numpy()))
+
+
+def _measures(data: np.ndarray, offsets: np.ndarray, table: Table, classes: np.ndarray) -> np.ndarray:
+    """The measures of the texts of one slice."""
+    out = np.zeros((len(offsets) - 1, 4 + len(LEVELS)))
+    grams, ends, doc = _coded(data, offsets, classes)
+    if not len(grams):
+        return out
+    known, ratio = _found(table, grams * np.uint64(2))
+    new = np.flatnonzero(~known)
+    ratio[new] = _found(table, (grams[new] >> np.uint64(CHAR_BITS)) * np.uint64(2) + np.uint64(1))[1]
+    last = np.flatnonzero(ends)
+    first = np.append(0, last[:-1] + 1)
+    word, length = np.add.reduceat(ratio, first, dtype=np.float64), last + 1 - first
+    of = doc[last]
+    start = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+    total = lambda x: np.add.reduceat(x, start, dtype=np.float64)
+    columns = [
+        total(word) / total(length), np.maximum.reduceat(word / length, start), np.log1p(total(np.ones(len(word)))),
+        *(np.log1p(total(word > level)) for level in LEVELS), np.log1p(total(np.maximum(0, word - LEVELS[0]))),
+    ]
+    out[of[start]] = np.stack(columns, axis=1)
+    return out
+
+
+def _lists(out: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]), pa.array(out.ravel()))
 
 
-def measure(spark: SparkSession, docs: DataFrame, slots: tuple[np.ndarray, np.ndarray], key: str, text: str, whole: bool = False) -> DataFrame:
+def measure(spark: SparkSession, docs: DataFrame, ratios: Ratios, key: str, text: str, whole: bool = False) -> DataFrame:
     """(key, measure) of each text: log ratio by length of the text and of its most toxic word, logarithms of the number
     of words, of those above each level, and of how much they exceed the first level.
 
     With ``whole``, ``key`` is a struct of the whole row and ``text`` its field, so that a text travels once.
     """
-    shared = spark.sparkContext.broadcast(slots)
+    rows = docs.select(F.col(key).alias("key"), *([] if whole else [F.col(text).cast("string").alias("text")]))
+    schema = texts.with_key(docs, key, "measure array<double>")
+    if ratios.table is None:
+        return _measured_by_join(rows, ratios.rows, text if whole else None, schema)
+    shared = spark.sparkContext.broadcast(ratios.table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        checks, ratios = shared.value
         classes = char_classes()
         for batch in batches:
             data, offsets = texts.utf8(batch.column(0).field(text) if whole else batch.column(1))
-            out = np.zeros((batch.num_rows, 4 + len(LEVELS)))
-            for i, j in texts.slices(offsets):
-                grams, ends, doc = _coded(data, offsets[i : j + 1], classes)
-                if not len(grams):
-                    continue
-                slot, check = _slots(0, grams)
-                known = checks[slot] == check
-                ratio = np.where(known, ratios[slot], 0)
-                new = np.flatnonzero(~known)
-                slot, check = _slots(1, grams[new] >> np.uint64(CHAR_BITS))
-                ratio[new] = np.where(checks[slot] == check, ratios[slot], 0)
-                last = np.flatnonzero(ends)
-                first = np.append(0, last[:-1] + 1)
-                word, length = np.add.reduceat(ratio, first, dtype=np.float64), last + 1 - first
-                of = doc[last]
-                start = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-                total = lambda x: np.add.reduceat(x, start, dtype=np.float64)  # noqa: B023, E731
-                columns = [
-                    total(word) / total(length), np.maximum.reduceat(word / length, start), np.log1p(total(np.ones(len(word)))),
-                    *(np.log1p(total(word > level)) for level in LEVELS), np.log1p(total(np.maximum(0, word - LEVELS[0]))),
-                ]
-                out[i + of[start]] = np.stack(columns, axis=1)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]), pa.array(out.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["key", "measure"])
+            out = [_measures(data, offsets[i : j + 1], shared.value, classes) for i, j in texts.slices(offsets)]
+            if out:
+                yield pa.RecordBatch.from_arrays([batch.column(0), _lists(np.concatenate(out))], ["key", "measure"])
 
-    rows = docs.select(F.col(key).alias("key"), *([] if whole else [F.col(text).cast("string").alias("text")]))
-    return texts.mapped(rows, run, texts.with_key(docs, key, "measure array<double>"))
+    return texts.mapped(rows, run, schema)
+
+
+def _measured_by_join(rows: DataFrame, ratios: DataFrame, field: str | None, schema: StructType) -> DataFrame:
+    """The measures with a table of ratios of any size: a slice of documents is a row and meets those of its own codes."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            _, offsets = texts.utf8(batch.column(0).field(field) if field else batch.column(1))
+            for i, j in texts.slices(offsets, JOINED_BYTES):
+                lists = [pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), c.slice(i, j - i)) for c in batch.columns]
+                yield pa.RecordBatch.from_arrays([pa.array([number]), *lists], ["slice", *batch.schema.names])
+                number += 1
+
+    def cells(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
+        """Of each slice its row, keys and texts."""
+        for r in range(batch.num_rows):
+            keys, last = batch.column(1)[r].values, batch.column(2)[r].values if not field else None
+            yield r, keys, *texts.utf8(keys.field(field) if field else last)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = char_classes()
+        for batch in batches:
+            for r, _, data, offsets in cells(batch):
+                grams = np.unique(_coded(data, offsets, classes)[0])
+                codes = np.append(grams * np.uint64(2), np.unique(grams >> np.uint64(CHAR_BITS)) * np.uint64(2) + np.uint64(1))
+                slices = np.full(len(codes), batch.column(0)[r].as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(slices), pa.array(codes.view(np.int64))], ["slice", "code"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = char_classes()
+        for batch in batches:
+            for r, keys, data, offsets in cells(batch):
+                own = batch.column(batch.num_columns - 1)[r].values
+                own = pa.array([], pa.struct([("code", pa.int64()), ("ratio", pa.float32())])) if own is None else own
+                table = _table(own.field("code").to_numpy(), own.field("ratio").to_numpy())
+                yield pa.RecordBatch.from_arrays([keys, _lists(_measures(data, offsets, table, classes))], ["key", "measure"])
+
+    packed = StructType([StructField("slice", LongType()), *[StructField(f.name, ArrayType(f.dataType)) for f in rows.schema.fields]])
+    slices = texts.stored(texts.mapped(rows, pack, packed), "slices")
+    codes = texts.mapped(slices, code, "slice long, code long")
+    own = codes.join(ratios.hint("merge"), "code").groupBy("slice").agg(F.collect_list(F.struct("code", "ratio")).alias("own"))
+    return texts.mapped(slices.join(own.hint("merge"), "slice", "left").select(*slices.columns, "own"), run, schema)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -236,7 +313,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
 
 @dataclass
 class Model:
-    slots: tuple[np.ndarray, np.ndarray]
+    ratios: Ratios
     weights: np.ndarray
 
     def score(self) -> Column:
@@ -248,17 +325,17 @@ class Model:
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> Model:
     """The models of both classes and the logistic curve over their measures."""
-    slots = train(docs, labels, key, text, label)
+    ratios = train(docs, labels, key, text, label)
     of = texts.hashed_sample(_labelled(labels, key, label).filter(texts.train_fold(F.col("key")).isin(*CURVE_FOLDS)), "key", CURVE_ROWS)
     some = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(texts.train_fold(F.col("key")).isin(*CURVE_FOLDS))
-    measured = measure(spark, some, slots, "key", "text")
+    measured = measure(spark, some, ratios, "key", "text")
     rows = measured.join(of.hint("merge"), "key").select("measure", "label").toPandas()
     y = rows["label"].to_numpy(float)
     share = y.mean() if len(y) else 0.0
     if share in (0.0, 1.0):
         share = min(max(share, 1e-6), 1 - 1e-6)
-        return Model(slots, np.append(np.zeros(4 + len(LEVELS)), np.log(share / (1 - share))))
-    return Model(slots, logistic(np.stack(rows["measure"].to_numpy()), y))
+        return Model(ratios, np.append(np.zeros(4 + len(LEVELS)), np.log(share / (1 - share))))
+    return Model(ratios, logistic(np.stack(rows["measure"].to_numpy()), y))
 
 
 def _labelled(labels: DataFrame, key: str, label: str) -> DataFrame:
@@ -268,14 +345,14 @@ def _labelled(labels: DataFrame, key: str, label: str) -> DataFrame:
 def scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
     """(key, measure, score) for each document."""
     model = fit(spark, docs, labels, key, text, label)
-    return measure(spark, docs, model.slots, key, text).withColumn("score", model.score())
+    return measure(spark, docs, model.ratios, key, text).withColumn("score", model.score())
 
 
 def remove(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, limit: float = 0.5) -> DataFrame:
     """The documents with a score below the limit, with all their columns."""
     model = fit(spark, docs, labels, key, text, label)
     rows = docs.select(texts.whole_row(docs).alias("row"))
-    return measure(spark, rows, model.slots, "row", text, whole=True).filter(model.score() < limit).select("key.*")
+    return measure(spark, rows, model.ratios, "row", text, whole=True).filter(model.score() < limit).select("key.*")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
