@@ -97,6 +97,29 @@ def test_query_matches_all_pairs(spark, sf):
     assert [found[i] for i, _ in rows] == brute(rows)
 
 
+def test_repeated_lines_match_all_pairs(spark):
+    """Near duplicates by their sets whose multisets have little in common: one word of a line replaced in all its repeats."""
+    rows = []
+    for k in range(12):
+        body, line = odd.prose(1000 + k, 60), [f"w{k}x{i}" for i in range(10)]
+        rows.append((2 * k, body + " " + " ".join(line * 200)))
+        line[4] = "other"
+        rows.append((2 * k + 1, body + " " + " ".join(line * 200)))
+    # Four and five shingles, four of them the same: exactly at the limit.
+    rows += [(100 + 2 * k + more, " ".join(f"s{k}x{i}" for i in range(8 + more))) for k in range(40) for more in (0, 1)]
+    found = {r["key"]: r["class_id"] for r in neardup.classes(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()}
+    assert brute(rows) == [i - i % 2 for i, _ in rows]
+    assert [found[i] for i, _ in rows] == brute(rows)
+
+
+def test_set_sketches_find_pairs_at_the_limit():
+    """Sets of 400 shingles at a Jaccard similarity of 0.8: every pair meets in a set sketch, and in about 0.512 of them."""
+    data, offsets = texts.utf8(pa.array([t for k in range(300) for t in (odd.prose(k, 360) + " " + odd.prose(k + 5000, 44), odd.prose(k, 360) + " " + odd.prose(k + 9000, 44))]))
+    out = neardup.sketch(texts.Words(data, offsets, *texts.folded_words()))[0][:, neardup.SKETCHES :]
+    same = out[::2] == out[1::2]
+    assert same.any(axis=1).all() and 0.48 < same.mean() < 0.55
+
+
 def test_groups_need_several_rounds(spark):
     """Texts that share a passage but are no copies, and chains of copies, fall into the right classes."""
     pick = random.Random(9)
