@@ -52,3 +52,45 @@ def test_odd_rows(spark):
     none = tree(df.limit(0), "d")
     assert warc.audit(none, none)[0].count() == 0
     assert sorted(r["node"] for r in warc.audit(a, none)[0].collect()) == [-1, 1, 2]
+
+
+def test_records_at_other_places_are_found(spark):
+    stored = warc.write(pages(spark, 300), "page_id", "url", "html")
+    a = warc.tree(warc.stored_manifest(stored), "a")
+    size = {r["slot"]: (r["start"], r["end"] - r["start"]) for r in stored.collect()}
+
+    def moved(start, name):
+        at = start.cast("long")
+        rows = stored.select("slot", "file", at.alias("start"), (at + F.octet_length("data")).alias("end"), "data")
+        b = warc.tree(warc.stored_manifest(rows), name)
+        assert a[-1].first()["hash"] != b[-1].first()["hash"]
+        found = warc.audit(a, b)[0].collect()
+        assert all(r["expected"] == r["found"] for r in found)
+        return sorted(r["node"] for r in found)
+
+    at = F.col("start")
+    swapped = F.when(F.col("slot") == 50, at + size[51][1]).when(F.col("slot") == 51, F.lit(size[50][0])).otherwise(at)
+    assert moved(swapped, "b") == [50, 51]
+    assert moved(at + 10, "c") == [0]
+    assert moved(F.when(F.col("slot") >= 70, at + 4).otherwise(at), "d") == [70]
+
+
+def test_located_ranges_open_in_the_stored_bytes(spark):
+    first = warc.write(pages(spark, 5000), "page_id", "url", "html")
+    second = warc.write(pages(spark, 5000, change=(17, 4500)), "page_id", "url", "html")
+    bad, _ = warc.audit(*[warc.tree(warc.stored_manifest(s), n) for s, n in ((first, "a"), (second, "b"))])
+    rows = bad.collect()
+    assert sorted((r["node"], r["file"]) for r in rows) == [(17, 0), (4500, 1)]
+    for r in rows:
+        data = warc.read_range(first, r["file"], r["start"], r["end"])
+        assert hashlib.sha256(data).hexdigest() == r["expected"] and f"<p>{r['node']}</p>".encode() in data
+    whole = sorted((r["start"], bytes(r["data"])) for r in first.filter("file = 1").collect())
+    joined = b"".join(d for _, d in whole)
+    assert warc.read_range(first, 1, 100, 5000) == joined[100:5000] and joined.count(b"WARC/1.1") == 5000 - 4096
+
+
+def test_damaged_stored_bytes_are_found(spark):
+    stored = warc.write(pages(spark, 100), "page_id", "url", "html")
+    hurt = F.when(F.col("slot") == 40, F.concat(F.expr("substring(data, 1, 20)"), F.lit("!").cast("binary"), F.expr("substring(data, 22)"))).otherwise(F.col("data"))
+    a, b = (warc.tree(warc.stored_manifest(s), n) for s, n in ((stored, "a"), (stored.withColumn("data", hurt), "b")))
+    assert [r["node"] for r in warc.audit(a, b)[0].collect()] == [40]

@@ -1,12 +1,19 @@
 """Fixity audit of WARC replicas by Merkle trees.
 
-A record's leaf is the SHA-256 of its bytes. A node of the next level covers an ordered range of ``FANOUT`` slots below
-it: its hash is that of its children's hashes with their place, and it knows the range of file offsets under it. Levels
-follow until at most ``FANOUT`` nodes are left, whose hash is the root. Replicas with equal roots are equal. Else the
-audit goes down from the root, level by level, and looks only at children of nodes that differ, down to the records.
+A replica is stored as rows, one for each WARC record: its file, its offsets there and its bytes; a file is the bytes of its
+rows in the order of their offsets. The audit reads these rows: hashes and lengths are those of the stored bytes, and
+``read_range`` opens a range of offsets that it names.
 
-A file holds ``FILE_RECORDS`` slots. Only hashes and offsets are shuffled, never records, and a group never has more than
-``FANOUT`` rows, whatever the sizes of files.
+A leaf hashes the file, the place, the length and the SHA-256 of its slot's bytes. The place is the distance from the furthest end
+of the slots before it in the file, so that equal leaves mean equal offsets, and yet a longer record does not make all that
+follow it differ. A node of the next level covers an ordered range of ``FANOUT`` slots below it: its hash is that of its
+children's hashes with their numbers, and it knows the range of file offsets under it. Levels
+follow until at most ``FANOUT`` nodes are left, whose hash is the root. Replicas with equal roots have the same records at the
+same offsets. Else the audit goes down from the root, level by level, and looks only at children of nodes that differ, down
+to the records. One with the same bytes at another place has equal hashes: where a file is shifted, that is the first one.
+
+A file holds ``FILE_RECORDS`` slots. Records are shuffled once, as they are written, one task for a file; the audit shuffles
+hashes and offsets only, and a group of its tree never has more than ``FANOUT`` rows.
 
 Defined cases: null urls and bodies are empty; records of one id share a slot, whose leaf then does not depend on their
 order; records with a null id have slot -1. An empty replica has no nodes, and two of them are equal. Other columns are
@@ -20,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm import text as texts
+from tidemark.shared import scratch_path
 
 FANOUT = 16
 FILE_RECORDS = 4096
@@ -36,24 +44,58 @@ def record(key: Column, url: Column, body: Column) -> Column:
     return F.concat(F.encode(head, "UTF-8"), body, F.encode(F.lit("\r\n\r\n"), "UTF-8"))
 
 
-def manifest(pages: DataFrame, key: str, url: str, body: str) -> DataFrame:
-    """(slot, file, start, end, sha256) of each record, in files of consecutive slots."""
-    rows = pages.select(F.coalesce(F.col(key).cast("long"), F.lit(-1)).alias("slot"), record(F.col(key), F.col(url), F.col(body)).alias("record"))
-    rows = rows.select("slot", F.floor(F.col("slot") / FILE_RECORDS).alias("file"), F.octet_length("record").cast("long").alias("size"), F.sha2("record", 256).alias("sha256"))
+def write(pages: DataFrame, key: str, url: str, body: str) -> DataFrame:
+    """Store the records, in files of consecutive slots, and return them as (slot, file, start, end, data) read from there.
+
+    Records of one slot follow each other by their SHA-256.
+    """
+    rows = pages.select(F.coalesce(F.col(key).cast("long"), F.lit(-1)).alias("slot"), record(F.col(key), F.col(url), F.col(body)).alias("data"))
+    rows = rows.withColumn("file", F.floor(F.col("slot") / FILE_RECORDS)).withColumn("size", F.octet_length("data").cast("long"))
+    order = Window.partitionBy("file").orderBy("slot", F.sha2("data", 256)).rowsBetween(Window.unboundedPreceding, 0)
+    placed = rows.withColumn("end", F.sum("size").over(order)).select("slot", "file", (F.col("end") - F.col("size")).alias("start"), "end", "data")
+    spark = pages.sparkSession
+    path = scratch_path(spark, "warc")
+    placed.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()  # drops the shuffle files, see texts.stored
+    return spark.read.schema(placed.schema).parquet(path)
+
+
+def read_range(stored: DataFrame, file: int, start: int, end: int) -> bytes:
+    """The bytes from ``start`` up to ``end`` of a stored file, zeros where nothing stands."""
+    out = bytearray(end - start)
+    for r in stored.filter((F.col("file") == file) & (F.col("start") < end) & (F.col("end") > start)).orderBy("start").toLocalIterator():
+        low, high = max(start, r["start"]), min(end, r["end"])
+        out[low - start : high - start] = r["data"][low - r["start"] : high - r["start"]]
+    return bytes(out)
+
+
+def stored_manifest(stored: DataFrame) -> DataFrame:
+    """(slot, file, start, end, sha256) of the stored bytes of each slot."""
+    rows = stored.select("slot", "file", "start", F.octet_length("data").cast("long").alias("size"), F.sha2("data", 256).alias("sha256"))
     # Records of one slot are summed up before the offsets, so that a file's rows are bounded by its slots.
     part = lambda i: F.conv(F.substring("sha256", i, 15), 16, 10).cast("decimal(20,0)")
     slots = rows.groupBy("file", "slot").agg(
-        F.count("*").alias("n"), F.sum("size").alias("size"), F.max("sha256").alias("one"), *[F.sum(part(1 + 15 * i)).alias(f"p{i}") for i in range(4)]
-    )
+        F.count("*").alias("n"), F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"),
+        F.max("sha256").alias("one"), *[F.sum(part(1 + 15 * i)).alias(f"p{i}") for i in range(4)],
+    )
     several = F.sha2(F.concat_ws(":", "n", *[F.col(f"p{i}").cast("string") for i in range(4)]), 256)
-    order = Window.partitionBy("file").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum("size").over(order)
-    return slots.select("slot", "file", (end - F.col("size")).alias("start"), end.alias("end"), F.when(F.col("n") == 1, F.col("one")).otherwise(several).alias("sha256"))
+    return slots.select("slot", "file", "start", "end", F.when(F.col("n") == 1, F.col("one")).otherwise(several).alias("sha256"))
+
+
+def manifest(pages: DataFrame, key: str, url: str, body: str) -> DataFrame:
+    """The manifest of the pages once they are stored."""
+    return stored_manifest(write(pages, key, url, body))
 
 
 def tree(records: DataFrame, name: str) -> list[DataFrame]:
-    """The levels from the records up to the root: (node, hash, file, start, end), the last with node 0 only."""
-    leaves = records.select(F.col("slot").alias("node"), F.col("sha256").alias("hash"), "file", "start", "end")
+    """The levels from the records up to the root: (node, hash, file, start, end), the last with node 0 only.
+
+    The first has the SHA-256 of the bytes as well.
+    """
+    before = Window.partitionBy("file").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.col("start") - F.coalesce(F.max("end").over(before), F.lit(0))
+    leaf = F.sha2(F.concat_ws(":", *[c.cast("string") for c in (F.col("file"), place, F.col("end") - F.col("start"), F.col("sha256"))]), 256)
+    leaves = records.select(F.col("slot").alias("node"), leaf.alias("hash"), "file", "start", "end", "sha256")
     levels = [texts.stored(leaves, f"{name}0")]
     while levels[-1].count() > FANOUT:
         levels.append(texts.stored(_above(levels[-1], F.floor(F.col("node") / FANOUT)), f"{name}{len(levels)}"))
@@ -69,10 +111,10 @@ def _above(level: DataFrame, node: Column) -> DataFrame:
     return grouped.select(F.col("parent").alias("node"), F.sha2(text, 256).alias("hash"), "file", "start", "end")
 
 
-def _differing(a: DataFrame, b: DataFrame) -> DataFrame:
-    left = a.select("node", F.col("hash").alias("expected"), "file", "start", "end")
-    right = b.select("node", F.col("hash").alias("found"), F.col("file").alias("file_b"), F.col("start").alias("start_b"), F.col("end").alias("end_b"))
-    both = left.join(right, "node", "full").filter(~F.col("expected").eqNullSafe(F.col("found")))
+def _differing(a: DataFrame, b: DataFrame, shown: str = "hash") -> DataFrame:
+    left = a.select("node", F.col(shown).alias("expected"), "hash", "file", "start", "end")
+    right = b.select("node", F.col(shown).alias("found"), F.col("hash").alias("hash_b"), F.col("file").alias("file_b"), F.col("start").alias("start_b"), F.col("end").alias("end_b"))
+    both = left.join(right, "node", "full").filter(~F.col("hash").eqNullSafe(F.col("hash_b")))
     return both.select("node", "expected", "found", *[F.coalesce(c, f"{c}_b").alias(c) for c in ("file", "start", "end")])
 
 
@@ -94,7 +136,7 @@ def audit(a: list[DataFrame], b: list[DataFrame]) -> tuple[DataFrame, list[int]]
         under = lambda t: t.withColumn("parent", parent).join(parents, "parent", "left_semi").drop("parent")  # noqa: B023, E731
         left, right = under(level(a, k)), under(level(b, k))
         compared.append(left.select("node").union(right.select("node")).distinct().count())
-        bad = texts.stored(_differing(left, right), f"differing{k}")
+        bad = texts.stored(_differing(left, right, "hash" if k else "sha256"), f"differing{k}")
     return bad, compared
 
 
@@ -109,7 +151,7 @@ def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     copy = pages.filter(~hurt(LOST)).select("page_id", "url", body.alias("html"))
     trees = [tree(manifest(p, "page_id", "url", "html"), n) for p, n in ((pages, "first"), (copy, "second"))]
     bad, _ = audit(*trees)
-    status = F.when(F.col("found").isNull(), "lost").when(F.col("expected").isNull(), "extra").otherwise("changed")
+    status = F.when(F.col("found").isNull(), "lost").when(F.col("expected").isNull(), "extra").when(F.col("expected") == F.col("found"), "moved").otherwise("changed")
     return bad.select(F.col("node").alias("page_id"), "file", F.col("start").alias("start_offset"), F.col("end").alias("end_offset"), "expected", "found", status.alias("status"))
 
 
