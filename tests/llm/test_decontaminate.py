@@ -62,3 +62,21 @@ def test_odd_rows(spark):
     ] + [(True, 0)] * 2
     assert decontaminate.remove(spark, odd.empty(spark), items, "text", "item_id", "text").count() == 0
     assert decontaminate.remove(spark, docs, items.limit(0), "text", "item_id", "text").count() == len(odd.rows())
+
+
+def test_items_without_an_id_are_found(spark):
+    docs = spark.createDataFrame([(1, "a secret word here"), (2, "nothing of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "secret word"), (7, "secret word"), (8, None)], "item_id long, text string")
+    found = {r["key"]: sorted(map(tuple, r["matches"]), key=repr) for r in decontaminate.matches(spark, docs, items, "doc_id", "text", "item_id", "text").collect()}
+    assert found == {1: [("7", 0, 1, 2), (None, 0, 1, 2)], 2: []}
+
+
+def test_blocks_are_bounded_when_an_item_is_repeated(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 40)
+    rows = [(1, "one two three")] * 50 + [(k, f"item {k} text") for k in range(2, 12)]
+    seen, plain_tests = [], decontaminate._scanner
+    monkeypatch.setattr(decontaminate, "_scanner", lambda shared, *a: (seen.append(shared.value), plain_tests(shared, *a))[1])
+    docs = spark.createDataFrame([(1, "one two three item 5 text")], "doc_id long, text string")
+    found = decontaminate.matches(spark, docs, spark.createDataFrame(rows, "item_id long, text string"), "doc_id", "text", "item_id", "text").collect()
+    assert sorted(m["item"] for m in found[0]["matches"]) == ["1", "5"]
+    assert len(seen) > 1 and all(sum(len(t) for _, t in block) <= 40 for block in seen) and sum(map(len, seen)) == 11

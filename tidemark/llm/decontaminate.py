@@ -3,11 +3,13 @@
 Each slice of documents is a shard. Its suffix array holds the suffixes that can match at all, those whose first
 words follow each other in some test item, sorted by their first ``window`` words. Every test suffix is found in it
 by binary search, which gives all its places; matches that go on along a diagonal are joined into longest verbatim
-matches with their locations. The test items are a stated query set: they go to the executors in blocks of at most
-``BLOCK_BYTES`` of text, one block after the other, however many there are.
+matches with their locations. The test items are a stated query set: each (item, text) once, they go to the executors in
+blocks of at most ``BLOCK_BYTES`` of text or one longer item, one block after the other, however many there are.
 
 Defined cases: a null text has no words; an item with fewer words than the window is one window of all of them; an
-item without words never matches. Repeated rows are searched each; equal items match each under their own id. Other
+item without words never matches. An item without an id is searched by ``matches`` like any other, under a null id, which
+the query counts as one id and leaves out of the joined ids; ``remove`` passes such items over. Repeated documents are searched
+each; equal items match each under their own id. Other
 columns of the documents are kept as they are in ``remove`` and left out of ``matches``.
 """
 
@@ -146,19 +148,30 @@ def matches(spark: SparkSession, docs: DataFrame, tests: DataFrame, key: str, te
 
 def _matched(spark: SparkSession, rows: DataFrame, text: str, tests: DataFrame, item: str, item_text: str, window: int) -> DataFrame:
     """(key, n_words, matches) for rows of one struct ``key`` with a field ``text``."""
-    items = tests.select(F.col(item).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).dropna()
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = total // BLOCK_BYTES + 1
-    block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
+    items = tests.select(F.col(item).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).dropna(subset=["text"])
+    items = items.distinct()
+    several = (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > BLOCK_BYTES
     schema = texts.with_key(rows, "key", FOUND)
-    for b in range(blocks):
-        some = [(r["item"], r["text"]) for r in items.filter(block == b).orderBy("item", "text").toLocalIterator()]
+    for some in _blocks(items):
         rows = texts.mapped(rows, _scanner(spark.sparkContext.broadcast(some), window, text), schema)
-        if blocks > 1:
+        if several:
             rows = texts.stored(rows, "decontaminate")
     return rows
 
 
+def _blocks(items: DataFrame) -> Iterator[list[tuple[str | None, str]]]:
+    """The items in blocks of bounded size; one empty block if there are none."""
+    some, size = [], 0
+    for r in items.orderBy("item", "text").toLocalIterator():
+        more = len(r["text"].encode())
+        if some and size + more > BLOCK_BYTES:
+            yield some
+            some, size = [], 0
+        some.append((r["item"], r["text"]))
+        size += more
+    yield some
+
+
 def n_hit(found: str = "matches"):
     """The number of words that lie in any match, as a column."""
     ordered = F.array_sort(F.transform(found, lambda m: F.struct(m["start"].alias("a"), (m["start"] + m["n_words"]).alias("b"))))
@@ -171,7 +184,7 @@ def n_hit(found: str = "matches"):
 
 def remove(spark: SparkSession, docs: DataFrame, tests: DataFrame, text: str, item: str, item_text: str, window: int = WINDOW) -> DataFrame:
     """The documents without a match, with all their columns."""
-    found = _matched(spark, docs.select(texts.whole_row(docs).alias("key")), text, tests, item, item_text, window)
+    found = _matched(spark, docs.select(texts.whole_row(docs).alias("key")), text, tests.filter(F.col(item).isNotNull()), item, item_text, window)
     return found.filter(F.size("matches") == 0).select("key.*")
 
 
