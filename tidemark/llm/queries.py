@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, decontaminate, langid, neardup, substrings, token_files, topk, toxicity, warc, whitening
+from tidemark.llm import bpe, chat, decontaminate, langid, neardup, pii, substrings, token_files, topk, toxicity, warc, whitening
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
@@ -20,6 +20,7 @@ RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_token_files": token_files.op10_token_files,
     "op12_whitening": whitening.op12_whitening,
+    "op13_pii": pii.op13_pii,
 }
 
 ORACLES: dict[str, str] = {
