@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, decontaminate, langid, neardup, pii, substrings, token_files, topk, toxicity, warc, whitening
+from tidemark.llm import bpe, chat, decontaminate, hardneg, langid, neardup, pii, substrings, token_files, topk, toxicity, warc, whitening
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": langid.op1_language_id,
@@ -19,6 +19,7 @@ RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_top_k": topk.op8_top_k,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_token_files": token_files.op10_token_files,
+    "op11_hard_negatives": hardneg.op11_hard_negatives,
     "op12_whitening": whitening.op12_whitening,
     "op13_pii": pii.op13_pii,
 }
@@ -29,4 +30,5 @@ ORACLES: dict[str, str] = {
     "op7_substrings": substrings.OP7_SQL,
     "op8_top_k": topk.OP8_SQL,
     "op9_decontaminate": decontaminate.OP9_SQL,
+    "op11_hard_negatives": hardneg.OP11_SQL,
 }

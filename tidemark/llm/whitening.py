@@ -22,10 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import text as texts
+from tidemark.llm.vectors import usable
 from tidemark.operators import moments
 
 PASSES = 3
@@ -34,12 +35,6 @@ SLICE_CELLS = 1 << 20
 FIELDS = "component int, n long, deviation long, whitened double, explained double, identity_error double"
 
 
-def usable(vector: Column) -> Column:
-    """Neither null nor empty, and no component null or non-finite."""
-    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    return vector.isNotNull() & (F.size(vector) > 0) & F.forall(vector, finite)
-
-
 def deviations(rows: np.ndarray, n: int, sums: list[int]) -> np.ndarray:
     """n * x - S as exact integers, in Python's own where 64 bits might not do."""
     if n * max(1, int(np.abs(rows.astype(float)).max(initial=0))) + max(map(abs, sums), default=0) < 1 << 62:
