@@ -16,7 +16,7 @@ def plain(queries, rows, k):
 @pytest.mark.parametrize("clusters", [0, 5])
 def test_matches_scoring_everything(spark, monkeypatch, clusters):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 64)
-    monkeypatch.setattr(topk, "QUERY_ROWS", 8)
+    monkeypatch.setattr(topk.vectors, "QUERY_BYTES", 8 * 8 * 12)
     pick = np.random.default_rng(clusters)
     vectors = pick.integers(-9, 9, (700, 12))
     if clusters:
@@ -28,13 +28,57 @@ def test_matches_scoring_everything(spark, monkeypatch, clusters):
 
 
 def test_reading_stops_early_where_bounds_allow():
-    """A block with one near vector and many far ones is decided before its lists end."""
-    block = np.vstack([np.full((1, 4), 100.0), -np.abs(np.random.default_rng(0).integers(1, 50, (99, 4)))]).astype(float)
-    lists = topk.Lists(block)
-    signed = np.hstack([np.ones((1, 4)), np.zeros((1, 4))])
-    lower, upper = lists.bounds(25, signed)
-    assert (lower <= block @ np.ones((4, 1))).all() and (upper >= block @ np.ones((4, 1))).all()
-    assert (upper[1:] < lower[0]).all()
+    """A block with some near vectors and many far ones is decided before its lists end."""
+    pick = np.random.default_rng(0)
+    block = np.vstack([np.full((5, 4), 100), -pick.integers(1, 50, (95, 4))])
+    queries = np.ones((1, 4), np.int64)
+    best = topk.Best(1, 5)
+    depths = topk.search_block(block, np.arange(100), queries, np.array([-1]), best)
+    assert depths[0] < 0.5 and [i for _, i in best.heaps[0]] == [0, 1, 2, 3, 4]
+
+
+def test_bounds_hold_at_every_depth():
+    pick = np.random.default_rng(1)
+    block, queries = pick.integers(-50, 50, (200, 9)).astype(float), pick.integers(-50, 50, (7, 9)).astype(float)
+    signed = np.hstack([np.maximum(queries, 0), np.minimum(queries, 0)])
+    lists, exact = topk.Lists(block), block @ queries.T
+    part = np.zeros(exact.shape)
+    for low in range(0, 200, 20):
+        part += lists.part(low, low + 20, signed)
+        upper = part + (lists.rest(low + 20, signed) if low + 20 < 200 else 0)
+        assert (upper >= exact - 1e-9).all()
+    assert np.allclose(part, exact)
+
+
+def test_share_decided_before_the_lists_end(spark, sf):
+    """On the test vectors, which point everywhere, most queries stop reading after five eighths of the lists."""
+    df = spark.read.parquet(sf.replace("0.001", "0.1") + "/embeddings.parquet").select("vec_id", topk.vectors.whole(F.col("embedding")).alias("v")).collect()
+    block = np.array([r["v"] for r in df])
+    ids = np.array([r["vec_id"] for r in df])
+    own = np.flatnonzero(ids % 50 == 0)
+    best = topk.Best(len(own), 5)
+    depths = topk.search_block(block, ids, block[own], ids[own], best)
+    assert (depths < 1).mean() == 1 and np.median(depths) <= 0.7
+    scores = block @ block[own].T
+    scores[own, np.arange(len(own))] = -np.inf
+    assert [sorted(-s for s, _ in heap) for heap in best.heaps] == np.sort(scores, axis=0)[-5:].T.astype(int).tolist()
+
+
+@pytest.mark.parametrize("low, high", [(2**24, 2**25), (-(2**27), 2**27), (-(2**45), 2**45)])
+def test_large_components_are_exact(spark, low, high):
+    """Beyond 2^53 scores are added up in integers; beyond 64 bits they rank by their true value."""
+    pick = np.random.default_rng(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(pick.integers(low, high, (200, 64)))]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>").repartition(2)
+    found = sorted(map(tuple, topk.top_k(spark, df.filter("vec_id % 50 = 0"), df, 5).collect()))
+    near = lambda s: min(max(s, -(2**63 - 1)), 2**63 - 1)
+    assert found == [(q, r, i, near(s)) for q, r, i, s in plain(rows[::50], rows, 5)]
+
+
+def test_an_id_with_two_vectors_is_one_query(spark):
+    df = spark.createDataFrame([(0, [2, 0]), (0, [1, 5]), (1, [3, 1]), (2, [0, 9])], "vec_id long, vector array<long>")
+    found = sorted(map(tuple, topk.top_k(spark, df.filter("vec_id = 0"), df, 2).collect()))
+    assert found == [(0, 1, 2, 45), (0, 2, 1, 8)]
 
 
 def test_odd_rows(spark):

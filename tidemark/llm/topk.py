@@ -1,37 +1,44 @@
 """Exact top-k inner products by no-random-access aggregation.
 
-Each block of candidates has one sorted list for each component and direction. A query reads those of its positive
-components from the top and those of its negative ones from the bottom, all to the same depth. What was read of a
-candidate is its part score; what was not is at most the last value read of that list and at least its last value, which
-gives an upper and a lower bound. Once no candidate outside has an upper bound that reaches the k-th greatest lower
-bound, or the k-th score that earlier blocks of the task gave, reading stops, and the scores of those left are resolved.
-Lists are read for a block of queries at once, as matrix products over what is known at a depth.
-
-The queries are a stated set: they go to the executors in blocks of ``QUERY_ROWS``, each block against all rows. Every
-task returns at most k rows for a query.
+Each block of candidates has one sorted list for each component. A query reads those of its positive components from the
+top and those of its negative ones from the bottom, all to the same depth, a step at a time. What was read of a candidate
+is its part score; what was not is at most the last value read of that list, which gives an upper bound. The candidates
+of greatest upper bound so far are resolved, and the k-th greatest of all resolved scores, those of earlier blocks of the
+task among them, is the lower bound of the k-th score. Reading stops once the candidates whose upper bound reaches it are
+few (a ``FEW``-th of the block); all others cannot qualify, and the scores of these few are resolved. Lists are read for
+a block of queries at once: a step is a product of what it reads with the queries.
+
+The queries are a stated set: they go to the executors in blocks of at most ``vectors.QUERY_BYTES``, one after the other,
+each against all rows; the results of a block are written before the next one starts. Every task returns at most k rows
+for a query.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite components take no part, nor do null ids; two
-vectors of different lengths are not compared; an id that comes more than once is one query, is no candidate of its
-own, and all its rows are candidates of others; ties go to the smaller id. Components must be below 2^20 in size, so
-that sums of products are exact in doubles (up to 8,000 components). Other columns are ignored.
+vectors of different lengths are not compared; an id that comes more than once is one query, with the least of its
+vectors, is no candidate of its own, and all its rows are candidates of others; ties go to the smaller id. Scores are
+exact for components of every size; one beyond 64 bits ranks by its true value and is returned as the nearest long.
+Other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm import text as texts
+from tidemark.llm import vectors
+from tidemark.llm.vectors import usable
 
-QUERY_ROWS = 4096
-BLOCK_ROWS = 2048
-QUERY_BLOCK = 512
-DEPTHS = (1 / 4, 1 / 2, 1)  # of the lists of a block; the last reads them to their ends
+BLOCK_ROWS = 4096
+QUERY_BLOCK = 256
+STEPS = 16  # of a list; each reads a sixteenth of it
+FEW = 16
+SCHEMA = "query_id long, vec_id long, score long, wide string"
 
 
 class Lists:
@@ -47,103 +54,127 @@ class Lists:
         ordered = np.take_along_axis(block, down, axis=0)
         self.read = np.hstack([ordered, ordered[::-1]])  # in reading order
 
-    def bounds(self, depth: int, signed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper bounds, candidates x queries, after ``depth`` entries of each list."""
-        known = self.rank < depth
-        part = np.where(known, self.values, 0) @ signed.T
-        if depth >= len(self.rank):
-            return part, part
-        unknown = (~known).astype(float)
-        return part + unknown @ (signed * self.read[-1]).T, part + unknown @ (signed * self.read[depth - 1]).T
+    def part(self, low: int, high: int, signed: np.ndarray) -> np.ndarray:
+        """What the entries from ``low`` to ``high`` of all lists add to the scores, candidates x queries."""
+        return np.where((self.rank >= low) & (self.rank < high), self.values, 0) @ signed.T
+
+    def rest(self, depth: int, signed: np.ndarray) -> np.ndarray:
+        """The most that the entries from ``depth`` on can add."""
+        return (self.rank >= depth).astype(float) @ (signed * self.read[depth - 1]).T
+
+
+class Best:
+    """The k best resolved scores of each query, and the lower bounds they give."""
+
+    def __init__(self, queries: int, k: int):
+        self.k = k
+        self.heaps: list[list[tuple[int, int]]] = [[] for _ in range(queries)]
+        self.floor = np.full(queries, -np.inf)
 
+    def add(self, q: int, scores: list[int], ids: list[int]) -> None:
+        heap = self.heaps[q]
+        heap.extend(zip((-s for s in scores), ids))
+        heap.sort()
+        del heap[self.k :]
+        if len(heap) == self.k:
+            self.floor[q] = -heap[-1][0]
 
-def search_block(block: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query its best candidates of a block that reach ``floor``: (query, rows, scores)."""
-    lists = Lists(block)
-    signed = np.hstack([np.maximum(queries, 0), np.minimum(queries, 0)])
+
+def search_block(block: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, best: Best, base: int = 0) -> np.ndarray:
+    """Add the best candidates of a block to ``best``, whose entries from ``base`` on are those of ``queries``.
+
+    Returns the depth, as a share of the lists, at which each query stopped reading.
+    """
+    plain = vectors.is_plain(queries, block)
+    spare = vectors.slack(queries, block, plain)
+    lists = Lists(block.astype(float))
+    real = queries.astype(float)
+    signed = np.hstack([np.maximum(real, 0), np.minimum(real, 0)])
     active = np.arange(len(queries))
-    for depth in sorted({max(1, int(len(block) * d)) for d in DEPTHS}):
-        lower, upper = lists.bounds(depth, signed[active])
-        other = ids[:, None] != own[active][None, :]
-        lower = np.where(other, lower, -np.inf)
-        least = floor[active]
-        if len(block) >= k:
-            least = np.maximum(least, np.partition(lower, len(block) - k, axis=0)[len(block) - k])
-        may = other & (upper >= least)
-        few = may.sum(axis=0)
-        done = (few <= 2 * k) if depth < len(block) else np.ones(len(active), bool)
-        for c in np.flatnonzero(done & (few > 0)):
-            rows = np.flatnonzero(may[:, c])
-            yield active[c], rows, block[rows] @ queries[active[c]]
+    resolved = np.zeros((len(block), len(queries)), bool)
+    resolved |= ids[:, None] == own[None, :]  # never resolved, never a candidate
+    part = np.zeros((len(block), len(queries)))
+    depths = np.ones(len(queries))
+
+    def resolve(q: np.ndarray, x: np.ndarray) -> None:
+        scores = vectors.pair_scores(queries, q, block, x, plain).tolist()
+        names = ids[x].tolist()
+        ends = np.searchsorted(q, np.unique(q), "right").tolist()
+        low = 0
+        for high in ends:
+            best.add(base + int(q[low]), scores[low:high], names[low:high])
+            low = high
+        resolved[x, q] = True
+
+    n = len(block)
+    edges = sorted({max(1, n * s // STEPS) for s in range(1, STEPS + 1)})
+    for low, depth in zip([0, *edges], edges):
+        part[:, active] += lists.part(low, depth, signed[active])
+        upper = part[:, active] + (lists.rest(depth, signed[active]) if depth < n else 0) + spare
+        upper[resolved[:, active]] = -np.inf
+        few = min(best.k, n)
+        top = np.argpartition(-upper, few - 1, axis=0)[:few]
+        q, x = np.repeat(active, few), top.T.ravel()
+        real_one = ~resolved[x, q]
+        resolve(q[real_one], x[real_one])
+        upper[resolved[:, active]] = -np.inf
+        may = upper >= best.floor[base + active]
+        may &= ~resolved[:, active]
+        done = (may.sum(axis=0) <= max(2 * best.k, n // FEW)) | (depth == n)
+        c, x = np.nonzero(may[:, done].T)
+        resolve(active[done][c], x)
+        depths[active[done]] = depth / n
         active = active[~done]
         if not len(active):
-            return
+            break
+    return depths
 
 
 def _searcher(shared, k: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = shared.value  # by length: ids and vectors of the queries
-        best = {w: [[] for _ in ids] for w, (ids, _) in groups.items()}
-        floors = {w: np.full(len(ids), -np.inf) for w, (ids, _) in groups.items()}
+        groups = {b.vectors.shape[1]: (b, Best(len(b.ids), k)) for b in shared.value}
         for batch in batches:
             ids_of = np.asarray(batch.column(0))
-            lists = batch.column(1)
-            sizes = np.asarray(lists.value_lengths())
-            for width, (own, queries) in groups.items():
-                rows = np.flatnonzero(sizes == width)
+            for width, rows in vectors.by_width(batch.column(1)):
+                if width not in groups:
+                    continue
+                queries, best = groups[width]
                 for i in range(0, len(rows), BLOCK_ROWS):
                     some = rows[i : i + BLOCK_ROWS]
-                    block = np.asarray(lists.take(pa.array(some)).flatten()).astype(float).reshape(-1, width)
-                    ids = ids_of[some]
-                    for q in range(0, len(own), QUERY_BLOCK):
-                        found = search_block(block, ids, queries[q : q + QUERY_BLOCK], own[q : q + QUERY_BLOCK], k, floors[width][q : q + QUERY_BLOCK])
-                        for at, places, scores in found:
-                            heap = best[width][q + at]
-                            heap.extend(zip((-scores).tolist(), ids[places].tolist()))
-                            heap.sort()
-                            del heap[k:]
-                            if len(heap) == k:
-                                floors[width][q + at] = -heap[-1][0]
-        for width, (own, _) in groups.items():
-            rows = [(o, i, int(-s)) for o, heap in zip(own.tolist(), best[width]) for s, i in heap]
+                    block = vectors.matrix(batch.column(1).take(pa.array(some)), width)
+                    for q in range(0, len(queries.ids), QUERY_BLOCK):
+                        part = slice(q, q + QUERY_BLOCK)
+                        search_block(block, ids_of[some], queries.vectors[part], queries.ids[part], best, q)
+        for queries, best in groups.values():
+            rows = [(o, i, -s) for o, heap in zip(queries.ids.tolist(), best.heaps) for s, i in heap]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["query_id", "vec_id", "score"])
+                own, ids, scores = zip(*rows)
+                columns = [pa.array(own, pa.int64()), pa.array(ids, pa.int64()), *vectors.score_columns(list(scores))]
+                yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score", "wide"])
 
     return search
 
 
-def usable(vector: Column) -> Column:
-    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    return vector.isNotNull() & (F.size(vector) > 0) & F.forall(vector, finite)
-
-
 def top_k(spark: SparkSession, queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
-    """(query_id, rank, vec_id, score) from (vec_id long, vector array<long>) of queries and candidates."""
-    queries = queries.dropDuplicates(["vec_id"])
-    blocks = queries.count() // QUERY_ROWS + 1
+    """(query_id, rank, vec_id, score) from (vec_id long, vector of whole numbers) of queries and candidates."""
+    rows = rows.select("vec_id", "vector")
     parts = []
-    for b in range(blocks):
-        some = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).orderBy("vec_id").collect()
-        groups: dict[int, tuple[list, list]] = {}
-        for r in some:
-            ids, vectors = groups.setdefault(len(r["vector"]), ([], []))
-            ids.append(r["vec_id"])
-            vectors.append(r["vector"])
-        arrays = {w: (np.array(i, np.int64), np.array(v, float)) for w, (i, v) in groups.items()}
-        shared = spark.sparkContext.broadcast(arrays)
-        parts.append(texts.mapped(rows.select("vec_id", "vector"), _searcher(shared, k), "query_id long, vec_id long, score long"))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    for block in vectors.blocks(queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))):
+        shared = spark.sparkContext.broadcast(block)
+        found = texts.mapped(rows, _searcher(shared, k), SCHEMA)
+        order = Window.partitionBy("query_id").orderBy(*vectors.best_first("score", "wide", "vec_id"))
+        ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        parts.append(texts.stored(ranked.select("query_id", "rank", "vec_id", "score"), "top-k"))
+        shared.destroy()
+    if not parts:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best partners of every fiftieth vector."""
-    vectors = texts.table(spark, sf_dir, "embeddings")
-    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
-    rows = vectors.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).select("vec_id", whole.alias("vector"))
+    known = texts.table(spark, sf_dir, "embeddings").filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
+    rows = known.select("vec_id", vectors.whole(F.col("embedding")).alias("vector"))
     return top_k(spark, rows.filter(F.col("vec_id") % 50 == 0), rows, 5)
 
 
