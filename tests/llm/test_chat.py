@@ -45,14 +45,36 @@ def test_windows_keep_budget_history_and_mask(spark):
             before = [t for t in fresh if t[0] != "system"]
             new += fresh
             learned += [w["formatted"][s["start"] : s["start"] + s["length"]] for s in w["loss"]]
-            if all(cost(t) <= (600 - 120 - cost(turns[0][1])) // 2 for _, t in fresh + repeated if _ != "system"):
-                assert sum(cost(t) for _, t in read) <= 600
+            assert w["cost"] == sum(cost(t) for _, t in read) and w["over"] == (w["cost"] > 600)
+            if w["over"]:  # one turn that does not fit with its system turn
+                assert len([t for t in read if t[0] != "system"]) == 1
         plain = lambda t: __import__("re").sub(r"<\|(\|+)", r"<\1", t)
         assert [(r, plain(t)) for r, t in new] == turns
         assert [plain(t) for t in learned] == [t for r, t in turns if r == "assistant"]
     assert sum(len(w) for w in by.values()) > len(by)
 
 
+def test_a_long_turn_opens_its_own_window(spark):
+    """Turns that fit each, but not together; one that never fits; a system turn that alone is over the budget."""
+    rows = [(1, 0, "user", "x" * 354 * 4), (1, 1, "assistant", "y" * 704 * 4), (1, 2, "user", "short")]
+    rows += [(2, 0, "user", "a"), (2, 1, "assistant", "z" * 9000), (2, 2, "user", "b"), (2, 3, "assistant", "c")]
+    rows += [(3, 0, "system", "s" * 9000), (3, 1, "user", "d"), (3, 2, "assistant", "e")]
+    out = {(r["conv_id"], tuple(t["text"][0] for t in r["all"])): r for r in chat.windows(spark.createDataFrame(rows, SCHEMA)).withColumn("all", chat.turns_of(F.col("formatted"))).collect()}
+    assert {k: (r["over"], r["repeated"]) for k, r in out.items()} == {
+        (1, ("x",)): (False, 0), (1, ("y",)): (False, 0), (1, ("s",)): (False, 0),
+        (2, ("a",)): (False, 0), (2, ("z",)): (True, 0), (2, ("b", "c")): (False, 0),
+        (3, ("s",)): (True, 0), (3, ("s", "d")): (True, 1), (3, ("s", "e")): (True, 1),
+    }
+
+
+def test_the_cost_is_an_argument(spark):
+    rows = [(1, t, "user", "w w w w w w") for t in range(30)]
+    words = lambda text: F.size(F.split(text, " "))
+    out = chat.windows(spark.createDataFrame(rows, SCHEMA), 60, 10, words).collect()
+    assert all(r["cost"] == 10 * (r["formatted"].count(chat.START)) <= 60 and not r["over"] for r in out)
+    assert sum(r["formatted"].count(chat.START) - r["repeated"] for r in out) == 30
+
+
 def test_marks_in_texts_are_escaped_and_read_back(spark):
     texts = ["".join(random.Random(k).choice(WILD) for _ in range(9)) for k in range(200)]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
