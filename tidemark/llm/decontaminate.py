@@ -7,10 +7,9 @@ matches with their locations. The test items are a stated query set: each (item,
 blocks of at most ``BLOCK_BYTES`` of text or one longer item, one block after the other, however many there are.
 
 Defined cases: a null text has no words; an item with fewer words than the window is one window of all of them; an
-item without words never matches. An item without an id is searched by ``matches`` like any other, under a null id, which
-the query counts as one id and leaves out of the joined ids; ``remove`` passes such items over. Repeated documents are searched
-each; equal items match each under their own id. Other
-columns of the documents are kept as they are in ``remove`` and left out of ``matches``.
+item without words never matches. An item without an id is searched like any other, under a null id, which
+the query counts as one id and leaves out of the joined ids. Repeated documents are searched each; equal items match each
+under their own id. Other columns of the documents are kept as they are in ``remove`` and left out of ``matches``.
 """
 
 from __future__ import annotations
@@ -184,7 +183,7 @@ def n_hit(found: str = "matches"):
 
 def remove(spark: SparkSession, docs: DataFrame, tests: DataFrame, text: str, item: str, item_text: str, window: int = WINDOW) -> DataFrame:
     """The documents without a match, with all their columns."""
-    found = _matched(spark, docs.select(texts.whole_row(docs).alias("key")), text, tests.filter(F.col(item).isNotNull()), item, item_text, window)
+    found = _matched(spark, docs.select(texts.whole_row(docs).alias("key")), text, tests, item, item_text, window)
     return found.filter(F.size("matches") == 0).select("key.*")
 
 
