@@ -36,7 +36,7 @@ from tidemark.llm.vectors import usable
 
 BLOCK_ROWS = 4096
 QUERY_BLOCK = 256
-STEPS = 16  # of a list; each reads a sixteenth of it
+STEPS = 8  # of a list; each reads an eighth of it
 FEW = 16
 SCHEMA = "query_id long, vec_id long, score long, wide string"
 
