@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import code_name
+from tidemark.operators import moments
 from tidemark.operators.knn import neighbors, vote
+from tidemark.operators.moments import pair_counts
 from tidemark.operators.order_statistics import Mark, at_ranks, quantiles
 
 # Class codes and names; every other code gets the last name.
@@ -90,44 +92,26 @@ def histogram(df: DataFrame, features: Sequence[str], bins: int = 10) -> DataFra
     )
 
 
-def _pairs(width: int, cell) -> Column:
-    """``cell(i, j)`` for all pairs i < j of places."""
-    after = lambda i: F.sequence(i + 1, F.lit(width - 1))
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(width - 2)), lambda i: F.transform(after(i), lambda j: cell(i, j))))
-
-
 def pair_bins(df: DataFrame, features: Sequence[str], bins: int = 5) -> DataFrame:
-    """L4: pair-plot counts per class and pair of measurements, binned so that output is bounded."""
+    """L4: pair-plot counts per class and pair of measurements, binned so that output is bounded.
+
+    Each task counts all pairs at once, as a product of its rows, and shuffles its non-empty cells.
+    """
     binned = df.select("label", _binned(df, features, bins).alias("b"))
-    cell = lambda i, j: F.struct(
-        i.alias("i"), j.alias("j"), F.get("b", i).alias("x_bin"), F.get("b", j).alias("y_bin")
-    )
-    return (
-        binned.select("label", F.explode(_pairs(len(features), cell)).alias("e"))
-        .select("label", "e.*")
-        .where("x_bin is not null and y_bin is not null")
-        .groupBy("label", "i", "j", "x_bin", "y_bin")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("label", _named(features, "i").alias("x"), _named(features, "j").alias("y"), "x_bin", "y_bin", "n")
-    )
+    counted = pair_counts(binned, "label", "b", len(features), bins)
+    return counted.select("label", _named(features, "i").alias("x"), _named(features, "j").alias("y"), "x_bin", "y_bin", "n")
 
 
 def correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """L3: the Pearson matrix in long form; a pair counts the rows where both values are there.
 
-    Pairs are summed up before the shuffle, which then has a few rows for each pair and task.
+    Each task adds up the cross moments of its rows as one block, and one small group for each measurement merges them.
     """
-    values = df.select(F.transform(F.array(*features), lambda v: F.when(present(v), v)).alias("v"))
-    cell = lambda i, j: F.struct(i.alias("i"), j.alias("j"), F.get("v", i).alias("a"), F.get("v", j).alias("b"))
-    pairs = (
-        values.select(F.explode(_pairs(len(features), cell)).alias("e"))
-        .groupBy("e.i", "e.j")
-        .agg(F.corr("e.a", "e.b").alias("corr"))
-        .select(_named(features, "i").alias("x"), _named(features, "j").alias("y"), "corr")
+    values = df.select(F.transform(F.array(*features), lambda v: F.when(present(v), v.cast("double"))).alias("v"))
+    found = moments.correlations(values, "v", len(features))
+    return found.select(
+        _named(features, "i").alias("x"), _named(features, "j").alias("y"), F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.col("corr")).alias("corr")
     )
-    both = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"), "corr"))
-    one = df.select(F.lit(1)).limit(1).select(F.explode(F.array(*map(F.lit, features))).alias("x"))
-    return both.unionByName(one.select("x", F.col("x").alias("y"), F.lit(1.0).alias("corr")))
 
 
 def split(df: DataFrame, seed: int = 0, share: float = TEST_SHARE) -> DataFrame:
