@@ -50,6 +50,47 @@ def test_deletes_tombstones_and_empty_changes_are_dropped(spark):
     assert [r["__op"] for r in decode.unwrap_cdc(messages).collect()] == ["c"]
 
 
+def test_broken_changes_have_a_reason(spark):
+    good = _change("c")
+    no_id = json.loads(good)
+    no_id["after"]["string"] = json.dumps({"ticker": "AAPL", "close": 1.0})
+    cut = json.loads(good)
+    cut["after"]["string"] = cut["after"]["string"][:40]
+    values = [good, good[: len(good) // 2], b"no json", b"[]", json.dumps({"after": None}).encode(), _change("u", after=None), json.dumps(cut).encode(), json.dumps(no_id).encode()]
+    checked = decode.checked_changes(_messages(spark, [*values, None, _change("d"), b""]))
+    lost = {bytes(r["value"]): r["reason"] for r in decode.rejected_messages(checked).collect()}
+    assert lost == {
+        values[1]: "unreadable envelope", values[2]: "unreadable envelope", values[3]: "unreadable envelope", b"": "unreadable envelope",
+        values[4]: "no operation", values[5]: "no document", values[6]: "unreadable document", values[7]: "no _id",
+    }
+    assert [r["_id"] for r in decode.accepted(checked).collect()] == ["65ca85aa80e42ff40b155c07"]
+
+
+def test_json_that_does_not_fit(spark):
+    values = [b'{"ticker":"A","close":1.5}', b'{"ticker":"A","close":"x"}', b'{"ticker":"A"', b"7", b"{}", None]
+    checked = decode.checked_json(_messages(spark, values))
+    assert {bytes(r["value"]) for r in decode.rejected_messages(checked).collect()} == {values[1], values[2], values[3]}
+    assert sorted((r["ticker"], r["close"]) for r in decode.accepted(checked).fillna({"ticker": "-", "close": 0.0}).collect()) == [("-", 0.0), ("A", 1.5)]
+
+
+def test_frames_and_payloads_that_are_cut(spark):
+    frame = b"\x00" + (7).to_bytes(4, "big")
+    values = [frame + AVRO_BAR, frame + AVRO_BAR[:20], frame + AVRO_BAR[:-1], frame, frame[:3], b"\x01" + frame[1:] + AVRO_BAR, b"", None]
+    checked = decode.checked_frame(_messages(spark, values), decode.checked_avro)
+    lost = {bytes(r["value"]): r["reason"] for r in decode.rejected_messages(checked).collect()}
+    assert lost == {values[1]: "unreadable Avro", values[2]: "unreadable Avro", frame: "unreadable Avro", values[4]: "no frame", values[5]: "no frame", b"": "no frame"}
+    assert [r["volume"] for r in decode.accepted(checked).collect()] == [3156]
+
+
+def test_flat_changes_that_are_broken(spark):
+    good = json.dumps({"_id": "1", "ticker": "A", "timestamp": 1707771180000, "volume": 3}).encode()
+    frame = b"\x00" + (9).to_bytes(4, "big")
+    checked = decode.checked_flat_changes(_messages(spark, [frame + good, frame + good[:-3], good, None]))
+    assert {(bytes(r["value"]), r["reason"]) for r in decode.rejected_messages(checked).collect()} == {(frame + good[:-3], "unreadable JSON"), (good, "no frame")}
+    (row,) = decode.accepted(checked).collect()
+    assert (row["schema_id"], row["_id"], row["volume"]) == (9, "1", 3)
+
+
 AVRO_BAR = (
     bytes([8]) + b"AAPL" + bytes([40]) + b"2024-02-12T20:53:00Z"
     + struct.pack("<4d", 1.5, 2.0, 1.0, 1.75) + bytes([0xA8, 0x31])

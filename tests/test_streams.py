@@ -1,10 +1,12 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.decode import decode_replay, encode_avro_bars, encode_bars, frame
 from tidemark.sources import tables, topics
 from tidemark.sources.layout import Lake
+from tidemark.sources.storage import Storage
 from tidemark.streaming import bronze, silver
 
 START = dt.datetime(2024, 1, 2, 10)
@@ -97,13 +99,67 @@ def test_avro_topics(spark, path):
 
 
 def test_stream_written_table_is_not_swapped(spark, path):
-    import pytest
+    """A table that a file sink of Spark's own writes belongs to the log of that sink."""
+    spark.range(3).write.parquet(f"{path}/in")
+    rows = spark.readStream.schema("id long").parquet(f"{path}/in")
+    rows.writeStream.format("parquet").option("checkpointLocation", f"{path}/_c").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
+    with pytest.raises(ValueError, match="stream"):
+        tables.publish(spark.range(1), f"{path}/out")
+    with pytest.raises(ValueError, match="batches"):
+        tables.append(spark.range(1), f"{path}/out", run="1")
+
 
+def test_a_repeated_batch_leaves_the_same_bronze(spark, path):
+    """The commit of a batch is lost after its rows were written: Spark runs it again."""
     lake, topic = Lake(path), f"{path}/_topic"
+    _send(spark, [("A", 0, 1.0), ("B", 0, 5.0)], topic)
+    topics.write_topic(spark.createDataFrame([(None, bytearray(b"no json"))], "key binary, value binary"), "stocks", path=topic)
+    table, checkpoint = lake.path("bronze", "bars"), lake.checkpoint("bronze", "bars")
+    for _ in range(2):
+        bronze.topic_to_bronze(topics.stream_topic(spark, "stocks", path=topic), table, checkpoint).awaitTermination()
+        assert tables.read_table(spark, table).count() == 2
+        assert tables.read_table(spark, f"{table}/_rejects").count() == 1
+        Storage(spark, path).delete(f"{checkpoint}/commits")
+    # Another checkpoint is another run: its batch 0 does not take the place of this one's.
+    bronze.topic_to_bronze(topics.stream_topic(spark, "stocks", path=topic), table, f"{checkpoint}-2").awaitTermination()
+    assert tables.read_table(spark, table).count() == 4
+
+
+def test_a_message_is_parsed_once(spark, path, monkeypatch):
+    """Rows and rejects come from one plan with one from_json."""
+    lake, topic, plans = Lake(path), f"{path}/_topic", []
+    real = bronze.materialized
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(bronze, "materialized", seen)
     _send(spark, [("A", 0, 1.0)], topic)
-    bronze_path, _ = _drain(spark, lake, topic)
-    with pytest.raises(ValueError, match="stream"):
-        tables.publish(spark.range(1), bronze_path)
+    bronze.topic_to_bronze(topics.stream_topic(spark, "stocks", path=topic), lake.path("bronze", "bars"), lake.checkpoint("bronze", "bars")).awaitTermination()
+    assert len(plans) == 1 and plans[0].lower().count("from_json") == 1
+
+
+@pytest.mark.parametrize("encoding", ["avro", "framed"])
+def test_cut_avro_goes_to_the_rejects(spark, path, encoding):
+    good = encode_avro_bars(_bars(spark, [("A", 0, 1.0), ("B", 1, 2.0)]))
+    rows = good.unionByName(good.withColumn("value", F.expr("substring(value, 1, 12)")))
+    rows = rows.withColumn("value", frame(F.col("value"), 3)) if encoding == "framed" else rows
+    topics.write_topic(rows, "stocks", path=f"{path}/_topic")
+    bronze.topic_to_bronze(topics.stream_topic(spark, "stocks", path=f"{path}/_topic"), f"{path}/t", f"{path}/_c", encoding, rejects=f"{path}/r").awaitTermination()
+    assert sorted(r["ticker"] for r in tables.read_table(spark, f"{path}/t").collect()) == ["A", "B"]
+    lost = tables.read_table(spark, f"{path}/r").collect()
+    assert [r["reason"] for r in lost] == ["unreadable Avro"] * 2 and all(r["value"] for r in lost)
+
+
+def test_append_by_run_may_be_repeated(spark, path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string")
+    for run, df in (("d1", rows), ("d2", rows.limit(1)), ("d1", rows.withColumn("extra", F.lit(1)))):
+        tables.append(df, path, ["p"], run=run)
+    got = tables.read_table(spark, path)
+    assert got.columns == ["k", "p", "extra"] and got.count() == 3
+    with pytest.raises(ValueError, match="named"):
+        tables.append(rows, path, run="a/b")
 
 
 def test_replay_names_topics_by_file(spark, path):

@@ -211,7 +211,7 @@ def test_rows_written_while_compaction_runs_stay(spark, path, monkeypatch, same_
             done.append(True)
             first = 0 if same_partition_rewritten else 10
             fresh = spark.range(first, 20).select("id", (F.col("id") % 2).cast("string").alias("p"))
-            merge_upsert(fresh, path, ["id"])
+            merge_upsert(fresh, path, ["id"], partitions_follow_keys=True)
         return swap_in(df, at, *how, **more)
 
     monkeypatch.setattr(tables, "swap_in", late)
@@ -256,3 +256,67 @@ def test_vacuum_counts_from_the_moment_of_retirement(spark, path, monkeypatch):
     assert maintenance.vacuum(spark, path, 4, now=now()) == 0
     assert maintenance.vacuum(spark, path, 4, now=now() + 5 * 3600) == 2
     assert tables.read_table(spark, path).count() == 4
+
+
+def _batches(spark, path):
+    return {n for n in Storage(spark, path).folders(path) if n.startswith("_batch=")}
+
+
+def test_batches_are_merged_and_readers_see_each_row_once(spark, path):
+    table, seen = f"{path}/t", []
+
+    def read(reader, max_files=None):
+        rows = tables.read_table_stream(spark, table, max_files, checkpoint=f"{path}/{reader}")
+        keep = lambda df, _: seen.append((reader, sorted(r["id"] for r in df.collect())))
+        rows.writeStream.foreachBatch(keep).option("checkpointLocation", f"{path}/{reader}").trigger(availableNow=True).start().awaitTermination()
+        found = sorted(i for name, ids in seen if name == reader for i in ids)
+        return found
+
+    for run in range(4):
+        tables.append(spark.range(run * 5, run * 5 + 5).repartition(3), table, run=f"{run}")
+    assert read("first") == list(range(20))
+    later = __import__("time").time() + 3600
+    assert maintenance.merge_batches(spark, table, 2, now=later) == {"batches_before": 4, "batches_after": 4}
+    assert maintenance.merge_batches(spark, table, 0.5, now=later) == {"batches_before": 4, "batches_after": 1}
+    tables.append(spark.range(20, 25), table, run="4")
+    assert sorted(r["id"] for r in tables.read_table(spark, table).collect()) == list(range(25))
+    assert read("first") == list(range(25))  # nothing again, though all files but one are new
+    assert read("second", max_files=1) == list(range(25))
+    assert maintenance.merge_batches(spark, table, 0, now=later)["batches_after"] == 1
+    assert read("first") == read("second") == list(range(25))
+    assert len(_batches(spark, table)) == 1 and maintenance.vacuum(spark, table, 0, force=True) == 2
+
+
+def test_a_merge_that_was_cut_is_completed(spark, path, monkeypatch):
+    for run in range(3):
+        tables.append(spark.range(run * 5, run * 5 + 5), path, run=f"{run}")
+    moves, real = [], Storage.move
+
+    def failing(self, source, target):
+        if len(moves) == 2:
+            raise OSError("stopped")
+        moves.append(source)
+        real(self, source, target)
+
+    monkeypatch.setattr(Storage, "move", failing)
+    monkeypatch.setattr(Storage, "move_all", lambda self, pairs: [self.move(*p) for p in pairs])
+    with pytest.raises(OSError):
+        maintenance.merge_batches(spark, path, 0, now=__import__("time").time() + 60)
+    monkeypatch.undo()
+    assert tables.complete(spark, path) == 1
+    assert sorted(r["id"] for r in tables.read_table(spark, path).collect()) == list(range(15))
+    assert len(_batches(spark, path)) == 1
+
+
+def test_compaction_of_a_table_by_hash_keeps_its_layout(spark, path):
+    from tidemark.operators.upsert import merge_upsert
+
+    tables.ensure_table(spark, path, spark.createDataFrame([], "id long, p string").schema, ["p"])
+    for start in (0, 100, 200):
+        merge_upsert(spark.range(start, start + 100).withColumn("p", F.lit("x")), path, ["id"], buckets=4)
+    before = tables.layout_of(spark, path)
+    result = maintenance.compact(spark, path)
+    assert result["files_after"] == 4 < result["files_before"]
+    assert tables.layout_of(spark, path) == before and tables.read_table(spark, path).count() == 300
+    merge_upsert(spark.range(50, 60).withColumn("p", F.lit("y")), path, ["id"])
+    assert tables.read_table(spark, path).where("p = 'y'").count() == 10 and tables.read_table(spark, path).count() == 300

@@ -82,17 +82,66 @@ def _files(spark, path):
     }
 
 
-def test_only_files_with_matched_rows_are_rewritten(spark, path):
+@pytest.mark.parametrize("follow", [True, False])
+def test_only_places_with_matched_rows_are_rewritten(spark, path, follow):
     _table(spark, path)
-    _put(spark, path, [(1, "a", 1), (2, "b", 2)])
+    _put(spark, path, [(1, "a", 1), (2, "b", 2)], partitions_follow_keys=follow)
     first = _files(spark, path)
     # Inserts alone leave all files as they are, also within a touched partition.
-    _put(spark, path, [(3, "a", 3)], partitions_follow_keys=True)
+    _put(spark, path, [(3, "a", 3)], partitions_follow_keys=follow)
     assert first < _files(spark, path)
     second = _files(spark, path)
-    _put(spark, path, [(3, "a", 30), (9, "c", 9)])
-    assert first < _files(spark, path) and len(second - _files(spark, path)) == 1
-    assert _rows(tables.read_table(spark, path)) == [(1, "a", 1), (2, "b", 2), (3, "a", 30), (9, "c", 9)]
+    _put(spark, path, [(2, "b", 20), (9, "c", 9)], partitions_follow_keys=follow)
+    gone = second - _files(spark, path)
+    assert len(gone) == 1 and gone < first
+    assert _rows(tables.read_table(spark, path)) == [(1, "a", 1), (2, "b", 20), (3, "a", 3), (9, "c", 9)]
+
+
+def test_keys_lie_by_their_hash_where_partitions_do_not_follow_them(spark, path):
+    _table(spark, path)
+    _put(spark, path, [(i, "ab"[i % 2], i) for i in range(100)], buckets=8)
+    layout = tables.layout_of(spark, path)
+    assert layout["partitions"] == ["_bucket"] and layout["keys"] == ["k"] and layout["order"] == ["p"]
+    assert {f.split("/")[0] for f in _files(spark, path)} == {f"_bucket={i}" for i in range(8)}
+    _put(spark, path, [(7, None, 70)])
+    assert tables.layout_of(spark, path)["buckets"] == 8
+    found = tables.read_table(spark, path)
+    assert found.columns == ["k", "p", "v"] and found.count() == 100 and found.where("k = 7").first()["v"] == 70
+
+
+def test_a_table_of_another_layout_is_laid_out_once(spark, path):
+    tables.publish(spark.createDataFrame([(i, "ab"[i % 2], i) for i in range(20)], SCHEMA), path, ["p"])
+    for v in (100, 200):
+        _put(spark, path, [(3, "c", v)])
+        assert _rows(tables.read_table(spark, path).where("k = 3")) == [(3, "c", v)]
+    assert tables.read_table(spark, path).count() == 20
+
+
+def test_the_scan_prunes_places(spark, path):
+    """Reads of an upsert go to the buckets of the source's keys, or to its partitions, and to no others."""
+    from tidemark.operators import upsert
+
+    for parts, keys in ((["_bucket"], ["k"]), (["p"], ["k", "p"])):
+        target = f"{path}/{parts[0]}"
+        _table(spark, target)
+        _put(spark, target, [(i, "abcd"[i % 4], i) for i in range(40)], keys, partitions_follow_keys=parts == ["p"])
+        places = spark.read.schema(tables.stored_schema(spark, target)).parquet(target).where("k = 3").select(*parts)
+        places.write.parquet(f"{target}-places")
+        rows = spark.read.schema(tables.stored_schema(spark, target)).parquet(target)
+        found = upsert.pruned(rows, parts, spark.read.schema(places.schema).parquet(f"{target}-places"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SubqueryAdaptiveBroadcast dynamicpruning" in plan
+        assert found.where("k = 3").count() == 1
+        place = places.first()[0]
+        assert {r[0] for r in found.select(*parts).distinct().collect()} == {place}
+
+
+def test_no_list_of_partitions_or_files_reaches_the_driver():
+    import inspect
+
+    from tidemark.operators import upsert
+
+    assert "collect(" not in inspect.getsource(upsert) and "toLocalIterator" not in inspect.getsource(upsert)
 
 
 def test_odd_partition_names(spark, path):
@@ -105,27 +154,37 @@ def test_odd_partition_names(spark, path):
     )
 
 
-def test_interrupted_upsert_is_completed(spark, path, monkeypatch):
-    for stop_after in range(4):
-        target = f"{path}/{stop_after}"
-        _table(spark, target)
-        _put(spark, target, [(1, "a", 1), (2, "b", 2), (3, "c", 3)])
-        moves = []
-        real = Storage.move
+@pytest.mark.parametrize("cut", ["overwrite", "append"])
+def test_interrupted_upsert_is_repeated(spark, path, monkeypatch, cut):
+    """Cut before or after the rewrite: the table is whole, and a repeat gives what one run would have."""
+    from tidemark.operators import upsert
+
+    _table(spark, path)
+    _put(spark, path, [(1, "a", 1), (2, "b", 2), (3, "c", 3)])
+    real = upsert._write
+
+    def failing(rows, at, parts, layout, mode):
+        if mode == cut:
+            raise OSError("stopped")
+        real(rows, at, parts, layout, mode)
+
+    monkeypatch.setattr(upsert, "_write", failing)
+    with pytest.raises(OSError):
+        _put(spark, path, [(1, "a", 10), (4, "d", 20)])
+    monkeypatch.undo()
+    seen = _rows(tables.read_table(spark, path).where("k <> 4"))
+    assert seen == [(1, "a", 1 if cut == "overwrite" else 10), (2, "b", 2), (3, "c", 3)]
+    _put(spark, path, [(1, "a", 10), (4, "d", 20)])
+    assert _rows(tables.read_table(spark, path)) == [(1, "a", 10), (2, "b", 2), (3, "c", 3), (4, "d", 20)]
 
-        def failing(self, source, goal):
-            if len(moves) >= stop_after:
-                raise OSError("stopped")
-            moves.append(source)
-            real(self, source, goal)
 
-        monkeypatch.setattr(Storage, "move", failing)
-        monkeypatch.setattr(Storage, "move_all", lambda self, pairs: [self.move(*p) for p in pairs])
-        with pytest.raises(OSError):
-            _put(spark, target, [(1, "a", 10), (2, "d", 20)])
-        monkeypatch.undo()
-        tables.complete(spark, target)
-        assert _rows(tables.read_table(spark, target)) == [(1, "a", 10), (2, "d", 20), (3, "c", 3)]
+def test_a_failing_task_changes_nothing(spark, path):
+    _table(spark, path)
+    _put(spark, path, [(1, "a", 1), (2, "b", 2)])
+    bad = spark.createDataFrame([(1, "a", 1)], SCHEMA).withColumn("v", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        merge_upsert(bad, path, ["k"])
+    assert _rows(tables.read_table(spark, path)) == [(1, "a", 1), (2, "b", 2)]
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -176,3 +235,21 @@ def test_rows_without_a_key_are_kept_aside_once_per_batch(spark, path):
     aside = spark.read.parquet(f"{path}/_rejects/batch_id=7").collect()
     assert sorted(r["_arrived"] for r in aside) == ['{"p":"a","v":2}', '{"p":"b","v":3}']
     assert spark.read.parquet(f"{path}/_rejects/batch_id=8").count() == 1
+
+
+def test_a_batch_is_computed_once(spark, path):
+    """Rows and rejects come from one copy: the source runs once for each of its rows, whatever reads it."""
+    _table(spark, path)
+    computed = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(v):
+        computed.add(1)
+        return v
+
+    batch = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (None, "c", 3), (1, "a", 4)], SCHEMA).withColumn("v", counted("v"))
+    counts = []
+    upsert_batches(path, ["k"], ["v"], report=lambda *c: counts.append(c))(batch, 3)
+    assert computed.value == 4 and counts == [(3, 4, 2)]
+    assert _rows(tables.read_table(spark, path)) == [(1, "a", 4), (2, "b", 2)]
+    assert spark.read.parquet(f"{path}/_rejects/batch_id=3").count() == 1

@@ -139,6 +139,34 @@ def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change messages over bars, deletes for ``error``, of which a quarter are broken, each in one of five ways."""
+    rows = bars(spark, sf_dir).withColumn("op", F.when(F.col("ticker") == "error", "d").otherwise("c"))
+    row = F.struct("_id", "ticker", "description", "timestamp", "open", "high", "low", "close", "volume")
+    value = decode.cdc_envelope(row, F.col("op"), collection="stocks").cast("string")
+    kind = F.col("_id").cast("long") % 20
+    broken = (
+        F.when(kind == 0, F.expr("substring(value, 1, length(value) - 9)"))
+        .when(kind == 1, F.regexp_replace("value", r'\\"close\\":', r'\\"close\\" '))
+        .when(kind == 2, F.regexp_replace("value", '"after":[{].*[}],"source"', '"after":null,"source"'))
+        .when(kind == 3, F.regexp_replace("value", '"op":[{][^}]*[}]', '"op":null'))
+        .when(kind == 4, F.regexp_replace("value", r'oid', "other"))
+        .otherwise(F.col("value"))
+    )
+    return rows.withColumn("value", value).select(F.lit(None).cast("binary").alias("key"), decode.utf8(broken).alias("value"))
+
+
+def broken_flat_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat change records of bars behind a frame, of which some have no frame and some are cut."""
+    stamp = F.unix_millis(F.col("timestamp").cast("timestamp"))
+    record = F.struct("_id", "ticker", "description", stamp.alias("timestamp"), "open", "high", "low", "close", "volume")
+    text = decode.utf8(F.to_json(record))
+    kind = F.col("_id").cast("long") % 20
+    framed = decode.frame(text, 9)
+    value = F.when(kind == 0, text).when(kind == 1, F.substring(framed, 1, 40)).otherwise(framed)
+    return bars(spark, sf_dir).select(F.lit(None).cast("binary").alias("key"), value.alias("value"))
+
+
 def api_pages(spark: SparkSession, sf_dir: str, page_rows: int = 500) -> DataFrame:
     """Bars grouped into response pages, each page one time slice of one ticker.
 

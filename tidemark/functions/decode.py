@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -69,14 +69,96 @@ def decode_json(df: DataFrame, schema: str, keep: tuple[str, ...] = ()) -> DataF
     return df.select(value, *keep).select("value.*", *keep)
 
 
+# ---- checked decoding -------------------------------------------------------------------------------
+# A checked message keeps its columns and gets ``row``, what it decodes to, and ``reason``, why it does not. Both are
+# NULL for what is meant to be dropped, as tombstones and deletes. The value is parsed once.
+
 BROKEN = "_broken"
 
 
-def unreadable(df: DataFrame, schema: str) -> Column:
-    """Whether a message's value is there but is no JSON object that fits ``schema``."""
-    text = F.col("value").cast("string")
-    parsed = F.from_json(text, f"{schema}, {BROKEN} string", {"columnNameOfCorruptRecord": BROKEN})
-    return F.col("value").isNotNull() & (parsed.isNull() | parsed[BROKEN].isNotNull())
+def _parsed(text: Column, schema: str) -> Column:
+    """The JSON value as a struct that ends with the text itself where it does not fit the schema."""
+    return F.from_json(text, f"{schema}, {BROKEN} string", {"columnNameOfCorruptRecord": BROKEN})
+
+
+def _is_broken(parsed: str) -> Column:
+    return F.col(parsed).isNull() | F.col(f"{parsed}.{BROKEN}").isNotNull()
+
+
+def checked_json(messages: DataFrame, schema: str = BAR_JSON) -> DataFrame:
+    """JSON objects that fit ``schema``; no value, no row."""
+    parsed = messages.withColumn("_parsed", _parsed(F.col("value").cast("string"), schema))
+    reason = F.when(F.col("value").isNotNull() & _is_broken("_parsed"), F.lit("unreadable JSON"))
+    return _with_row(parsed, F.col("_parsed").dropFields(BROKEN), reason)
+
+
+def _with_row(messages: DataFrame, row: Column, reason: Column) -> DataFrame:
+    checked = messages.withColumn("reason", reason)
+    there = F.col("reason").isNull() & F.col("value").isNotNull()
+    return checked.withColumn("row", F.when(there, row)).drop("_parsed", "_document")
+
+
+def checked_avro(messages: DataFrame) -> DataFrame:
+    """Plain Avro bars; a payload that is cut or is something else has a reason."""
+    decoded = messages.withColumn("_parsed", avro_value(messages.sparkSession))
+    reason = F.when(F.col("value").isNotNull() & F.col("_parsed.ticker").isNull(), F.lit("unreadable Avro"))
+    return _with_row(decoded, F.col("_parsed"), reason)
+
+
+def checked_frame(messages: DataFrame, inside: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Messages behind registry framing, checked by ``inside`` without it; values that have none have a reason."""
+    framed = F.substring("value", 1, 1) == F.unhex(F.lit("00"))
+    framed = framed & (F.octet_length("value") >= FRAME_BYTES)
+    whole = messages.withColumn("_value", F.col("value")).withColumn("_framed", F.coalesce(framed, F.col("value").isNull()))
+    bare = unframe(whole).withColumn("value", F.when(F.col("_framed"), F.col("value")))
+    checked = inside(bare).withColumn("reason", F.when(F.col("_framed"), F.col("reason")).otherwise("no frame"))
+    return checked.withColumn("value", F.col("_value")).drop("_value", "_framed")
+
+
+def checked_flat_changes(messages: DataFrame, schema: str = FLAT_CHANGE) -> DataFrame:
+    """Flat change records behind registry framing."""
+    checked = checked_frame(messages, lambda inner: checked_json(inner, schema))
+    stamped = F.col("row").withField("timestamp", F.timestamp_millis(F.col("row.timestamp")))
+    return checked.withColumn("row", F.when(F.col("row").isNotNull(), stamped.withField("schema_id", F.col("schema_id")))).drop("schema_id")
+
+
+def checked_changes(messages: DataFrame) -> DataFrame:
+    """Change messages: the document after the change, or why there is none.
+
+    Tombstones and deletes have neither. An envelope that does not parse, has no operation or lacks the document,
+    and a document that does not parse or has no ``_id``, each have their reason.
+    """
+    parsed = messages.withColumn("_parsed", _parsed(F.col("value").cast("string"), CDC_ENVELOPE))
+    parsed = parsed.withColumn("_document", _parsed(F.col("_parsed.after.string"), CDC_DOCUMENT))
+    op, after = F.col("_parsed.op.string"), F.col("_parsed.after.string")
+    reason = (
+        F.when(F.col("value").isNull(), F.lit(None))
+        .when(_is_broken("_parsed"), "unreadable envelope")
+        .when(op.isNull(), "no operation")
+        .when(op == "d", F.lit(None))
+        .when(after.isNull(), "no document")
+        .when(_is_broken("_document"), "unreadable document")
+        .when(F.col("_document._id").getField("$oid").isNull(), "no _id")
+    )
+    same = ("ticker", "description", "open", "high", "low", "close", "volume")
+    field = {c: F.col(f"_document.{c}").alias(c) for c in same}
+    row = F.struct(
+        F.col("_document._id").getField("$oid").alias("_id"), field["ticker"], field["description"],
+        F.timestamp_millis(F.col("_document.timestamp").getField("$date")).alias("timestamp"),
+        *[field[c] for c in same[2:]], op.alias("__op"),
+        F.col("_parsed.source.collection").alias("__collection"), F.col("_parsed.ts_ms.long").alias("__ts_ms"),
+    )
+    return _with_row(parsed, F.when(op != "d", row), reason)
+
+
+def accepted(checked: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of checked messages; ``keep`` names message columns to carry along."""
+    return checked.where(F.col("row").isNotNull()).select("row.*", *keep)
+
+
+def rejected_messages(checked: DataFrame) -> DataFrame:
+    """The messages that do not decode, as they came, with the reason."""
+    return checked.where(F.col("reason").isNotNull()).drop("row")
 
 
 def decode_flat_changes(df: DataFrame, schema: str = FLAT_CHANGE) -> DataFrame:
@@ -84,8 +166,7 @@ def decode_flat_changes(df: DataFrame, schema: str = FLAT_CHANGE) -> DataFrame:
 
     ``schema`` is the record's schema as text; all fields may be missing.
     """
-    rows = decode_json(unframe(df), schema, ("schema_id",))
-    return rows.withColumn("timestamp", F.timestamp_millis("timestamp"))
+    return accepted(checked_flat_changes(df, schema))
 
 
 def encode_bars(df: DataFrame) -> DataFrame:
@@ -193,9 +274,15 @@ BAR_RECORD = T.StructType([T.StructField(n, t) for n, t in zip(BAR_NAMES, BAR_TY
 
 @F.pandas_udf(BAR_RECORD)
 def _avro_bars(values: pd.Series) -> pd.DataFrame:
-    empty = (None,) * len(BAR_NAMES)
-    rows = [_bar_from_avro(v) if v is not None else empty for v in values]
-    return pd.DataFrame(rows, columns=BAR_NAMES)
+    return pd.DataFrame([_readable_bar(v) for v in values], columns=BAR_NAMES)
+
+
+def _readable_bar(data: bytes | None) -> tuple:
+    """The bar, or nothing but NULLs where there is none or it is cut."""
+    try:
+        return _bar_from_avro(data)
+    except (TypeError, IndexError, UnicodeDecodeError, struct.error):
+        return (None,) * len(BAR_NAMES)
 
 
 @F.pandas_udf(T.BinaryType())
@@ -204,19 +291,21 @@ def _bars_avro(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         yield pd.Series([_bar_to_avro(*row) for row in rows.itertuples(index=False)])
 
 
-def decode_avro_bars(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Plain Avro bars to columns, null messages dropped.
+def avro_value(spark) -> Column:
+    """The value as a bar: by the Avro module where the cluster has it, else by a small decoder of this one record.
 
-    Uses the Avro module where the cluster has it, else a small decoder of this one record.
+    All fields are NULL if it cannot be read.
     """
-    present = df.where(F.col("value").isNotNull())
-    if has_avro(df.sparkSession):
-        from pyspark.sql.avro.functions import from_avro
+    if not has_avro(spark):
+        return _avro_bars("value")
+    from pyspark.sql.avro.functions import from_avro
+
+    return from_avro(F.col("value"), BAR_AVRO, {"mode": "PERMISSIVE"})
 
-        value = from_avro(F.col("value"), BAR_AVRO)
-    else:
-        value = _avro_bars("value")
-    return present.select(value.alias("value"), *keep).select("value.*", *keep)
+
+def decode_avro_bars(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Plain Avro bars to columns; null messages and those that cannot be read are dropped."""
+    return accepted(checked_avro(df), keep)
 
 
 def encode_avro_bars(df: DataFrame) -> DataFrame:
@@ -260,29 +349,9 @@ def cdc_envelope(row: Column, op: Column, collection: str, ts_ms: Column | None
 def unwrap_cdc(messages: DataFrame) -> DataFrame:
     """The document after each change, with ``__op``, ``__collection``, ``__ts_ms``.
 
-    Tombstones, deletes and envelopes without an ``after`` are dropped.
+    Tombstones and deletes are dropped, and so are broken messages, which ``checked_changes`` tells apart.
     """
-    envelope = F.from_json(F.col("value").cast("string"), CDC_ENVELOPE)
-    changes = (
-        messages.where(F.col("value").isNotNull())
-        .select(envelope.alias("m"))
-        .where((F.col("m.op.string") != "d") & F.col("m.after.string").isNotNull())
-        .select(F.from_json("m.after.string", CDC_DOCUMENT).alias("d"), "m")
-    )
-    return changes.select(
-        F.col("d._id").getField("$oid").alias("_id"),
-        "d.ticker",
-        "d.description",
-        F.timestamp_millis(F.col("d.timestamp").getField("$date")).alias("timestamp"),
-        "d.open",
-        "d.high",
-        "d.low",
-        "d.close",
-        "d.volume",
-        F.col("m.op.string").alias("__op"),
-        F.col("m.source.collection").alias("__collection"),
-        F.col("m.ts_ms.long").alias("__ts_ms"),
-    )
+    return accepted(checked_changes(messages))
 
 
 # ---- S9: API pages ------------------------------------------------------------------------------

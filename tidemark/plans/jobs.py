@@ -8,14 +8,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.decode import unwrap_cdc
 from tidemark.operators.upsert import merge_upsert
 from tidemark.plans import events, maintenance, retail, stocks
-from tidemark.shared import materialize
 from tidemark.sources import tables
 from tidemark.sources.jdbc import publish_mart
 from tidemark.sources.layout import Lake
-from tidemark.streaming.bronze import topic_rejects, topic_to_bronze
+from tidemark.streaming.bronze import topic_to_bronze
 from tidemark.streaming.silver import bars_to_silver
 
 # Table names of the lakehouse and of the marts.
@@ -54,29 +52,36 @@ def stocks_job(
     keep_copies: bool = False,
     unit: str | None = None,
 ) -> None:
-    """Change messages drained to bronze, then silver and daily gold rebuilt, then both marts.
+    """Change messages drained to bronze, then silver and daily gold brought up to date, then both marts.
 
-    ``unit`` is the width of the time slices of the lag, which is measured in passes of its own if not given.
+    Messages that cannot be unwrapped go to a table of rejects. Bronze is read as a stream: only the days that its new
+    bars fall on are recomputed, see ``stocks.refresh_days``. ``unit`` is the width of the time slices of the lag.
 
     A re-sent bar would show a change of 0 and count its volume twice, so copies are dropped
-    unless ``keep_copies`` asks for the plain recompute.
+    unless ``keep_copies`` asks for the plain recompute of everything from all of bronze.
     """
     bronze_path = lake.path("bronze", "stocks", STOCK_DB)
     topic_to_bronze(
         messages,
         bronze_path,
         lake.checkpoint("bronze", "stocks", STOCK_DB, reader="topic"),
-        decode=unwrap_cdc,
+        "changes",
+        rejects=lake.path("rejects", "stocks", STOCK_DB),
         partition_by=["ticker"],
     ).awaitTermination()
-    bars = tables.read_table(spark, bronze_path)
-    if not keep_copies:
-        bars = materialize(stocks.latest_bars(bars, "__ts_ms"), "latest-bars")
     silver_path, gold_path = (lake.path(tier, "stocks", STOCK_DB) for tier in ("silver", "gold"))
-    tables.publish(stocks.silver(bars, fill="all", unit=unit), silver_path, ["ticker", "day"], sort_cols=["timestamp"])
-    silver = tables.read_table(spark, silver_path)
-    tables.publish(stocks.gold_daily(silver), gold_path, ["ticker", "day"])
+    if keep_copies:
+        bars = tables.read_table(spark, bronze_path)
+        tables.publish(stocks.silver(bars, fill="all", unit=unit), silver_path, ["ticker", "day"], sort_cols=["timestamp"])
+        tables.publish(stocks.gold_daily(tables.read_table(spark, silver_path)), gold_path, ["ticker", "day"])
+    elif tables.exists(spark, bronze_path):
+        latest_path = lake.path("silver", "stocks_latest", STOCK_DB)
+        refresh = lambda batch, _: stocks.refresh_days(batch, latest_path, silver_path, gold_path, unit=unit or "hour")
+        reader = lake.checkpoint("silver", "stocks", STOCK_DB, reader="bronze")
+        bars = tables.read_table_stream(spark, bronze_path, checkpoint=reader)
+        bars.writeStream.foreachBatch(refresh).option("checkpointLocation", reader).trigger(availableNow=True).start().awaitTermination()
     if connection:
+        silver = tables.read_table(spark, silver_path)
         publish_mart(tables.read_table(spark, gold_path), MARTS["daily"], connection, partitions=MART_CONNECTIONS)
         publish_mart(stocks.intraday_mart(silver), MARTS["intraday"], connection, partitions=MART_CONNECTIONS)
 
@@ -89,11 +94,8 @@ def intraday_job(spark: SparkSession, lake: Lake, messages: DataFrame, encoding:
     """
     bronze, silver, gold = (lake.path(t, "stocks_intraday") for t in ("bronze", "silver", "gold"))
     topic_to_bronze(
-        messages, bronze, lake.checkpoint("bronze", "stocks_intraday", reader="topic"), encoding
+        messages, bronze, lake.checkpoint("bronze", "stocks_intraday", reader="topic"), encoding, rejects=lake.path("rejects", "stocks_intraday")
     ).awaitTermination()
-    if encoding == "json":
-        rejects, reader = lake.path("rejects", "stocks_intraday"), lake.checkpoint("rejects", "stocks_intraday", reader="topic")
-        topic_rejects(messages, rejects, reader).awaitTermination()
     bars_to_silver(
         spark, bronze, silver, lake.checkpoint("silver", "stocks_intraday", reader="bronze")
     ).awaitTermination()
@@ -134,16 +136,21 @@ def events_job(
 def maintenance_job(spark: SparkSession, lake: Lake, retention_hours: float = 4) -> list[dict]:
     """Compact and vacuum every table of the lake; report per table.
 
-    A table that a stream appends to belongs to that stream's file log: it is reported as skipped, with
+    Tables by batches, as bronze and its rejects, have their batches merged once they are older than the retention.
+    A table that a file sink of Spark's own appends to belongs to that sink's file log: it is reported as skipped, with
     its number of files.
     """
     report = []
     for row in maintenance.discover(spark, lake).collect():
-        if tables.stream_written(spark, row["path"]):
-            files = maintenance.files(spark, row["path"]).count()
+        path = row["path"]
+        if tables.stream_written(spark, path):
+            files = maintenance.files(spark, path).count()
             report.append({"tier": row["tier"], "table": row["table"], "skipped": "written by a stream", "files_before": files})
             continue
-        result = maintenance.compact(spark, row["path"])
-        result["removed"] = maintenance.vacuum(spark, row["path"], retention_hours)
+        if tables.partition_cols_of(spark, path)[:1] == [tables.BATCH]:
+            result = maintenance.merge_batches(spark, path, retention_hours)
+        else:
+            result = maintenance.compact(spark, path)
+        result["removed"] = maintenance.vacuum(spark, path, retention_hours)
         report.append({"tier": row["tier"], "table": row["table"], **result})
     return report

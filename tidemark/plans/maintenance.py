@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 from itertools import accumulate
 
@@ -64,7 +65,7 @@ def compact(
     """
     tables.complete(spark, path)
     parts = tables.partition_cols_of(spark, path)
-    schema = tables.schema_of(spark, path)
+    schema = tables.stored_schema(spark, path)
     wanted = F.ceil(F.sum("length") / F.lit(float(target_bytes))).cast("int")
     with materialized(files(spark, path), "file-list") as before:
         crowded = (
@@ -111,6 +112,27 @@ def _rewrite(spark, path: str, schema, parts: Sequence[str], run: Sequence, list
     tables.swap_in(spread, path, parts, "files", old, same_rows=True)
 
 
+def merge_batches(spark: SparkSession, path: str, older_than_hours: float, now: float | None = None) -> dict[str, int]:
+    """M2: the batches of a table that were written longer ago than that, gathered into one of few files.
+
+    The rows go to a batch of a new name, which streams that have begun pass by, so all readers should be less than
+    ``older_than_hours`` behind. Replaced folders are retired as in any publish, and a merge that was cut short is completed by
+    the next.
+    """
+    tables.complete(spark, path)
+    storage = Storage(spark, path)
+    limit = ((now or time.time()) - older_than_hours * 3600) * 1000
+    names = [n for n in storage.folders(path) if n.startswith(f"{tables.BATCH}=")]
+    old = [n for n in names if storage.newest(f"{path}/{n}") <= limit]
+    if len(old) > 1:
+        parts = tables.partition_cols_of(spark, path)
+        values = [n.split("=", 1)[1] for n in old]
+        rows = spark.read.schema(tables.stored_schema(spark, path)).parquet(path).where(F.col(tables.BATCH).isin(values))
+        merged = rows.withColumn(tables.BATCH, F.lit(f"{tables.MERGED}{uuid.uuid4().hex}")).hint("rebalance", *parts)
+        tables.swap_in(merged.sortWithinPartitions(*parts), path, parts, "files", old)
+    return {"batches_before": len(names), "batches_after": len(names) - (len(old) - 1 if len(old) > 1 else 0)}
+
+
 def vacuum(
     spark: SparkSession,
     path: str,

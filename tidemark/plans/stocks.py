@@ -7,13 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tidemark.functions.scalar import day_key, from_epoch_millis, seconds_between, shift_hours
-from tidemark.operators.dedup import one_per_key
+from tidemark.operators.dedup import in_partitions, one_per_key
 from tidemark.operators.lag import change, percent_change, with_previous
 from tidemark.operators.order_statistics import quantiles_of_few
 from tidemark.operators.rollup import daily
-from tidemark.shared import materialize
+from tidemark.operators.upsert import pruned
+from tidemark.shared import materialize, materialized
+from tidemark.sources import tables
 
 # Hour shifts of the capture stamp and of the marts.
 CAPTURE_SHIFT_HOURS = -5
@@ -53,7 +56,11 @@ def with_changes(bars: DataFrame, fill: str = "coalesce", unit: str | None = Non
     ``fill="coalesce"`` turns only these two from NULL to 0, and ``osc_per`` builds on the filled
     ``osc``; ``fill="all"`` zeroes every numeric NULL afterwards, prices included.
     """
-    rows = with_previous(bars, "close", ["ticker"], "timestamp", "_previous", unit)
+    return _changes(with_previous(bars, "close", ["ticker"], "timestamp", "_previous", unit), fill)
+
+
+def _changes(rows: DataFrame, fill: str) -> DataFrame:
+    """``osc`` and ``osc_per`` of rows that have the close before as ``_previous``."""
     osc = change("close", "_previous")
     if fill == "coalesce":
         rows = rows.withColumn("osc", F.coalesce(osc, F.lit(0.0)))
@@ -67,7 +74,11 @@ def with_changes(bars: DataFrame, fill: str = "coalesce", unit: str | None = Non
 
 def silver(bars: DataFrame, fill: str = "coalesce", unit: str | None = None) -> DataFrame:
     """The silver bars: day key and changes beside the bar, change-capture fields if present."""
-    rows = with_changes(bars, fill, unit).withColumn("day", day_key("timestamp"))
+    return _silver_columns(with_changes(bars, fill, unit))
+
+
+def _silver_columns(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("day", day_key("timestamp"))
     if "__ts_ms" in rows.columns:
         stamp = shift_hours(from_epoch_millis("__ts_ms"), CAPTURE_SHIFT_HOURS)
         rows = rows.withColumn("__ts_ms", stamp)
@@ -122,6 +133,63 @@ def refreshed_changes(bars: DataFrame, changed: DataFrame, fill: str = "coalesce
     return with_changes(seeded, fill).where(~F.col("_before")).drop("_before", "_from")
 
 
+DAYS = ["ticker", "day"]
+
+
+def refresh_days(
+    bars: DataFrame, latest_path: str, silver_path: str, gold_path: str, latest_by: str = "__ts_ms", fill: str = "all", unit: str = "hour"
+) -> None:
+    """Keep the latest bars, silver and daily gold up to date with bars that were added or corrected.
+
+    All three tables are partitioned by ticker and day. Of the latest bars only the days that new bars fall on are read and
+    written anew, of gold the same. Of silver also the day after each, since its first bar changes against a close that may be
+    new; the close before a day comes from the day that gold has before it. All other partitions are neither read nor
+    written. A run that was cut short is repeated whole; bars that come again change nothing.
+    """
+    spark = bars.sparkSession
+    new = bars.withColumn("day", day_key("timestamp"))
+    empty = spark.createDataFrame([], new.schema)
+    schema = _silver_columns(_changes(empty.withColumn("_previous", F.lit(None).cast("double")), fill)).schema
+    tables.ensure_table(spark, latest_path, new.schema, DAYS)
+    tables.ensure_table(spark, silver_path, schema, DAYS)
+    tables.ensure_table(spark, gold_path, gold_daily(empty).schema, DAYS)
+    with materialized(latest_bars(new, latest_by), "new-bars") as new, materialized(new.select(*DAYS).distinct(), "new-days") as days:
+        known = tables.read_table(spark, latest_path)
+        merged = latest_bars(pruned(known, DAYS, days).unionByName(new.select(*known.columns)), latest_by)
+        with materialized(merged, "merged-bars") as merged:
+            tables.replace_partitions(merged, latest_path, DAYS, ["timestamp"])
+            filled = merged.fillna(0) if fill == "all" else merged
+            tables.replace_partitions(gold_daily(filled.drop("day")), gold_path, DAYS)
+        with materialized(_with_neighbors(tables.read_table(spark, gold_path), days), "days") as around:
+            tables.replace_partitions(_silver_of_days(tables.read_table(spark, latest_path), around, fill, unit), silver_path, DAYS, ["timestamp"])
+
+
+def _with_neighbors(gold: DataFrame, days: DataFrame) -> DataFrame:
+    """The days, the one after each, and for all of them the one before as ``before``: by the partitions of gold alone."""
+    by_ticker = Window.partitionBy("ticker").orderBy("day")
+    spine = gold.select(*DAYS).distinct().withColumn("before", F.lag("day").over(by_ticker))
+    ours = in_partitions(spine, DAYS, days)
+    after = spine.alias("spine").join(
+        days.alias("days"), F.col("spine.ticker").eqNullSafe(F.col("days.ticker")) & F.col("spine.before").eqNullSafe(F.col("days.day"))
+        & F.col("spine.before").isNotNull(), "left_semi",
+    )
+    return ours.unionByName(after).distinct()
+
+
+def _silver_of_days(latest: DataFrame, around: DataFrame, fill: str, unit: str) -> DataFrame:
+    """Silver of some days, each with the last close of the day before as a row in front."""
+    rows = pruned(latest, DAYS, around.select(*DAYS))
+    previous = around.where("before is not null").select("ticker", F.col("before").alias("day")).distinct()
+    closes = pruned(latest, DAYS, previous).groupBy(*DAYS).agg(F.max_by("close", "timestamp").alias("close")).withColumnRenamed("day", "before")
+    in_front = F.to_timestamp("day").cast(latest.schema["timestamp"].dataType) - F.expr("interval 1 microsecond")
+    same = F.col("around.ticker").eqNullSafe(F.col("closes.ticker")) & (F.col("around.before") == F.col("closes.before"))
+    carried = around.alias("around").join(closes.alias("closes"), same).select("around.ticker", "around.day", "closes.close")
+    carried = carried.withColumn("timestamp", in_front).withColumn("_front", F.lit(True))
+    seeded = rows.withColumn("_front", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    lagged = with_previous(materialize(seeded, "days-and-closes"), "close", DAYS, "timestamp", "_previous", unit)
+    return _silver_columns(_changes(lagged.where(~F.col("_front")).drop("_front", "day"), fill))
+
+
 def latest_bars(bronze: DataFrame, *latest_by: Column | str) -> DataFrame:
     """One bar per ticker and instant, the one captured last; run before any lag or sum."""
     return one_per_key(bronze, ["ticker", "timestamp"], *latest_by)

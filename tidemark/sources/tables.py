@@ -1,6 +1,8 @@
 """Lakehouse tables as partitioned Parquet.
 
-A table is an ordinary partitioned directory plus a schema file. A publish writes beside the live
+A table is an ordinary partitioned directory plus a schema file. Besides the partition columns that its rows have, a table
+may be laid out by one of two that only its folders have: ``_bucket``, a hash of the key of a table that is upserted into,
+and ``_batch``, the run or micro-batch that brought the rows of a table that is appended to. A publish writes beside the live
 data, then moves finished directories into place; the ones they replace are kept under
 ``_retired`` until vacuumed. A publish cut short is completed by the next one, since everything
 needed lies in its staging directory. One writer per table; readers that must never see a partition
@@ -10,12 +12,14 @@ change under them should use a Delta table (``fmt="delta"``), where that package
 from __future__ import annotations
 
 import json
+import re
 import time
 import uuid
 from collections.abc import Iterable, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources.layout import Lake, TableName
@@ -23,6 +27,9 @@ from tidemark.sources.storage import Storage
 
 SCHEMA_FILE = "_schema.json"
 STAGING, RETIRED, READY, CLEARED, PLACED = "_staging", "_retired", "_ready.json", "_cleared", "_placed.json"
+BUCKET, BATCH = "_bucket", "_batch"
+FOLDER_COLUMNS = {BUCKET: T.IntegerType(), BATCH: T.StringType()}
+MERGED = "merged-"  # how the names of batches begin that compaction has made of others
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -39,25 +46,51 @@ def stream_written(spark: SparkSession, path: str) -> bool:
     return Storage(spark, path).exists(f"{path}/_spark_metadata")
 
 
-def schema_of(spark: SparkSession, path: str) -> T.StructType | None:
+def layout_of(spark: SparkSession, path: str) -> dict | None:
+    """What the schema file says: ``schema``, ``partitions`` and, of a table by ``_bucket``, ``keys`` and ``buckets``."""
     storage = Storage(spark, path)
     file = f"{path}/{SCHEMA_FILE}"
-    if not storage.exists(file):
-        return None
-    return T.StructType.fromJson(json.loads(storage.read_text(file))["schema"])
+    return json.loads(storage.read_text(file)) if storage.exists(file) else None
+
+
+def schema_of(spark: SparkSession, path: str) -> T.StructType | None:
+    layout = layout_of(spark, path)
+    return T.StructType.fromJson(layout["schema"]) if layout else None
 
 
 def partition_cols_of(spark: SparkSession, path: str) -> list[str]:
-    storage = Storage(spark, path)
-    file = f"{path}/{SCHEMA_FILE}"
-    return json.loads(storage.read_text(file))["partitions"] if storage.exists(file) else []
+    layout = layout_of(spark, path)
+    return layout["partitions"] if layout else []
 
 
-def _write_schema(spark, path: str, schema: T.StructType, partition_cols: Sequence[str]) -> None:
-    content = {"schema": schema.jsonValue(), "partitions": list(partition_cols)}
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema with the columns that only folders have."""
+    layout = layout_of(spark, path)
+    if not layout:
+        return None
+    more = [T.StructField(c, FOLDER_COLUMNS[c]) for c in layout["partitions"] if c in FOLDER_COLUMNS]
+    return T.StructType(T.StructType.fromJson(layout["schema"]).fields + more)
+
+
+def _write_schema(spark, path: str, schema: T.StructType, partition_cols: Sequence[str], **more) -> None:
+    own = T.StructType([f for f in schema if f.name not in FOLDER_COLUMNS])
+    content = {"schema": own.jsonValue(), "partitions": list(partition_cols), **more}
     Storage(spark, path).write_text(f"{path}/{SCHEMA_FILE}", json.dumps(content))
 
 
+def set_buckets(spark: SparkSession, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Declare a table without rows, or one whose rows lie in such folders, to be laid out by a hash of ``keys``."""
+    layout = layout_of(spark, path)
+    order = layout.get("order", [c for c in layout["partitions"] if c not in FOLDER_COLUMNS])
+    schema = T.StructType.fromJson(layout["schema"])
+    _write_schema(spark, path, schema, [BUCKET], keys=list(keys), buckets=buckets, order=order)
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """The folder of a key."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
 def ensure_table(
     spark: SparkSession, path: str, schema: T.StructType, partition_cols: Sequence[str] = ()
 ) -> bool:
@@ -75,7 +108,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     schema = schema_of(spark, path)
     if schema is None:
         return spark.read.option("mergeSchema", "true").parquet(path)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    return spark.read.schema(stored_schema(spark, path)).parquet(path).select(*schema.names)
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
@@ -94,16 +127,26 @@ def load_table(lake: Lake, spark: SparkSession, name: TableName) -> DataFrame |
 
 
 def read_table_stream(
-    spark: SparkSession, path: str, max_files: int | None = None, fmt: str = "parquet"
+    spark: SparkSession, path: str, max_files: int | None = None, fmt: str = "parquet", checkpoint: str | None = None
 ) -> DataFrame:
-    """A table as a stream; the first run reads it all, later runs what was added."""
+    """A table as a stream; the first run reads it all, later runs what was added.
+
+    Compaction merges old batches of a table by batches. A reader whose ``checkpoint`` has a committed batch passes merged
+    ones by, as it has had their rows. One that has none begins with a batch of everything that is there, merged or not,
+    whatever ``max_files`` says. Without a checkpoint named, merged batches are passed by.
+    """
     reader = spark.readStream
-    if max_files:
+    begun = checkpoint is None or any(n.isdigit() for n in Storage(spark, checkpoint).children(f"{checkpoint}/commits"))
+    merged = lambda: any(n.startswith(f"{BATCH}={MERGED}") for n in Storage(spark, path).folders(path))
+    if max_files and (begun or not merged()):
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     if fmt != "parquet":
         return reader.format(fmt).load(path)
     schema = schema_of(spark, path) or read_table(spark, path).schema
-    return reader.schema(schema).parquet(path).select(*schema.names)
+    rows = reader.schema(stored_schema(spark, path) or schema).parquet(path)
+    if BATCH in rows.columns and begun:
+        rows = rows.where(~F.col(BATCH).startswith(MERGED))
+    return rows.select(*schema.names)
 
 
 def file_of(uri: str, root: str) -> str:
@@ -213,7 +256,7 @@ def _swap(spark, storage: Storage, path: str, name: str) -> None:
     # Retired data is as old as this moment, however long the write took.
     staged, retired = f"{path}/{STAGING}/{name}", f"{path}/{RETIRED}/{int(time.time() * 1000)}-{name}"
     order = json.loads(storage.read_text(f"{staged}/{READY}"))
-    visible = lambda folder: [n for n in storage.children(folder) if n[0] not in "_."]
+    visible = lambda folder: [n for n in storage.children(folder) if n[0] not in "_." or "=" in n]
     if order["replace"] == "files":
         folders = leaf_folders(storage, staged, order["depth"])
         below = [(f"{f}/" if f else "", f"{staged}/{f}" if f else staged) for f in folders]
@@ -238,7 +281,9 @@ def _swap(spark, storage: Storage, path: str, name: str) -> None:
         storage.move_all((f"{path}/{entry}", f"{retired}/{entry}") for entry in present)
         storage.write_text(f"{staged}/{CLEARED}", "")
     storage.move_all((f"{staged}/{entry}", f"{path}/{entry}") for entry in entries)
-    _write_schema(spark, path, T.StructType.fromJson(order["schema"]), order["partitions"])
+    known = layout_of(spark, path) or {}
+    more = {} if order["replace"] == "table" else {k: known[k] for k in ("keys", "buckets", "order") if k in known}
+    _write_schema(spark, path, T.StructType.fromJson(order["schema"]), order["partitions"], **more)
 
 
 def widen_schema(spark, path: str, added: T.StructType, partition_cols: Sequence[str] = ()) -> list[str]:
@@ -247,16 +292,49 @@ def widen_schema(spark, path: str, added: T.StructType, partition_cols: Sequence
     if known is None and exists(spark, path):
         known = read_table(spark, path).schema
     parts = list(partition_cols) or partition_cols_of(spark, path)
+    layout = layout_of(spark, path) or {}
     fields = {f.name: f for f in (known or T.StructType())}
     for field in added:
         fields.setdefault(field.name, T.StructField(field.name, field.dataType, True))
-    _write_schema(spark, path, T.StructType(list(fields.values())), parts)
+    _write_schema(spark, path, T.StructType(list(fields.values())), parts, **{k: layout[k] for k in ("keys", "buckets", "order") if k in layout})
     return parts
 
 
-def append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
-    """Add rows, widening the table's schema by new columns. Not safe to repeat; use
-    ``publish(replace="partitions")`` where a run may happen twice."""
+def append(df: DataFrame, path: str, partition_cols: Sequence[str] = (), run: str | None = None) -> None:
+    """Add rows, widening the table's schema by new columns.
+
+    With a ``run``, such as the day that is loaded, the rows go to a folder of that run, which a repeat writes anew: it may
+    happen twice. Without one it may not.
+    """
+    if run is not None:
+        put_batch(df, path, run, partition_cols)
+        return
     parts = widen_schema(df.sparkSession, path, df.schema, partition_cols)
     writer = df.write.mode("append")
     (writer.partitionBy(*parts) if parts else writer).parquet(path)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], sort_cols: Sequence[str] = (), mode: str = "overwrite") -> None:
+    """Write the partitions that occur in ``df`` anew, and no others, by Spark's dynamic partition overwrite.
+
+    ``mode="append"`` adds to them instead. The table must be there. Which partitions these are is known to the tasks alone.
+    """
+    rows = df.hint("rebalance", *partition_cols).sortWithinPartitions(*partition_cols, *sort_cols)
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)
+
+
+def put_batch(df: DataFrame, path: str, batch: str, partition_cols: Sequence[str] = ()) -> None:
+    """Write the rows of one run or micro-batch in place of what it has written before, if anything.
+
+    The folder of the batch is the first level of partitions, and only that folder is touched.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch):
+        raise ValueError(f"a batch is named by letters, digits, '_', '.' and '-', not {batch!r}")
+    spark = df.sparkSession
+    known = partition_cols_of(spark, path)
+    if stream_written(spark, path) or (exists(spark, path) and known[:1] != [BATCH]):
+        raise ValueError(f"{path} is not laid out by batches")
+    parts = [c for c in known if c != BATCH] or list(partition_cols)
+    widen_schema(spark, path, df.schema, [BATCH, *parts])
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*parts) if parts else writer).parquet(f"{path}/{BATCH}={batch}")

@@ -2,48 +2,47 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-
-from tidemark.functions.decode import (
-    BAR_JSON,
-    decode_avro_bars,
-    decode_json,
-    encode_replay,
-    unframe,
-    unreadable,
-)
+from pyspark.sql.streaming import StreamingQuery
+
+from tidemark.functions import decode
+from tidemark.functions.decode import encode_replay
+from tidemark.shared import materialized
+from tidemark.sources import tables
 from tidemark.sources.files import stream_bar_csvs
-from tidemark.sources.tables import widen_schema
+from tidemark.sources.storage import Storage
 from tidemark.sources.topics import as_messages
 
+Check = Callable[[DataFrame], DataFrame]
 
-def decode_bars(messages: DataFrame, encoding: str = "json") -> DataFrame:
-    """Bars with the broker's stamp as ``_capture_time_kafka`` and ``_capture_time_bronze``.
+# How a message is checked and decoded, by the encoding of its topic.
+CHECKS: dict[str, Check] = {
+    "json": decode.checked_json,
+    "avro": decode.checked_avro,
+    "framed": lambda messages: decode.checked_frame(messages, decode.checked_avro).drop("schema_id"),
+    "changes": decode.checked_changes,
+    "flat": decode.checked_flat_changes,
+}
+STAMPED = ("json", "avro", "framed")  # whose rows are bars with the stamps of their capture
 
-    ``encoding`` is ``json``, ``avro``, or ``framed`` (Avro behind a schema id). JSON values that cannot be
-    read are left to ``broken_messages``.
-    """
-    readable = F.col("value").isNotNull()
-    if encoding == "json":
-        readable = readable & ~unreadable(messages, BAR_JSON)
-    stamped = messages.where(readable).withColumnRenamed("timestamp", "_capture_time_kafka")
-    keep = ("_capture_time_kafka",)
-    if encoding == "json":
-        bars = decode_json(stamped, BAR_JSON, keep)
-    elif encoding == "framed":
-        bars = decode_avro_bars(unframe(stamped), keep)
-    else:
-        bars = decode_avro_bars(stamped, keep)
-    return bars.withColumn("_capture_time_bronze", F.current_timestamp())
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that a checkpoint belongs to: the same after a restart, another for a new checkpoint."""
+    return json.loads(Storage(spark, checkpoint).read_text(f"{checkpoint}/metadata"))["id"]
 
 
-def broken_messages(messages: DataFrame, schema: str = BAR_JSON) -> DataFrame:
-    """The messages whose JSON value cannot be read, as they came, with the time of their capture."""
-    return messages.where(unreadable(messages, schema)).withColumn("_capture_time_bronze", F.current_timestamp())
+def run_batches(rows: DataFrame, checkpoint: str, write: Callable[[DataFrame, str], None], drain: bool, interval: str) -> StreamingQuery:
+    """A stream whose batches go to ``write`` with a name that a repeated batch has again."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write(batch, f"{stream_id(batch.sparkSession, checkpoint)}-{batch_id:09d}")
+
+    trigger = {"availableNow": True} if drain else {"processingTime": interval}
+    return rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def append_stream(
@@ -57,16 +56,13 @@ def append_stream(
 ) -> StreamingQuery:
     """Append a stream to a table, exactly once; new columns widen its schema.
 
-    ``drain`` takes all there is and stops; otherwise the query runs on. The checkpoint lies
-    outside the table.
+    Each batch writes a folder of its own, which a repeated batch writes anew. ``drain`` takes all there is and stops;
+    otherwise the query runs on. The checkpoint lies outside the table.
     """
     if fmt == "parquet":
-        widen_schema(rows.sparkSession, path, rows.schema, partition_by)
-    writer: DataStreamWriter = (
-        rows.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
-    )
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        return run_batches(rows, checkpoint, lambda batch, name: tables.put_batch(batch, path, name, partition_by), drain, interval)
+    writer = rows.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
     trigger = {"availableNow": True} if drain else {"processingTime": interval}
     return writer.trigger(**trigger).start(path)
 
@@ -76,17 +72,37 @@ def topic_to_bronze(
     path: str,
     checkpoint: str,
     encoding: str = "json",
-    decode: Callable[[DataFrame], DataFrame] | None = None,
-    **how,
+    rejects: str | None = None,
+    check: Check | None = None,
+    partition_by: Sequence[str] = (),
+    drain: bool = True,
+    interval: str = "1 minute",
 ) -> StreamingQuery:
-    """A topic decoded into the bronze table."""
-    rows = decode(messages) if decode else decode_bars(messages, encoding)
-    return append_stream(rows, path, checkpoint, **how)
-
+    """A topic decoded into the bronze table, and what cannot be decoded into a table of rejects.
 
-def topic_rejects(messages: DataFrame, path: str, checkpoint: str, schema: str = BAR_JSON, **how) -> StreamingQuery:
-    """What ``topic_to_bronze`` leaves out of a JSON topic, kept and countable in a table of its own."""
-    return append_stream(broken_messages(messages, schema), path, checkpoint, **how)
+    One stream writes both. A batch is decoded once and written, and the two tables are made of that copy, each in a
+    folder of the batch, so that a repeated batch leaves the same rows. ``encoding`` is one of ``CHECKS``; ``check`` replaces
+    it. Rejects keep the message as it came and a reason; they lie in ``_rejects`` of the table unless another path is given.
+    Bars get the broker's stamp as ``_capture_time_kafka`` and, like all rejects, ``_capture_time_bronze``.
+    """
+    checked, aside = check or CHECKS[encoding], rejects or f"{path}/_rejects"
+    stamped = check is None and encoding in STAMPED
+
+    def write(batch: DataFrame, name: str) -> None:
+        kept = batch.columns
+        whole = checked(batch).withColumn("_captured", F.current_timestamp())
+        # The message is only written again where it is needed.
+        slim = whole.withColumns({c: F.when(F.col("reason").isNotNull(), F.col(c)) for c in kept if c != "timestamp"})
+        with materialized(slim, "bronze-batch") as copy:
+            stamps = (F.col("timestamp").alias("_capture_time_kafka"), F.col("_captured").alias("_capture_time_bronze")) if stamped else ()
+            rows = copy.where(F.col("row").isNotNull())
+            # Names of the row come first: it may have a timestamp of its own.
+            rows = rows.select("row", *stamps).select("row.*", *[s for s in ("_capture_time_kafka", "_capture_time_bronze") if stamped])
+            tables.put_batch(rows, path, name, partition_by)
+            lost = copy.where(F.col("reason").isNotNull()).select(*kept, "reason", F.col("_captured").alias("_capture_time_bronze"))
+            tables.put_batch(lost, aside, name)
+
+    return run_batches(messages, checkpoint, write, drain, interval)
 
 
 def keep_every_copy(bronze: DataFrame, path: str, checkpoint: str, **how) -> StreamingQuery:

@@ -54,7 +54,7 @@ def bars_to_silver(
     """Bronze bars into silver, one row per ticker and instant, the last captured wins."""
     tables.ensure_table(spark, silver_path, SILVER_INTRADAY, ["ticker", "ano"])
     return upsert_stream(
-        tables.read_table_stream(spark, bronze_path, max_files),
+        tables.read_table_stream(spark, bronze_path, max_files, checkpoint=checkpoint),
         silver_path,
         checkpoint,
         ["ticker", "timestamp"],
@@ -85,7 +85,7 @@ def events_to_silver(
     """Audit events into silver by ``_id``, partitioned by day."""
     tables.ensure_table(spark, silver_path, schema, ["ano", "mes", "dia"])
     return upsert_stream(
-        tables.read_table_stream(spark, bronze_path, max_files),
+        tables.read_table_stream(spark, bronze_path, max_files, checkpoint=checkpoint),
         silver_path,
         checkpoint,
         ["_id"],
