@@ -127,14 +127,10 @@ def test_bins_leave_out_what_is_not_there(spark):
     assert pairs == {(0, 0): 1, (4, 0): 1}
 
 
-def test_later_cells_drop_out(spark, monkeypatch):
-    """Clustered rows: after its own cell a test row visits few others."""
+def _watched(monkeypatch):
+    """Counts of (test row, group) visits and of (test row, training row) pairs that are refined."""
     from tidemark.operators import knn
 
-    rng = random.Random(9)
-    spot = lambda c: (10.0 * c + rng.random(), 10.0 * (c % 7) + rng.random())
-    train = [(i, i % 3, *spot(i % 40)) for i in range(2000)]
-    test = [(5000 + i, *spot(i % 40)) for i in range(80)]
     visits, look = [], knn._look
 
     def watched(seen, *rest):
@@ -142,8 +138,61 @@ def test_later_cells_drop_out(spark, monkeypatch):
         return look(seen, *rest)
 
     monkeypatch.setattr(knn, "_look", watched)
+    return visits
+
+
+def test_later_groups_drop_out(spark, monkeypatch):
+    """Clustered rows: after its own group a test row visits few others."""
+    visits = _watched(monkeypatch)
+    rng = random.Random(9)
+    spot = lambda c: (10.0 * c + rng.random(), 10.0 * (c % 7) + rng.random())
+    train = [(i, i % 3, *spot(i % 40)) for i in range(2000)]
+    test = [(5000 + i, *spot(i % 40)) for i in range(80)]
     test_df = spark.createDataFrame(test, "id bigint, x double, y double")
     train_df = spark.createDataFrame(train, "id bigint, label int, x double, y double")
-    found = neighbors(test_df, train_df, NAMES, 3, block_rows=20, max_pivots=400)
+    found = neighbors(test_df, train_df, NAMES, 3, block_rows=20, max_pivots=400, group_rows=40)
     assert {(r["id"], r["train_id"]) for r in found.collect()} == {(i, j) for i, near in _brute(test, train, 3).items() for j, _ in near}
-    assert visits[0] == 80 and visits[1] <= 80 * 8
+    assert 80 <= visits[0] <= 80 * 2 and visits[1] <= 80 * 4
+
+
+def test_visits_in_64_dimensions(spark, sf, monkeypatch):
+    """On the embeddings a test row is sent once to each group of cells, at most, and not to each cell."""
+    from tidemark import adapters
+
+    visits = _watched(monkeypatch)
+    rows = adapters.features(spark, sf)
+    marked = classify.split(rows)
+    test, train = marked.where("test").drop("test"), marked.where("not test").drop("test")
+    found = neighbors(test, train, adapters.FEATURES, 3, block_rows=10, group_rows=100)
+    tests, trained = test.count(), train.count()
+    assert sum(visits) <= tests * -(-trained // 80)  # cells would be tests * trained / 10
+    points = lambda df, *more: [tuple(r) for r in df.select("id", *more, *adapters.FEATURES).collect()]
+    want = _brute(points(test), points(train, "label"), 3)
+    got = {}
+    for r in sorted(found.collect(), key=lambda r: (r["id"], r["rank"])):
+        got.setdefault(r["id"], []).append((r["train_id"], r["train_label"]))
+    assert got == want
+
+
+def test_few_pairs_are_refined():
+    """The product leaves little more than the neighbors themselves to exact distances, and loses none."""
+    import numpy as np
+
+    from tidemark.operators import knn
+
+    pick = np.random.default_rng(3)
+    tests, rows = pick.normal(size=(200, 64)) + 1e4, pick.normal(size=(3000, 64)) + 1e4
+    seen, plain = [], knn.pair_distances
+    knn.pair_distances = lambda a, b: (seen.append(len(a)), plain(a, b))[1]
+    try:
+        nearest = knn.Nearest(3, np.full(200, np.inf))
+        norms = ((tests**2).sum(axis=1), (rows**2).sum(axis=1))
+        for low in range(0, 3000, 1000):
+            knn.visit(tests, np.arange(200), rows, norms, np.arange(low, low + 1000), nearest, np.arange(3000))
+    finally:
+        knn.pair_distances = plain
+    exact = knn.squared_distances(tests, rows)
+    order = np.argsort(exact, axis=1, kind="stable")[:, :3]
+    assert nearest.at.reshape(200, 3).tolist() == order.tolist()
+    assert nearest.d2.reshape(200, 3).tolist() == np.take_along_axis(exact, order, axis=1).tolist()
+    assert sum(seen) < 200 * 3 * 6
