@@ -334,13 +334,15 @@ def _noded(text: str):
 
 
 def remove(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One document of each class, with all its columns: the one of the least key."""
+    """One document of each class, with all its columns: the one of the least key, of several the least text, then the least row."""
     _, named = node_classes(docs, key, text)
     rows = docs.select(texts.whole_row(docs).alias("row"))
     noded = texts.mapped(rows, _noded(text), texts.with_key(rows, "row", "node long"))
     of = named.filter("kept").select("node", "class_id")
     least = noded.join(of, "node").filter(F.col("key")[key].eqNullSafe(F.col("class_id")))
-    return least.dropDuplicates(["node"]).select("key.*")
+    value = F.col("key")[text].cast("string")
+    order = F.struct(value.isNotNull(), value, F.to_json("key"))
+    return least.groupBy("node").agg(F.min_by("key", order).alias("key")).select("key.*")
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
