@@ -94,3 +94,15 @@ def test_damaged_stored_bytes_are_found(spark):
     hurt = F.when(F.col("slot") == 40, F.concat(F.expr("substring(data, 1, 20)"), F.lit("!").cast("binary"), F.expr("substring(data, 22)"))).otherwise(F.col("data"))
     a, b = (warc.tree(warc.stored_manifest(s), n) for s, n in ((stored, "a"), (stored.withColumn("data", hurt), "b")))
     assert [r["node"] for r in warc.audit(a, b)[0].collect()] == [40]
+
+
+def test_a_hot_id_is_spread(spark):
+    """Half of all records have no id, a quarter are copies of one: offsets are without gaps, in the order of hashes."""
+    rows = [(None, f"u{k}", "x" * (k % 50), "n", 1) for k in range(400)] + [(7, "same", "body", "n", 1)] * 200 + [(k, "u", "y", "n", 1) for k in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    stored = warc.write(df, "page_id", "url", "html").collect()
+    assert len(stored) == len(rows)
+    for file in {r["file"] for r in stored}:
+        mine = sorted((r["start"], r["end"], r["slot"], hashlib.sha256(r["data"]).hexdigest()) for r in stored if r["file"] == file)
+        assert [m[0] for m in mine] == [0, *[m[1] for m in mine[:-1]]]
+        assert [m[2:] for m in mine] == sorted(m[2:] for m in mine)

@@ -12,8 +12,11 @@ follow until at most ``FANOUT`` nodes are left, whose hash is the root. Replicas
 same offsets. Else the audit goes down from the root, level by level, and looks only at children of nodes that differ, down
 to the records. One with the same bytes at another place has equal hashes: where a file is shifted, that is the first one.
 
-A file holds ``FILE_RECORDS`` slots. Records are shuffled once, as they are written, one task for a file; the audit shuffles
-hashes and offsets only, and a group of its tree never has more than ``FANOUT`` rows.
+A file holds ``FILE_RECORDS`` slots. Its offsets come from narrow rows, one for each different record with its hash, size and
+number of copies: prefix sums within a slot and the first digits of the hash, then over the totals of these, so that an id with
+a third of all records is spread like any other. The bytes are shuffled once, by file, slot and hash, and meet their offset
+there; no task has a whole file. The audit shuffles hashes and offsets only, and a group of its tree never has more than
+``FANOUT`` rows.
 
 Defined cases: null urls and bodies are empty; records of one id share a slot, whose leaf then does not depend on their
 order; records with a null id have slot -1. An empty replica has no nodes, and two of them are equal. Other columns are
@@ -31,6 +34,7 @@ from tidemark.shared import scratch_path
 
 FANOUT = 16
 FILE_RECORDS = 4096
+HEAD_DIGITS = 3  # of the hash, by which the records of one slot are spread
 
 
 def record(key: Column, url: Column, body: Column) -> Column:
@@ -47,12 +51,16 @@ def record(key: Column, url: Column, body: Column) -> Column:
 def write(pages: DataFrame, key: str, url: str, body: str) -> DataFrame:
     """Store the records, in files of consecutive slots, and return them as (slot, file, start, end, data) read from there.
 
-    Records of one slot follow each other by their SHA-256.
+    Records of one slot follow each other by their SHA-256, equal ones are copies of one row.
     """
     rows = pages.select(F.coalesce(F.col(key).cast("long"), F.lit(-1)).alias("slot"), record(F.col(key), F.col(url), F.col(body)).alias("data"))
-    rows = rows.withColumn("file", F.floor(F.col("slot") / FILE_RECORDS)).withColumn("size", F.octet_length("data").cast("long"))
-    order = Window.partitionBy("file").orderBy("slot", F.sha2("data", 256)).rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.withColumn("end", F.sum("size").over(order)).select("slot", "file", (F.col("end") - F.col("size")).alias("start"), "end", "data")
+    rows = rows.withColumn("file", F.floor(F.col("slot") / FILE_RECORDS)).withColumn("sha", F.sha2("data", 256))
+    same = ["file", "slot", "sha"]
+    offsets = _offsets(rows.groupBy(*same, F.octet_length("data").cast("long").alias("size")).agg(F.count("*").alias("copies")))
+    placed = rows.groupBy(*same).agg(F.first("data").alias("data")).join(offsets, same)
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
+    placed = placed.select("slot", "file", "first", "size", "data", copy).withColumn("start", F.col("first") + F.col("copy") * F.col("size"))
+    placed = placed.select("slot", "file", "start", (F.col("start") + F.col("size")).alias("end"), "data")
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
     placed.write.option("compression", "zstd").parquet(path)
@@ -60,6 +68,19 @@ def write(pages: DataFrame, key: str, url: str, body: str) -> DataFrame:
     return spark.read.schema(placed.schema).parquet(path)
 
 
+def _offsets(records: DataFrame) -> DataFrame:
+    """(file, slot, sha, size, copies, first): where the first copy of each record begins in its file."""
+    records = texts.stored(records.withColumn("head", F.substring("sha", 1, HEAD_DIGITS)).withColumn("bytes", F.col("size") * F.col("copies")), "warc-records")
+    part = ["file", "slot", "head"]
+    inside = Window.partitionBy(*part).orderBy("sha").rowsBetween(Window.unboundedPreceding, 0)
+    over = Window.partitionBy("file").orderBy("slot", "head").rowsBetween(Window.unboundedPreceding, 0)
+    totals = records.groupBy(*part).agg(F.sum("bytes").alias("bytes"))
+    totals = totals.select(*part, (F.sum("bytes").over(over) - F.col("bytes")).alias("before"))
+    within = records.withColumn("within", F.sum("bytes").over(inside) - F.col("bytes"))
+    found = within.join(totals, part).select("file", "slot", "sha", "size", "copies", (F.col("before") + F.col("within")).alias("first"))
+    return texts.stored(found, "warc-offsets")
+
+
 def read_range(stored: DataFrame, file: int, start: int, end: int) -> bytes:
     """The bytes from ``start`` up to ``end`` of a stored file, zeros where nothing stands."""
     out = bytearray(end - start)
