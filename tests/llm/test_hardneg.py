@@ -71,6 +71,18 @@ def test_the_index_leaves_dimensions_out():
     assert left[0] > left[1] > left[2]
 
 
+def test_copies_leave_few_pairs():
+    """Of thousands of copies only the least ids go on to Python's lists."""
+    q, r = np.repeat(np.arange(3), 1000), np.tile(np.arange(1000), 3)
+    scores = np.where(r % 2, 50, 40 + q)
+    ids = np.arange(1000)[::-1]
+    limits = np.array([45, float("inf"), 50], object)
+    a, x, s = hardneg._useful(q, r, scores, ids, np.array([0.0, 45.0, 41.0]), limits, 3)
+    assert sorted(zip(a.tolist(), s.tolist(), ids[x].tolist())) == [(0, 40, i) for i in (1, 3, 5)] + [(1, 50, i) for i in (0, 2, 4)] + [(2, 42, i) for i in (1, 3, 5)] + [
+        (2, 50, i) for i in (0, 2, 4)
+    ]
+
+
 def test_large_components(spark):
     """Scores beyond 2^53, and beyond 64 bits, rank by their true values."""
     pick = np.random.default_rng(6)

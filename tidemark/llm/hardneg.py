@@ -38,7 +38,7 @@ from tidemark.llm import text as texts
 from tidemark.llm import vectors
 
 BLOCK_ROWS = 4096
-ANCHOR_BLOCK = 512
+ANCHOR_BLOCK = 256
 SEGMENT = 8  # dimensions of posting lists that are read together
 SPARSE = 1 / 8  # share of pairs under which they are scored one by one
 STARTS = (0.8, 0.5, 0.0)  # thresholds of a window, from its lower end to its upper one
@@ -157,6 +157,8 @@ def _visit(rows, ids, labels, block: vectors.Block, norms: np.ndarray, windows:
     real, row_norms = rows.astype(float), suffix_norms(rows.astype(float))
     # The least score of use to an anchor; infinite if it looks for nothing.
     thresholds = np.array([min((w.threshold(most) for w in some), default=float("inf")) for some in windows], float)
+    limits = [max((float("inf") if w.high is None else w.high for w in some), default=0) for some in windows]
+    limits = np.array(limits, object)
     own_labels = block.more["label"]
     for low in range(0, len(block.ids), ANCHOR_BLOCK):
         chunk = low + np.flatnonzero(thresholds[low : low + ANCHOR_BLOCK] < np.inf)
@@ -174,9 +176,7 @@ def _visit(rows, ids, labels, block: vectors.Block, norms: np.ndarray, windows:
                 allowed &= labels[x][None, :] != own_labels[a][:, None]
             q, r = join_block(real[x], row_norms[x], block.vectors[a].astype(float), norms[a], thresholds[a], allowed, spare)
             scores = vectors.pair_scores(block.vectors, a[q], rows, x[r], plain)
-            if plain:
-                good = scores >= thresholds[a][q]
-                q, r, scores = q[good], r[good], scores[good]
+            q, r, scores = _useful(q, r, scores, ids[x], thresholds[a], limits[a], most)
             ends = np.searchsorted(q, np.arange(len(a) + 1))
             negated, names = (-scores).tolist(), ids[x[r]].tolist()
             for at in np.flatnonzero(np.diff(ends)):
@@ -185,6 +185,19 @@ def _visit(rows, ids, labels, block: vectors.Block, norms: np.ndarray, windows:
                     w.add(list(zip(negated[span], names[span])), most)
 
 
+def _useful(q: np.ndarray, r: np.ndarray, scores: np.ndarray, ids: np.ndarray, thresholds: np.ndarray, limits: np.ndarray, most: int) -> tuple:
+    """The pairs between threshold and limit of their anchor; of equal scores, as copies have, the ``most`` least ids."""
+    good = (scores >= thresholds[q]) & (scores <= limits[q]).astype(bool)
+    q, r, scores = q[good], r[good], scores[good]
+    rank = np.unique(scores, return_inverse=True)[1]
+    order = np.lexsort((ids[r], rank, q))
+    q, r, scores, rank = q[order], r[order], scores[order], rank[order]
+    at = np.arange(len(q))
+    first = np.append(True, (q[1:] != q[:-1]) | (rank[1:] != rank[:-1])) if len(q) else np.zeros(0, bool)
+    kept = at - np.maximum.accumulate(np.where(first, at, 0)) < most if len(q) else first
+    return q[kept], r[kept], scores[kept]
+
+
 def _pass(spark: SparkSession, rows: DataFrame, work: list[vectors.Block], searches: Searches, same_label: bool, most: int) -> tuple[DataFrame, Searches]:
     """One pass over all rows: (anchor, place, rank, vec_id, score, wide) of the windows it settles, and the searches that are left."""
     shared = spark.sparkContext.broadcast((work, searches))

@@ -19,6 +19,7 @@ EXACT = 1 << 53
 LONGEST = (1 << 63) - 1
 OFFSET = 10**120
 QUERY_BYTES = 16 << 20
+PAIR_CELLS = 1 << 21  # components of pairs that are scored at once
 
 
 def usable(vector: Column) -> Column:
@@ -57,10 +58,16 @@ def whole_numbers(values: np.ndarray) -> np.ndarray:
 
 
 def pair_scores(queries: np.ndarray, q: np.ndarray, rows: np.ndarray, x: np.ndarray, plain: bool) -> np.ndarray:
-    """The exact inner products of some pairs: longs, or Python's integers."""
-    if plain:
-        return np.einsum("ij,ij->i", queries[q].astype(float), rows[x].astype(float)).astype(np.int64)
-    return (whole_numbers(queries[q]) * whole_numbers(rows[x])).sum(axis=1) if len(q) else np.zeros(0, object)
+    """The exact inner products of some pairs, however many: longs, or Python's integers."""
+    out = np.zeros(len(q), np.int64 if plain else object)
+    step = max(1, PAIR_CELLS // max(1, rows.shape[1]))
+    for i in range(0, len(q), step):
+        a, b = queries[q[i : i + step]], rows[x[i : i + step]]
+        if plain:
+            out[i : i + step] = np.einsum("ij,ij->i", a.astype(float), b.astype(float))
+        else:
+            out[i : i + step] = (whole_numbers(a) * whole_numbers(b)).sum(axis=1)
+    return out
 
 
 def slack(queries: np.ndarray, rows: np.ndarray, plain: bool) -> float:
