@@ -3,6 +3,12 @@
 Toxic documents go, one document of each near-duplicate class stays, repeated passages are cut out of the texts,
 documents that hold benchmark passages go, and what is left is encoded. All stages but the last return the columns of
 ``documents``; ``n_chars`` follows the text.
+
+Defined cases, in every stage: a null text has no words and stays null until it is encoded as an empty one; texts without
+a word are copies of each other, so one of them stays. Rows with a null ``doc_id`` pass like others; of repeated rows one
+stays, of a class of near duplicates the row of the least id, then of the least text. Very long texts are read whole.
+Empty tables give empty tables; without labels no document is toxic. Columns beyond those of ``documents`` are handed
+through, whatever their names. The last stage returns ``doc_id, n_tokens, ids_sha256, decoded_sha256, ids``.
 """
 
 from __future__ import annotations
@@ -48,7 +54,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("tokens", tokens),
 ]
 
-# Models, sketches and tokenizers are beyond SQL; tests hold the stages against plain versions.
+# Models, sketches and tokenizers are beyond SQL; tests/llm/test_pipeline_plain.py holds every stage against plain code.
 ORACLE_SQL = None
 
 

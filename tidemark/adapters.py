@@ -105,12 +105,14 @@ FEATURES = [f"f{i}" for i in range(1, ENTRIES + 1)]
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All entries of each embedding as measurements, and its class."""
-    return table(spark, sf_dir, "embeddings").select(
+    """All entries of each embedding as measurements, and its class; a longer one is an error, a shorter one lacks some."""
+    longer = F.raise_error(F.concat(F.lit("an embedding has more entries than the "), F.lit(ENTRIES)))
+    whole = F.when(F.size("embedding") > ENTRIES, longer.cast("array<float>")).otherwise(F.col("embedding"))
+    return table(spark, sf_dir, "embeddings").withColumn("embedding", whole).select(
         F.col("vec_id").alias("id"),
         "label",
         *[
-            F.element_at("embedding", i + 1).cast("double").alias(name)
+            F.get("embedding", F.lit(i)).cast("double").alias(name)
             for i, name in enumerate(FEATURES)
         ],
     )
