@@ -25,7 +25,7 @@ An empty table gives no rows. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
@@ -129,8 +129,8 @@ def _joiner(shared, same_label: bool, most: int) -> Callable:
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = {}
         work, searches = shared.value
-        for block in work:
-            windows = [[replace(w) for w in searches.get(own, [])] for own in block.ids.tolist()]
+        for block in vectors.received(work):
+            windows = [[Window(*w) for w in searches.get(own, [])] for own in block.ids.tolist()]
             groups[block.vectors.shape[1]] = (block, windows, suffix_norms(block.vectors.astype(float)))
         for batch in batches:
             ids, labels = np.asarray(batch.column(0)), np.asarray(batch.column(1))
@@ -200,7 +200,8 @@ def _useful(q: np.ndarray, r: np.ndarray, scores: np.ndarray, ids: np.ndarray, t
 
 def _pass(spark: SparkSession, rows: DataFrame, work: list[vectors.Block], searches: Searches, same_label: bool, most: int) -> tuple[DataFrame, Searches]:
     """One pass over all rows: (anchor, place, rank, vec_id, score, wide) of the windows it settles, and the searches that are left."""
-    shared = spark.sparkContext.broadcast((work, searches))
+    plain = {own: [(w.place, w.end, w.high, w.final) for w in some] for own, some in searches.items()}
+    shared = spark.sparkContext.broadcast((vectors.sent(work), plain))
     found = texts.mapped(rows, _joiner(shared, same_label, most), SCHEMA)
     window = SqlWindow.partitionBy("anchor", "place")
     ranked = found.withColumn("rank", F.row_number().over(window.orderBy(*vectors.best_first("score", "wide", "vec_id"))))

@@ -132,7 +132,7 @@ def search_block(block: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: n
 
 def _searcher(shared, k: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = {b.vectors.shape[1]: (b, Best(len(b.ids), k)) for b in shared.value}
+        groups = {b.vectors.shape[1]: (b, Best(len(b.ids), k)) for b in vectors.received(shared.value)}
         for batch in batches:
             ids_of = np.asarray(batch.column(0))
             for width, rows in vectors.by_width(batch.column(1)):
@@ -160,7 +160,7 @@ def top_k(spark: SparkSession, queries: DataFrame, rows: DataFrame, k: int) -> D
     rows = rows.select("vec_id", "vector")
     parts = []
     for block in vectors.blocks(queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))):
-        shared = spark.sparkContext.broadcast(block)
+        shared = spark.sparkContext.broadcast(vectors.sent(block))
         found = texts.mapped(rows, _searcher(shared, k), SCHEMA)
         order = Window.partitionBy("query_id").orderBy(*vectors.best_first("score", "wide", "vec_id"))
         ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

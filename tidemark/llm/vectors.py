@@ -103,6 +103,15 @@ class Block:
     more: dict[str, np.ndarray]
 
 
+def sent(work: list[Block]) -> list[tuple]:
+    """Blocks as plain arrays: a broadcast must not name classes of this package, which workers need not have."""
+    return [(b.ids, b.vectors, b.more) for b in work]
+
+
+def received(work: list[tuple]) -> list[Block]:
+    return [Block(*b) for b in work]
+
+
 def blocks(queries: DataFrame, others: tuple[str, ...] = ()) -> Iterator[list[Block]]:
     """(vec_id, vector, others) in blocks of at most ``QUERY_BYTES``, or of one vector that is longer; no empty block.
 
