@@ -9,11 +9,12 @@ of the different shingles under each of ``PICKED`` orders of its own, whatever t
 are at 0.8, the measure that decides, shares one with a probability of 1 - (1 - 0.8^3)^16, about 0.99999 (orders taken as
 random). One pair in 100,000 that stands exactly at the limit may so be missed, fewer the more alike they are.
 
-Copies (equal words) are one node with the class of all its rows. In each bucket of nodes with one sketch the least
-nodes, the hubs, meet all others that are not of their component yet, then the next hubs, eight times as many each round,
-those that are left, until every pair of the bucket is either in one component or was compared. So a bucket of near copies
-of one text costs about one alignment for each, no candidate is dropped, no bucket is gathered in one task, and the rounds
-are as many as the logarithm of the largest bucket. Where nodes meet, a bitmap of their shingles (each shingle flips one
+Copies (equal words) are one node with the class of all its rows. Nodes have an order by a hash. In each bucket of nodes
+with one sketch the first node, the hub, meets all others that are not of its component yet, then the next hubs, about eight
+times as many each round, those that are left, until every pair of the bucket is either in one component or was compared.
+Hubs are those up to a hash that follows from the least one and the size of the bucket, which are sums and minima: no bucket
+is ranked or gathered in one task. So a bucket of near copies of one text costs about one alignment for each, no candidate is
+dropped, and the rounds are as many as the logarithm of the largest bucket. Where nodes meet, a bitmap of their shingles (each shingle flips one
 bit, so bitmaps differ in no more bits than the sets do in shingles) leaves out pairs that are too different, before
 their words are read.
 
@@ -30,7 +31,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.llm import text as texts
 from tidemark.llm.components import components
@@ -254,6 +254,16 @@ def links(pairs: DataFrame, words: DataFrame) -> DataFrame:
     return texts.mapped(both, _aligned, "a long, b long")
 
 
+def _last_hubs(members: DataFrame, hubs_of: int) -> DataFrame:
+    """(bucket, last): up to which hash the nodes of a bucket are hubs, the first one at least, about ``hubs_of`` of them."""
+    most = (1 << 63) - 1
+    sizes = members.groupBy("bucket").agg(F.min("order").alias("first"), F.count("*").alias("nodes"))
+    share = F.lit(float(hubs_of)) / F.col("nodes")
+    reach = (F.col("first").cast("double") + (float(most) - F.col("first").cast("double")) * share).cast("long")
+    some = F.greatest("first", reach) if hubs_of > 1 else F.col("first")
+    return sizes.select("bucket", F.when(F.col("nodes") <= hubs_of, F.lit(most)).otherwise(some).alias("last"))
+
+
 def node_classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(key, node) of each row, and (node, class_id, kept) of each node; ``kept`` is the one node of its class that stays."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
@@ -266,7 +276,8 @@ def node_classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataF
     shared = each.groupBy("bucket").agg(F.count("*").alias("nodes")).filter("nodes > 1").select("bucket")
     # Bitmaps travel only to the buckets where nodes meet.
     met = each.join(shared, "bucket").join(nodes.select("node", "size", "bitmap"), "node")
-    members = texts.stored(met.select("bucket", "node", "size", "bitmap", F.col("node").alias("part")), "members")
+    order = F.xxhash64("node").alias("order")
+    members = texts.stored(met.select("bucket", "node", order, "size", "bitmap", F.col("node").alias("part")), "members")
 
     involved = members.select("node").distinct().join(nodes.select("node", F.col("key").alias("of")), "node")
     texts_of = rows.join(involved, rows["key"].eqNullSafe(involved["of"])).select("node", "text")
@@ -275,14 +286,15 @@ def node_classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataF
     parts, hubs_of = None, HUBS
     differing = sum(F.bit_count(F.get("bitmap", i).bitwiseXOR(F.get("bitmap_a", i))) for i in range(BITMAP_LONGS))
     while not members.isEmpty():
-        ranked = members.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("node")))
-        hubs = ranked.filter(F.col("rank") <= hubs_of)
-        hub = hubs.select("bucket", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("bitmap").alias("bitmap_a"), F.col("part").alias("part_a"))
+        placed = members.join(_last_hubs(members, hubs_of), "bucket")
+        hubs = placed.filter(F.col("order") <= F.col("last"))
+        hub = hubs.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("node", "order", "size", "bitmap", "part")])
+        behind = (F.col("order") > F.col("order_a")) | ((F.col("order") == F.col("order_a")) & (F.col("node") > F.col("node_a")))
         pairs = (
             members.join(hub, "bucket")
-            .filter((F.col("node") > F.col("a")) & (F.col("part") != F.col("part_a")))
+            .filter(behind & (F.col("part") != F.col("part_a")))
             .filter(differing <= (F.col("size") + F.col("size_a")) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-9)
-            .select("a", F.col("node").alias("b"))
+            .select(F.col("node_a").alias("a"), F.col("node").alias("b"))
             .distinct()
         )
         found = texts.stored(links(pairs, words), "links")
@@ -297,9 +309,8 @@ def node_classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataF
             renamed = merged.select(F.col("node").alias("part"), F.col("part").alias("new"))
             parts = known.join(renamed, "part", "left").select("node", F.coalesce("new", "part").alias("part"))
             parts = texts.stored(parts.unionByName(merged.join(known, "node", "left_anti")), "parts")
-        last = hubs.groupBy("bucket").agg(F.max("node").alias("last"))
-        left = members.join(last, "bucket").filter("node > last").drop("last", "part").join(parts, "node", "left")
-        left = left.select("bucket", "node", "size", "bitmap", F.coalesce("part", "node").alias("part"))
+        left = placed.filter(F.col("order") > F.col("last")).drop("last", "part").join(parts, "node", "left")
+        left = left.select("bucket", "node", "order", "size", "bitmap", F.coalesce("part", "node").alias("part"))
         several = left.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("bucket")
         members = texts.stored(left.join(several, "bucket"), "members")
         hubs_of *= MORE_HUBS
