@@ -42,6 +42,24 @@ def test_stocks_job(spark, sf, path):
     assert jobs.maintenance_job(spark, lake)
 
 
+def test_stocks_job_takes_later_messages_and_keeps_broken_ones(spark, sf, path):
+    """The second run recomputes the days of its messages only, and equals one run over everything."""
+    lake, topic = Lake(path), f"{path}/_topic"
+    changes = adapters.cdc_messages(spark, sf).withColumn("key", F.lit(None).cast("binary"))
+    for value in (None, bytearray(b'{"op": {"string": "c"'), bytearray(b'{"op": {"string": "c"}, "after": null}')):
+        if value is None:
+            topics.write_topic(changes, "stocks", path=topic)
+        else:
+            topics.write_topic(spark.createDataFrame([(None, value)], "key binary, value binary"), "stocks", path=topic)
+        jobs.stocks_job(spark, lake, topics.stream_topic(spark, "stocks", path=topic))
+    bars = adapters.bars(spark, sf).where("ticker <> 'error'")
+    assert _rows(tables.read_table(spark, lake.path("gold", "stocks", "StockData"))) == _rows(stocks.gold_daily(bars))
+    lost = tables.read_table(spark, lake.path("rejects", "stocks", "StockData"))
+    assert sorted(r["reason"] for r in lost.collect()) == ["no document", "unreadable envelope"]
+    report = {(r["tier"], r["table"]): r for r in jobs.maintenance_job(spark, lake, 4)}
+    assert all("skipped" not in r for r in report.values()) and "batches_before" in report["bronze", "stocks"]
+
+
 def test_intraday_job_twice(spark, sf, path):
     lake, topic = Lake(path), f"{path}/_topic"
     bars = adapters.bars(spark, sf)
