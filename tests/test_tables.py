@@ -207,7 +207,7 @@ def test_rows_written_while_compaction_runs_stay(spark, path, monkeypatch, same_
     swap_in, done = tables.swap_in, []
 
     def late(df, at, *how, **more):
-        if more.get("same_rows") and not done:
+        if "rewritten" in how and not done:
             done.append(True)
             first = 0 if same_partition_rewritten else 10
             fresh = spark.range(first, 20).select("id", (F.col("id") % 2).cast("string").alias("p"))
@@ -223,17 +223,86 @@ def test_rows_written_while_compaction_runs_stay(spark, path, monkeypatch, same_
     assert sorted(r["id"] for r in tables.read_table(spark, path).collect()) == list(range(20))
 
 
+def _read_files(spark, path, depth):
+    return maintenance.files(spark, path).select(tables.file_below("path", depth).alias("_file"))
+
+
 def test_a_rewrite_leaves_folders_that_others_replaced(spark, path):
     """Its rows were read from files of which one in p=0 is gone when it swaps."""
     tables.append(spark.range(6).select("id", (F.col("id") % 2).cast("string").alias("p")).coalesce(1), path, ["p"])
-    listed = sorted(tables.file_of(r["path"], Storage(spark, path).qualified(path)) for r in maintenance.files(spark, path).collect())
+    listed = materialize(_read_files(spark, path, 1), "listed")
     rows = materialize(tables.read_table(spark, path), "rows")
     replaced = spark.createDataFrame([(100, "0")], "id long, p string")
     tables.publish(replaced, path, ["p"], replace="partitions")
-    tables.swap_in(rows, path, ["p"], "files", listed, same_rows=True)
+    tables.swap_in(rows, path, ["p"], "rewritten", read=listed)
     assert sorted(r["id"] for r in tables.read_table(spark, path).collect()) == [1, 3, 5, 100]
 
 
+@pytest.mark.parametrize("parts", [["p"], []])
+def test_a_rewrite_keeps_rows_that_others_added(spark, path, parts):
+    """Files that came after the listing survive the swap, also in oddly named folders and in a table without any."""
+    row = lambda *ids: spark.createDataFrame([(i, "a b/%=" if i % 2 else None) for i in ids], "id long, p string")
+    tables.append(row(*range(6)).coalesce(1), path, parts)
+    listed = materialize(_read_files(spark, path, len(parts)), "listed")
+    rows = materialize(tables.read_table(spark, path), "rows")
+    tables.append(row(20, 21), path, parts)
+    tables.swap_in(rows, path, parts, "rewritten", read=listed)
+    assert sorted(r["id"] for r in tables.read_table(spark, path).collect()) == [*range(6), 20, 21]
+
+
+def test_a_rewrite_of_a_table_without_partitions_gives_way_as_a_whole(spark, path):
+    tables.append(spark.range(6).coalesce(1), path)
+    listed = materialize(_read_files(spark, path, 0), "listed")
+    rows = materialize(tables.read_table(spark, path), "rows")
+    tables.publish(spark.range(100, 103), path)
+    tables.swap_in(rows, path, [], "rewritten", read=listed)
+    assert sorted(r["id"] for r in tables.read_table(spark, path).collect()) == [100, 101, 102]
+
+
+@pytest.mark.parametrize("parts", [["p"], []])
+@pytest.mark.parametrize("moves", range(7))
+def test_compaction_cut_short_is_completed(spark, path, monkeypatch, parts, moves):
+    """The driver stops after some moves, and another writer adds rows before the swap is completed."""
+    df = spark.range(30).select("id", (F.col("id") % 2).cast("string").alias("p"))
+    for start in (0, 10, 20):
+        tables.append(df.where(F.col("id").between(start, start + 9)).coalesce(1), path, parts)
+    move, done = Storage.move, []
+
+    def failing(self, *pair):
+        if len(done) == moves:
+            raise OSError("stopped")
+        done.append(pair)
+        move(self, *pair)
+
+    monkeypatch.setattr(Storage, "move", failing)
+    monkeypatch.setattr(Storage, "move_all", lambda self, pairs: [self.move(*p) for p in pairs])
+    stopped = False
+    try:
+        maintenance.compact(spark, path)
+    except OSError:
+        stopped = True
+    monkeypatch.undo()
+    assert stopped == (moves < 4)
+    tables.append(df.where("id < 2").withColumn("id", F.col("id") + 100), path, parts)
+    assert tables.complete(spark, path) == int(stopped)
+    assert sorted(r["id"] for r in tables.read_table(spark, path).collect()) == [*range(30), 100, 101]
+
+
+def test_compaction_in_several_runs(spark, path):
+    """As many runs as their new files call for; order within files is that of the layout, compact folders keep their files."""
+    df = spark.range(400).select("id", (F.col("id") % 8).cast("string").alias("p"))
+    tables.append(df.repartition(4), path, ["p"])
+    result = maintenance.compact(spark, path, files_per_run=3)
+    assert result == {"partitions": 8, "files_before": 32, "files_after": 8}
+    assert _rows(tables.read_table(spark, path)) == _rows(df)
+    assert len(Storage(spark, path).folders(f"{path}/{tables.RETIRED}")) > 1
+
+
+def test_compaction_of_nothing(spark, path):
+    tables.ensure_table(spark, path, spark.range(1).schema)
+    assert maintenance.compact(spark, path) == {"partitions": 0, "files_before": 0, "files_after": 0}
+
+
 def test_vacuum_counts_from_the_moment_of_retirement(spark, path, monkeypatch):
     """A publish that began five hours ago retires its data now; what it still writes is not abandoned."""
     import time
@@ -320,3 +389,21 @@ def test_compaction_of_a_table_by_hash_keeps_its_layout(spark, path):
     assert tables.layout_of(spark, path) == before and tables.read_table(spark, path).count() == 300
     merge_upsert(spark.range(50, 60).withColumn("p", F.lit("y")), path, ["id"])
     assert tables.read_table(spark, path).where("p = 'y'").count() == 10 and tables.read_table(spark, path).count() == 300
+
+
+def test_compaction_reads_crowded_partitions_alone(spark, path, monkeypatch):
+    """Partitions are pruned while the job runs; what is to be done names no file."""
+    df = spark.range(300).select("id", (F.col("id") % 3).cast("string").alias("p"))
+    tables.append(df.where("p < '2'").repartition(3), path, ["p"])
+    tables.append(df.where("p = '2'").coalesce(1), path, ["p"])
+    plans, orders, swap_in, write_text = [], [], tables.swap_in, Storage.write_text
+
+    def seen(rows, *how, **more):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return swap_in(rows, *how, **more)
+
+    monkeypatch.setattr(tables, "swap_in", seen)
+    monkeypatch.setattr(Storage, "write_text", lambda self, at, text: (orders.append(text), write_text(self, at, text)))
+    assert maintenance.compact(spark, path)["partitions"] == 2
+    assert len(plans) == 1 and "dynamicpruning" in plans[0]
+    assert not any("part-" in text for text in orders)

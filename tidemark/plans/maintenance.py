@@ -5,19 +5,22 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Sequence
-from itertools import accumulate
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.upsert import pruned
 from tidemark.shared import materialized
 from tidemark.sources import tables
 from tidemark.sources.layout import Lake, TableName
 from tidemark.sources.storage import Storage
+from tidemark.sources.tables import files
 
 # Fixed value: hours below which vacuum asks for force.
 MIN_RETENTION_HOURS = 1
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+FILES_PER_RUN = 10_000
 
 
 def discover(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -35,81 +38,79 @@ def discover(spark: SparkSession, lake: Lake) -> DataFrame:
     return spark.createDataFrame(found, "tier string, db string, table string, path string")
 
 
-def files(spark: SparkSession, path: str) -> DataFrame:
-    """Live data files of a table: ``folder, path, length``, as URIs. Lists names, reads no content."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(
-            F.regexp_replace("_metadata.file_path", "/[^/]+$", "").alias("folder"),
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_size").alias("length"),
-        )
-    )
-
-
 def compact(
     spark: SparkSession,
     path: str,
     target_bytes: int = TARGET_FILE_BYTES,
-    folders_per_run: int = 1000,
+    files_per_run: int = FILES_PER_RUN,
 ) -> dict[str, int]:
     """M2: rewrite each partition that has more files than its size calls for.
 
     Rows go to ``ceil(bytes / target)`` files by a hash of their place in the old files, so that
-    the split repeats when a task is retried and does not depend on the data's own skew. Partitions
-    that are already compact are not read. Only the files that were read are retired: what others add
-    meanwhile stays, and a partition where one of them was replaced meanwhile is left as it is.
+    the split repeats when a task is retried and does not depend on the data's own skew; small partitions share tasks. Of
+    partitions that are already compact only footers are read. Files are counted and read by one listing, and
+    neither the files nor the partitions to rewrite pass the driver as a list. What others add meanwhile stays, and a
+    partition where a file that was read was replaced meanwhile is left as it is. Runs follow each other, each of about
+    ``files_per_run`` new files, and each is swapped in before the next is read.
     """
     tables.complete(spark, path)
+    layout = tables.layout_of(spark, path)
     parts = tables.partition_cols_of(spark, path)
-    schema = tables.stored_schema(spark, path)
-    wanted = F.ceil(F.sum("length") / F.lit(float(target_bytes))).cast("int")
-    with materialized(files(spark, path), "file-list") as before:
-        crowded = (
-            before.groupBy("folder")
-            .agg(F.count(F.lit(1)).alias("files"), F.greatest(wanted, F.lit(1)).alias("wanted"))
-            .where(F.col("files") > F.col("wanted"))
-            .collect()  # one row per partition to rewrite
-        )
-        result = {"partitions": len(crowded), "files_before": before.count()}
-        for start in range(0, len(crowded), folders_per_run):
-            run = crowded[start : start + folders_per_run]
-            _rewrite(spark, path, schema, parts, run, before)
+    if files(spark, path).isEmpty():
+        return {"partitions": 0, "files_before": 0, "files_after": 0}
+    reader = spark.read.option("pathGlobFilter", "*.parquet")
+    rows = (reader.schema(tables.stored_schema(spark, path)) if layout else reader).parquet(path)
+    size = F.sum("_length")
+    wanted = F.greatest(F.ceil(size / F.lit(float(target_bytes))).cast("int"), F.lit(1))
+    per_folder = [F.count(F.lit(1)).alias("_files"), size.alias("_bytes"), wanted.alias("_wanted")]
+    with materialized(_listed(rows, parts), "file-list") as listed:
+        folders = listed.groupBy(*parts, "_folder").agg(*per_folder).where("_files > _wanted")
+        with materialized(folders, "crowded") as crowded:
+            total = crowded.agg(F.count(F.lit(1)).alias("folders"), F.sum("_wanted").alias("wanted")).first()
+            runs = ceil((total["wanted"] or 0) / files_per_run)
+            for run in range(runs):
+                chosen = crowded.where(F.pmod(F.xxhash64("_folder"), F.lit(runs)) == run)
+                _rewrite(rows, path, parts, (layout or {}).get("order", []), chosen, listed, target_bytes)
+        result = {"partitions": total["folders"], "files_before": listed.count()}
     result["files_after"] = files(spark, path).count()
     return result
 
 
-def _rewrite(spark, path: str, schema, parts: Sequence[str], run: Sequence, listed: DataFrame) -> None:
-    reader = spark.read.option("basePath", path)
-    reader = reader.schema(schema) if schema else reader
-    root = Storage(spark, path).qualified(path)
-    crowded = F.col("folder").isin([r["folder"] for r in run])
-    old = [tables.file_of(r["path"], root) for r in listed.where(crowded).select("path").collect()]
-    rows = reader.parquet(*[f"{path}/{f}" for f in old])
-    if schema:
-        rows = rows.select(*schema.names, "_metadata")
-    names = [c for c in rows.columns if c != "_metadata"]
-    ends = list(accumulate(r["wanted"] for r in run))
-    places = [(r["folder"], end - r["wanted"], r["wanted"]) for r, end in zip(run, ends)]
-    # At most folders_per_run rows, hence the broadcast.
-    target = F.broadcast(spark.createDataFrame(places, "_folder string, _first int, _files int"))
-    row = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+def _listed(rows: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """The files that ``rows`` are read from, by their first rows."""
+    uri = F.col("_metadata.file_path")
+    return rows.where(F.col("_metadata.row_index") == 0).select(
+        *parts,
+        F.regexp_replace(uri, "/[^/]+$", "").alias("_folder"),
+        tables.file_below(uri, len(parts)).alias("_file"),
+        F.col("_metadata.file_size").alias("_length"),
+    )
+
+
+def _rewrite(rows: DataFrame, path: str, parts, order, chosen: DataFrame, listed: DataFrame, target_bytes: int) -> None:
+    size = chosen.agg(F.max("_wanted").alias("most"), F.sum("_bytes").alias("bytes")).first()
+    if size["most"] is None:
+        return
+    # Consecutive numbers for the files of a folder, so no two of them share a task.
+    tasks = max(size["most"], ceil(size["bytes"] / target_bytes))
+    names = rows.columns
+    placed = rows.select(
+        *names,
+        F.regexp_replace("_metadata.file_path", "/[^/]+$", "").alias("_folder"),
+        F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_row"),
+    )
+    if parts:
+        placed = pruned(placed, parts, chosen.select(*parts))
+    task = F.pmod(F.pmod(F.xxhash64("_folder"), F.lit(tasks)) + F.pmod("_row", F.col("_wanted")), F.lit(tasks))
     spread = (
-        rows.select(
-            *names,
-            F.regexp_replace("_metadata.file_path", "/[^/]+$", "").alias("_folder"),
-            row.alias("_row"),
-        )
-        .join(target, "_folder")
-        .repartitionById(ends[-1], (F.col("_first") + F.pmod("_row", F.col("_files"))).cast("int"))
+        placed.join(chosen.select("_folder", "_wanted"), "_folder")
+        .repartitionById(tasks, task.cast("int"))
         .select(*names)
     )
     if parts:
-        spread = spread.sortWithinPartitions(*parts)
-    tables.swap_in(spread, path, parts, "files", old, same_rows=True)
+        spread = spread.sortWithinPartitions(*parts, *[c for c in order if c not in parts])
+    read = listed.join(chosen.select("_folder"), "_folder", "left_semi")
+    tables.swap_in(spread, path, parts, "rewritten", read=read)
 
 
 def merge_batches(spark: SparkSession, path: str, older_than_hours: float, now: float | None = None) -> dict[str, int]:

@@ -26,7 +26,7 @@ from tidemark.sources.layout import Lake, TableName
 from tidemark.sources.storage import Storage
 
 SCHEMA_FILE = "_schema.json"
-STAGING, RETIRED, READY, CLEARED, PLACED = "_staging", "_retired", "_ready.json", "_cleared", "_placed.json"
+STAGING, RETIRED, READY, CLEARED, READ = "_staging", "_retired", "_ready.json", "_cleared", "_read"
 BUCKET, BATCH = "_bucket", "_batch"
 FOLDER_COLUMNS = {BUCKET: T.IntegerType(), BATCH: T.StringType()}
 MERGED = "merged-"  # how the names of batches begin that compaction has made of others
@@ -149,10 +149,24 @@ def read_table_stream(
     return rows.select(*schema.names)
 
 
-def file_of(uri: str, root: str) -> str:
-    """The path, relative to the table at ``root``, of a file named by its URI."""
-    bare = lambda text: unquote(text).split(":", 1)[-1].lstrip("/")
-    return bare(uri)[len(bare(root)) + 1 :]
+def files(spark: SparkSession, path: str) -> DataFrame:
+    """Live data files of a table: ``folder, path, length``, as URIs. Lists names, reads no content."""
+    return (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select(
+            F.regexp_replace("_metadata.file_path", "/[^/]+$", "").alias("folder"),
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_size").alias("length"),
+        )
+    )
+
+
+def file_below(uri: str | Column, depth: int) -> Column:
+    """The part of a data file's URI below its table, which has ``depth`` partition columns."""
+    return F.substring_index(uri, "/", -(depth + 1))
 
 
 def leaf_folders(storage: Storage, path: str, depth: int) -> list[str]:
@@ -212,12 +226,13 @@ def swap_in(
     partition_cols: Sequence[str],
     replace: str,
     retire: Iterable[str] = (),
-    same_rows: bool = False,
+    read: DataFrame | None = None,
 ) -> None:
     """Write ``df`` as it is partitioned into staging, then swap it in.
 
-    ``same_rows`` says that the files in ``retire`` are rewritten without change: where another
-    writer has replaced one of them meanwhile, its folder is left as that writer made it.
+    ``replace="rewritten"`` says that ``df`` has all rows of some folders, read from the files that ``read`` names
+    (``_file``, see ``file_below``). Folders are swapped whole. What others have added to one meanwhile goes back into it;
+    one that has lost a file that was read is left as its other writer made it.
     """
     spark = df.sparkSession
     storage = Storage(spark, path)
@@ -227,11 +242,12 @@ def swap_in(
     staged = f"{path}/{STAGING}/{int(time.time() * 1000)}-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(*partition_cols) if partition_cols else df.write
     writer.parquet(staged)
+    if read is not None:
+        read.select("_file").write.parquet(f"{staged}/{READ}")
     content = {
         "replace": replace,
         "depth": len(partition_cols),
         "retire": sorted(retire),
-        "same_rows": same_rows,
         "schema": df.schema.jsonValue(),
         "partitions": list(partition_cols),
     }
@@ -252,28 +268,25 @@ def complete(spark: SparkSession, path: str) -> int:
     return done
 
 
+def _visible(storage: Storage, folder: str) -> list[str]:
+    return [n for n in storage.children(folder) if n[0] not in "_." or "=" in n]
+
+
 def _swap(spark, storage: Storage, path: str, name: str) -> None:
     # Retired data is as old as this moment, however long the write took.
     staged, retired = f"{path}/{STAGING}/{name}", f"{path}/{RETIRED}/{int(time.time() * 1000)}-{name}"
     order = json.loads(storage.read_text(f"{staged}/{READY}"))
-    visible = lambda folder: [n for n in storage.children(folder) if n[0] not in "_." or "=" in n]
+    if order["replace"] == "rewritten":
+        _swap_rewritten(spark, storage, path, name, retired, order["depth"])
+        return
     if order["replace"] == "files":
         folders = leaf_folders(storage, staged, order["depth"])
         below = [(f"{f}/" if f else "", f"{staged}/{f}" if f else staged) for f in folders]
-        entries = [prefix + n for prefix, folder in below for n in visible(folder)]
+        entries = [prefix + n for prefix, folder in below for n in _visible(storage, folder)]
         retire = order["retire"]
-        if order.get("same_rows") and not storage.exists(f"{staged}/{CLEARED}"):
-            folder = lambda entry: entry.rpartition("/")[0]
-            gone = {folder(e) for e in retire if not storage.exists(f"{path}/{e}")}
-            entries = [e for e in entries if folder(e) not in gone]
-            retire = [e for e in retire if folder(e) not in gone]
-            storage.write_text(f"{staged}/{PLACED}", json.dumps(entries))
-        elif storage.exists(f"{staged}/{PLACED}"):
-            entries = json.loads(storage.read_text(f"{staged}/{PLACED}"))
-            entries = [e for e in entries if storage.exists(f"{staged}/{e}")]
     elif order["replace"] == "table" or not order["depth"]:
-        entries = visible(staged)
-        retire = visible(path)
+        entries = _visible(storage, staged)
+        retire = _visible(storage, path)
     else:
         entries = retire = leaf_folders(storage, staged, order["depth"])
     if not storage.exists(f"{staged}/{CLEARED}"):
@@ -286,6 +299,40 @@ def _swap(spark, storage: Storage, path: str, name: str) -> None:
     _write_schema(spark, path, T.StructType.fromJson(order["schema"]), order["partitions"], **more)
 
 
+def _swap_rewritten(spark, storage: Storage, path: str, name: str, retired: str, depth: int) -> None:
+    """Each staged folder takes the place of the one it was read from.
+
+    Which files others took or added is found by comparing listings, in Spark; the driver moves folders. What an
+    interrupted swap has done is seen from where its folders are: those under ``_retired`` had passed the check.
+    """
+    staged = f"{path}/{STAGING}/{name}"
+    begun = [n for n in storage.folders(f"{path}/{RETIRED}") if n.endswith(f"-{name}")]
+    retired = f"{path}/{RETIRED}/{begun[0]}" if begun else retired
+    below = lambda root, folder: f"{root}/{folder}" if folder else root
+    listing = lambda root: files(spark, root).select(file_below("path", depth).alias("_file"))
+    read = spark.read.schema("_file string").parquet(f"{staged}/{READ}")
+    if not storage.exists(f"{staged}/{CLEARED}"):
+        passed = set(leaf_folders(storage, retired, depth)) if begun else set()
+        folder = F.regexp_replace("_file", "/?[^/]+$", "").alias("folder")
+        lost = {unquote(r["folder"]) for r in read.join(listing(path), "_file", "left_anti").select(folder).distinct().collect()}
+        for one in lost - passed:
+            for entry in [one] if one else _visible(storage, staged):
+                storage.delete(f"{staged}/{entry}")
+        rest = [f for f in leaf_folders(storage, staged, depth) if f not in lost - passed]
+        old = [f for f in rest if f not in passed] if depth else [n for _ in rest for n in _visible(storage, path)]
+        storage.move_all((f"{path}/{f}", f"{retired}/{f}") for f in old)
+        storage.write_text(f"{staged}/{CLEARED}", "")
+    for one in leaf_folders(storage, staged, depth):
+        if one and not storage.exists(f"{path}/{one}"):
+            storage.move(f"{staged}/{one}", f"{path}/{one}")
+        else:
+            source, target = below(staged, one), below(path, one)
+            storage.move_all((f"{source}/{n}", f"{target}/{n}") for n in _visible(storage, source))
+    if storage.exists(retired):
+        late = [unquote(r["_file"]) for r in listing(retired).join(read, "_file", "left_anti").collect()]
+        storage.move_all((f"{retired}/{f}", f"{path}/{f}") for f in late)
+
+
 def widen_schema(spark, path: str, added: T.StructType, partition_cols: Sequence[str] = ()) -> list[str]:
     """Add the columns a table lacks to its schema file; returns its partition columns."""
     known = schema_of(spark, path)
