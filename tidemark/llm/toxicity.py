@@ -40,7 +40,7 @@ TABLE_ENTRIES = 1 << 21
 DISCOUNT = 0.75
 LEVELS = (1.5, 2.5, 3.5)  # of the log ratio of a word
 CURVE_ROWS = 50_000
-JOINED_BYTES = 1 << 18  # of texts in a row that meets its ratios by a join
+JOINED_BYTES = 1 << 22  # of texts in a row that meets its ratios by a join
 COUNT_FOLDS, CURVE_FOLDS = (1, 2, 3), (4,)
 
 
@@ -328,6 +328,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str, text:
     ratios = train(docs, labels, key, text, label)
     of = texts.hashed_sample(_labelled(labels, key, label).filter(texts.train_fold(F.col("key")).isin(*CURVE_FOLDS)), "key", CURVE_ROWS)
     some = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(texts.train_fold(F.col("key")).isin(*CURVE_FOLDS))
+    # Only what the curve is fitted on is measured; CURVE_ROWS bounds what is broadcast.
+    some = some.join(F.broadcast(of.select("key")), "key", "left_semi")
     measured = measure(spark, some, ratios, "key", "text")
     rows = measured.join(of.hint("merge"), "key").select("measure", "label").toPandas()
     y = rows["label"].to_numpy(float)
