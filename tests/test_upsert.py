@@ -66,6 +66,39 @@ def test_extra_missing_and_repeated(spark, path):
     assert _rows(tables.read_table(spark, path)) == [(1, "a", 1)]
 
 
+@pytest.mark.parametrize("follow", [True, False])
+def test_all_rows_of_a_key_are_replaced_together(spark, path, follow):
+    """Where keys may repeat, no row of the source is lost, and none of the target's stays beside it."""
+    _table(spark, path)
+    put = lambda rows: _put(spark, path, rows, partitions_follow_keys=follow, repeats=True)
+    put([(1, "a", 1), (1, "a", 1), (1, "a", 2), (2, "a", 3), (2, "a", 4), (3, "b", 5), (None, "b", 6)])
+    for _ in range(2):
+        put([(1, "a", 10), (1, "a", 10), (3, "b", 50), (3, "b", 51), (4, "c", 60), (4, "c", 60)])
+        assert _rows(tables.read_table(spark, path)) == _rows(
+            spark.createDataFrame(
+                [(1, "a", 10), (1, "a", 10), (2, "a", 3), (2, "a", 4), (3, "b", 50), (3, "b", 51), (4, "c", 60), (4, "c", 60), (None, "b", 6)],
+                SCHEMA,
+            )
+        )
+    put([(None, "b", 6)])
+    assert tables.read_table(spark, path).where("k is null").count() == 2
+
+
+def test_bars_of_one_instant_are_all_upserted(spark, tmp_path):
+    """upsert_batch on bars that share ticker and time, some of them whole copies, on both sides of the cut."""
+    from oracle import compare, connect
+    from tidemark.queries import ORACLES, RUNS
+
+    connect(str(tmp_path)).execute(
+        f"""copy (select i % 40 as event_id, timestamp '2024-01-22 00:00:00' + interval (i % 5) day as ts, i % 3 as user_id,
+          case i % 2 when 0 then 'purchase' else 'view' end as event_type, cast(i % 4 as double) as value,
+          '{{"k": ' || (i % 7) || '}}' as props from range(80) r(i)) to '{tmp_path}/events.parquet' (format parquet)"""
+    )
+    found = RUNS["upsert_batch"](spark, str(tmp_path))
+    assert found.count() == 80 and found.select("ticker", "timestamp").distinct().count() == 10
+    assert compare(found, connect(str(tmp_path)), ORACLES["upsert_batch"]) is None
+
+
 def test_unpartitioned(spark, path):
     _table(spark, path, ())
     _put(spark, path, [(1, "a", 1), (2, "a", 2)])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -95,11 +96,13 @@ def merge_upsert(
     partitions_follow_keys: bool = False,
     unique: bool = False,
     buckets: int = BUCKETS,
+    repeats: bool = False,
 ) -> None:
     """Update the target rows whose keys match, insert the rest.
 
     NULL keys match nothing and are inserted. Two source rows for one key are an error; ``unique``
-    says that the caller has made sure of it. A key has one place: its partition, when equal keys always mean equal
+    says that the caller has made sure of it. With ``repeats`` a key may have several rows: all that the source has of it
+    take the place of all that the target has. A key has one place: its partition, when equal keys always mean equal
     partition (``partitions_follow_keys``), else one of ``buckets`` folders by its hash. A scan of the key
     columns in the source's places, within the range of its keys, finds the places that hold matched rows. These are
     written anew by dynamic partition overwrite; rows of other places are appended, and compaction gathers them. A run
@@ -111,12 +114,14 @@ def merge_upsert(
     if parts == [tables.BUCKET]:
         rows = rows.withColumn(tables.BUCKET, tables.bucket_of(keys, layout["buckets"]))
     with materialized(rows, "upsert") as rows, materialized(rows.select(*parts).distinct(), "places") as places:
-        _merge(rows, places, path, keys, parts, layout, unique)
+        keyed = rows.where(~any_null(keys)).select(*keys)
+        # Each key once, so that one with many rows is one row of the side that a join cannot split.
+        with materialized(keyed.distinct(), "keys") if repeats else nullcontext(keyed) as keyed:
+            _merge(rows, keyed, places, path, keys, parts, layout, unique or repeats)
 
 
-def _merge(rows: DataFrame, places: DataFrame, path: str, keys, parts, layout: dict, unique: bool) -> None:
+def _merge(rows: DataFrame, keyed: DataFrame, places: DataFrame, path: str, keys, parts, layout: dict, unique: bool) -> None:
     spark = rows.sparkSession
-    keyed = rows.where(~any_null(keys)).select(*keys)
     in_range = key_range(keyed, keys, unique)
     target = spark.read.schema(tables.stored_schema(spark, path)).parquet(path)
     there = pruned(target.where(in_range).select(*dict.fromkeys([*keys, *parts])), parts, places)

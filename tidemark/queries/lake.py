@@ -127,15 +127,18 @@ def not_null_counts(spark, sf_dir):
       case when ticker = 'purchase' then close + 1 else close end as close, volume from bars""",
 )
 def upsert_batch(spark, sf_dir):
-    """A first delivery, then a second with later bars and corrected ``purchase`` closes."""
+    """A first delivery, then a second with later bars and corrected ``purchase`` closes.
+
+    A ticker may have several bars of one instant. A delivery has all of those or none, so they are replaced together.
+    """
     bars = adapters.bars(spark, sf_dir).withColumn("ano", F.year("timestamp"))
     bars = bars.select("ticker", "ano", "timestamp", "open", "high", "low", "close", "volume")
     path = scratch_path(spark, "upsert")
     tables.ensure_table(spark, path, bars.schema, ["ticker", "ano"])
-    merge_upsert(bars.where(F.col("timestamp") < _stamp(CUTOFF)), path, ["ticker", "timestamp"], True)
+    merge_upsert(bars.where(F.col("timestamp") < _stamp(CUTOFF)), path, ["ticker", "timestamp"], True, repeats=True)
     revised = F.when(F.col("ticker") == "purchase", F.col("close") + 1).otherwise(F.col("close"))
     second = bars.where((F.col("timestamp") >= _stamp(CUTOFF)) | (F.col("ticker") == "purchase"))
-    merge_upsert(second.withColumn("close", revised), path, ["ticker", "timestamp"], True)
+    merge_upsert(second.withColumn("close", revised), path, ["ticker", "timestamp"], True, repeats=True)
     return tables.read_table(spark, path)
 
 
